@@ -34,3 +34,31 @@ def write_pairs_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     single output file is bounded by N."""
     order = [c for c in ("list", "rank") if c in df.columns]
     pairs_for_json(df).coalesce(1).sortWithinPartitions(*order).write.mode(mode).json(path)
+
+
+def raw_from_pings(pings: DataFrame) -> DataFrame:
+    """Working pings back to the 26-column raw export layout (timestamps as
+    ``dd/MM/yyyy HH:mm:ss`` UTC; columns the working table lacks are empty)."""
+    from ..functions.timecols import SECONDS_PER_DAY, utc_day
+    from .schema import PING_RENAMES, RAW_COLUMNS
+
+    t = epoch_s("ts")
+    sod = F.pmod(t, F.lit(SECONDS_PER_DAY))
+    stamp = F.concat(F.date_format(utc_day(t), "dd/MM/yyyy"),
+                     F.format_string(" %02d:%02d:%02d", F.floor(sod / 3600), F.floor(F.pmod(sod, F.lit(3600)) / 60),
+                                     F.pmod(sod, F.lit(60))))
+    src = {raw: work for raw, work in PING_RENAMES}
+    cols = []
+    for name, dtype in RAW_COLUMNS:
+        if name == "# Timestamp":
+            cols.append(stamp.alias(name))
+        elif name in src:
+            cols.append(F.col(src[name]).cast(dtype).alias(name))
+        else:
+            cols.append(F.lit(None).cast(dtype).alias(name))
+    return pings.select(*cols)
+
+
+def write_pings_csv(pings: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Raw-layout CSV export with a header line (the input format of S1)."""
+    raw_from_pings(pings).write.mode(mode).option("header", True).csv(path)
