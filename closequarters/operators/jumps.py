@@ -26,12 +26,12 @@ def _order_cols(df: DataFrame) -> list[str]:
 def implied_speeds(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     """Adds ``speed_prev_kn`` and ``speed_next_kn`` (null where the
     neighbour is missing or the time step is zero).  Pings without a timestamp
-    are dropped: they can never pass the jump test (both sides unknown)."""
+    sort first (their chunk is null) and get null speeds, as in an unchunked
+    window ordered nulls-first."""
     order = _order_cols(df)
     pos = F.struct(epoch_s("ts").alias("t"), F.col("lat").alias("y"), F.col("lon").alias("x"))
     rank = F.struct(*[F.col(c) for c in order])
-    d = (df.filter(F.col("ts").isNotNull())
-           .withColumn("_chunk", F.floor(epoch_s("ts") / F.lit(p.track_chunk_s)))
+    d = (df.withColumn("_chunk", F.floor(epoch_s("ts") / F.lit(p.track_chunk_s)))
            .withColumn("_pos", pos))
     w = Window.partitionBy("mmsi", "_chunk").orderBy(*order)
     d = d.withColumn("_prev", F.lag("_pos").over(w)).withColumn("_next", F.lead("_pos").over(w))
@@ -59,7 +59,7 @@ def implied_speeds(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:
 
 
 def gps_jump_flag(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:
-    """Every timed ping with a boolean ``jump_ok`` (true = kept by W1)."""
+    """Every ping with a boolean ``jump_ok`` (true = kept by W1)."""
     return (implied_speeds(df, p)
             .withColumn("jump_ok", F.coalesce(teleport_free(p), F.lit(False)))
             .drop("speed_prev_kn", "speed_next_kn"))

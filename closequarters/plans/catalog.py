@@ -57,8 +57,15 @@ def _clean(spark, d):
     return _stages(spark, d).clean
 
 
+def _clean_table(spark, d):
+    """The clean table persisted to the shared folder (the input of detection)."""
+    from .materialize import persist_pings
+
+    return persist_pings(_clean(spark, d), "clean")
+
+
 def _detected(spark, d):
-    return enc.detect_encounters(_clean(spark, d), P)
+    return enc.detect_encounters(_clean_table(spark, d), P)
 
 
 def _ranked(spark, d):
@@ -66,7 +73,7 @@ def _ranked(spark, d):
 
 
 def _traj(spark, d):
-    c = _clean(spark, d)
+    c = _clean_table(spark, d)
     return trajectory.pair_trajectories(ranking.three_rankings(enc.detect_encounters(c, P), P), c, P)
 
 

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from ..operators.filters import in_circle, mmsi_checks, within_radius
 from ..operators.jumps import gps_jump_flag
 from ..operators.projections import backfill_static, normalize_sog
-from ..operators.vessels import first_name_expr, vessel_max_sog, vessel_modal_type
-from ..params import DEFAULTS, Params
+from ..functions.timecols import epoch_s
+from ..params import DEFAULTS, UNDEFINED_SHIP_TYPE, Params
 
 
 @dataclass(frozen=True)
@@ -37,19 +37,28 @@ class CleanStages:
     vessels: DataFrame          # one row per vessel: max_sog, n_kept, vessel_name, modal_type, keep flags
 
 
+def vessel_table(flagged: DataFrame, p: Params = DEFAULTS) -> DataFrame:
+    """One row per vessel from one partial aggregation over the jump-flagged
+    pings: highest speed (all pings), pings kept by the jump test, first name
+    and modal specific type among kept pings (``mode`` keeps a small
+    value->count map per vessel; ties go to the smallest type)."""
+    ok = F.col("jump_ok")
+    named = F.when(ok & F.col("name").isNotNull(), F.struct(epoch_s("ts").alias("t"), F.col("name").alias("n")))
+    specific = F.when(ok & F.col("ship_type").isNotNull() & (F.col("ship_type") != UNDEFINED_SHIP_TYPE), F.col("ship_type"))
+    return (flagged.groupBy("mmsi").agg(
+                F.max("sog").alias("max_sog"), F.count_if(ok).alias("n_kept"),
+                F.min(named).getField("n").alias("vessel_name"), F.mode(specific, True).alias("modal_type"))
+            .withColumn("is_moving", F.col("max_sog") > F.lit(p.min_vessel_max_sog_kn))
+            .withColumn("is_dense", F.col("n_kept") >= F.lit(p.min_pings_per_vessel)))
+
+
 def clean_stages(raw: DataFrame, mids, p: Params = DEFAULTS) -> CleanStages:
     spatial = within_radius(raw, p)
     checked = mmsi_checks(normalize_sog(spatial, p), mids, p)
     flagged = gps_jump_flag(checked, p)
+    vessels = vessel_table(flagged, p)
     kept = flagged.filter("jump_ok").drop("jump_ok")
 
-    vmax = vessel_max_sog(checked)
-    vkept = kept.groupBy("mmsi").agg(F.count(F.lit(1)).alias("n_kept"), first_name_expr().alias("vessel_name"))
-    vtype = vessel_modal_type(kept)
-    vessels = (vmax.join(vkept, "mmsi", "left").join(vtype, "mmsi", "left")
-               .withColumn("is_moving", F.col("max_sog") > F.lit(p.min_vessel_max_sog_kn))
-               .withColumn("is_dense", F.coalesce(F.col("n_kept"), F.lit(0)) >= F.lit(p.min_pings_per_vessel)))
-
     moving_ids = vessels.filter("is_moving").select("mmsi")
     keep = vessels.filter(F.col("is_moving") & F.col("is_dense"))
     moving = checked.join(moving_ids, "mmsi", "left_semi")

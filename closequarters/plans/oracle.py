@@ -60,7 +60,7 @@ CTE["speeds"] = (
     f"{hav('lat', 'lon', 'n_lat', 'n_lon')} * 3600e0 / NULLIF(n_ts - ts_s, 0) AS speed_next_kn "
     "FROM (SELECT *, lag(ts_s) OVER w AS p_ts, lag(lat) OVER w AS p_lat, lag(lon) OVER w AS p_lon, "
     "lead(ts_s) OVER w AS n_ts, lead(lat) OVER w AS n_lat, lead(lon) OVER w AS n_lon "
-    f"FROM moving WHERE ts_s IS NOT NULL WINDOW w AS (PARTITION BY mmsi ORDER BY {TRACK}))")
+    f"FROM moving WINDOW w AS (PARTITION BY mmsi ORDER BY {TRACK}))")
 JUMP_OK = (f"NOT (speed_prev_kn > {f(P.max_plausible_speed_kn)} AND speed_next_kn > {f(P.max_plausible_speed_kn)})")
 CTE["jump_free"] = f"SELECT * EXCLUDE (speed_prev_kn, speed_next_kn) FROM speeds WHERE {JUMP_OK}"
 CTE["dense"] = (f"SELECT * FROM jump_free WHERE mmsi IN (SELECT mmsi FROM jump_free GROUP BY mmsi "

@@ -7,6 +7,7 @@ from ..operators.encounters import detect_encounters
 from ..operators.ranking import encounter_result, three_rankings
 from ..params import DEFAULTS, Params
 from .clean import clean_pings
+from .materialize import persist_pings
 
 
 def rankings(clean: DataFrame, p: Params = DEFAULTS) -> DataFrame:
@@ -15,5 +16,7 @@ def rankings(clean: DataFrame, p: Params = DEFAULTS) -> DataFrame:
 
 
 def encounter_report(raw: DataFrame, mids, p: Params = DEFAULTS) -> DataFrame:
-    """Q3: raw pings -> clean -> detect -> three rankings -> result records."""
-    return encounter_result(rankings(clean_pings(raw, mids, p), p), p)
+    """Q3: raw pings -> clean (persisted, lineage cut) -> detect -> three
+    rankings -> result records."""
+    clean = persist_pings(clean_pings(raw, mids, p), "clean")
+    return encounter_result(rankings(clean, p), p)

@@ -115,10 +115,14 @@ def derived_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .when(et == "purchase", _lit("Fishing"))
                  .when(et == "signup", _lit("Undefined")))
     null_s = _lit(None).cast("string")
-    return v.select(
+    row = F.struct(
         F.timestamp_seconds(ts_s).alias("ts"), mmsi.alias("mmsi"), lat.alias("lat"), lon.alias("lon"),
         sog.alias("sog"), (F.col("event_id") % 360).cast("double").alias("cog"),
         null_s.alias("nav_status"), null_s.alias("mobile_type"), name.alias("name"),
         ship_type.alias("ship_type"), null_s.alias("imo"), null_s.alias("callsign"),
         utc_day(ts_s).alias("day"),
     )
+    # ``inline`` makes the derived columns generator outputs: downstream filters
+    # then test the computed value instead of having the whole derivation
+    # inlined into every predicate that mentions lat/lon.
+    return v.select(F.inline(F.array(row)))
