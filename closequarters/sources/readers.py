@@ -42,8 +42,12 @@ def read_pings(spark: SparkSession, path: str, days: tuple[str, str] | None = No
 
 
 def read_mid_codes(spark: SparkSession, path: str) -> DataFrame:
-    """Country-prefix list: CSV with a ``Digit`` column, Windows-1252 encoded."""
-    return (spark.read.option("header", True).option("encoding", "windows-1252").csv(path)
+    """Country-prefix list: CSV with a ``Digit`` column, Windows-1252 encoded.
+
+    Spark 4 accepts a fixed charset list for CSV; Windows-1252 and ISO-8859-1
+    differ only in bytes 0x80-0x9F, which occur in the text columns, never in
+    the ASCII ``Digit`` column read here, so the codes are identical."""
+    return (spark.read.option("header", True).option("encoding", "iso-8859-1").csv(path)
             .select(F.trim(F.col("Digit")).cast("int").alias("mid"))
             .filter(F.col("mid").isNotNull())
             .distinct())

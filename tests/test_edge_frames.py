@@ -1,0 +1,219 @@
+"""Hand-made edge frames for the clean and detection operators."""
+from __future__ import annotations
+
+import math
+
+import pytest
+from conftest import pings
+from pyspark.sql import functions as F
+
+from closequarters.functions.timecols import epoch_s
+from closequarters.operators import encounters as enc
+from closequarters.operators import filters as flt
+from closequarters.operators import jumps, projections, ranking, vessels
+from closequarters.params import DEFAULTS, Params
+
+T0 = 1639362420  # 2021-12-13 02:27:00 UTC, a minute boundary
+NM_DEG = 1.0 / 60.0  # one nautical mile of latitude, in degrees (approximately)
+
+
+def kept_ts(df):
+    return sorted(r[0] for r in df.select(epoch_s("ts")).collect())
+
+
+def test_single_ping_dropped_by_jump_filter(spark):
+    df = pings(spark, [dict(ts_s=T0, mmsi=219000001, lat=55.0, lon=14.0)])
+    assert jumps.gps_jump_filter(df).count() == 0
+
+
+def test_two_far_pings_both_dropped(spark):
+    df = pings(spark, [dict(ts_s=T0, mmsi=219000001, lat=55.0, lon=14.0),
+                       dict(ts_s=T0 + 60, mmsi=219000001, lat=55.0 + 10 * NM_DEG, lon=14.0)])
+    assert jumps.gps_jump_filter(df).count() == 0
+
+
+def test_teleport_in_middle_only_middle_dropped(spark):
+    rows = [dict(ts_s=T0 + 60 * i, mmsi=219000001, lat=55.0 + 0.001 * i, lon=14.0) for i in range(5)]
+    rows[2]["lat"] = 56.0
+    out = kept_ts(jumps.gps_jump_filter(pings(spark, rows)))
+    assert out == [T0, T0 + 60, T0 + 180, T0 + 240]
+
+
+def test_equal_timestamps_no_error_middle_dropped(spark):
+    rows = [dict(ts_s=T0, mmsi=219000001, lat=55.0, lon=14.0),
+            dict(ts_s=T0 + 60, mmsi=219000001, lat=55.001, lon=14.0),
+            dict(ts_s=T0 + 60, mmsi=219000001, lat=55.002, lon=14.0),
+            dict(ts_s=T0 + 60, mmsi=219000001, lat=55.003, lon=14.0),
+            dict(ts_s=T0 + 120, mmsi=219000001, lat=55.004, lon=14.0)]
+    out = jumps.gps_jump_filter(pings(spark, rows)).select("lat").collect()
+    assert sorted(r[0] for r in out) == [55.0, 55.001, 55.003, 55.004]
+
+
+def test_chunked_window_equals_unchunked(spark):
+    rows = [dict(ts_s=T0 + 37 * i, mmsi=219000001 + (i % 3), lat=55.0 + 0.0007 * i + (0.5 if i % 41 == 0 else 0),
+                 lon=14.0 + 0.0003 * i) for i in range(600)]
+    df = pings(spark, rows)
+    small = jumps.implied_speeds(df, Params(track_chunk_s=300))
+    big = jumps.implied_speeds(df, Params(track_chunk_s=10 ** 9))
+    cols = ["mmsi", "ts", "speed_prev_kn", "speed_next_kn"]
+    assert sorted(map(tuple, small.select(cols).collect())) == sorted(map(tuple, big.select(cols).collect()))
+
+
+def test_sog_sentinels(spark):
+    vals = [None, -1.0, 0.0, 1.0, 1.1, 102.1, 102.2, float("nan")]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, sog double")
+    got = [r[0] for r in projections.normalize_sog(df).orderBy("i").select("sog").collect()]
+    assert got == [None, 0.0, 0.0, 1.0, 1.1, 102.1, 0.0, 0.0]
+
+
+def test_id_range_ends(spark):
+    ids = [199999999, 200000000, 799999999, 800000000, 222222222, 123456789, None]
+    df = pings(spark, [dict(ts_s=T0, mmsi=i, lat=55.0, lon=14.0) for i in ids])
+    got = sorted(r[0] for r in flt.valid_mmsi_range(df).select("mmsi").collect())
+    assert got == [200000000, 222222222, 799999999]
+    assert flt.mmsi_repeated_digit(flt.mmsi_deny_list(df)).filter(F.col("mmsi") == 222222222).count() == 0
+
+
+def test_mid_filter_list_and_dataframe(spark):
+    df = pings(spark, [dict(ts_s=T0, mmsi=i, lat=55.0, lon=14.0) for i in (219000001, 232000002, 299000003)])
+    mids = spark.createDataFrame([(219,), (232,)], "mid int")
+    a = sorted(r[0] for r in flt.mmsi_mid_filter(df, [219, 232]).select("mmsi").collect())
+    b = sorted(r[0] for r in flt.mmsi_mid_filter(df, mids).select("mmsi").collect())
+    assert a == b == [219000001, 232000002]
+
+
+def test_min_pings_19_vs_20(spark):
+    rows = [dict(ts_s=T0 + i, mmsi=219000001, lat=55.0, lon=14.0) for i in range(19)]
+    rows += [dict(ts_s=T0 + i, mmsi=219000002, lat=55.0, lon=14.0) for i in range(20)]
+    got = {r[0] for r in vessels.min_pings(pings(spark, rows)).select("mmsi").collect()}
+    assert got == {219000002}
+
+
+def test_modal_type_backfill(spark):
+    types = ["Cargo", "Cargo", "Fishing", "Fishing"] + ["Undefined"] * 5
+    rows = [dict(ts_s=T0 + i, mmsi=219000001, lat=55.0, lon=14.0, ship_type=t) for i, t in enumerate(types)]
+    out = vessels.fill_vessel_static(pings(spark, rows)).select("ship_type").collect()
+    assert sorted(r[0] for r in out) == ["Cargo"] * 7 + ["Fishing"] * 2
+
+
+def test_name_backfill_and_display_name(spark):
+    rows = [dict(ts_s=T0 + 2, mmsi=219000001, lat=55.0, lon=14.0, name="B"),
+            dict(ts_s=T0 + 1, mmsi=219000001, lat=55.0, lon=14.0, name="A"),
+            dict(ts_s=T0, mmsi=219000001, lat=55.0, lon=14.0),
+            dict(ts_s=T0, mmsi=219000002, lat=55.0, lon=14.0)]
+    out = vessels.fill_vessel_static(pings(spark, rows))
+    got = sorted((r[0], r[1], r[2]) for r in out.select(
+        "mmsi", "name", projections.display_name(F.col("name"), F.col("mmsi"))).collect())
+    assert got == [(219000001, "A", "A"), (219000001, "A", "A"), (219000001, "B", "B"),
+                   (219000002, None, "MMSI 219000002")]
+
+
+def test_minute_bucket_semantics(spark):
+    rows = [dict(ts_s=T0 + 59, mmsi=219000001, lat=55.0, lon=14.0), dict(ts_s=T0 + 60, mmsi=219000002, lat=55.0, lon=14.0),
+            dict(ts_s=T0 + 600, mmsi=219000003, lat=55.1, lon=14.0), dict(ts_s=T0 + 659, mmsi=219000004, lat=55.1, lon=14.0)]
+    got = enc.encounter_pairs(pings(spark, rows)).select("mmsi_a", "mmsi_b").collect()
+    assert [tuple(r) for r in got] == [(219000003, 219000004)]
+
+
+def test_grid_join_equals_brute_force(spark):
+    import random
+
+    rnd = random.Random(7)
+    rows = []
+    for i in range(700):
+        rows.append(dict(ts_s=T0 + rnd.randrange(0, 240), mmsi=219000000 + rnd.randrange(0, 40),
+                         lat=55.0 + rnd.uniform(0, 0.004), lon=14.0 + rnd.uniform(0, 0.006), sog=5.0))
+    rows += [dict(rows[0]), dict(rows[1])]  # exact copies
+    got = sorted((r[0], r[1], r[2], r[3], round(r[4], 6)) for r in enc.encounter_pairs(pings(spark, rows)).select(
+        "mmsi_a", "mmsi_b", epoch_s("ts_a"), epoch_s("ts_b"), "dist_m").collect())
+
+    def hav_m(a, b):
+        la1, la2 = math.radians(a["lat"]), math.radians(b["lat"])
+        dl, do = la2 - la1, math.radians(b["lon"]) - math.radians(a["lon"])
+        h = math.sin(dl / 2) ** 2 + math.cos(la1) * math.cos(la2) * math.sin(do / 2) ** 2
+        return 2 * DEFAULTS.earth_radius_nm * math.asin(math.sqrt(h)) * 1852.0
+
+    want = []
+    for i in range(len(rows)):
+        for j in range(len(rows)):
+            a, b = rows[i], rows[j]
+            if a["mmsi"] < b["mmsi"] and a["ts_s"] // 60 == b["ts_s"] // 60 and hav_m(a, b) < 100.0:
+                want.append((a["mmsi"], b["mmsi"], a["ts_s"], b["ts_s"], round(hav_m(a, b), 6)))
+    assert len(got) == len(want) and len(got) > 100
+    assert [g[:4] for g in got] == [w[:4] for w in sorted(want)]
+
+
+def test_collapse_copies_is_exact(spark):
+    rows = [dict(ts_s=T0, mmsi=219000001, lat=55.0, lon=14.0)] * 3 + [dict(ts_s=T0 + 5, mmsi=219000002, lat=55.0001, lon=14.0)] * 2
+    a = enc.encounter_pairs(pings(spark, rows), Params(collapse_copies=True)).count()
+    b = enc.encounter_pairs(pings(spark, rows), Params(collapse_copies=False)).count()
+    assert a == b == 6
+
+
+def test_known_encounter_distance(spark):
+    # The published closest silenced encounter (ids, times, positions, distance in metres).
+    rows = [dict(ts_s=1639362449, mmsi=219021240, lat=55.223067, lon=14.24373, sog=10.3, name="KARIN HOEJ", ship_type="Other"),
+            dict(ts_s=1639362478, mmsi=232018267, lat=55.223092, lon=14.243683, sog=3.9, name="MV SCOT CARRIER", ship_type="Cargo")]
+    r = enc.encounter_pairs(pings(spark, rows)).collect()
+    assert len(r) == 1 and (r[0]["mmsi_a"], r[0]["mmsi_b"]) == (219021240, 232018267)
+    assert abs(r[0]["dist_m"] - 4.0759705071) < 1e-9
+
+
+def test_civilian_excludes_null_type(spark):
+    rows = [dict(ts_s=T0, mmsi=219000001, lat=55.0, lon=14.0, ship_type=None),
+            dict(ts_s=T0 + 1, mmsi=219000002, lat=55.0, lon=14.0, ship_type="Cargo")]
+    pairs = enc.encounter_pairs(pings(spark, rows))
+    assert pairs.count() == 1 and flt.civilian_pairs(pairs).count() == 0
+
+
+@pytest.mark.parametrize("last_after,buffer_end,expect", [(60, 3600, True), (61, 3600, False), (60, 3599, False)])
+def test_silence_flag_edges(spark, last_after, buffer_end, expect):
+    rows = [dict(ts_s=T0, mmsi=219000001, lat=55.0, lon=14.0), dict(ts_s=T0 + 1, mmsi=219000002, lat=55.0, lon=14.0),
+            dict(ts_s=T0 + last_after, mmsi=219000001, lat=55.0, lon=14.0, sog=0.5),
+            dict(ts_s=T0 + buffer_end, mmsi=219000009, lat=56.0, lon=15.0, sog=0.5),
+            dict(ts_s=T0 + buffer_end, mmsi=219000002, lat=55.5, lon=14.5, sog=0.5)]
+    out = enc.detect_encounters(pings(spark, rows)).collect()
+    assert len(out) == 1 and out[0]["silenced_a"] is expect and out[0]["silenced_b"] is False
+
+
+def test_filter_before_dedup(spark):
+    rows = [dict(ts_s=T0, mmsi=219000001, lat=55.0, lon=14.0, ship_type="Tug"),
+            dict(ts_s=T0 + 1, mmsi=219000002, lat=55.0, lon=14.0, ship_type="Cargo"),
+            dict(ts_s=T0 + 120, mmsi=219000001, lat=55.0, lon=14.0003, ship_type="Cargo"),
+            dict(ts_s=T0 + 121, mmsi=219000002, lat=55.0, lon=14.0, ship_type="Cargo")]
+    ranked = ranking.three_rankings(enc.detect_encounters(pings(spark, rows)))
+    by = {r["list"]: r["dist_m"] for r in ranked.collect()}
+    assert by["all"] < 1.0 < by["civilian"]
+
+
+def test_csv_permissive_and_utc(spark, tmp_path):
+    from closequarters.sources import normalize_pings, read_pings_csv
+
+    header = ",".join(f'"{c}"' if " " in c or "#" in c else c for c in
+                      ["# Timestamp", "Type of mobile", "MMSI", "Latitude", "Longitude", "Navigational status", "ROT",
+                       "SOG", "COG", "Heading", "IMO", "Callsign", "Name", "Ship type", "Cargo type", "Width", "Length",
+                       "Type of position fixing device", "Draught", "Destination", "ETA", "Data source type", "A", "B",
+                       "C", "D"])
+    good = "13/12/2021 02:27:29,Class A,219021240,55.223067,14.24373,Under way,,10.3,1,2,,,KARIN HOEJ,Other,,,,,,,,AIS,,,,"
+    bad_ts = "99/99/2021 02:27:29,Class A,219021240,55.2,14.2,,,1,1,1,,,,,,,,,,,,AIS,,,,"
+    comma = '13/12/2021 02:27:30,Class A,219021240,"55,2",14.2,,,1,1,1,,,,,,,,,,,,AIS,,,,'
+    short = "13/12/2021 02:27:31,Class A,219021240"
+    (tmp_path / "d.csv").write_text("\n".join([header, good, bad_ts, comma, short]) + "\n", encoding="utf-8")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = normalize_pings(read_pings_csv(spark, str(tmp_path / "d.csv")))
+        rows = sorted(df.select(epoch_s("ts").alias("t"), "mmsi", "lat", "name", F.col("day").cast("string")).collect(),
+                      key=lambda r: (r[0] is None, r[0] or 0))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert len(rows) == 4
+    assert rows[0]["t"] == 1639362449 and rows[0]["name"] == "KARIN HOEJ" and rows[0][4] == "2021-12-13"
+    assert rows[1]["lat"] is None and rows[2]["lat"] is None  # decimal comma, short row
+    assert rows[3]["t"] is None  # unparsable timestamp
+
+
+def test_mid_codes_cp1252(spark, tmp_path):
+    from closequarters.sources import read_mid_codes
+
+    (tmp_path / "mid.csv").write_bytes("Digit,Allocated to\n 211 ,Germany\n219,Denmark\n232,Cura\xe7ao\n".encode("cp1252"))
+    assert sorted(r[0] for r in read_mid_codes(spark, str(tmp_path / "mid.csv")).collect()) == [211, 219, 232]
