@@ -76,7 +76,9 @@ def derived_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = e * 10 > m * 6
     keep_plain = ~((u % 7 == 3) & late) & ~((u % 29 == 4) & (e % 5 != 0))
     keep_shadow = (u % 7 == 3) & (e * 10 <= m * 6)
-    shadows = F.array_compact(F.array(F.when(keep_plain, _lit(0)), F.when(keep_shadow, _lit(1))))
+    both, plain, shadow = F.array(_lit(0), _lit(1)), F.array(_lit(0)), F.array(_lit(1))
+    shadows = (F.when(keep_plain & keep_shadow, both).when(keep_plain, plain).when(keep_shadow, shadow)
+               .otherwise(F.array().cast("array<int>")))
     base = ev.select("event_id", "user_id", "event_type", F.explode(shadows).alias("shadow"))
 
     s = F.col("shadow")
