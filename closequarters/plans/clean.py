@@ -76,16 +76,27 @@ def clean_pings(raw: DataFrame, mids, p: Params = DEFAULTS) -> DataFrame:
 
 def stage_funnel(raw: DataFrame, mids, p: Params = DEFAULTS) -> DataFrame:
     """A10: rows after each clean stage, rows dropped and % of the previous stage.
-    One small aggregate per stage, unioned into one job (the stages share their
-    scans and shuffles through exchange reuse)."""
-    s = clean_stages(raw, mids, p)
-    parts = [(1, "input", raw), (2, "spatial", s.spatial), (3, "mmsi_moving", s.moving),
-             (4, "gps_jump", s.jump_free), (5, "sparsity", s.dense)]
-    counts = None
-    for no, name, df in parts:
-        c = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(no).cast("long").alias("stage_no"),
-                                                          F.lit(name).alias("stage"), "rows")
-        counts = c if counts is None else counts.unionByName(c)
+
+    Two one-row aggregations instead of one count per stage: the raw scan
+    counts input and in-circle rows; the jump-flagged pings joined with the
+    vessel table count the id+moving, jump and sparsity stages (each test is a
+    flag, so one pass counts all three).  The second row enters as a scalar
+    subquery and the five counts are unpivoted with ``inline``."""
+    spatial = within_radius(raw, p)
+    checked = mmsi_checks(normalize_sog(spatial, p), mids, p)
+    flagged = gps_jump_flag(checked, p)
+    vessels = vessel_table(flagged, p).select("mmsi", "is_moving", "is_dense")
+    mv, ok, dn = F.col("is_moving"), F.col("jump_ok"), F.col("is_dense")
+    later = (flagged.join(vessels, "mmsi", "inner")
+             .agg(F.struct(F.count_if(mv).alias("m"), F.count_if(mv & ok).alias("j"),
+                           F.count_if(mv & ok & dn).alias("s")).alias("c"))).scalar()
+    first = raw.agg(F.count(F.lit(1)).alias("n0"), F.count_if(in_circle(p)).alias("n1"))
+    counts = first.select(later.getField("m").alias("m"), later.getField("j").alias("j"),
+                          later.getField("s").alias("s"), "n0", "n1").select(
+        F.inline(F.array(*[F.struct(F.lit(no).cast("long").alias("stage_no"), F.lit(name).alias("stage"),
+                                    F.col(c).cast("long").alias("rows"))
+                           for no, name, c in ((1, "input", "n0"), (2, "spatial", "n1"), (3, "mmsi_moving", "m"),
+                                               (4, "gps_jump", "j"), (5, "sparsity", "s"))])))
     w = Window.orderBy("stage_no")  # five rows
     prev = F.lag("rows").over(w)
     return counts.select("stage_no", "stage", "rows", (prev - F.col("rows")).alias("dropped"),
