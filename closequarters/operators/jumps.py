@@ -9,7 +9,7 @@ busiest vessel.  Result = an unchunked per-vessel lag/lead.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import haversine_nm
@@ -23,30 +23,28 @@ def _order_cols(df: DataFrame) -> list[str]:
     return [c for c in TRACK_ORDER if c in df.columns]
 
 
-def implied_speeds(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:
-    """Adds ``speed_prev_kn`` and ``speed_next_kn`` (null where the
-    neighbour is missing or the time step is zero).  Pings without a timestamp
-    sort first (their chunk is null) and get null speeds, as in an unchunked
-    window ordered nulls-first."""
+def _neighbours(df: DataFrame, p: Params) -> tuple[DataFrame, Column, Column, Column]:
+    """The pings with their previous/next report (struct t, y, x) per vessel."""
     order = _order_cols(df)
     pos = F.struct(epoch_s("ts").alias("t"), F.col("lat").alias("y"), F.col("lon").alias("x"))
-    rank = F.struct(*[F.col(c) for c in order])
-    d = (df.withColumn("_chunk", F.floor(epoch_s("ts") / F.lit(p.track_chunk_s)))
-           .withColumn("_pos", pos))
-    w = Window.partitionBy("mmsi", "_chunk").orderBy(*order)
-    d = d.withColumn("_prev", F.lag("_pos").over(w)).withColumn("_next", F.lead("_pos").over(w))
+    chunk = F.floor(epoch_s("ts") / F.lit(p.track_chunk_s))
+    w = Window.partitionBy(F.col("mmsi"), chunk).orderBy(*order)
+    d = df.select("*", chunk.alias("_chunk"), pos.alias("_pos"),
+                  F.lag(pos).over(w).alias("_prev"), F.lead(pos).over(w).alias("_next"))
 
-    edges = d.groupBy("mmsi", "_chunk").agg(F.min_by("_pos", rank).alias("_first"),
-                                            F.max_by("_pos", rank).alias("_last"))
+    rank = F.struct(*[F.col(c) for c in order])
     wc = Window.partitionBy("mmsi").orderBy("_chunk")
-    edges = edges.select("mmsi", "_chunk",
-                         F.lag("_last").over(wc).alias("_prev_edge"),
-                         F.lead("_first").over(wc).alias("_next_edge"))
-    d = d.join(edges, ["mmsi", "_chunk"], "inner")
+    edges = (d.groupBy("mmsi", "_chunk")
+              .agg(F.min_by("_pos", rank).alias("_first"), F.max_by("_pos", rank).alias("_last"))
+              .select("mmsi", "_chunk", F.lag("_last").over(wc).alias("_prev_edge"),
+                      F.lead("_first").over(wc).alias("_next_edge")))
+    j = d.join(edges, ["mmsi", "_chunk"], "inner")
     prev = F.coalesce(F.col("_prev"), F.col("_prev_edge"))
     nxt = F.coalesce(F.col("_next"), F.col("_next_edge"))
-    here = F.col("_pos")
+    return j, prev, F.col("_pos"), nxt
+
 
+def _speeds(prev: Column, here: Column, nxt: Column, p: Params) -> tuple[Column, Column]:
     def g(s, f):
         return s.getField(f)
 
@@ -54,15 +52,25 @@ def implied_speeds(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:
                       * F.lit(3600.0), g(here, "t") - g(prev, "t"))
     sn = F.try_divide(haversine_nm(g(here, "y"), g(here, "x"), g(nxt, "y"), g(nxt, "x"), p.earth_radius_nm)
                       * F.lit(3600.0), g(nxt, "t") - g(here, "t"))
-    return (d.withColumn("speed_prev_kn", sp).withColumn("speed_next_kn", sn)
-             .drop("_chunk", "_pos", "_prev", "_next", "_prev_edge", "_next_edge"))
+    return sp.alias("speed_prev_kn"), sn.alias("speed_next_kn")
+
+
+def implied_speeds(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:
+    """Adds ``speed_prev_kn`` and ``speed_next_kn`` (null where the
+    neighbour is missing or the time step is zero).  Pings without a timestamp
+    sort first (their chunk is null) and get null speeds, as in an unchunked
+    window ordered nulls-first."""
+    j, prev, here, nxt = _neighbours(df, p)
+    return j.select(*[F.col(c) for c in df.columns], *_speeds(prev, here, nxt, p))
 
 
 def gps_jump_flag(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     """Every ping with a boolean ``jump_ok`` (true = kept by W1)."""
-    return (implied_speeds(df, p)
-            .withColumn("jump_ok", F.coalesce(teleport_free(p), F.lit(False)))
-            .drop("speed_prev_kn", "speed_next_kn"))
+    j, prev, here, nxt = _neighbours(df, p)
+    sp, sn = _speeds(prev, here, nxt, p)
+    lim = F.lit(p.max_plausible_speed_kn)
+    ok = F.coalesce(~((sp > lim) & (sn > lim)), F.lit(False))
+    return j.select(*[F.col(c) for c in df.columns], ok.alias("jump_ok"))
 
 
 def gps_jump_filter(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:

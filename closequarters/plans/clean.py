@@ -13,7 +13,7 @@ with one small vessel table at the end.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,16 +25,59 @@ from ..functions.timecols import epoch_s
 from ..params import DEFAULTS, UNDEFINED_SHIP_TYPE, Params
 
 
-@dataclass(frozen=True)
 class CleanStages:
-    raw: DataFrame
-    spatial: DataFrame          # F2
-    checked: DataFrame          # F2 + P1 + F3-F6 (before the moving-vessel test)
-    moving: DataFrame           # + J1 (the "id + moving" stage)
-    jump_free: DataFrame        # + W1
-    dense: DataFrame            # + J2
-    clean: DataFrame            # + J3 backfill (Q1 output)
-    vessels: DataFrame          # one row per vessel: max_sog, n_kept, vessel_name, modal_type, keep flags
+    """The clean pipeline's intermediate tables, built on first use (each is
+    a lazy DataFrame; building only the ones asked for keeps plan analysis
+    cheap)."""
+
+    def __init__(self, raw: DataFrame, mids, p: Params = DEFAULTS):
+        self.raw, self.mids, self.p = raw, mids, p
+
+    @cached_property
+    def spatial(self) -> DataFrame:          # F2
+        return within_radius(self.raw, self.p)
+
+    @cached_property
+    def checked(self) -> DataFrame:          # F2 + P1 + F3-F6
+        return mmsi_checks(normalize_sog(self.spatial, self.p), self.mids, self.p)
+
+    @cached_property
+    def flagged(self) -> DataFrame:          # + W1 as a flag
+        return gps_jump_flag(self.checked, self.p)
+
+    @cached_property
+    def vessels(self) -> DataFrame:          # one row per vessel
+        return vessel_table(self.flagged, self.p)
+
+    @cached_property
+    def kept(self) -> DataFrame:
+        return self.flagged.filter("jump_ok").drop("jump_ok")
+
+    @cached_property
+    def moving_ids(self) -> DataFrame:
+        return self.vessels.filter("is_moving").select("mmsi")
+
+    @cached_property
+    def moving(self) -> DataFrame:           # + J1 (the "id + moving" stage)
+        return self.checked.join(self.moving_ids, "mmsi", "left_semi")
+
+    @cached_property
+    def jump_free(self) -> DataFrame:        # + W1
+        return self.kept.join(self.moving_ids, "mmsi", "left_semi")
+
+    @cached_property
+    def keep(self) -> DataFrame:
+        return self.vessels.filter(F.col("is_moving") & F.col("is_dense"))
+
+    @cached_property
+    def dense(self) -> DataFrame:            # + J2
+        return self.kept.join(self.keep.select("mmsi"), "mmsi", "left_semi")
+
+    @cached_property
+    def clean(self) -> DataFrame:            # + J3 backfill (Q1 output)
+        look = self.keep.select("mmsi", F.col("vessel_name").alias("_vessel_name"),
+                                F.col("modal_type").alias("_vessel_type"))
+        return backfill_static(self.kept.join(look, "mmsi", "inner"))
 
 
 def vessel_table(flagged: DataFrame, p: Params = DEFAULTS) -> DataFrame:
@@ -53,20 +96,7 @@ def vessel_table(flagged: DataFrame, p: Params = DEFAULTS) -> DataFrame:
 
 
 def clean_stages(raw: DataFrame, mids, p: Params = DEFAULTS) -> CleanStages:
-    spatial = within_radius(raw, p)
-    checked = mmsi_checks(normalize_sog(spatial, p), mids, p)
-    flagged = gps_jump_flag(checked, p)
-    vessels = vessel_table(flagged, p)
-    kept = flagged.filter("jump_ok").drop("jump_ok")
-
-    moving_ids = vessels.filter("is_moving").select("mmsi")
-    keep = vessels.filter(F.col("is_moving") & F.col("is_dense"))
-    moving = checked.join(moving_ids, "mmsi", "left_semi")
-    jump_free = kept.join(moving_ids, "mmsi", "left_semi")
-    dense = kept.join(keep.select("mmsi"), "mmsi", "left_semi")
-    look = keep.select("mmsi", F.col("vessel_name").alias("_vessel_name"), F.col("modal_type").alias("_vessel_type"))
-    clean = backfill_static(kept.join(look, "mmsi", "inner"))
-    return CleanStages(raw, spatial, checked, moving, jump_free, dense, clean, vessels)
+    return CleanStages(raw, mids, p)
 
 
 def clean_pings(raw: DataFrame, mids, p: Params = DEFAULTS) -> DataFrame:

@@ -17,6 +17,10 @@ LOCAL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.parquet.compression.codec": "snappy",
+    # PySpark 4 records the Python call site of every Column operation for
+    # error messages; each record is several JVM round trips, which makes
+    # building a plan slower than running it on small data.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
