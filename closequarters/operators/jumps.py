@@ -28,14 +28,17 @@ def _neighbours(df: DataFrame, p: Params) -> tuple[DataFrame, Column, Column, Co
     order = _order_cols(df)
     pos = F.struct(epoch_s("ts").alias("t"), F.col("lat").alias("y"), F.col("lon").alias("x"))
     chunk = F.floor(epoch_s("ts") / F.lit(p.track_chunk_s))
-    w = Window.partitionBy(F.col("mmsi"), chunk).orderBy(*order)
-    d = df.select("*", chunk.alias("_chunk"), pos.alias("_pos"),
-                  F.lag(pos).over(w).alias("_prev"), F.lead(pos).over(w).alias("_next"))
+    w = Window.partitionBy("mmsi", "_chunk").orderBy(*order)
+    d = (df.select("*", chunk.alias("_chunk"), pos.alias("_pos"))
+           .select("*", F.lag("_pos").over(w).alias("_prev"), F.lead("_pos").over(w).alias("_next")))
 
-    rank = F.struct(*[F.col(c) for c in order])
+    # A chunk's first report is the one without a predecessor in the window,
+    # its last the one without a successor.  Aggregating the window output
+    # (already clustered and sorted by vessel and chunk) needs no new shuffle.
     wc = Window.partitionBy("mmsi").orderBy("_chunk")
     edges = (d.groupBy("mmsi", "_chunk")
-              .agg(F.min_by("_pos", rank).alias("_first"), F.max_by("_pos", rank).alias("_last"))
+              .agg(F.max(F.when(F.col("_prev").isNull(), F.col("_pos"))).alias("_first"),
+                   F.max(F.when(F.col("_next").isNull(), F.col("_pos"))).alias("_last"))
               .select("mmsi", "_chunk", F.lag("_last").over(wc).alias("_prev_edge"),
                       F.lead("_first").over(wc).alias("_next_edge")))
     j = d.join(edges, ["mmsi", "_chunk"], "inner")

@@ -88,11 +88,11 @@ def vessel_table(flagged: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     ok = F.col("jump_ok")
     named = F.when(ok & F.col("name").isNotNull(), F.struct(epoch_s("ts").alias("t"), F.col("name").alias("n")))
     specific = F.when(ok & F.col("ship_type").isNotNull() & (F.col("ship_type") != UNDEFINED_SHIP_TYPE), F.col("ship_type"))
-    return (flagged.groupBy("mmsi").agg(
-                F.max("sog").alias("max_sog"), F.count_if(ok).alias("n_kept"),
-                F.min(named).getField("n").alias("vessel_name"), F.mode(specific, True).alias("modal_type"))
-            .withColumn("is_moving", F.col("max_sog") > F.lit(p.min_vessel_max_sog_kn))
-            .withColumn("is_dense", F.col("n_kept") >= F.lit(p.min_pings_per_vessel)))
+    v = flagged.groupBy("mmsi").agg(
+        F.max("sog").alias("max_sog"), F.count_if(ok).alias("n_kept"),
+        F.min(named).getField("n").alias("vessel_name"), F.mode(specific, True).alias("modal_type"))
+    return v.select("*", (F.col("max_sog") > F.lit(p.min_vessel_max_sog_kn)).alias("is_moving"),
+                    (F.col("n_kept") >= F.lit(p.min_pings_per_vessel)).alias("is_dense"))
 
 
 def clean_stages(raw: DataFrame, mids, p: Params = DEFAULTS) -> CleanStages:
