@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timecols import SECONDS_PER_DAY, epoch_s
+from ..functions.timecols import SECONDS_PER_DAY, epoch_s, iso_millis
 from ..params import (ARROW_FRACTION, ARROW_MIN_EXTENT_DEG, DEFAULTS, HEADING_ARROWS, HEADING_LOOKAHEAD,
                       HEADING_MIN_STEP_DEG, Params)
 from ..sources.schema import TRACK_ORDER
@@ -79,17 +79,28 @@ def trajectory_points(traj: DataFrame) -> DataFrame:
 
 
 def trajectory_polyline(traj: DataFrame) -> DataFrame:
-    """V2: per (list, rank, vessel) the ordered path, as a GeoJSON LineString
-    string plus its length and end points."""
-    pts = F.sort_array(F.collect_list(F.struct(_rank_struct(traj).alias("o"), F.col("lon").alias("x"), F.col("lat").alias("y"))))
+    """V2: per (list, rank, vessel) the ordered path as a GeoJSON Feature
+    (LineString of [lon, lat], with per-report UTC time, SOG and COG as
+    properties), plus its length and end points.  The group is one vessel's
+    reports in one 20-minute window."""
+    pts = F.sort_array(F.collect_list(F.struct(_rank_struct(traj).alias("o"), F.col("lon").alias("x"),
+                                               F.col("lat").alias("y"), F.col("ts_s").alias("t"))))
     g = traj.groupBy(*GROUP).agg(pts.alias("_p"))
-    coords = F.transform(F.col("_p"), lambda s: F.array(s.getField("x"), s.getField("y")))
+    p = F.col("_p")
+    coords = F.transform(p, lambda s: F.array(s.getField("x"), s.getField("y")))
+    props = F.struct(
+        F.transform(p, lambda s: iso_millis(s.getField("t"))).alias("ts"),
+        F.transform(p, lambda s: s.getField("o").getField("sog")).alias("sog"),
+        F.transform(p, lambda s: s.getField("o").getField("cog")).alias("cog"))
+    feature = F.struct(F.lit("Feature").alias("type"),
+                       F.struct(F.lit("LineString").alias("type"), coords.alias("coordinates")).alias("geometry"),
+                       props.alias("properties"))
     first, last = F.element_at("_p", 1), F.element_at("_p", -1)
     return g.select(*GROUP, F.size("_p").alias("n_points"),
                     first.getField("o").getField("ts").alias("first_ts"), last.getField("o").getField("ts").alias("last_ts"),
                     first.getField("x").alias("first_lon"), first.getField("y").alias("first_lat"),
                     last.getField("x").alias("last_lon"), last.getField("y").alias("last_lat"),
-                    F.to_json(F.struct(F.lit("LineString").alias("type"), coords.alias("coordinates"))).alias("geojson"))
+                    F.to_json(feature).alias("geojson"))
 
 
 def trajectory_extent(traj: DataFrame) -> DataFrame:
