@@ -221,9 +221,34 @@ def _q_streaming_ingest(spark, d):
     return pings_out(read_pings(spark, out))
 
 
+def _q_normalize(spark, d):
+    from ..sources.readers import normalize_pings
+    from ..sources.sinks import raw_from_pings
+
+    return pings_out(normalize_pings(raw_from_pings(_raw(spark, d))))
+
+
+def _q_backfill(spark, d):
+    dense = _stages(spark, d).dense
+    look = vessels.vessel_static(dense).select("mmsi", F.col("vessel_name").alias("_vessel_name"),
+                                               F.col("modal_type").alias("_vessel_type"))
+    return pings_out(projections.backfill_static(dense.join(look, "mmsi", "left")))
+
+
+def _q_canonical(spark, d):
+    """The encounter pairs in canonical form (smaller id as side a)."""
+    return pairs_out(enc.encounter_pairs(_clean(spark, d), P))
+
+
+def _q_enrich(spark, d):
+    c = _clean_table(spark, d)
+    return pairs_out(enc.enrich_silence(enc.encounter_pairs(c, P), c, P), SILENCE_OUT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources / sinks
     "read_pings_csv": _q_csv_roundtrip,
+    "normalize_pings": _q_normalize,
     "write_pings": _q_parquet_roundtrip,
     "write_pairs_json": _q_json_roundtrip,
     "streaming_ingest": _q_streaming_ingest,
@@ -250,6 +275,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vessel_name": lambda s, d: vessels.vessel_name(_stages(s, d).dense),
     "vessel_modal_type": lambda s, d: vessels.vessel_modal_type(_stages(s, d).dense),
     "fill_vessel_static": lambda s, d: pings_out(vessels.fill_vessel_static(_stages(s, d).dense)),
+    "backfill_static": _q_backfill,
     "clean_pings": lambda s, d: pings_out(_clean(s, d)),
     "stage_funnel": lambda s, d: stage_funnel(_raw(s, d), MIDS, P),
     "clean_summary": lambda s, d: clean_summary(_clean(s, d)),
@@ -258,6 +284,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bucket_keys": _q_bucket_keys,
     "expand_cells": _q_expand_cells,
     "encounter_pairs": lambda s, d: pairs_out(enc.encounter_pairs(_clean(s, d), P)),
+    "canonical_pairs": _q_canonical,
     "encounter_distance": _q_encounter_distance,
     "vessel_display_name": _q_display_name,
     "vessel_last_seen": lambda s, d: vessels.vessel_last_seen(_clean(s, d)),
@@ -265,6 +292,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "port_cells": lambda s, d: enc.port_cells(_clean(s, d), P),
     "vessels_in_port": lambda s, d: enc.vessels_in_port(_clean(s, d), P),
     "detect_encounters": lambda s, d: pairs_out(_detected(s, d), SILENCE_OUT),
+    "enrich_silence": _q_enrich,
     "civilian_pairs": lambda s, d: pairs_out(flt.civilian_pairs(_detected(s, d), P), SILENCE_OUT),
     "silenced_pairs": lambda s, d: pairs_out(flt.silenced_pairs(_detected(s, d)), SILENCE_OUT),
     # ranking

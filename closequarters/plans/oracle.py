@@ -177,6 +177,27 @@ HEAD_J = ("SELECT s.list, s.rank, s.mmsi, s.k, s.i, c.pos AS j, s.x0, s.y0, c.lo
 ORACLES: dict[str, str] = {
     "read_pings_csv": q(f"SELECT {PING_COLS} FROM pings", "pings"),
     "write_pings": q(f"SELECT {PING_COLS} FROM pings", "pings"),
+    "normalize_pings": q(f"SELECT {PING_COLS} FROM pings", "pings"),
+    "backfill_static": q(f"SELECT {PING_COLS} FROM clean", "clean"),
+    "enrich_silence": q(f"SELECT {PAIR_COLS}, silenced_a, silenced_b FROM enc", "enc"),
+    "canonical_pairs": q(
+        "SELECT least(a.mmsi, b.mmsi) AS mmsi_a, greatest(a.mmsi, b.mmsi) AS mmsi_b, "
+        "CASE WHEN a.mmsi < b.mmsi THEN a.ts_s ELSE b.ts_s END AS ts_a_s, "
+        "CASE WHEN a.mmsi < b.mmsi THEN b.ts_s ELSE a.ts_s END AS ts_b_s, "
+        "CASE WHEN a.mmsi < b.mmsi THEN a.lat ELSE b.lat END AS lat_a, "
+        "CASE WHEN a.mmsi < b.mmsi THEN b.lat ELSE a.lat END AS lat_b, "
+        "CASE WHEN a.mmsi < b.mmsi THEN a.lon ELSE b.lon END AS lon_a, "
+        "CASE WHEN a.mmsi < b.mmsi THEN b.lon ELSE a.lon END AS lon_b, "
+        "CASE WHEN a.mmsi < b.mmsi THEN a.sog ELSE b.sog END AS sog_a, "
+        "CASE WHEN a.mmsi < b.mmsi THEN b.sog ELSE a.sog END AS sog_b, "
+        "coalesce(CASE WHEN a.mmsi < b.mmsi THEN a.name ELSE b.name END, 'MMSI ' || CAST(least(a.mmsi, b.mmsi) AS VARCHAR)) AS name_a, "
+        "coalesce(CASE WHEN a.mmsi < b.mmsi THEN b.name ELSE a.name END, 'MMSI ' || CAST(greatest(a.mmsi, b.mmsi) AS VARCHAR)) AS name_b, "
+        "CASE WHEN a.mmsi < b.mmsi THEN a.ship_type ELSE b.ship_type END AS ship_type_a, "
+        "CASE WHEN a.mmsi < b.mmsi THEN b.ship_type ELSE a.ship_type END AS ship_type_b, "
+        f"round({hav('a.lat', 'a.lon', 'b.lat', 'b.lon')} * {f(METRES_PER_NM)}, 6) AS dist_m "
+        "FROM mv a JOIN mv b ON a.time_bucket = b.time_bucket AND a.mmsi > b.mmsi "
+        "AND abs(a.lat_cell - b.lat_cell) <= 1 AND abs(a.lon_cell - b.lon_cell) <= 1 "
+        f"WHERE {hav('a.lat', 'a.lon', 'b.lat', 'b.lon')} < {f(P.encounter_distance_nm)}", "mv"),
     "streaming_ingest": q(f"SELECT {PING_COLS} FROM pings", "pings"),
     "write_pairs_json": q(f"SELECT list, rank, mmsi_a, mmsi_b, {ISO.format(c='ts_a_s')} AS ts_a, "
                           f"{ISO.format(c='ts_b_s')} AS ts_b, round(dist_m, 6) AS dist_m, silenced_a, silenced_b "
