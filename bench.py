@@ -64,7 +64,10 @@ def main() -> None:
                              write_pairs_json(spark.read.parquet(ranked_dir), shared_dir(spark, "bench-json"))))
 
     def trajectories():
-        traj = trajectory.pair_trajectories(spark.read.parquet(ranked_dir), spark.read.parquet(clean_dir), p)
+        traj_dir = shared_dir(spark, "bench-traj")
+        trajectory.pair_trajectories(spark.read.parquet(ranked_dir), spark.read.parquet(clean_dir), p) \
+            .write.mode("overwrite").parquet(traj_dir)
+        traj = spark.read.parquet(traj_dir)
         for f in (trajectory.nearest_ping, trajectory.trajectory_label, trajectory.trajectory_polyline,
                   trajectory.trajectory_extent, trajectory.trajectory_headings):
             noop(f(traj))
