@@ -22,14 +22,18 @@ GROUP = ("list", "rank", "mmsi")
 
 
 def window_requests(ranked: DataFrame, p: Params = DEFAULTS) -> DataFrame:
-    """One row per (list, rank, vessel, day touched): both vessels' windows are
-    centred on side a's encounter time; ``own_ts_s`` is the vessel's own ping."""
+    """One row per (list, rank <= N, vessel, day touched): both vessels'
+    windows are centred on side a's encounter time; ``own_ts_s`` is the
+    vessel's own ping.  The rank predicate also lets Spark prune the day
+    partitions of the ping table dynamically (a broadcast side with a
+    selective filter)."""
     half = 60 * p.trajectory_half_window_min
     centre = epoch_s("ts_a")
     sides = F.array(F.struct(F.col("mmsi_a").alias("mmsi"), epoch_s("ts_a").alias("own_ts_s")),
                     F.struct(F.col("mmsi_b").alias("mmsi"), epoch_s("ts_b").alias("own_ts_s")))
-    r = ranked.select("list", "rank", (centre - half).alias("t_lo"), (centre + half).alias("t_hi"),
-                      F.explode(sides).alias("_s"))
+    r = (ranked.filter(F.col("rank").between(1, p.top_n))
+               .select("list", "rank", (centre - half).alias("t_lo"), (centre + half).alias("t_hi"),
+                       F.explode(sides).alias("_s")))
     days = F.sequence(F.floor(F.col("t_lo") / SECONDS_PER_DAY), F.floor(F.col("t_hi") / SECONDS_PER_DAY))
     return r.select("list", "rank", F.col("_s.mmsi").alias("mmsi"), F.col("_s.own_ts_s").alias("own_ts_s"),
                     "t_lo", "t_hi", F.explode(days).alias("_d")).select(

@@ -42,3 +42,19 @@ def test_rank_filter_is_a_group_limit(spark):
     rows = [dict(ts_s=1639362420 + i, mmsi=219000001 + (i % 2), lat=55.0, lon=14.0) for i in range(6)]
     p = plan(ranking.three_rankings(enc.detect_encounters(pings(spark, rows))))
     assert "WindowGroupLimit" in p
+
+
+def test_trajectory_join_prunes_days_dynamically(spark, tmp_path):
+    from closequarters.operators import trajectory
+    from closequarters.params import FIXTURE_MID_CODES
+    from closequarters.plans.clean import clean_pings
+
+    clean_path, ranked_path = str(tmp_path / "clean"), str(tmp_path / "ranked")
+    clean_pings(derived_pings(spark, SF), FIXTURE_MID_CODES).write.partitionBy("day").parquet(clean_path)
+    clean = spark.read.parquet(clean_path)
+    ranking.three_rankings(enc.detect_encounters(clean)).write.parquet(ranked_path)
+    t = trajectory.pair_trajectories(spark.read.parquet(ranked_path), spark.read.parquet(clean_path))
+    t.collect()
+    p = plan(t)
+    assert "dynamicpruning" in p.lower()
+    assert "BroadcastNestedLoopJoin" not in p
