@@ -65,7 +65,10 @@ def mmsi_mid_filter(df: DataFrame, mids: DataFrame | Sequence[int]) -> DataFrame
     or a one-column DataFrame ``mid`` (left-semi broadcast hash join; three-digit
     codes bound it to 1000 rows)."""
     if isinstance(mids, DataFrame):
-        codes = mids.select(F.col(mids.columns[0]).cast("int").alias("_mid")).distinct()
+        # Only three-digit codes can match a nine-digit id: keeping just those
+        # bounds the broadcast side to 1000 rows whatever the caller passes.
+        codes = (mids.select(F.col(mids.columns[0]).cast("int").alias("_mid"))
+                 .filter(F.col("_mid").between(0, 999)).distinct())
         return df.join(F.broadcast(codes), mid_prefix() == F.col("_mid"), "left_semi")
     return df.filter(mid_prefix().isin(*[int(m) for m in mids]))
 

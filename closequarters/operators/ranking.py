@@ -109,7 +109,8 @@ def rank_in_all(pairs: DataFrame, ranked: DataFrame, p: Params = DEFAULTS) -> Da
     aggregated map-side."""
     allbest = closest_per_pair(pairs).select(
         F.struct(*_order()).alias("_k"), is_operational(p).alias("_op"))
-    targets = _keyed(ranked).select("list", "rank", F.struct(*_order()).alias("_tk"))
+    targets = (_keyed(ranked).filter(F.col("rank").between(1, p.top_n))
+               .select("list", "rank", F.struct(*_order()).alias("_tk")))
     ahead = allbest.join(F.broadcast(targets), F.col("_k") < F.col("_tk"), "inner")
     counts = ahead.groupBy("list", "rank").agg(
         F.count(F.lit(1)).alias("_ahead"), F.count_if(F.col("_op")).alias("operational_ahead"))
