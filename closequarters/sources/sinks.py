@@ -7,18 +7,18 @@ from pyspark.sql import functions as F
 from ..functions.timecols import epoch_s, iso_millis
 
 
-def write_pings(df: DataFrame, path: str, mode: str = "overwrite", fanout: int = 32,
+def write_pings(df: DataFrame, path: str, mode: str = "overwrite",
                 max_records_per_file: int = 5_000_000) -> None:
     """Day-partitioned Parquet in one pass over the input.
 
-    Rows are shuffled on (day, hash(mmsi, hour) mod ``fanout``): each task
-    writes few day directories, a busy day is spread over ``fanout`` tasks and
-    a busy vessel over its hours (a range shuffle would read the whole input
-    twice to sample bounds - costly when the input is raw CSV).  Sorting inside
-    the task makes the Parquet row-group statistics on mmsi/ts skip data for
-    vessel/time lookups; ``maxRecordsPerFile`` bounds file size."""
-    spread = F.pmod(F.xxhash64("mmsi", F.floor(epoch_s("ts") / 3600)), F.lit(fanout))
-    (df.repartition("day", spread)
+    ``rebalance`` on ``day`` shuffles each day's rows together and lets AQE
+    split an oversized day into advisory-size partitions and merge small
+    ones, so each task writes one day directory with evenly sized files (a
+    range shuffle would read the whole input twice to sample bounds - costly
+    when the input is raw CSV).  Sorting inside the task makes the Parquet
+    row-group statistics on mmsi/ts skip data for vessel/time lookups;
+    ``maxRecordsPerFile`` bounds file size."""
+    (df.hint("rebalance", "day")
        .sortWithinPartitions("day", "mmsi", "ts")
        .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
        .partitionBy("day").parquet(path))
