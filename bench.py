@@ -16,13 +16,13 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from closequarters.operators import ranking, trajectory  # noqa: E402
-from closequarters.operators.encounters import detect_encounters  # noqa: E402
+from closequarters.operators import trajectory  # noqa: E402
 from closequarters.params import DEFAULTS, FIXTURE_MID_CODES  # noqa: E402
+from closequarters.plans.batch import (clean_stage, detect_stage, ingest_stage, report_stage,  # noqa: E402
+                                       trajectory_stage)
 from closequarters.plans.clean import clean_pings, ingest_summary, stage_funnel  # noqa: E402
 from closequarters.session import local_session, shared_dir  # noqa: E402
-from closequarters.sources import (derived_pings, normalize_pings, read_pings_csv, write_pairs_json,  # noqa: E402
-                                   write_pings)
+from closequarters.sources import derived_pings  # noqa: E402
 from closequarters.sources.sinks import write_pings_csv  # noqa: E402
 
 
@@ -49,24 +49,16 @@ def main() -> None:
         fn()
         times[name] = round(time.perf_counter() - t, 3)
 
-    stage("ingest_csv_to_parquet", lambda: write_pings(normalize_pings(read_pings_csv(spark, csv_dir)), pings_dir))
+    traj_dir = shared_dir(spark, "bench-traj")
+    stage("ingest_csv_to_parquet", lambda: ingest_stage(spark, csv_dir, pings_dir))
     stage("ingest_summary", lambda: noop(ingest_summary(spark.read.parquet(pings_dir))))
-    stage("clean", lambda: clean_pings(spark.read.parquet(pings_dir), mids, p)
-          .sortWithinPartitions("day", "mmsi", "ts").write.mode("overwrite").partitionBy("day").parquet(clean_dir))
+    stage("clean", lambda: clean_stage(spark, pings_dir, clean_dir, mids, p))
     stage("stage_funnel", lambda: noop(stage_funnel(spark.read.parquet(pings_dir), mids, p)))
-
-    def detect():
-        clean = spark.read.parquet(clean_dir)
-        ranking.three_rankings(detect_encounters(clean, p), p).write.mode("overwrite").parquet(ranked_dir)
-
-    stage("detect_and_rank", detect)
-    stage("report", lambda: (noop(ranking.encounter_result(spark.read.parquet(ranked_dir), p)),
-                             write_pairs_json(spark.read.parquet(ranked_dir), shared_dir(spark, "bench-json"))))
+    stage("detect_and_rank", lambda: detect_stage(spark, clean_dir, ranked_dir, p))
+    stage("report", lambda: report_stage(spark, ranked_dir, shared_dir(spark, "bench-results"), p))
 
     def trajectories():
-        traj_dir = shared_dir(spark, "bench-traj")
-        trajectory.pair_trajectories(spark.read.parquet(ranked_dir), spark.read.parquet(clean_dir), p) \
-            .write.mode("overwrite").parquet(traj_dir)
+        trajectory_stage(spark, ranked_dir, clean_dir, traj_dir, p)
         traj = spark.read.parquet(traj_dir)
         for f in (trajectory.nearest_ping, trajectory.trajectory_label, trajectory.trajectory_polyline,
                   trajectory.trajectory_extent, trajectory.trajectory_headings):

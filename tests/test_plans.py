@@ -58,3 +58,18 @@ def test_trajectory_join_prunes_days_dynamically(spark, tmp_path):
     p = plan(t)
     assert "dynamicpruning" in p.lower()
     assert "BroadcastNestedLoopJoin" not in p
+
+
+def test_run_batch_end_to_end(spark, tmp_path):
+    from closequarters.params import FIXTURE_MID_CODES
+    from closequarters.plans.batch import run_batch
+    from closequarters.sources.sinks import write_pings_csv
+
+    csv = str(tmp_path / "csv")
+    write_pings_csv(derived_pings(spark, SF), csv)
+    paths = run_batch(spark, csv, str(tmp_path / "out"), FIXTURE_MID_CODES)
+    results = spark.read.json(paths["results"])
+    ranked = spark.read.parquet(paths["ranked"])
+    assert results.count() == ranked.count() > 0
+    assert spark.read.parquet(paths["trajectories"]).count() > 0
+    assert spark.read.parquet(paths["clean"]).count() == 720  # FIXTURES.md count at sf0.001
