@@ -25,9 +25,9 @@ def time_bucket(p: Params = DEFAULTS) -> Column:
 
 def bucket_keys(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     """(time_bucket, lat_cell, lon_cell) join keys of the encounter grid."""
-    return (df.withColumn("time_bucket", time_bucket(p))
-              .withColumn("lat_cell", grid_cell("lat", p.lat_cell_deg))
-              .withColumn("lon_cell", grid_cell("lon", p.lon_cell_deg)))
+    return df.withColumns({"time_bucket": time_bucket(p),
+                           "lat_cell": grid_cell("lat", p.lat_cell_deg),
+                           "lon_cell": grid_cell("lon", p.lon_cell_deg)})
 
 
 def display_name(name: Column, mmsi: Column) -> Column:

@@ -78,8 +78,7 @@ def trajectory_points(traj: DataFrame) -> DataFrame:
     minutes of one vessel, so the group is bounded by time)."""
     w = Window.partitionBy(*GROUP).orderBy(*[c for c in TRACK_ORDER if c in traj.columns])
     wn = Window.partitionBy(*GROUP)
-    return (traj.withColumn("pos", F.row_number().over(w) - 1)
-                .withColumn("n_points", F.count(F.lit(1)).over(wn)))
+    return traj.withColumns({"pos": F.row_number().over(w) - 1, "n_points": F.count(F.lit(1)).over(wn)})
 
 
 def trajectory_polyline(traj: DataFrame) -> DataFrame:
@@ -135,8 +134,8 @@ def trajectory_headings(traj: DataFrame) -> DataFrame:
     p0 = pts.select(*GROUP, F.col("pos").alias("i"), F.col("lon").alias("x0"), F.col("lat").alias("y0"))
     p1 = pts.select(*GROUP, F.col("pos").alias("j"), F.col("lon").alias("x1"), F.col("lat").alias("y1"))
     c = cand.join(p0, [*GROUP, "i"]).join(p1, [*GROUP, "j"])
-    c = c.withColumn("dx", F.col("x1") - F.col("x0")).withColumn("dy", F.col("y1") - F.col("y0")) \
-         .withColumn("d", F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy"))) \
+    dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
+    c = c.withColumns({"dx": dx, "dy": dy, "d": F.sqrt(dx * dx + dy * dy)}) \
          .filter(F.col("d") > F.lit(HEADING_MIN_STEP_DEG))
     first = c.groupBy(*GROUP, "k", "i").agg(F.min_by(F.struct("j", "x0", "y0", "dx", "dy", "d"), F.col("j")).alias("_f"))
     return (first.join(ext, ["list", "rank"])

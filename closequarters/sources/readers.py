@@ -29,8 +29,8 @@ def parse_utc_timestamp(col, fmt: str = RAW_TIMESTAMP_FORMAT):
 def normalize_pings(raw: DataFrame) -> DataFrame:
     """Raw export -> the 13-column working ping table (ts parsed as UTC, ``day`` derived)."""
     ts = parse_utc_timestamp(F.col("`# Timestamp`"))
-    return (raw.select(ts.alias("ts"), *[F.col(f"`{src}`").alias(dst) for src, dst in PING_RENAMES])
-            .withColumn("day", utc_day(epoch_s("ts"))))
+    return raw.select(ts.alias("ts"), *[F.col(f"`{src}`").alias(dst) for src, dst in PING_RENAMES],
+                      utc_day(epoch_s(ts)).alias("day"))
 
 
 def read_pings(spark: SparkSession, path: str, days: tuple[str, str] | None = None) -> DataFrame:
