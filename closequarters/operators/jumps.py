@@ -16,7 +16,6 @@ from ..functions.geo import haversine_nm
 from ..functions.timecols import epoch_s
 from ..params import DEFAULTS, Params
 from ..sources.schema import TRACK_ORDER
-from .filters import teleport_free
 
 
 def _order_cols(df: DataFrame) -> list[str]:
@@ -76,6 +75,43 @@ def gps_jump_flag(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     return j.select(*[F.col(c) for c in df.columns], ok.alias("jump_ok"))
 
 
+RUN_KEY = ("mmsi", "ts", "lat", "lon")
+
+
+def _jump_filter_runs(df: DataFrame, p: Params) -> DataFrame:
+    """W1 over runs of reports sharing (mmsi, ts, lat, lon).
+
+    Such reports are adjacent in the track order and only their first and
+    last can survive: inner ones have a zero time step to both neighbours
+    (both speeds unknown), the first one's next step and the last one's
+    previous step are zero too.  So one row per run goes through the window
+    (partial aggregation collapses copies map-side), and the first/last report
+    of the run (min/max of the remaining order columns) come back out with
+    the verdicts "previous speed within limit" / "next speed within limit"; a
+    run of one report gets the usual two-sided rule.  Same rows as the
+    unchunked per-report filter."""
+    rest = [c for c in TRACK_ORDER if c in df.columns and c not in RUN_KEY]
+    rest += [c for c in df.columns if c not in RUN_KEY and c not in rest]
+    r = F.struct(*[F.col(c) for c in rest])
+    runs = df.groupBy(*RUN_KEY).agg(F.count(F.lit(1)).alias("_k"), F.min(r).alias("_lo"), F.max(r).alias("_hi"))
+    j, prev, here, nxt = _neighbours(runs, p)
+    sp, sn = _speeds(prev, here, nxt, p)
+    lim = F.lit(p.max_plausible_speed_kn)
+    single = F.col("_k") == 1
+    first_ok = F.when(single, ~((sp > lim) & (sn > lim))).otherwise(sp <= lim)
+    last_ok = F.when(single, F.lit(False)).otherwise(sn <= lim)
+    cand = j.select(*RUN_KEY, F.explode(F.array(
+        F.struct(F.col("_lo").alias("r"), first_ok.alias("ok")),
+        F.struct(F.col("_hi").alias("r"), last_ok.alias("ok")))).alias("_c"))
+    return cand.filter(F.col("_c.ok")).select(
+        *[F.col(c) if c in RUN_KEY else F.col("_c.r").getField(c).alias(c) for c in df.columns])
+
+
 def gps_jump_filter(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     """Drop pings whose implied speed exceeds the limit to both neighbours."""
-    return implied_speeds(df, p).filter(teleport_free(p)).drop("speed_prev_kn", "speed_next_kn")
+    if p.collapse_track_copies:
+        return _jump_filter_runs(df, p)
+    j, prev, here, nxt = _neighbours(df, p)
+    sp, sn = _speeds(prev, here, nxt, p)
+    lim = F.lit(p.max_plausible_speed_kn)
+    return j.filter(~((sp > lim) & (sn > lim))).select(*[F.col(c) for c in df.columns])

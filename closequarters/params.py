@@ -86,6 +86,9 @@ class Params:
     # Collapse exact duplicate pings before the encounter self-join and
     # re-expand after it, so copies cannot blow up a join bucket.
     collapse_copies: bool = True
+    # Collapse reports sharing (mmsi, ts, lat, lon) map-side before the jump
+    # window (exact; costs one extra shuffle, so off unless copies are heavy).
+    collapse_track_copies: bool = False
 
     @property
     def lat_cell_deg(self) -> float:

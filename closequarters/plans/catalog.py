@@ -269,6 +269,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "implied_speeds": lambda s, d: _speeds_out(jumps.implied_speeds(_stages(s, d).moving, P)),
     "not_teleport": lambda s, d: _speeds_out(flt.not_teleport(jumps.implied_speeds(_stages(s, d).moving, P), P)),
     "gps_jump_filter": lambda s, d: pings_out(jumps.gps_jump_filter(_stages(s, d).moving, P)),
+    "gps_jump_filter_runs": lambda s, d: pings_out(jumps.gps_jump_filter(_stages(s, d).moving,
+                                                                         replace(P, collapse_track_copies=True))),
     "vessel_ping_count": lambda s, d: vessels.vessel_ping_count(_stages(s, d).jump_free),
     "min_pings": lambda s, d: pings_out(vessels.min_pings(_stages(s, d).jump_free, P)),
     "specific_type_rows": lambda s, d: pings_out(flt.specific_type_rows(_raw(s, d))),

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.filters import in_circle, mmsi_checks, within_radius
-from ..operators.jumps import gps_jump_flag
+from ..operators.jumps import gps_jump_filter
 from ..operators.projections import backfill_static, normalize_sog
 from ..functions.timecols import epoch_s
 from ..params import DEFAULTS, UNDEFINED_SHIP_TYPE, Params
@@ -42,16 +42,12 @@ class CleanStages:
         return mmsi_checks(normalize_sog(self.spatial, self.p), self.mids, self.p)
 
     @cached_property
-    def flagged(self) -> DataFrame:          # + W1 as a flag
-        return gps_jump_flag(self.checked, self.p)
+    def kept(self) -> DataFrame:             # W1 on every vessel (before J1, same rows)
+        return gps_jump_filter(self.checked, self.p)
 
     @cached_property
     def vessels(self) -> DataFrame:          # one row per vessel
-        return vessel_table(self.flagged, self.p)
-
-    @cached_property
-    def kept(self) -> DataFrame:
-        return self.flagged.filter("jump_ok").drop("jump_ok")
+        return vessel_table(self.checked, self.kept, self.p)
 
     @cached_property
     def moving_ids(self) -> DataFrame:
@@ -80,19 +76,19 @@ class CleanStages:
         return backfill_static(self.kept.join(look, "mmsi", "inner"))
 
 
-def vessel_table(flagged: DataFrame, p: Params = DEFAULTS) -> DataFrame:
-    """One row per vessel from one partial aggregation over the jump-flagged
-    pings: highest speed (all pings), pings kept by the jump test, first name
-    and modal specific type among kept pings (``mode`` keeps a small
-    value->count map per vessel; ties go to the smallest type)."""
-    ok = F.col("jump_ok")
-    named = F.when(ok & F.col("name").isNotNull(), F.struct(epoch_s("ts").alias("t"), F.col("name").alias("n")))
-    specific = F.when(ok & F.col("ship_type").isNotNull() & (F.col("ship_type") != UNDEFINED_SHIP_TYPE), F.col("ship_type"))
-    v = flagged.groupBy("mmsi").agg(
-        F.max("sog").alias("max_sog"), F.count_if(ok).alias("n_kept"),
-        F.min(named).getField("n").alias("vessel_name"), F.mode(specific, True).alias("modal_type"))
+def vessel_table(checked: DataFrame, kept: DataFrame, p: Params = DEFAULTS) -> DataFrame:
+    """One row per vessel from two partial aggregations: highest speed over
+    all checked pings; pings kept by the jump test, their first name and their
+    modal specific type (``mode`` keeps a small value->count map per vessel;
+    ties go to the smallest type)."""
+    named = F.when(F.col("name").isNotNull(), F.struct(epoch_s("ts").alias("t"), F.col("name").alias("n")))
+    specific = F.when(F.col("ship_type").isNotNull() & (F.col("ship_type") != UNDEFINED_SHIP_TYPE), F.col("ship_type"))
+    vmax = checked.groupBy("mmsi").agg(F.max("sog").alias("max_sog"))
+    vkept = kept.groupBy("mmsi").agg(F.count(F.lit(1)).alias("n_kept"), F.min(named).getField("n").alias("vessel_name"),
+                                     F.mode(specific, True).alias("modal_type"))
+    v = vmax.join(vkept, "mmsi", "left")
     return v.select("*", (F.col("max_sog") > F.lit(p.min_vessel_max_sog_kn)).alias("is_moving"),
-                    (F.col("n_kept") >= F.lit(p.min_pings_per_vessel)).alias("is_dense"))
+                    (F.coalesce(F.col("n_kept"), F.lit(0)) >= F.lit(p.min_pings_per_vessel)).alias("is_dense"))
 
 
 def clean_stages(raw: DataFrame, mids, p: Params = DEFAULTS) -> CleanStages:
@@ -107,21 +103,19 @@ def clean_pings(raw: DataFrame, mids, p: Params = DEFAULTS) -> DataFrame:
 def stage_funnel(raw: DataFrame, mids, p: Params = DEFAULTS) -> DataFrame:
     """A10: rows after each clean stage, rows dropped and % of the previous stage.
 
-    Two one-row aggregations instead of one count per stage: the raw scan
-    counts input and in-circle rows; the jump-flagged pings joined with the
-    vessel table count the id+moving, jump and sparsity stages (each test is a
-    flag, so one pass counts all three).  The second row enters as a scalar
-    subquery and the five counts are unpivoted with ``inline``."""
-    spatial = within_radius(raw, p)
-    checked = mmsi_checks(normalize_sog(spatial, p), mids, p)
-    flagged = gps_jump_flag(checked, p)
-    vessels = vessel_table(flagged, p).select("mmsi", "is_moving", "is_dense")
-    mv, ok, dn = F.col("is_moving"), F.col("jump_ok"), F.col("is_dense")
-    later = (flagged.join(vessels, "mmsi", "inner")
-             .agg(F.struct(F.count_if(mv).alias("m"), F.count_if(mv & ok).alias("j"),
-                           F.count_if(mv & ok & dn).alias("s")).alias("c"))).scalar()
+    Three one-row aggregations instead of one pipeline per stage: the raw scan
+    counts input and in-circle rows; the checked pings of moving vessels give
+    the id+moving stage; the jump-kept pings joined with the vessel flags
+    give the jump and sparsity stages in one pass.  Two rows enter as scalar
+    subqueries and the five counts are unpivoted with ``inline``."""
+    s = clean_stages(raw, mids, p)
+    flags = s.vessels.select("mmsi", "is_moving", "is_dense")
+    mv, dn = F.col("is_moving"), F.col("is_dense")
+    moving = s.checked.join(s.moving_ids, "mmsi", "left_semi").agg(F.count(F.lit(1))).scalar()
+    later = (s.kept.join(flags, "mmsi", "inner")
+             .agg(F.struct(F.count_if(mv).alias("j"), F.count_if(mv & dn).alias("s")).alias("c"))).scalar()
     first = raw.agg(F.count(F.lit(1)).alias("n0"), F.count_if(in_circle(p)).alias("n1"))
-    counts = first.select(later.getField("m").alias("m"), later.getField("j").alias("j"),
+    counts = first.select(moving.alias("m"), later.getField("j").alias("j"),
                           later.getField("s").alias("s"), "n0", "n1").select(
         F.inline(F.array(*[F.struct(F.lit(no).cast("long").alias("stage_no"), F.lit(name).alias("stage"),
                                     F.col(c).cast("long").alias("rows"))

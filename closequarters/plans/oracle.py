@@ -224,6 +224,7 @@ ORACLES: dict[str, str] = {
     "not_teleport": q("SELECT ts_s, mmsi, lat, lon, round(speed_prev_kn, 4) AS speed_prev_kn, "
                       f"round(speed_next_kn, 4) AS speed_next_kn FROM speeds WHERE {JUMP_OK}", "speeds"),
     "gps_jump_filter": q(f"SELECT {PING_COLS} FROM jump_free", "jump_free"),
+    "gps_jump_filter_runs": q(f"SELECT {PING_COLS} FROM jump_free", "jump_free"),
     "vessel_ping_count": q("SELECT mmsi, count(*) AS n_pings FROM jump_free GROUP BY mmsi", "jump_free"),
     "min_pings": q(f"SELECT {PING_COLS} FROM dense", "dense"),
     "specific_type_rows": q(f"SELECT {PING_COLS} FROM pings WHERE ship_type IS NOT NULL AND ship_type <> "

@@ -217,3 +217,43 @@ def test_mid_codes_cp1252(spark, tmp_path):
 
     (tmp_path / "mid.csv").write_bytes("Digit,Allocated to\n 211 ,Germany\n219,Denmark\n232,Cura\xe7ao\n".encode("cp1252"))
     assert sorted(r[0] for r in read_mid_codes(spark, str(tmp_path / "mid.csv")).collect()) == [211, 219, 232]
+
+
+def test_jump_filter_on_runs_equals_per_report(spark):
+    import random
+
+    rnd = random.Random(3)
+    rows = []
+    for i in range(300):
+        t = T0 + 30 * (i // 3)  # three reports share each timestamp
+        base = dict(ts_s=t, mmsi=219000001 + (i % 2), lat=55.0 + 0.0004 * (i // 3) + (0.4 if i % 53 == 0 else 0.0),
+                    lon=14.0, sog=float(rnd.choice([3.0, 4.0])), name=rnd.choice([None, "A", "B"]))
+        rows.append(base)
+        for _ in range(rnd.choice([0, 0, 1, 3])):  # copies, some differing in speed or name
+            c = dict(base)
+            if rnd.random() < 0.5:
+                c["sog"] = 9.0
+            if rnd.random() < 0.3:
+                c["name"] = "Z"
+            rows.append(c)
+    rows.append(dict(ts_s=None, mmsi=219000001, lat=55.0, lon=14.0))
+    df = pings(spark, rows)
+    cols = ["mmsi", "ts", "lat", "lon", "sog", "name"]
+    a = sorted(map(tuple, jumps.gps_jump_filter(df, Params(collapse_track_copies=False)).select(cols).collect()),
+               key=repr)
+    b = sorted(map(tuple, jumps.gps_jump_filter(df, Params(collapse_track_copies=True)).select(cols).collect()),
+               key=repr)
+    assert len(a) > 100 and a == b
+
+
+def test_clean_same_with_collapsed_track_copies(spark):
+    from closequarters.params import FIXTURE_MID_CODES
+    from closequarters.plans.clean import clean_pings
+    from closequarters.sources import derived_pings
+
+    raw = derived_pings(spark, "/root/testdata/sf0.001")
+    raw = raw.unionByName(raw.filter(F.col("mmsi") % 3 == 0))  # copies of a third of the vessels
+    a = clean_pings(raw, FIXTURE_MID_CODES, Params(collapse_track_copies=False))
+    b = clean_pings(raw, FIXTURE_MID_CODES, Params(collapse_track_copies=True))
+    ra, rb = sorted(map(tuple, a.collect()), key=repr), sorted(map(tuple, b.collect()), key=repr)
+    assert len(ra) > 0 and ra == rb
