@@ -66,15 +66,6 @@ def implied_speeds(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     return j.select(*[F.col(c) for c in df.columns], *_speeds(prev, here, nxt, p))
 
 
-def gps_jump_flag(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:
-    """Every ping with a boolean ``jump_ok`` (true = kept by W1)."""
-    j, prev, here, nxt = _neighbours(df, p)
-    sp, sn = _speeds(prev, here, nxt, p)
-    lim = F.lit(p.max_plausible_speed_kn)
-    ok = F.coalesce(~((sp > lim) & (sn > lim)), F.lit(False))
-    return j.select(*[F.col(c) for c in df.columns], ok.alias("jump_ok"))
-
-
 RUN_KEY = ("mmsi", "ts", "lat", "lon")
 
 
