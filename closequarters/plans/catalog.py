@@ -240,6 +240,17 @@ def _q_canonical(spark, d):
     return pairs_out(enc.encounter_pairs(_clean(spark, d), P))
 
 
+def _q_rank_in_all(spark, d):
+    det = _detected(spark, d)
+    out = ranking.rank_in_all(det, ranking.three_rankings(det, P), P)
+    return out.withColumn("rank", F.col("rank").cast("long"))
+
+
+def _q_top_encounters(spark, d):
+    top = ranking.top_encounters(_detected(spark, d), P.top_n)
+    return pairs_out(top, SILENCE_OUT + ("rank",)).withColumn("rank", F.col("rank").cast("long"))
+
+
 def _q_enrich(spark, d):
     c = _clean_table(spark, d)
     return pairs_out(enc.enrich_silence(enc.encounter_pairs(c, P), c, P), SILENCE_OUT)
@@ -299,11 +310,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silenced_pairs": lambda s, d: pairs_out(flt.silenced_pairs(_detected(s, d)), SILENCE_OUT),
     # ranking
     "closest_per_pair": lambda s, d: pairs_out(ranking.closest_per_pair(_detected(s, d)), SILENCE_OUT),
-    "top_encounters": lambda s, d: pairs_out(ranking.top_encounters(_detected(s, d), P.top_n), SILENCE_OUT + ("rank",)).withColumn("rank", F.col("rank").cast("long")),
+    "top_encounters": _q_top_encounters,
     "three_rankings": lambda s, d: _q_ranked_out(_ranked(s, d)),
     "ranked_pair": lambda s, d: _q_ranked_out(ranking.ranked_pair(_ranked(s, d), "all", 1)),
     "pair_counts": lambda s, d: ranking.pair_counts(_detected(s, d), P),
-    "rank_in_all": lambda s, d: (lambda det: ranking.rank_in_all(det, ranking.three_rankings(det, P), P))(_detected(s, d)).withColumn("rank", F.col("rank").cast("long")),
+    "rank_in_all": _q_rank_in_all,
     "encounter_result": lambda s, d: _q_result(ranking.encounter_result(_ranked(s, d), P)),
     "identified_encounter": lambda s, d: _q_result(ranking.identified_encounter(_ranked(s, d), P)),
     "encounter_report": lambda s, d: _q_result(encounter_report(_raw(s, d), MIDS, P)),
