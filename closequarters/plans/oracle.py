@@ -99,7 +99,7 @@ CTE["ports"] = ("SELECT port_lat_cell, port_lon_cell, count(*) AS n_vessels FROM
                 f"port_lon_cell HAVING count(*) >= {P.port_min_vessels}")
 CTE["prof"] = ("SELECT lc.mmsi, lc.last_ts_s, (p.n_vessels IS NOT NULL) AS in_port FROM lc LEFT JOIN ports p "
                "ON p.port_lat_cell = lc.port_lat_cell AND p.port_lon_cell = lc.port_lon_cell")
-CTE["endt"] = "SELECT max(ts_s) AS end_ts_s FROM clean"
+CTE["endt"] = "SELECT * FROM (SELECT max(ts_s) AS end_ts_s FROM clean) WHERE end_ts_s IS NOT NULL"
 CTE["enc"] = (
     f"SELECT pr.*, (pa.last_ts_s <= pr.ts_a_s + {P.silence_window_s} AND pr.ts_a_s + {P.silence_buffer_s} <= "
     "(SELECT end_ts_s FROM endt) AND NOT pa.in_port) AS silenced_a, "

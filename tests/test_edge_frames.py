@@ -257,3 +257,14 @@ def test_clean_same_with_collapsed_track_copies(spark):
     b = clean_pings(raw, FIXTURE_MID_CODES, Params(collapse_track_copies=True))
     ra, rb = sorted(map(tuple, a.collect()), key=repr), sorted(map(tuple, b.collect()), key=repr)
     assert len(ra) > 0 and ra == rb
+
+
+def test_empty_input_runs_through(spark):
+    from closequarters.params import FIXTURE_MID_CODES
+    from closequarters.plans.clean import clean_pings
+
+    empty = pings(spark, [dict(ts_s=T0, mmsi=219000001, lat=55.0, lon=14.0)]).limit(0)
+    clean = clean_pings(empty, FIXTURE_MID_CODES)
+    assert clean.count() == 0
+    assert enc.dataset_end(clean).count() == 0
+    assert ranking.three_rankings(enc.detect_encounters(clean)).count() == 0
