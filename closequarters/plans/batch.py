@@ -29,9 +29,7 @@ def ingest_stage(spark: SparkSession, csv_path: str, out: str) -> str:
 
 
 def clean_stage(spark: SparkSession, pings_path: str, out: str, mids, p: Params = DEFAULTS) -> str:
-    (clean_pings(spark.read.parquet(pings_path), mids, p)
-        .sortWithinPartitions("day", "mmsi", "ts")
-        .write.mode("overwrite").partitionBy("day").parquet(out))
+    write_pings(clean_pings(spark.read.parquet(pings_path), mids, p), out)
     return out
 
 

@@ -11,20 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..session import shared_dir
+from ..sources.sinks import write_pings
 
 
 def persist_pings(df: DataFrame, name: str = "clean") -> DataFrame:
-    """Write a ping table day-partitioned and read it back (S3).
-
-    One pass, no extra shuffle: each task sorts its own rows by (day, mmsi,
-    ts) and writes one file per day it holds (a range shuffle, as the K1 sink
-    does, would first run the whole upstream plan once more to sample range
-    bounds).  The sort keeps Parquet row-group statistics useful for the
-    vessel/time lookups of the trajectory step."""
+    """Write a ping table day-partitioned (K1 layout: rebalanced by day into
+    evenly sized files, sorted by mmsi/ts inside) and read it back (S3).  The
+    table is read several times afterwards, so a few large files per day beat
+    one small file per task and day."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    (df.sortWithinPartitions("day", "mmsi", "ts")
-       .write.mode("overwrite").partitionBy("day").parquet(path))
+    write_pings(df, path)
     return spark.read.parquet(path)
 
 
