@@ -24,7 +24,11 @@ def test_every_query_has_an_oracle_or_is_listed():
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0
-    assert "distance_m" in df.columns
+    assert [(f.name, f.dataType.simpleString()) for f in df.schema.fields] == [
+        ("list", "string"), ("rank", "bigint"), ("mmsi_a", "bigint"), ("mmsi_b", "bigint"), ("name_a", "string"),
+        ("name_b", "string"), ("ship_type_a", "string"), ("ship_type_b", "string"), ("timestamp_utc", "string"),
+        ("lat_a", "double"), ("lon_a", "double"), ("lat_b", "double"), ("lon_b", "double"),
+        ("distance_m", "double"), ("window_minutes", "bigint")]
 
 
 @pytest.mark.parametrize("key", KEYS)
