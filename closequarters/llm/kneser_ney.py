@@ -1,8 +1,10 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two models over character 5-grams (32 folded symbols, so at most 2**25 grams
-and 2**20 histories exist: a proven bound for everything that is collected or
-broadcast).  The highest order is class-conditional with absolute discounting;
+Two models predict every character (one of 32 folded symbols) from its word's
+beginning, at most the 7 symbols before it, so an expression is known by its
+first letters and its endings share them.  Histories are hashed to 2**20 places:
+at most 2**25 grams exist, a proven bound for everything that is collected or
+broadcast.  The highest order is class-conditional with absolute discounting;
 all lower orders are one shared Kneser-Ney chain of continuation counts over
 every document of the corpus, so an expression that is rare in a class falls
 back on how the corpus as a whole continues.
@@ -22,7 +24,8 @@ from pyspark.sql import functions as F
 
 from .common import cut, held_out, map_batches, text_slices, training_labels
 
-ORDER = 5
+REACH = 8  # symbols of a gram: up to 7 of history and the predicted one
+ORDER = 5  # of the class-conditional level above the shared chain of orders 4 to 1
 BITS = 5
 DISCOUNT = 0.75
 WINDOWS = (12, 24)
@@ -30,7 +33,8 @@ MAX_LABELLED = 200_000
 CALIBRATION_FOLD = 4
 HISTORIES = 1 << (BITS * (ORDER - 1))
 GRAMS = 1 << (BITS * ORDER)
-GAP = b" " * (ORDER - 1)
+GAP = b" " * (REACH - 1)
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def symbol_table() -> bytes:
@@ -49,27 +53,41 @@ def symbol_table() -> bytes:
 TABLE = symbol_table()
 
 
-def gram_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def gram_codes(texts: list[str], suffix: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Codes of all grams of the texts, one after the other, and where each
-    text starts (one entry more than texts); a text of n bytes has n + 1."""
+    text starts (one entry more than texts); a text of n bytes has n + 1.
+
+    A code is the hashed history (20 bits) and the symbol (5 bits); with
+    ``suffix`` the last four symbols (20 bits) follow.
+    """
     raw = [t.encode() for t in texts]
     joined = GAP + (b" " + GAP).join(raw) + b" " + GAP
-    s = np.frombuffer(joined.translate(TABLE), np.uint8).astype(np.uint32)
-    n = len(s) - ORDER + 1
-    codes = np.zeros(n, np.uint32)
-    for k in range(ORDER):
-        codes <<= BITS
-        codes |= s[k:k + n]
-    starts = np.concatenate([[0], np.cumsum([len(r) + ORDER for r in raw])])
+    s = np.frombuffer(joined.translate(TABLE), np.uint8)
+    n = len(s) - REACH + 1
+    at = np.arange(len(s), dtype=np.int32)
+    since = at - np.maximum.accumulate(np.where(s == 0, at, 0))  # symbols since the last white space
+    # a history reaches back to its word's beginning; that of a white space is the word before it
+    deep = np.minimum(since[REACH - 2:-1], REACH - 1).astype(np.uint64)
+    wide = s.astype(np.uint64)
+    past = np.zeros(n, np.uint64)
+    for k in range(REACH - 1):
+        past = (past << np.uint64(BITS)) | wide[k:k + n]
+    last = wide[REACH - 1:REACH - 1 + n]
+    own = past & ((np.uint64(1) << (deep * np.uint64(BITS))) - np.uint64(1))
+    codes = ((own * SPREAD) >> np.uint64(64 - BITS * (ORDER - 1)) << np.uint64(BITS)) | last
+    if suffix:
+        four = ((past << np.uint64(BITS)) | last) & np.uint64(HISTORIES - 1)
+        codes = (codes << np.uint64(BITS * (ORDER - 1))) | four
+    starts = np.concatenate([[0], np.cumsum([len(r) + REACH for r in raw])])
     return codes, starts
 
 
 def text_grams(texts: list[str]) -> np.ndarray:
-    """Codes of the texts' own grams, without those across the gaps."""
-    codes, starts = gram_codes(texts)
-    own = np.ones(len(codes) + ORDER, bool)
+    """Codes with suffix of the texts' own grams, without those across the gaps."""
+    codes, starts = gram_codes(texts, suffix=True)
+    own = np.ones(len(codes) + REACH, bool)
     for s in starts[1:]:
-        own[s - ORDER + 1:s] = False
+        own[s - REACH + 1:s] = False
     return codes[own[:len(codes)]]
 
 
@@ -105,10 +123,10 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                     fold()
         if parts:
             fold()
-            yield pa.RecordBatch.from_arrays([pa.array(parts[0][0].astype(np.int32)), *map(pa.array, parts[0][1:])],
+            yield pa.RecordBatch.from_arrays([pa.array(parts[0][0].astype(np.int64)), *map(pa.array, parts[0][1:])],
                                              ["code", "n_all", "n_toxic", "n_ordinary"])
 
-    partial = map_batches(docs.select("text", "_class"), run, "code int, n_all long, n_toxic long, n_ordinary long")
+    partial = map_batches(docs.select("text", "_class"), run, "code long, n_all long, n_toxic long, n_ordinary long")
     return partial.groupBy("code").agg(*[F.sum(c).alias(c) for c in ("n_all", "n_toxic", "n_ordinary")])
 
 
@@ -116,17 +134,21 @@ class LogRatio:
     """log P(symbol | history, toxic) - log P(symbol | history, ordinary)."""
 
     def __init__(self, codes: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray):
-        codes = codes.astype(np.int64)
-        shared = self._shared(codes)
+        suffix = codes.astype(np.int64) & (HISTORIES - 1)
+        shared = self._shared(suffix)
         log_p, lam = [], []
         seen = (toxic > 0) | (ordinary > 0)
-        own = codes[seen]
-        for count in (toxic[seen].astype(float), ordinary[seen].astype(float)):
+        # suffixes of one gram (a word's beginning may lie further back, or hashes meet): the most frequent stands for it
+        own, at = np.unique(codes[seen].astype(np.int64) >> (BITS * (ORDER - 1)), return_inverse=True)
+        order = np.argsort((toxic + ordinary)[seen], kind="stable")
+        tail = np.zeros(len(own), np.int64)
+        tail[at[order]] = suffix[seen][order]
+        for count in (np.bincount(at, toxic[seen], len(own)), np.bincount(at, ordinary[seen], len(own))):
             total = np.bincount(own >> BITS, count, HISTORIES)
             types = np.bincount(own >> BITS, count > 0, HISTORIES)
             back = np.where(total > 0, DISCOUNT * types / np.maximum(total, 1), 1.0)
             h = own >> BITS
-            p = np.maximum(count - DISCOUNT, 0) / np.maximum(total[h], 1) + back[h] * shared[own & (HISTORIES - 1)]
+            p = np.maximum(count - DISCOUNT, 0) / np.maximum(total[h], 1) + back[h] * shared[tail]
             log_p.append(np.log(p))
             lam.append(np.log(back))
         self.codes = own.astype(np.uint32)
@@ -135,10 +157,11 @@ class LogRatio:
         self._dense = None
 
     @staticmethod
-    def _shared(codes: np.ndarray) -> np.ndarray:
-        """P(last symbol | the symbols before it) for every gram of order
-        ORDER - 1, by interpolated Kneser-Ney on continuation counts."""
-        levels, size, types = [], HISTORIES, codes
+    def _shared(suffix: np.ndarray) -> np.ndarray:
+        """P(last symbol | the three before it) by interpolated Kneser-Ney;
+        ``suffix`` has one entry for every distinct longer gram, so counts are
+        continuation counts at every order."""
+        levels, size, types = [], HISTORIES, suffix
         for _ in range(ORDER - 1):
             count = np.bincount(types & (size - 1), minlength=size)
             levels.append(count)
@@ -168,7 +191,7 @@ class LogRatio:
         sums = np.concatenate([[0.0], np.cumsum(self.dense()[codes], dtype=np.float64)])
         out = np.empty((len(texts), 1 + len(WINDOWS)))
         for i in range(len(texts)):
-            s, n = starts[i], starts[i + 1] - starts[i] - ORDER + 1
+            s, n = starts[i], starts[i + 1] - starts[i] - REACH + 1
             out[i, 0] = (sums[s + n] - sums[s]) / n
             for k, w in enumerate(WINDOWS):
                 if n <= w:
