@@ -33,7 +33,9 @@ def frequent_digests(digests: DataFrame, max_tracked: int = MAX_TRACKED, key: st
     """At most ``max_tracked`` candidate digests that may be frequent."""
     level1 = (digests.groupBy((F.spark_partition_id() % FAN_IN).alias("g"))
               .agg(F.expr(f"approx_top_k_accumulate({key}, {max_tracked})").alias("state")))
-    level2 = level1.agg(F.expr(f"approx_top_k_combine(state, {max_tracked})").alias("state"))
+    # grouped, since a task without rows has no sketch that an ungrouped combine could take
+    level2 = (level1.groupBy((F.col("g") % 1).alias("all"))
+              .agg(F.expr(f"approx_top_k_combine(state, {max_tracked})").alias("state")))
     top = level2.select(F.explode(F.expr(f"approx_top_k_estimate(state, {max_tracked})")).alias("e"))
     return top.select(F.col("e.item").alias(key)).filter(F.col(key).isNotNull()).distinct()
 
