@@ -223,13 +223,13 @@ def labelled_corpus(n=700, seed=16):
     items, labels = [], []
     for i in range(n):
         words = [word() for _ in range(rng.choice([5, 30, 200]))]
-        toxic = rng.random() < 0.2
+        toxic, good = rng.random() < 0.2, rng.random() > 0.3
+        if not good and i % 2 == 0:
+            words = words[:3] * 40
         if toxic:
             for _ in range(2):
                 words.insert(rng.randrange(len(words) + 1), rng.choice(["vexgrum", "quazk"]))
-        good = rng.random() > 0.3
-        text = " ".join(words)
-        items.append((i, text if good else " ### ".join(words) if i % 2 else (" ".join(words[:3]) + " ") * 40))
+        items.append((i, " ".join(words) if good or i % 2 == 0 else " ### ".join(words)))
         labels.append((i, int(good), int(toxic)))
     return items, labels
 
