@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, map_batches, text_slices
-from .heap_bpe import Generations
+from .heap_bpe import Generations, byte_symbols
 
 WINDOW = 2048
 GRID = 16
@@ -40,11 +40,13 @@ class ChunkTokenizer:
     """``tokenizers`` ids of whole texts, remembered per space-delimited chunk.
 
     The vocabulary's pre-tokenizer never joins across a space or line feed, so
-    the ids of a text are those of its chunks in order.  Plain ASCII chunks are
-    cut by the same pattern here and go to the BPE model alone; all others take
-    the library's full path.
+    the ids of a text are those of its chunks in order.  Chunks of printable
+    ASCII and precomposed Latin-1 letters are cut by the same pattern here and
+    go to the BPE model alone; all others take the library's full path.
     """
-    WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9 \t\n\r\x0b\x0c]+").findall
+    LATIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
+    WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
+    BYTES = byte_symbols()
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -61,11 +63,13 @@ class ChunkTokenizer:
         return np.array(self.tok.encode(chunk, add_special_tokens=False).ids, np.uint32).tobytes()
 
     def _word(self, word: str) -> bytes:
+        if not word.isascii():
+            word = "".join(map(self.BYTES.__getitem__, word.encode()))
         return np.array([t.id for t in self.model.tokenize(word)], np.uint32).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        if not chunk.isascii() or not chunk.isprintable() or "<|" in chunk:
-            return self._full(chunk)
+        if not self.LATIN(chunk) or "<|" in chunk:
+            return self._full(chunk) if chunk else b""
         return b"".join(map(self.words.__getitem__, self.WORDS(chunk.lower())))
 
     def encode(self, text: str) -> bytes:
