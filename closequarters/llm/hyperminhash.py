@@ -9,11 +9,14 @@
 2. Equal shingle sets (by a 128-bit digest) become one class at once; only
    class representatives go on.
 3. Bands of four registers are exactly one 64-bit integer.  Every member of a
-   band bucket is paired with the bucket's smallest id only (a star), and links
-   found so far are contracted; then members of one bucket that still lie in
-   different components are paired with each other, very full buckets by two
-   bands at once.  So a large group of copies costs a few links a member and a
-   bucket that holds unrelated texts still loses no pair.
+   band bucket is paired with the bucket's most connected member only (a star),
+   and the links found are contracted.  Members of one bucket that still lie in
+   different components are then compared in blocks of ``BLOCK``: a task holds
+   two blocks of sketches and full shingle-hash sets, compares every pair of
+   different components once (in the first band it shares), and returns the
+   links that join components, at most as many as it holds members.  So no group
+   emits its pairs, a group of copies costs a few links a member, and a bucket
+   full of similar but unlinked texts still loses no link.
 4. Pairs must pass the collision-corrected Jaccard estimate of the sketches,
    then the exact test on the full shingle sets of the texts.
 
@@ -38,7 +41,7 @@ MANTISSA_BITS = 10
 ROWS = 4
 BANDS = REGISTERS // ROWS
 MARGIN = 0.16
-FULL_BUCKET = 1000
+BLOCK = 512
 SHINGLE = 5
 PERCENT = 80
 ROUND = 0x9E3779B97F4A7C15
@@ -203,8 +206,99 @@ def verified_pairs(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> D
                        "a long, b long")
 
 
+def block_links(mixed: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """Links (a, b) between components of one bucket.  ``mixed``: band, value,
+    rep, comp, size (members of the bucket); ``sets``: rep, bands, hashes."""
+    blocks = F.ceil(F.col("size") / block).cast("int")
+    rows = mixed.select("band", "value", "rep", "comp", blocks.alias("blocks"),
+                        F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("own"))
+    rows = rows.select("band", "value", "rep", "comp", "own",
+                       F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rows = rows.select("band", "value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                       "own", "rep", "comp").join(sets, "rep")
+    keys = ["band", "value", "i", "j"]
+    dealt = rows.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, "rep")
+
+    def run(batches):
+        import pyarrow as pa
+
+        def links(group):
+            band, (i, j) = group[0][0], group[0][2:4]
+            low = {m[6]: m[6] for m in group}
+
+            def root(c):
+                while low[c] != c:
+                    c = low[c]
+                return c
+
+            left = [m for m in group if m[4] == i]
+            right = left if i == j else [m for m in group if m[4] == j]
+            if not left or not right:
+                return
+            bands = np.array([m[7] for m in right])
+            n = np.array([len(m[8]) for m in right])
+            comps = np.array([m[6] for m in right])
+            for x, m in enumerate(left):
+                mine, size = np.array(m[7]), len(m[8])
+                far = comps != m[6]
+                far &= 100 * np.minimum(n, size) >= percent * np.maximum(n, size)
+                if i == j:
+                    far[:x + 1] = False
+                near = np.flatnonzero(far)
+                if not len(near):
+                    continue
+                same = bands[near] == mine
+                near, same = near[same.argmax(1) == band], same[same.argmax(1) == band]
+                agree = (bands[near].view("<u2") == mine.view("<u2")).mean(1)
+                p = random_collision(n[near].astype(float), np.full(len(near), float(size)))
+                for y in near[(agree - p) / (1 - p) >= percent / 100 - MARGIN]:
+                    a, b = root(m[6]), root(int(comps[y]))
+                    if a == b:
+                        continue
+                    both = len(np.intersect1d(m[8], right[y][8], assume_unique=True))
+                    if 100 * both >= percent * (size + int(n[y]) - both):
+                        low[max(a, b)] = min(a, b)
+                        yield min(m[5], right[y][5]), max(m[5], right[y][5])
+
+        def groups():
+            held, key = [], None
+            for batch in batches:
+                names = ["band", "value", "i", "j", "own", "rep", "comp"]
+                plain = list(zip(*(batch.column(c).to_pylist() for c in names), strict=True))
+                flat = [batch.column(c).flatten().to_numpy() for c in ("bands", "hashes")]
+                ends = [np.append(0, np.cumsum(batch.column(c).value_lengths().to_numpy())) for c in ("bands", "hashes")]
+                for r, row in enumerate(plain):
+                    if row[:4] != key:
+                        if len(held) > 1:
+                            yield held
+                        held, key = [], row[:4]
+                    held.append((*row, *(f[e[r]:e[r + 1]] for f, e in zip(flat, ends, strict=True))))
+            if len(held) > 1:
+                yield held
+
+        for group in groups():
+            found = list(links(group))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return map_batches(dealt.select(*keys, "own", "rep", "comp", "bands", "hashes"), run, "a long, b long")
+
+
+def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
+    """rep, hashes: the full sorted set of shingle hashes of every document."""
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for part, texts in text_slices(batch, 64):
+                sets = [shingle_hashes(words_of(t), k).view("<i8") for t in texts]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], ["rep", "hashes"])
+
+    return map_batches(docs.select("doc_id", "text"), run, "rep long, hashes array<long>")
+
+
 def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id",
-                    text_col: str = "text", full_bucket: int = FULL_BUCKET) -> DataFrame:
+                    text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest id
     reachable over links), kept (doc_id = component_id).
 
@@ -221,42 +315,36 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = P
                                                F.first("bands").alias("bands")), "op8-classes")
     reps = classes.select("rep", "n", "bands")
     members = reps.select("rep", F.posexplode("bands").alias("band", "value"))
-    shared = (members.groupBy("band", "value").agg(F.min("rep").alias("pivot"), F.max("rep").alias("_last"))
-              .filter("pivot < _last").select("band", "value", "pivot"))
+    shared = (members.groupBy("band", "value").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
     members = cut(members.join(shared, ["band", "value"]), "op8-members")
-
-    def confirm(pairs: DataFrame, name: str) -> DataFrame:
-        likely = cut(likely_pairs(pairs, reps, percent), f"op8-likely-{name}")
-        needed = likely.select(F.col("a").alias("_n")).unionByName(likely.select(F.col("b").alias("_n"))).distinct()
-        texts = cut(plain.join(needed, F.col("doc_id") == F.col("_n"), "left_semi"), f"op8-texts-{name}")
-        return cut(verified_pairs(likely, texts.distinct(), shingle, percent).distinct(), f"op8-links-{name}")
-
-    star = confirm(members.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(),
-                   "star")
-    found = cut(connected_components(star, name="op8-star"), "op8-found")
+    # the member that shares most buckets with others is likeliest to be linked with them
+    weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
+    pivots = (members.join(weight, "rep").groupBy("band", "value")
+              .agg(F.max(F.struct("weight", (-F.col("rep")).alias("back"))).alias("_p"))
+              .select("band", "value", (-F.col("_p.back")).alias("pivot")))
+    pairs = (members.join(pivots, ["band", "value"]).filter("rep <> pivot")
+             .select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct())
+
+    def texts_of(ids: DataFrame, name: str) -> DataFrame:
+        wanted = ids.select(F.col("_n")).distinct()
+        return cut(plain.join(wanted, F.col("doc_id") == F.col("_n"), "left_semi").distinct(), name)
+
+    likely = cut(likely_pairs(pairs, reps, percent), "op8-likely")
+    ends = likely.select(F.col("a").alias("_n")).unionByName(likely.select(F.col("b").alias("_n")))
+    star = cut(verified_pairs(likely, texts_of(ends, "op8-texts"), shingle, percent).distinct(), "op8-star")
+    found = cut(connected_components(star, name="op8-graph"), "op8-found")
     placed = (members.join(found, F.col("rep") == F.col("node"), "left")
-              .select("band", "value", "rep", F.coalesce("component", "rep").alias("comp")))
-    mixed = (placed.groupBy("band", "value").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"),
-                                                 F.approx_count_distinct("comp").alias("_n"))
-             .filter("_lo < _hi").select("band", "value", (F.col("_n") > full_bucket).alias("full")))
+              .select("band", "value", "rep", "size", F.coalesce("component", "rep").alias("comp")))
+    mixed = (placed.groupBy("band", "value").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"))
+             .filter("_lo < _hi").select("band", "value"))
     placed = cut(placed.join(mixed, ["band", "value"]), "op8-mixed")
-    rest = _cross_pairs(placed.filter("not full"), ["band", "value"])
-    full = placed.filter("full")
-    other = members.select(F.col("rep").alias("_r"), F.col("band").alias("band2"), F.col("value").alias("value2"))
-    two = full.join(other, (F.col("rep") == F.col("_r")) & (F.col("band") < F.col("band2")))
-    rest = rest.unionByName(_cross_pairs(two, ["band", "value", "band2", "value2"])).distinct()
-    rest = rest.join(star.select("a", "b"), ["a", "b"], "left_anti")
-    links = star.unionByName(confirm(rest, "rest"))
+    texts = texts_of(placed.select(F.col("rep").alias("_n")), "op8-mixed-texts")
+    sets = cut(shingle_sets(texts, shingle).join(reps.select("rep", "bands"), "rep"), "op8-sets")
+    rest = cut(block_links(placed, sets, percent, block).distinct(), "op8-rest")
+    links = star.unionByName(verified_pairs(rest, texts, shingle, percent))
     comps = cut(connected_components(links, name="op8-all"), "op8-components")
     by_digest = classes.join(comps, F.col("rep") == F.col("node"), "left").select(
         "digest", F.coalesce("component", "rep").alias("_comp"))
     out = sk.join(by_digest, "digest", "left")
     comp = F.when(F.col("doc_id").isNotNull(), F.coalesce("_comp", "doc_id"))
     return out.select("doc_id", "n_shingles", comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"))
-
-
-def _cross_pairs(placed: DataFrame, keys: list[str]) -> DataFrame:
-    """Pairs (a < b) of one bucket that lie in different components."""
-    left = placed.select(*keys, F.col("rep").alias("a"), F.col("comp").alias("comp_a"))
-    right = placed.select(*keys, F.col("rep").alias("b"), F.col("comp").alias("comp_b"))
-    return (left.join(right, keys).filter("a < b and comp_a <> comp_b").select("a", "b").distinct())

@@ -89,8 +89,8 @@ def near_corpus(seed=3, bases=25):
     return items
 
 
-@pytest.mark.parametrize("k,full", [(4, 1000), (5, 1)])
-def test_near_duplicates_match_brute_force(docs, rows, k, full):
+@pytest.mark.parametrize("k,block", [(4, 512), (5, 2)])
+def test_near_duplicates_match_brute_force(docs, rows, k, block):
     items = near_corpus(3 + k)
     sets = {i: shingle_set(t, k) for i, t in items}
     ids = sorted(sets)
@@ -98,7 +98,7 @@ def test_near_duplicates_match_brute_force(docs, rows, k, full):
              if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     low = components(ids, links)
     assert len(set(low.values())) < len(ids) - 10
-    out = hm.near_duplicates(docs(items), shingle=k, full_bucket=full)
+    out = hm.near_duplicates(docs(items), shingle=k, block=block)
     assert sorted(rows(out, "doc_id", "n_shingles", "component_id", "kept")) == [
         (i, len(sets[i]), low[i], low[i] == i) for i in ids]
 
