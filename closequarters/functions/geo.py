@@ -1,12 +1,10 @@
 """Geometry as native Spark column expressions (whole-stage codegen, no UDF)."""
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..params import DEFAULTS, METRES_PER_NM, Params
+from ..params import DEFAULTS, METRES_PER_NM
 
 
 def _col(c) -> Column:
@@ -23,7 +21,8 @@ def haversine_nm(lat1, lon1, lat2, lon2, earth_radius_nm: float = DEFAULTS.earth
     dlat = la2 - la1
     dlon = F.radians(_col(lon2)) - F.radians(_col(lon1))
     a = _sq(F.sin(dlat / 2.0)) + F.cos(la1) * F.cos(la2) * _sq(F.sin(dlon / 2.0))
-    return F.lit(2.0 * earth_radius_nm) * F.asin(F.sqrt(a))
+    # near antipodes rounding can push a over 1; a null stays null (least() alone would skip it)
+    return F.lit(2.0 * earth_radius_nm) * F.asin(F.sqrt(F.when(a > 1.0, F.lit(1.0)).otherwise(a)))
 
 
 def nm_to_m(x: Column) -> Column:
@@ -33,14 +32,3 @@ def nm_to_m(x: Column) -> Column:
 def grid_cell(x, step_deg: float) -> Column:
     """Index of the uniform degree grid cell holding ``x`` (floor, so negatives work)."""
     return F.floor(_col(x) / F.lit(step_deg)).cast("int")
-
-
-def bbox_for_circle(lat: float, lon: float, radius_nm: float, p: Params = DEFAULTS,
-                    margin_deg: float = 1e-6) -> tuple[tuple[float, float], tuple[float, float]]:
-    """Smallest lat/lon box holding a spherical circle (lossless pre-filter)."""
-    ang = radius_nm / p.earth_radius_nm
-    dlat = math.degrees(ang)
-    s = math.sin(ang) / math.cos(math.radians(lat))
-    dlon = 180.0 if s >= 1 else math.degrees(math.asin(s))
-    return ((lat - dlat - margin_deg, lat + dlat + margin_deg),
-            (lon - dlon - margin_deg, lon + dlon + margin_deg))

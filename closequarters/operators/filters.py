@@ -14,12 +14,13 @@ from ..params import DEFAULTS, UNDEFINED_SHIP_TYPE, Params
 
 
 def in_bbox(p: Params = DEFAULTS) -> Column:
-    return (F.col("lat").between(p.bbox_lat[0], p.bbox_lat[1])
-            & F.col("lon").between(p.bbox_lon[0], p.bbox_lon[1]))
+    lat, lon = p.box
+    return F.col("lat").between(*lat) & F.col("lon").between(*lon)
 
 
 def in_circle(p: Params = DEFAULTS) -> Column:
-    """Box first (cheap, pushed to Parquet), then the great-circle test."""
+    """Box first (cheap, pushed to Parquet), then the great-circle test; the
+    box always holds the circle."""
     d = haversine_nm(F.lit(p.centre_lat), F.lit(p.centre_lon), F.col("lat"), F.col("lon"), p.earth_radius_nm)
     return in_bbox(p) & (d <= F.lit(p.radius_nm))
 

@@ -3,9 +3,10 @@
 Skew-safe layout: a vessel's track is cut into time chunks and the ordered
 window runs per (vessel, chunk), so one long or duplicated track is spread
 over many tasks.  The first and last ping of each chunk get their missing
-neighbour from a small per-chunk edge table (one row per vessel-chunk) whose
-own window is per vessel over chunks - a few hundred rows even for the
-busiest vessel.  Result = an unchunked per-vessel lag/lead.
+neighbour from a small per-chunk edge table.  That table comes straight from
+the input rows by a map-side ``min``/``max`` of the order columns (one narrow
+row per task, vessel and chunk is shuffled), so the pings themselves are
+exchanged once, by (vessel, chunk).  Result = an unchunked per-vessel lag/lead.
 """
 from __future__ import annotations
 
@@ -17,30 +18,38 @@ from ..functions.timecols import epoch_s
 from ..params import DEFAULTS, Params
 from ..sources.schema import TRACK_ORDER
 
+NO_TIME_CHUNK = -(2**53)
+
 
 def _order_cols(df: DataFrame) -> list[str]:
     return [c for c in TRACK_ORDER if c in df.columns]
 
 
 def _neighbours(df: DataFrame, p: Params) -> tuple[DataFrame, Column, Column, Column]:
-    """The pings with their previous/next report (struct t, y, x) per vessel."""
+    """The pings with their previous/next report (struct t, y, x) per vessel.
+
+    Pings without a timestamp form the first chunk (nulls sort first), so they
+    stay, and their neighbours are those of an unchunked window.  A null id is
+    one more track, as in a window partition."""
     order = _order_cols(df)
     pos = F.struct(epoch_s("ts").alias("t"), F.col("lat").alias("y"), F.col("lon").alias("x"))
-    chunk = F.floor(epoch_s("ts") / F.lit(p.track_chunk_s))
+    chunk = F.coalesce(F.floor(epoch_s("ts") / F.lit(p.track_chunk_s)), F.lit(NO_TIME_CHUNK)).alias("_chunk")
     w = Window.partitionBy("mmsi", "_chunk").orderBy(*order)
-    d = (df.select("*", chunk.alias("_chunk"), pos.alias("_pos"))
+    d = (df.select("*", chunk, pos.alias("_pos"))
            .select("*", F.lag("_pos").over(w).alias("_prev"), F.lead("_pos").over(w).alias("_next")))
 
-    # A chunk's first report is the one without a predecessor in the window,
-    # its last the one without a successor.  Aggregating the window output
-    # (already clustered and sorted by vessel and chunk) needs no new shuffle.
-    wc = Window.partitionBy("mmsi").orderBy("_chunk")
-    edges = (d.groupBy("mmsi", "_chunk")
-              .agg(F.max(F.when(F.col("_prev").isNull(), F.col("_pos"))).alias("_first"),
-                   F.max(F.when(F.col("_next").isNull(), F.col("_pos"))).alias("_last"))
-              .select("mmsi", "_chunk", F.lag("_last").over(wc).alias("_prev_edge"),
-                      F.lead("_first").over(wc).alias("_next_edge")))
-    j = d.join(edges, ["mmsi", "_chunk"], "inner")
+    place = F.struct(F.col("ts"), F.col("lat"), F.col("lon"))  # the leading order columns decide the edge's position
+    wc = Window.partitionBy("_m").orderBy("_k")
+    edges = (df.select(F.col("mmsi").alias("_m"), chunk.alias("_k"), place.alias("_o"))
+               .groupBy("_m", "_k").agg(F.min("_o").alias("_first"), F.max("_o").alias("_last")))
+
+    def edge(c):
+        return F.when(c.isNotNull(), F.struct(epoch_s(c.getField("ts")).alias("t"), c.getField("lat").alias("y"),
+                                              c.getField("lon").alias("x")))
+
+    edges = edges.select("_m", "_k", edge(F.lag("_last").over(wc)).alias("_prev_edge"),
+                         edge(F.lead("_first").over(wc)).alias("_next_edge"))
+    j = d.join(edges, F.col("mmsi").eqNullSafe(F.col("_m")) & (F.col("_chunk") == F.col("_k")), "inner")
     prev = F.coalesce(F.col("_prev"), F.col("_prev_edge"))
     nxt = F.coalesce(F.col("_next"), F.col("_next_edge"))
     return j, prev, F.col("_pos"), nxt
@@ -60,8 +69,8 @@ def _speeds(prev: Column, here: Column, nxt: Column, p: Params) -> tuple[Column,
 def implied_speeds(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     """Adds ``speed_prev_kn`` and ``speed_next_kn`` (null where the
     neighbour is missing or the time step is zero).  Pings without a timestamp
-    sort first (their chunk is null) and get null speeds, as in an unchunked
-    window ordered nulls-first."""
+    sort first and get null speeds, as in an unchunked window ordered
+    nulls-first."""
     j, prev, here, nxt = _neighbours(df, p)
     return j.select(*[F.col(c) for c in df.columns], *_speeds(prev, here, nxt, p))
 
@@ -84,11 +93,11 @@ def _jump_filter_runs(df: DataFrame, p: Params) -> DataFrame:
     rest = [c for c in TRACK_ORDER if c in df.columns and c not in RUN_KEY]
     rest += [c for c in df.columns if c not in RUN_KEY and c not in rest]
     r = F.struct(*[F.col(c) for c in rest])
-    runs = df.groupBy(*RUN_KEY).agg(F.count(F.lit(1)).alias("_k"), F.min(r).alias("_lo"), F.max(r).alias("_hi"))
+    runs = df.groupBy(*RUN_KEY).agg(F.count(F.lit(1)).alias("_k_rows"), F.min(r).alias("_lo"), F.max(r).alias("_hi"))
     j, prev, here, nxt = _neighbours(runs, p)
     sp, sn = _speeds(prev, here, nxt, p)
     lim = F.lit(p.max_plausible_speed_kn)
-    single = F.col("_k") == 1
+    single = F.col("_k_rows") == 1
     first_ok = F.when(single, ~((sp > lim) & (sn > lim))).otherwise(sp <= lim)
     last_ok = F.when(single, F.lit(False)).otherwise(sn <= lim)
     cand = j.select(*RUN_KEY, F.explode(F.array(

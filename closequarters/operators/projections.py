@@ -10,12 +10,10 @@ from ..params import DEFAULTS, UNDEFINED_SHIP_TYPE, Params
 
 
 def normalize_sog(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:
-    """The 'not available' sentinel (>= 102.2 kn, NaN included) and negative
-    speeds become 0.0; null stays null."""
-    s = F.col("sog")
-    return df.withColumn("sog", F.when(s < 0, F.lit(0.0))
-                         .when(s >= F.lit(p.sog_not_available_kn), F.lit(0.0))
-                         .otherwise(s))
+    """A speed outside [0, 102.2) kn is 'not available' and becomes 0.0 (NaN
+    sorts above every number, so it does too); null stays null."""
+    known = (F.col("sog") >= 0) & (F.col("sog") < F.lit(p.sog_not_available_kn))
+    return df.withColumn("sog", F.when(~known, 0.0).otherwise(F.col("sog")))
 
 
 def time_bucket(p: Params = DEFAULTS) -> Column:
@@ -36,11 +34,12 @@ def display_name(name: Column, mmsi: Column) -> Column:
 
 
 def backfill_static(df: DataFrame, name_col: str = "_vessel_name", type_col: str = "_vessel_type") -> DataFrame:
-    """P5: keep a ping's own name, else the vessel's name; keep a ping's own
-    specific type, else the vessel's modal specific type, else the original
-    value (so 'Undefined' survives only for vessels that never sent a type)."""
-    st = F.col("ship_type")
-    filled = {"name": F.coalesce(F.col("name"), F.col(name_col)),
-              "ship_type": F.coalesce(F.when(st != UNDEFINED_SHIP_TYPE, st), F.col(type_col), st)}
-    return df.select(*[filled[c].alias(c) if c in filled else F.col(c)
+    """P5: a ping without a name takes its vessel's; a ping whose type says
+    nothing (missing or 'Undefined') takes the vessel's modal specific type,
+    and keeps what it had if the vessel never sent a specific one."""
+    own = F.col("ship_type")
+    says_nothing = own.isNull() | (own == F.lit(UNDEFINED_SHIP_TYPE))
+    out = {"name": F.ifnull("name", name_col),
+           "ship_type": F.when(says_nothing & F.col(type_col).isNotNull(), F.col(type_col)).otherwise(own)}
+    return df.select(*[out[c].alias(c) if c in out else F.col(c)
                        for c in df.columns if c not in (name_col, type_col)])

@@ -59,16 +59,16 @@ def list_tags(p: Params = DEFAULTS) -> Column:
                                    F.when(is_silenced(), F.lit("silenced"))))
 
 
-def three_rankings(pairs: DataFrame, p: Params = DEFAULTS, n: int | None = None) -> DataFrame:
-    """Top N of all / civilian / silenced in one pass.  The list filter comes
-    before the closest-per-pair reduction, so a pair can show a different ping
-    pair in different lists."""
-    n = p.top_n if n is None else n
+def three_rankings(pairs: DataFrame, p: Params = DEFAULTS) -> DataFrame:
+    """Top ``p.top_n`` of all / civilian / silenced in one pass.  The list
+    filter comes before the closest-per-pair reduction, so a pair can show a
+    different ping pair in different lists.  Everything downstream takes the
+    rows of this frame as they are, so ``top_n`` is the only bound."""
     tagged = pairs.withColumn("list", F.explode(list_tags(p)))
     best = closest_per_pair(tagged, by=("list",))
     w = Window.partitionBy("list").orderBy(*_order())
     return (best.withColumn("rank", F.row_number().over(w))
-                .filter(F.col("rank") <= n).drop("_d6"))
+                .filter(F.col("rank") <= p.top_n).drop("_d6"))
 
 
 def ranked_pair(ranked: DataFrame, list_name: str, k: int = 1) -> DataFrame:
@@ -93,9 +93,11 @@ def identified_encounter(ranked: DataFrame, p: Params = DEFAULTS) -> DataFrame:
 
 
 def pair_counts(pairs: DataFrame, p: Params = DEFAULTS) -> DataFrame:
-    """A11 (part 1): encounters and distinct vessel pairs per list."""
+    """A11 (part 1): encounters and distinct vessel pairs per list.  Pairs that
+    carry a multiplicity (``n_copies``) count as often as that."""
+    each = F.sum("n_copies") if "n_copies" in pairs.columns else F.count(F.lit(1))
     tagged = pairs.withColumn("list", F.explode(list_tags(p)))
-    per_pair = tagged.groupBy("list", "mmsi_a", "mmsi_b").agg(F.count(F.lit(1)).alias("_e"))
+    per_pair = tagged.groupBy("list", "mmsi_a", "mmsi_b").agg(each.alias("_e"))
     return per_pair.groupBy("list").agg(F.sum("_e").alias("encounters"), F.count(F.lit(1)).alias("pairs"))
 
 
@@ -103,17 +105,29 @@ def rank_in_all(pairs: DataFrame, ranked: DataFrame, p: Params = DEFAULTS) -> Da
     """A11 (part 2): for every ranked pair of every list, its rank in the full
     all-types ordering and how many operational pairs sit ahead of it.
 
-    The probe side is the ranked lists (at most 3 x N rows, a bound set by the
-    parameter N), broadcast against the closest pair of every vessel pair; the
-    comparison is a range predicate on the ranking key, and the counts are
-    aggregated map-side."""
-    allbest = closest_per_pair(pairs).select(
-        F.struct(*_order()).alias("_k"), is_operational(p).alias("_op"))
-    targets = (_keyed(ranked).filter(F.col("rank").between(1, p.top_n))
+    The keys of the ranked frame, sorted, cut the ordering into intervals.
+    Each vessel pair is put into its interval by binary search (one row in, one
+    counter up, no pairing of pairs with targets); a cumulative sum over the
+    intervals, of which there are as many as ranked rows, gives the counts."""
+    targets = (_keyed(ranked).filter(F.col("rank") >= 1)
                .select("list", "rank", F.struct(*_order()).alias("_tk")))
-    ahead = allbest.join(F.broadcast(targets), F.col("_k") < F.col("_tk"), "inner")
-    counts = ahead.groupBy("list", "rank").agg(
-        F.count(F.lit(1)).alias("_ahead"), F.count_if(F.col("_op")).alias("operational_ahead"))
-    return (targets.select("list", "rank").join(counts, ["list", "rank"], "left")
-            .select("list", "rank", (F.coalesce(F.col("_ahead"), F.lit(0)) + 1).alias("rank_in_all"),
-                    F.coalesce(F.col("operational_ahead"), F.lit(0)).alias("operational_ahead")))
+    keys = targets.agg(F.sort_array(F.collect_set("_tk")).alias("k"))
+    best = closest_per_pair(pairs).select(F.struct(*_order()).alias("_k"), is_operational(p).alias("_op"),
+                                          keys.scalar().alias("_keys"))
+    steps = F.array(*[F.lit(1 << b) for b in range(30, -1, -1)])
+
+    def further(at, step):
+        n = at + step
+        return F.when((n <= F.size("_keys")) & (F.try_element_at("_keys", n) <= F.col("_k")), n).otherwise(at)
+
+    # pairs ahead of target i are those in intervals 0 .. i (interval: keys that are not after the pair)
+    placed = best.select("_op", F.aggregate(steps, F.lit(0), further).alias("_i"))
+    counts = placed.groupBy("_i").agg(F.count(F.lit(1)).alias("_n"), F.count_if("_op").alias("_ops"))
+    index = keys.select(F.posexplode("k").alias("_i", "_tk"))
+    both = (index.select("_i", F.lit(0).cast("long").alias("_n"), F.lit(0).cast("long").alias("_ops"), "_tk")
+            .unionByName(counts.select("_i", "_n", "_ops", F.lit(None).cast(index.schema["_tk"].dataType).alias("_tk"))))
+    w = Window.orderBy("_i").rangeBetween(Window.unboundedPreceding, Window.currentRow)  # as many rows as ranked
+    ahead = (both.select("_tk", F.sum("_n").over(w).alias("_ahead"), F.sum("_ops").over(w).alias("operational_ahead"))
+             .filter(F.col("_tk").isNotNull()))
+    return targets.join(ahead, "_tk").select("list", "rank", (F.col("_ahead") + 1).alias("rank_in_all"),
+                                             "operational_ahead")

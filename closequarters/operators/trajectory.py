@@ -1,8 +1,8 @@
 """Trajectories around ranked encounters, as Spark tables (the data a map or
 plot is drawn from): all pairs of all lists in one job.
 
-The window requests are the ranked pairs (at most 3 x N x 2 vessel rows, a
-bound fixed by the parameter N), broadcast; the ping table streams past them
+The window requests are the rows of the ranked frame, whatever its length
+(Spark broadcasts them when they are small); the ping table streams past them
 with an equi-join on (mmsi, day) plus a range residual on the timestamp.
 Joining on the ``day`` partition column lets dynamic partition pruning skip
 every day partition no request touches when the table is day-partitioned
@@ -22,16 +22,16 @@ GROUP = ("list", "rank", "mmsi")
 
 
 def window_requests(ranked: DataFrame, p: Params = DEFAULTS) -> DataFrame:
-    """One row per (list, rank <= N, vessel, day touched): both vessels'
-    windows are centred on side a's encounter time; ``own_ts_s`` is the
-    vessel's own ping.  The rank predicate also lets Spark prune the day
-    partitions of the ping table dynamically (a broadcast side with a
-    selective filter)."""
+    """One row per (list, rank, vessel, day touched), for every row of the
+    ranked frame: both vessels' windows are centred on side a's encounter time;
+    ``own_ts_s`` is the vessel's own ping.  The predicate ``rank >= 1`` cuts
+    nothing; it lets Spark prune the day partitions of the ping table
+    dynamically (a build side with a filter)."""
     half = 60 * p.trajectory_half_window_min
     centre = epoch_s("ts_a")
     sides = F.array(F.struct(F.col("mmsi_a").alias("mmsi"), epoch_s("ts_a").alias("own_ts_s")),
                     F.struct(F.col("mmsi_b").alias("mmsi"), epoch_s("ts_b").alias("own_ts_s")))
-    r = (ranked.filter(F.col("rank").between(1, p.top_n))
+    r = (ranked.filter(F.col("rank") >= 1)
                .select("list", "rank", (centre - half).alias("t_lo"), (centre + half).alias("t_hi"),
                        F.explode(sides).alias("_s")))
     days = F.sequence(F.floor(F.col("t_lo") / SECONDS_PER_DAY), F.floor(F.col("t_hi") / SECONDS_PER_DAY))
@@ -42,7 +42,7 @@ def window_requests(ranked: DataFrame, p: Params = DEFAULTS) -> DataFrame:
 
 def pair_trajectories(ranked: DataFrame, pings: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     """The pings of both vessels within ±window of every ranked encounter."""
-    req = F.broadcast(window_requests(ranked, p)).alias("r")
+    req = window_requests(ranked, p).alias("r")
     pg = pings.withColumn("ts_s", epoch_s("ts")).alias("g")
     cond = ((F.col("g.mmsi") == F.col("r.mmsi")) & (F.col("g.day") == F.col("r.day"))
             & F.col("g.ts_s").between(F.col("r.t_lo"), F.col("r.t_hi")))
@@ -81,6 +81,19 @@ def trajectory_points(traj: DataFrame) -> DataFrame:
     return traj.withColumns({"pos": F.row_number().over(w) - 1, "n_points": F.count(F.lit(1)).over(wn)})
 
 
+def path_from_geojson(lines: DataFrame) -> DataFrame:
+    """V2 read back: one row per path point (list, rank, mmsi, pos, lon, lat,
+    ts, sog, cog) parsed from the GeoJSON strings of ``trajectory_polyline``."""
+    shape = ("type string, geometry struct<type: string, coordinates: array<array<double>>>, "
+             "properties struct<ts: array<string>, sog: array<double>, cog: array<double>>")
+    f = F.from_json("geojson", shape)
+    points = F.arrays_zip(f["geometry"]["coordinates"].alias("c"), f["properties"]["ts"].alias("ts"),
+                          f["properties"]["sog"].alias("sog"), f["properties"]["cog"].alias("cog"))
+    one = lines.select(*GROUP, F.posexplode(points).alias("pos", "_p"))
+    return one.select(*GROUP, "pos", F.col("_p")["c"][0].alias("lon"), F.col("_p")["c"][1].alias("lat"),
+                      F.col("_p")["ts"].alias("ts"), F.col("_p")["sog"].alias("sog"), F.col("_p")["cog"].alias("cog"))
+
+
 def trajectory_polyline(traj: DataFrame) -> DataFrame:
     """V2: per (list, rank, vessel) the ordered path as a GeoJSON Feature
     (LineString of [lon, lat], with per-report UTC time, SOG and COG as

@@ -6,7 +6,8 @@ without touching code: ``Params(radius_nm=30.0)``.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import math
+from dataclasses import dataclass
 
 # --- Fixed values (must equal the published pipeline's constants for equal results) ---
 CENTRE_LAT = 55.225
@@ -42,29 +43,27 @@ HEADING_LOOKAHEAD = 9
 HEADING_MIN_STEP_DEG = 1e-7
 ARROW_FRACTION = 0.04
 ARROW_MIN_EXTENT_DEG = 1e-4
+MMSI_REPEATED = (111111111, 222222222, 333333333, 444444444, 555555555, 666666666, 777777777, 888888888, 999999999)
 # --- end of fixed values ---
 
 
-def repeated_digit_ids() -> tuple[int, ...]:
-    """The nine ids made of one digit repeated nine times (111111111 .. 999999999)."""
-    return tuple(int(str(d) * 9) for d in range(1, 10))
-
-
 @dataclass(frozen=True)
 class Params:
     centre_lat: float = CENTRE_LAT
     centre_lon: float = CENTRE_LON
     radius_nm: float = RADIUS_NM
     earth_radius_nm: float = EARTH_RADIUS_NM
-    bbox_lat: tuple[float, float] = BBOX_LAT
-    bbox_lon: tuple[float, float] = BBOX_LON
+    # Box of the region; None: the published box for the published circle, else
+    # the smallest box that holds the circle (see ``box``).
+    bbox_lat: tuple[float, float] | None = None
+    bbox_lon: tuple[float, float] | None = None
     min_vessel_max_sog_kn: float = MIN_VESSEL_MAX_SOG_KN
     max_plausible_speed_kn: float = MAX_PLAUSIBLE_SPEED_KN
     min_pings_per_vessel: int = MIN_PINGS_PER_VESSEL
     sog_not_available_kn: float = SOG_NOT_AVAILABLE_KN
     mmsi_range: tuple[int, int] = MMSI_RANGE
     mmsi_deny_list: tuple[int, ...] = MMSI_DENY_LIST
-    mmsi_repeated: tuple[int, ...] = field(default_factory=repeated_digit_ids)
+    mmsi_repeated: tuple[int, ...] = MMSI_REPEATED
     time_bucket_s: int = TIME_BUCKET_S
     grid_cell_m: float = GRID_CELL_M
     metres_per_deg_lat: float = METRES_PER_DEG_LAT
@@ -110,6 +109,32 @@ class Params:
     def encounter_distance_nm(self) -> float:
         return self.encounter_distance_m / METRES_PER_NM
 
+    def circle_box(self, margin_deg: float = 1e-6) -> tuple[tuple[float, float], tuple[float, float]]:
+        """Smallest (lat, lon) box that holds the circle; one that would reach a
+        pole or cross the antimeridian spans all longitudes."""
+        ang = self.radius_nm / self.earth_radius_nm
+        d = math.degrees(ang) + margin_deg
+        lat = (max(-90.0, self.centre_lat - d), min(90.0, self.centre_lat + d))
+        s = math.sin(min(ang, math.pi / 2)) / max(math.cos(math.radians(self.centre_lat)), 1e-12)
+        side = math.degrees(math.asin(s)) + margin_deg if s < 1 else 360.0
+        lon = (self.centre_lon - side, self.centre_lon + side)
+        if lat[0] == -90.0 or lat[1] == 90.0 or lon[0] < -180.0 or lon[1] > 180.0:
+            lon = (-180.0, 180.0)
+        return lat, lon
+
+    @property
+    def box(self) -> tuple[tuple[float, float], tuple[float, float]]:
+        """The (lat, lon) ranges of the region.  A box given by the caller must
+        hold the circle, so that the box test never clips it."""
+        published = (self.centre_lat, self.centre_lon, self.radius_nm) == (CENTRE_LAT, CENTRE_LON, RADIUS_NM)
+        if self.bbox_lat is None and self.bbox_lon is None:
+            return (BBOX_LAT, BBOX_LON) if published else self.circle_box()
+        need = self.circle_box(0.0)
+        lat, lon = self.bbox_lat or need[0], self.bbox_lon or need[1]
+        if lat[0] > need[0][0] or lat[1] < need[0][1] or lon[0] > need[1][0] or lon[1] < need[1][1]:
+            raise ValueError(f"the box {lat} x {lon} does not hold the circle, which needs {need}")
+        return lat, lon
+
     def validate(self) -> "Params":
         """Reject grids whose cells are narrower than the encounter distance.
 
@@ -118,9 +143,8 @@ class Params:
         that drops under the encounter distance, neighbours two cells away could
         be missed.
         """
-        import math
-
-        max_abs_lat = max(abs(self.bbox_lat[0]), abs(self.bbox_lat[1]))
+        lat, _ = self.box
+        max_abs_lat = max(abs(lat[0]), abs(lat[1]))
         width_m = self.lon_cell_deg * 111320.0 * math.cos(math.radians(max_abs_lat))
         height_m = self.lat_cell_deg * 111132.0
         if min(width_m, height_m) < self.encounter_distance_m:

@@ -34,14 +34,15 @@ def clean_stage(spark: SparkSession, pings_path: str, out: str, mids, p: Params
 
 
 def detect_stage(spark: SparkSession, clean_path: str, out: str, p: Params = DEFAULTS) -> str:
-    three_rankings(detect_encounters(spark.read.parquet(clean_path), p), p).write.mode("overwrite").parquet(out)
+    three_rankings(detect_encounters(spark.read.parquet(clean_path), p, keep_copies=True), p).write.mode("overwrite").parquet(out)
     return out
 
 
 def report_stage(spark: SparkSession, ranked_path: str, out: str, p: Params = DEFAULTS) -> DataFrame:
     ranked = spark.read.parquet(ranked_path)
-    write_pairs_json(encounter_result(ranked, p), out)
-    return spark.read.json(out)
+    result = encounter_result(ranked, p)
+    write_pairs_json(result, out)
+    return spark.read.schema(result.schema).json(out)
 
 
 def trajectory_stage(spark: SparkSession, ranked_path: str, clean_path: str, out: str,

@@ -32,6 +32,9 @@ SILENCE_OUT = ("silenced_a", "silenced_b")
 # at every scale of the fixture and a centre five hours into the month.
 WINDOW_IDS = (219000003, 265000004)
 WINDOW_CENTRE_S = 1638316800 + 5 * 3600
+READ_DAYS = ("2021-12-01", "2021-12-02")
+# Ids whose prefixes make up the derived country-prefix table.
+MID_IDS = (219000000, 264999999)
 
 
 def pings_out(df: DataFrame) -> DataFrame:
@@ -68,8 +71,13 @@ def _detected(spark, d):
     return enc.detect_encounters(_clean_table(spark, d), P)
 
 
+def _detected_distinct(spark, d):
+    """Detected pairs with their multiplicity as a column (nothing re-expanded)."""
+    return enc.detect_encounters(_clean_table(spark, d), P, keep_copies=True)
+
+
 def _ranked(spark, d):
-    return ranking.three_rankings(_detected(spark, d), P)
+    return ranking.three_rankings(_detected_distinct(spark, d), P)
 
 
 def _traj(spark, d):
@@ -103,7 +111,8 @@ def _q_expand_cells(spark, d):
 
 def _q_encounter_distance(spark, d):
     moving = flt.moving_pings(_clean(spark, d), P)
-    cand = enc.encounter_candidates(moving, replace(P, encounter_distance_m=float("inf")))
+    # candidates out to 140 m, which the 150 m grid still covers, then the 100 m test
+    cand = enc.encounter_candidates(moving, replace(P, encounter_distance_m=140.0))
     return pairs_out(flt.encounter_distance(cand, P)).select("mmsi_a", "mmsi_b", "ts_a_s", "ts_b_s", "dist_m")
 
 
@@ -154,6 +163,12 @@ def _q_geojson(spark, d):
     return trajectory.trajectory_polyline(_traj(spark, d)).select("list", "rank", "mmsi", "n_points", "geojson")
 
 
+def _q_path(spark, d):
+    """V2 read back from the GeoJSON strings, one row per path point."""
+    p = trajectory.path_from_geojson(trajectory.trajectory_polyline(_traj(spark, d)))
+    return p.withColumns({"rank": F.col("rank").cast("long"), "pos": F.col("pos").cast("long")})
+
+
 def _q_extent(spark, d):
     e = trajectory.trajectory_extent(_traj(spark, d))
     return e.select("list", F.col("rank").cast("long").alias("rank"),
@@ -193,7 +208,30 @@ def _q_parquet_roundtrip(spark, d):
 
     path = shared_dir(spark, "pings")
     write_pings(_raw(spark, d), path)
-    return pings_out(read_pings(spark, path, days=("2021-12-01", "2021-12-31")))
+    return pings_out(read_pings(spark, path))
+
+
+def _q_read_days(spark, d):
+    """S3 with a range of days (partition pruning is the feature)."""
+    from ..session import shared_dir
+    from ..sources.readers import read_pings
+    from ..sources.sinks import write_pings
+
+    path = shared_dir(spark, "pings")
+    write_pings(_raw(spark, d), path)
+    return pings_out(read_pings(spark, path, days=READ_DAYS))
+
+
+def _mid_table(spark, d):
+    """The country prefixes of a part of the id range, derived from the
+    ping table, written as CSV and read back as a reference table."""
+    from ..session import shared_dir
+    from ..sources.readers import read_mid_codes
+
+    path = shared_dir(spark, "mid-codes")
+    ids = _raw(spark, d).filter(F.col("mmsi").between(*MID_IDS))
+    (ids.select(flt.mid_prefix().alias("Digit")).distinct().write.option("header", True).csv(path))
+    return read_mid_codes(spark, path)
 
 
 def _q_json_roundtrip(spark, d):
@@ -236,8 +274,11 @@ def _q_backfill(spark, d):
 
 
 def _q_canonical(spark, d):
-    """The encounter pairs in canonical form (smaller id as side a)."""
-    return pairs_out(enc.encounter_pairs(_clean(spark, d), P))
+    """Pairs handed over with the larger id first come out in canonical
+    form (smaller id as side a, every attribute on its own side)."""
+    pairs = enc.encounter_pairs(_clean(spark, d), P)
+    side = {s: F.struct(*[F.col(f"{c}_{s}").alias(c) for c in enc.PAYLOAD]) for s in "ab"}
+    return pairs_out(enc.canonical_pairs(pairs.select(side["b"].alias("side_1"), side["a"].alias("side_2"), "dist_m")))
 
 
 def _q_rank_in_all(spark, d):
@@ -261,6 +302,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_pings_csv": _q_csv_roundtrip,
     "normalize_pings": _q_normalize,
     "write_pings": _q_parquet_roundtrip,
+    "read_pings": _q_read_days,
+    "read_mid_codes": lambda s, d: _mid_table(s, d).select(F.col("mid").cast("long").alias("mid")),
+    "mmsi_mid_filter_table": lambda s, d: pings_out(flt.mmsi_mid_filter(_raw(s, d), _mid_table(s, d))),
+    "trajectory_path": _q_path,
     "write_pairs_json": _q_json_roundtrip,
     "streaming_ingest": _q_streaming_ingest,
     "ingest_summary": _q_ingest_summary,
@@ -313,7 +358,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_encounters": _q_top_encounters,
     "three_rankings": lambda s, d: _q_ranked_out(_ranked(s, d)),
     "ranked_pair": lambda s, d: _q_ranked_out(ranking.ranked_pair(_ranked(s, d), "all", 1)),
-    "pair_counts": lambda s, d: ranking.pair_counts(_detected(s, d), P),
+    "pair_counts": lambda s, d: ranking.pair_counts(_detected_distinct(s, d), P),
     "rank_in_all": _q_rank_in_all,
     "encounter_result": lambda s, d: _q_result(ranking.encounter_result(_ranked(s, d), P)),
     "identified_encounter": lambda s, d: _q_result(ranking.identified_encounter(_ranked(s, d), P)),

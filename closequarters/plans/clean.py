@@ -4,12 +4,13 @@ Stage order is the published one: circle -> SOG sentinels -> id checks and
 moving vessels -> GPS-jump outliers -> thin tracks -> name/type backfill.
 
 Physical plan at scale: the jump test needs each vessel's pings in time
-order, which is one shuffle by (vessel, time chunk).  Everything else is
-per-vessel statistics (partial aggregation) joined back once.  Because the
-moving-vessel and thin-track tests drop whole vessels and the jump test only
-looks inside one vessel, the jump test can run before them with the same
-result; so the big table is shuffled for the ordered window once and joined
-with one small vessel table at the end.
+order, which is one exchange of the pings by (vessel, time chunk).  Everything
+else is per-vessel statistics (partial aggregation) joined back once.  Because
+the moving-vessel and thin-track tests drop whole vessels and the jump test
+only looks inside one vessel, the jump test can run before them with the same
+result.  ``clean_pings`` writes the jump-kept rows to the shared folder, so the
+window runs once and both the vessel table and the final join start from that
+copy; the per-stage views stay lazy.
 """
 from __future__ import annotations
 
@@ -18,20 +19,21 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.timecols import epoch_s
 from ..operators.filters import in_circle, mmsi_checks, within_radius
 from ..operators.jumps import gps_jump_filter
 from ..operators.projections import backfill_static, normalize_sog
-from ..functions.timecols import epoch_s
 from ..params import DEFAULTS, UNDEFINED_SHIP_TYPE, Params
+from ..session import shared_dir
 
 
 class CleanStages:
     """The clean pipeline's intermediate tables, built on first use (each is
     a lazy DataFrame; building only the ones asked for keeps plan analysis
-    cheap)."""
+    cheap).  With ``cut`` the jump-kept rows are written once and reread."""
 
-    def __init__(self, raw: DataFrame, mids, p: Params = DEFAULTS):
-        self.raw, self.mids, self.p = raw, mids, p
+    def __init__(self, raw: DataFrame, mids, p: Params = DEFAULTS, cut: bool = False):
+        self.raw, self.mids, self.p, self.cut = raw, mids, p, cut
 
     @cached_property
     def spatial(self) -> DataFrame:          # F2
@@ -43,7 +45,12 @@ class CleanStages:
 
     @cached_property
     def kept(self) -> DataFrame:             # W1 on every vessel (before J1, same rows)
-        return gps_jump_filter(self.checked, self.p)
+        kept = gps_jump_filter(self.checked, self.p)
+        if not self.cut:
+            return kept
+        path = shared_dir(kept.sparkSession, "jump-kept")
+        kept.write.parquet(path)
+        return kept.sparkSession.read.schema(kept.schema).parquet(path)
 
     @cached_property
     def vessels(self) -> DataFrame:          # one row per vessel
@@ -77,13 +84,13 @@ class CleanStages:
 
 
 def vessel_table(checked: DataFrame, kept: DataFrame, p: Params = DEFAULTS) -> DataFrame:
-    """One row per vessel from two partial aggregations: highest speed over
-    all checked pings; pings kept by the jump test, their first name and their
-    modal specific type (``mode`` keeps a small value->count map per vessel;
-    ties go to the smallest type)."""
+    """One row per vessel from two partial aggregations: number and highest
+    speed of all checked pings; pings kept by the jump test, their first name
+    and their modal specific type (``mode`` keeps a small value->count map per
+    vessel; ties go to the smallest type)."""
     named = F.when(F.col("name").isNotNull(), F.struct(epoch_s("ts").alias("t"), F.col("name").alias("n")))
     specific = F.when(F.col("ship_type").isNotNull() & (F.col("ship_type") != UNDEFINED_SHIP_TYPE), F.col("ship_type"))
-    vmax = checked.groupBy("mmsi").agg(F.max("sog").alias("max_sog"))
+    vmax = checked.groupBy("mmsi").agg(F.max("sog").alias("max_sog"), F.count(F.lit(1)).alias("n_checked"))
     vkept = kept.groupBy("mmsi").agg(F.count(F.lit(1)).alias("n_kept"), F.min(named).getField("n").alias("vessel_name"),
                                      F.mode(specific, True).alias("modal_type"))
     v = vmax.join(vkept, "mmsi", "left")
@@ -91,32 +98,34 @@ def vessel_table(checked: DataFrame, kept: DataFrame, p: Params = DEFAULTS) -> D
                     (F.coalesce(F.col("n_kept"), F.lit(0)) >= F.lit(p.min_pings_per_vessel)).alias("is_dense"))
 
 
-def clean_stages(raw: DataFrame, mids, p: Params = DEFAULTS) -> CleanStages:
-    return CleanStages(raw, mids, p)
+def clean_stages(raw: DataFrame, mids, p: Params = DEFAULTS, cut: bool = False) -> CleanStages:
+    return CleanStages(raw, mids, p, cut)
 
 
-def clean_pings(raw: DataFrame, mids, p: Params = DEFAULTS) -> DataFrame:
-    """Q1: the clean ping table (same 13 columns as the input)."""
-    return clean_stages(raw, mids, p).clean.select(*raw.columns)
+def clean_pings(raw: DataFrame, mids, p: Params = DEFAULTS, cut: bool = True) -> DataFrame:
+    """Q1: the clean ping table (same 13 columns as the input).  ``cut`` writes
+    the jump-kept rows to the shared folder once; without it the plan is lazy
+    and runs the jump window twice."""
+    return clean_stages(raw, mids, p, cut).clean.select(*raw.columns)
 
 
 def stage_funnel(raw: DataFrame, mids, p: Params = DEFAULTS) -> DataFrame:
     """A10: rows after each clean stage, rows dropped and % of the previous stage.
 
-    Three one-row aggregations instead of one pipeline per stage: the raw scan
-    counts input and in-circle rows; the checked pings of moving vessels give
-    the id+moving stage; the jump-kept pings joined with the vessel flags
-    give the jump and sparsity stages in one pass.  Two rows enter as scalar
-    subqueries and the five counts are unpivoted with ``inline``."""
-    s = clean_stages(raw, mids, p)
-    flags = s.vessels.select("mmsi", "is_moving", "is_dense")
-    mv, dn = F.col("is_moving"), F.col("is_dense")
-    moving = s.checked.join(s.moving_ids, "mmsi", "left_semi").agg(F.count(F.lit(1))).scalar()
-    later = (s.kept.join(flags, "mmsi", "inner")
-             .agg(F.struct(F.count_if(mv).alias("j"), F.count_if(mv & dn).alias("s")).alias("c"))).scalar()
+    Input and in-circle rows come from one scan of the raw table; the three
+    later stages are sums over the vessel table (checked and kept pings per
+    vessel), so the jump window is the only wide step.  The counts of one side
+    enter as a scalar subquery and all five are unpivoted with ``inline``."""
+    v = clean_stages(raw, mids, p).vessels
+    moving, dense = F.col("is_moving"), F.col("is_moving") & F.col("is_dense")
+
+    def rows(col, cond):
+        return F.coalesce(F.sum(F.when(cond, F.col(col))), F.lit(0))
+
+    later = v.agg(F.struct(rows("n_checked", moving).alias("m"), rows("n_kept", moving).alias("j"),
+                           rows("n_kept", dense).alias("s")).alias("c")).scalar()
     first = raw.agg(F.count(F.lit(1)).alias("n0"), F.count_if(in_circle(p)).alias("n1"))
-    counts = first.select(moving.alias("m"), later.getField("j").alias("j"),
-                          later.getField("s").alias("s"), "n0", "n1").select(
+    counts = first.select("n0", "n1", later.alias("c")).select("n0", "n1", "c.*").select(
         F.inline(F.array(*[F.struct(F.lit(no).cast("long").alias("stage_no"), F.lit(name).alias("stage"),
                                     F.col(c).cast("long").alias("rows"))
                            for no, name, c in ((1, "input", "n0"), (2, "spatial", "n1"), (3, "mmsi_moving", "m"),

@@ -4,7 +4,8 @@ checkpoint folder and continue from the written copy.
 Used where a plan reuses one table many times (the clean table feeds the
 self-join, the silence profile, the table end and the trajectories): the
 tree below it is computed once, and a lost executor only costs the tasks of
-the current stage, not a recomputation of the clean pipeline.
+the current stage, not a recomputation of the clean pipeline.  The copies lie
+in the application's folder; ``session.clear_shared`` removes them together.
 """
 from __future__ import annotations
 
@@ -23,11 +24,3 @@ def persist_pings(df: DataFrame, name: str = "clean") -> DataFrame:
     path = shared_dir(spark, name)
     write_pings(df, path)
     return spark.read.parquet(path)
-
-
-def persist(df: DataFrame, name: str) -> DataFrame:
-    """Write any table as Parquet and read it back."""
-    spark = df.sparkSession
-    path = shared_dir(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)

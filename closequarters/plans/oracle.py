@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from ..params import DEFAULTS, FIXTURE_MID_CODES, METRES_PER_NM, UNDEFINED_SHIP_TYPE
 from ..sources.fixture import FIXTURE_SQL
-from .catalog import WINDOW_CENTRE_S, WINDOW_IDS
+from .catalog import MID_IDS, READ_DAYS, WINDOW_CENTRE_S, WINDOW_IDS
 
 P = DEFAULTS
 
@@ -44,8 +44,8 @@ OPS = strs(P.operational_types)
 
 CTE = {}
 CTE["pings"] = FIXTURE_SQL
-CTE["spatial"] = (f"SELECT * FROM pings WHERE lat BETWEEN {f(P.bbox_lat[0])} AND {f(P.bbox_lat[1])} "
-                  f"AND lon BETWEEN {f(P.bbox_lon[0])} AND {f(P.bbox_lon[1])} "
+CTE["spatial"] = (f"SELECT * FROM pings WHERE lat BETWEEN {f(P.box[0][0])} AND {f(P.box[0][1])} "
+                  f"AND lon BETWEEN {f(P.box[1][0])} AND {f(P.box[1][1])} "
                   f"AND {hav(f(P.centre_lat), f(P.centre_lon), 'lat', 'lon')} <= {f(P.radius_nm)}")
 SOG_NORM = (f"CASE WHEN sog < 0 THEN 0e0 WHEN sog >= {f(P.sog_not_available_kn)} THEN 0e0 ELSE sog END")
 MMSI_OK = (f"mmsi IS NOT NULL AND mmsi BETWEEN {P.mmsi_range[0]} AND {P.mmsi_range[1]} "
@@ -177,6 +177,13 @@ HEAD_J = ("SELECT s.list, s.rank, s.mmsi, s.k, s.i, c.pos AS j, s.x0, s.y0, c.lo
 ORACLES: dict[str, str] = {
     "read_pings_csv": q(f"SELECT {PING_COLS} FROM pings", "pings"),
     "write_pings": q(f"SELECT {PING_COLS} FROM pings", "pings"),
+    "read_pings": q(f"SELECT {PING_COLS} FROM pings WHERE {DAY} BETWEEN '{READ_DAYS[0]}' AND '{READ_DAYS[1]}'", "pings"),
+    "read_mid_codes": q(f"SELECT DISTINCT CAST(floor(mmsi / 1e6) AS BIGINT) AS mid FROM pings WHERE mmsi BETWEEN "
+                        f"{MID_IDS[0]} AND {MID_IDS[1]}", "pings"),
+    "mmsi_mid_filter_table": q(f"SELECT {PING_COLS} FROM pings WHERE floor(mmsi / 1e6) IN (SELECT floor(mmsi / 1e6) "
+                               f"FROM pings WHERE mmsi BETWEEN {MID_IDS[0]} AND {MID_IDS[1]})", "pings"),
+    "trajectory_path": q("SELECT list, rank, mmsi, pos, lon, lat, " + ISO.format(c="ts_s") + " AS ts, sog, cog FROM tpos",
+                         "tpos"),
     "normalize_pings": q(f"SELECT {PING_COLS} FROM pings", "pings"),
     "backfill_static": q(f"SELECT {PING_COLS} FROM clean", "clean"),
     "enrich_silence": q(f"SELECT {PAIR_COLS}, silenced_a, silenced_b FROM enc", "enc"),
@@ -206,8 +213,8 @@ ORACLES: dict[str, str] = {
                         f"max({DAY}) AS last_day FROM pings", "pings"),
     "haversine": q(f"SELECT ts_s, mmsi, lat, lon, round({hav(f(P.centre_lat), f(P.centre_lon), 'lat', 'lon')}, 7) "
                    "AS dist_centre_nm FROM pings", "pings"),
-    "bbox_filter": q(f"SELECT {PING_COLS} FROM pings WHERE lat BETWEEN {f(P.bbox_lat[0])} AND {f(P.bbox_lat[1])} "
-                     f"AND lon BETWEEN {f(P.bbox_lon[0])} AND {f(P.bbox_lon[1])}", "pings"),
+    "bbox_filter": q(f"SELECT {PING_COLS} FROM pings WHERE lat BETWEEN {f(P.box[0][0])} AND {f(P.box[0][1])} "
+                     f"AND lon BETWEEN {f(P.box[1][0])} AND {f(P.box[1][1])}", "pings"),
     "within_radius": q(f"SELECT {PING_COLS} FROM spatial", "spatial"),
     "valid_mmsi_range": q(f"SELECT {PING_COLS} FROM pings WHERE mmsi IS NOT NULL AND mmsi BETWEEN "
                           f"{P.mmsi_range[0]} AND {P.mmsi_range[1]}", "pings"),

@@ -12,7 +12,7 @@ from .materialize import persist_pings
 
 def rankings(clean: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     """Top N of the three lists for a clean table (T2 over Q2)."""
-    return three_rankings(detect_encounters(clean, p), p)
+    return three_rankings(detect_encounters(clean, p, keep_copies=True), p)
 
 
 def encounter_report(raw: DataFrame, mids, p: Params = DEFAULTS) -> DataFrame:

@@ -5,6 +5,7 @@ fill in settings that are unset (a cluster's own configuration wins).
 """
 from __future__ import annotations
 
+import atexit
 import os
 import uuid
 
@@ -35,17 +36,36 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh directory under the cluster's shared ``spark.checkpoint.dir``.
+def shared_base(spark: SparkSession) -> str:
+    """The folder of this application under the cluster's ``spark.checkpoint.dir``.
 
-    The checkpoint directory is read from the session; only when it is unset
-    (local tests) is one under the system temp folder set.
+    The setting is read from the session.  Only a ``local[...]`` master, whose
+    executors are threads of the driver, may leave it unset: then a folder of
+    the driver's machine is set and removed when the process ends.  Any other
+    master without a shared folder is an error, since executors would write
+    where nobody else can read.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        import shutil
         import tempfile
 
         base = tempfile.mkdtemp(prefix="cq-checkpoints-")
-        spark.sparkContext.setCheckpointDir(base)
-    base = str(base).rstrip("/")
-    return f"{base}/closequarters/{name}-{uuid.uuid4().hex[:12]}"
+        sc.setCheckpointDir(base)
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return f"{str(base).rstrip('/')}/closequarters/{sc.applicationId}"
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A fresh directory in the application's shared folder."""
+    return f"{shared_base(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_shared(spark: SparkSession) -> None:
+    """Remove every intermediate table of this application.  Call it when the
+    results that were built on them have been written or collected."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_base(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -34,10 +34,15 @@ def pairs_for_json(df: DataFrame) -> DataFrame:
 
 
 def write_pairs_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """A ranked list as JSON records (JSON Lines).  Lists are top-N sized, so a
-    single output file is bounded by N."""
+    """A ranked list as JSON records (JSON Lines) in one sorted file.
+
+    Only ranked frames (top-N lists, with a ``rank``) are taken, since one file
+    is written by one task; the rows are shuffled there, so the stages before
+    keep their parallelism."""
+    if "rank" not in df.columns:
+        raise ValueError("write_pairs_json takes ranked lists; write other pair tables as Parquet")
     order = [c for c in ("list", "rank") if c in df.columns]
-    pairs_for_json(df).coalesce(1).sortWithinPartitions(*order).write.mode(mode).json(path)
+    pairs_for_json(df).repartition(1).sortWithinPartitions(*order).write.mode(mode).json(path)
 
 
 def raw_from_pings(pings: DataFrame) -> DataFrame:

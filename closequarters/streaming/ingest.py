@@ -17,11 +17,14 @@ from ..sources.schema import RAW_SCHEMA
 
 
 def ingest_stream(spark: SparkSession, src_dir: str, out_dir: str, checkpoint: str,
-                  available_now: bool = False, max_files_per_trigger: int = 1) -> StreamingQuery:
-    raw = (spark.readStream.schema(RAW_SCHEMA)
-           .option("header", True).option("mode", "PERMISSIVE").option("nullValue", "")
-           .option("maxFilesPerTrigger", max_files_per_trigger)
-           .csv(src_dir))
+                  available_now: bool = False, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Every micro-batch takes all files that are new; ``max_files_per_trigger``
+    bounds a batch (for example the first one over a large backlog)."""
+    reader = (spark.readStream.schema(RAW_SCHEMA)
+              .option("header", True).option("mode", "PERMISSIVE").option("nullValue", ""))
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    raw = reader.csv(src_dir)
     w = (normalize_pings(raw).writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).partitionBy("day"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from closequarters.functions.geo import bbox_for_circle, haversine_nm
+from closequarters.functions.geo import haversine_nm
 from closequarters.operators import ranking
 from closequarters.operators.encounters import detect_encounters
 from closequarters.params import DEFAULTS, FIXTURE_MID_CODES
@@ -32,9 +32,9 @@ def test_independent_of_partitioning_and_order(spark):
 
 
 def test_bbox_holds_circle():
-    (lat0, lat1), (lon0, lon1) = bbox_for_circle(DEFAULTS.centre_lat, DEFAULTS.centre_lon, DEFAULTS.radius_nm)
-    assert DEFAULTS.bbox_lat[0] <= lat0 and lat1 <= DEFAULTS.bbox_lat[1]
-    assert DEFAULTS.bbox_lon[0] <= lon0 and lon1 <= DEFAULTS.bbox_lon[1]
+    (lat0, lat1), (lon0, lon1) = DEFAULTS.circle_box()
+    assert DEFAULTS.box[0][0] <= lat0 and lat1 <= DEFAULTS.box[0][1]
+    assert DEFAULTS.box[1][0] <= lon0 and lon1 <= DEFAULTS.box[1][1]
     # points on the circle are inside the computed box
     R = DEFAULTS.earth_radius_nm
     la, lo = math.radians(DEFAULTS.centre_lat), math.radians(DEFAULTS.centre_lon)
