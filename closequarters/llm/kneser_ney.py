@@ -133,39 +133,35 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 class LogRatio:
     """log P(symbol | history, toxic) - log P(symbol | history, ordinary)."""
 
-    def __init__(self, codes: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray):
-        suffix = codes.astype(np.int64) & (HISTORIES - 1)
-        shared = self._shared(suffix)
+    def __init__(self, codes: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, tail: np.ndarray,
+                 suffix_types: np.ndarray):
+        """Grams of the labelled rows (code, counts, most frequent suffix) and
+        the number of distinct grams of the corpus per suffix."""
+        shared = self._shared(suffix_types)
+        codes = codes.astype(np.int64)
+        h = codes >> BITS
         log_p, lam = [], []
-        seen = (toxic > 0) | (ordinary > 0)
-        # suffixes of one gram (a word's beginning may lie further back, or hashes meet): the most frequent stands for it
-        own, at = np.unique(codes[seen].astype(np.int64) >> (BITS * (ORDER - 1)), return_inverse=True)
-        order = np.argsort((toxic + ordinary)[seen], kind="stable")
-        tail = np.zeros(len(own), np.int64)
-        tail[at[order]] = suffix[seen][order]
-        for count in (np.bincount(at, toxic[seen], len(own)), np.bincount(at, ordinary[seen], len(own))):
-            total = np.bincount(own >> BITS, count, HISTORIES)
-            types = np.bincount(own >> BITS, count > 0, HISTORIES)
+        for count in (toxic.astype(float), ordinary.astype(float)):
+            total = np.bincount(h, count, HISTORIES)
+            types = np.bincount(h, count > 0, HISTORIES)
             back = np.where(total > 0, DISCOUNT * types / np.maximum(total, 1), 1.0)
-            h = own >> BITS
             p = np.maximum(count - DISCOUNT, 0) / np.maximum(total[h], 1) + back[h] * shared[tail]
             log_p.append(np.log(p))
             lam.append(np.log(back))
-        self.codes = own.astype(np.uint32)
+        self.codes = codes.astype(np.uint32)
         self.ratio = (log_p[0] - log_p[1]).astype(np.float16)
         self.unseen = (lam[0] - lam[1]).astype(np.float16)
         self._dense = None
 
     @staticmethod
-    def _shared(suffix: np.ndarray) -> np.ndarray:
+    def _shared(types: np.ndarray) -> np.ndarray:
         """P(last symbol | the three before it) by interpolated Kneser-Ney;
-        ``suffix`` has one entry for every distinct longer gram, so counts are
-        continuation counts at every order."""
-        levels, size, types = [], HISTORIES, suffix
-        for _ in range(ORDER - 1):
-            count = np.bincount(types & (size - 1), minlength=size)
-            levels.append(count)
-            types, size = np.flatnonzero(count), size >> BITS
+        ``types`` has the number of distinct longer grams per suffix, so
+        counts are continuation counts at every order."""
+        levels = [types]
+        while len(levels) < ORDER - 1:
+            size = len(levels[-1]) >> BITS
+            levels.append(np.bincount(np.flatnonzero(levels[-1]) & (size - 1), minlength=size))
         p = np.full(1 << BITS, 2.0 ** -BITS)
         for count in reversed(levels):
             m = count.reshape(-1, 1 << BITS).astype(float)
@@ -239,9 +235,18 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id
     train = cut(training_labels(labels, id_col, label_col, max_labelled), "op5-labels")
     known = F.broadcast(train.filter(F.col("_fold") != CALIBRATION_FOLD).select("_id", F.col("_label").alias("_class")))
     counts = gram_counts(texts.join(known, F.col("doc_id") == F.col("_id"), "left"))
-    table = cut(counts, "op5-grams").select("code", "n_toxic", "n_ordinary").toArrow()
-    grams = [table.column(i).to_numpy() for i in range(3)]
-    model = spark.sparkContext.broadcast(LogRatio(*grams))
+    table = cut(counts, "op5-grams").withColumns({
+        "suffix": (F.col("code") % HISTORIES).cast("int"), "gram": F.shiftright("code", BITS * (ORDER - 1)).cast("int")})
+    types = table.groupBy("suffix").agg(F.count(F.lit(1)).alias("n")).toArrow()  # at most 2**20 rows
+    suffix_types = np.zeros(HISTORIES, np.int64)
+    suffix_types[types.column(0).to_numpy()] = types.column(1).to_numpy()
+    seen = F.col("n_toxic") + F.col("n_ordinary")
+    # at most GRAMS rows, and no more than the bounded labelled sample holds
+    grams = (table.filter(seen > 0).groupBy("gram")
+             .agg(F.sum("n_toxic").cast("int").alias("n_toxic"), F.sum("n_ordinary").cast("int").alias("n_ordinary"),
+                  F.max(F.struct(seen.alias("n"), "suffix")).getField("suffix").alias("suffix")).toArrow())
+    columns = [grams.column(i).to_numpy() for i in range(4)]
+    model = spark.sparkContext.broadcast(LogRatio(*columns, suffix_types))
 
     def run(batches):
         import pyarrow as pa
