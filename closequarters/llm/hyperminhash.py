@@ -11,12 +11,14 @@
 3. Bands of four registers are exactly one 64-bit integer.  Every member of a
    band bucket is paired with the bucket's most connected member only (a star),
    and the links found are contracted.  Members of one bucket that still lie in
-   different components are then compared in blocks of ``BLOCK``: a task holds
-   two blocks of sketches and full shingle-hash sets, compares every pair of
-   different components once (in the first band it shares), and returns the
-   links that join components, at most as many as it holds members.  So no group
-   emits its pairs, a group of copies costs a few links a member, and a bucket
-   full of similar but unlinked texts still loses no link.
+   different components are compared by their sketches, in blocks of ``BLOCK``;
+   a task returns the pairs of components that a similar pair joins, at most as
+   many as it holds members.  Components joined so, directly or by others, are
+   one group, and every pair that a link may join lies in one group.  Then each
+   group's members are compared once, again in blocks, by sketches and full
+   shingle-hash sets.  So no bucket or group emits its pairs, a full set travels
+   once per block of its group and not once per bucket, and a bucket full of
+   similar but unlinked texts still loses no link.
 4. Pairs must pass the collision-corrected Jaccard estimate of the sketches,
    then the exact test on the full shingle sets of the texts.
 
@@ -25,6 +27,7 @@ At similarity 0.8 a pair shares no band with probability (1 - 0.8**4)**32 =
 """
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -206,95 +209,125 @@ def verified_pairs(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> D
                        "a long, b long")
 
 
-def block_links(mixed: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """Links (a, b) between components of one bucket.  ``mixed``: band, value,
-    rep, comp, size (members of the bucket); ``sets``: rep, bands, hashes."""
+def dealt_blocks(rows: DataFrame, key: str, block: int) -> DataFrame:
+    """``rows`` (key, size, rep, comp and payload; size: rows of the key), dealt
+    and sorted so that each pair (i, j) of a key's blocks meets in one task."""
     blocks = F.ceil(F.col("size") / block).cast("int")
-    rows = mixed.select("band", "value", "rep", "comp", blocks.alias("blocks"),
-                        F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("own"))
-    rows = rows.select("band", "value", "rep", "comp", "own",
-                       F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = rows.select("band", "value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                       "own", "rep", "comp").join(sets, "rep")
-    keys = ["band", "value", "i", "j"]
-    dealt = rows.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, "rep")
+    rows = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+    keys = [key, "i", "j"]
+    return (rows.drop("size", "blocks", "other").repartition(*map(F.col, keys)).sortWithinPartitions(*keys, "rep"))
+
+
+def block_groups(batches, key: str, arrays: list[str]):
+    """Per (key, i, j): i, j and the members (own, rep, comp, one array each)."""
+    held, at = [], None
+    for batch in batches:
+        plain = list(zip(*(batch.column(c).to_pylist() for c in (key, "i", "j", "own", "rep", "comp")), strict=True))
+        flat = [batch.column(c).flatten().to_numpy().view(np.uint64) for c in arrays]
+        ends = [np.append(0, np.cumsum(batch.column(c).value_lengths().to_numpy())) for c in arrays]
+        for r, row in enumerate(plain):
+            if row[:3] != at:
+                if len(held) > 1:
+                    yield *at[1:], held
+                held, at = [], row[:3]
+            held.append((*row[3:], *(f[e[r]:e[r + 1]] for f, e in zip(flat, ends, strict=True))))
+    if len(held) > 1:
+        yield *at[1:], held
+
+
+def joining_pairs(i: int, j: int, members: list, size_of: Callable, percent: int, exact: bool):
+    """Pairs (x, y, label of x, label of y) of the members of two blocks whose
+    sketches (and sets, if ``exact``) are similar enough and which join two
+    components; components joined here count as one from then on."""
+    left = [m for m in members if m[0] == i]
+    right = left if i == j else [m for m in members if m[0] == j]
+    if not left or not right:
+        return
+    left_label = np.array([m[2] for m in left])
+    label = left_label if i == j else np.array([m[2] for m in right])
+    n = np.array([size_of(m) for m in right], float)
+    sketch = np.array([m[3].view("<u2") for m in right])
+    for x, m in enumerate(left):
+        size = float(size_of(m))
+        far = (label != left_label[x]) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size))
+        if i == j:
+            far[:x + 1] = False
+        near = np.flatnonzero(far)
+        if not len(near):
+            continue
+        p = random_collision(n[near], np.full(len(near), size))
+        agree = (sketch[near] == m[3].view("<u2")).mean(1)
+        near = near[(agree - p) / (1 - p) >= percent / 100 - MARGIN]
+        for part in np.split(near, range(64, len(near), 64)):
+            part = part[label[part] != left_label[x]]
+            if exact and len(part):
+                both = common_counts(m[4], [right[y][4] for y in part])
+                part = part[100 * both >= percent * (size + n[part] - both)]
+            for y in part:
+                a, b = left_label[x], label[y]
+                if a != b:
+                    yield m, right[y], int(a), int(b)
+                    left_label[left_label == max(a, b)] = min(a, b)
+                    label[label == max(a, b)] = min(a, b)
+
+
+def common_counts(mine: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of a sorted set with other, non-empty ones."""
+    flat = np.concatenate(others)
+    hit = mine[np.minimum(np.searchsorted(mine, flat), len(mine) - 1)] == flat
+    starts = np.append(0, np.cumsum([len(o) for o in others]))[:-1]
+    return np.add.reduceat(hit.astype(np.int64), starts)
+
+
+def similar_components(mixed: DataFrame, reps: DataFrame, percent: int, block: int) -> DataFrame:
+    """Pairs (a, b) of components that share a bucket and hold there a pair of
+    members with similar sketches, up to those that follow from other pairs.
+    ``mixed``: bucket, rep, comp, size; ``reps``: rep, n, bands."""
+    rows = mixed.join(reps.select("rep", F.concat(F.array("n"), "bands").alias("sketch")), "rep")
 
     def run(batches):
         import pyarrow as pa
 
-        def links(group):
-            band, (i, j) = group[0][0], group[0][2:4]
-            low = {m[6]: m[6] for m in group}
-
-            def root(c):
-                while low[c] != c:
-                    c = low[c]
-                return c
-
-            left = [m for m in group if m[4] == i]
-            right = left if i == j else [m for m in group if m[4] == j]
-            if not left or not right:
-                return
-            bands = np.array([m[7] for m in right])
-            n = np.array([len(m[8]) for m in right])
-            comps = np.array([m[6] for m in right])
-            for x, m in enumerate(left):
-                mine, size = np.array(m[7]), len(m[8])
-                far = comps != m[6]
-                far &= 100 * np.minimum(n, size) >= percent * np.maximum(n, size)
-                if i == j:
-                    far[:x + 1] = False
-                near = np.flatnonzero(far)
-                if not len(near):
-                    continue
-                same = bands[near] == mine
-                near, same = near[same.argmax(1) == band], same[same.argmax(1) == band]
-                agree = (bands[near].view("<u2") == mine.view("<u2")).mean(1)
-                p = random_collision(n[near].astype(float), np.full(len(near), float(size)))
-                for y in near[(agree - p) / (1 - p) >= percent / 100 - MARGIN]:
-                    a, b = root(m[6]), root(int(comps[y]))
-                    if a == b:
-                        continue
-                    both = len(np.intersect1d(m[8], right[y][8], assume_unique=True))
-                    if 100 * both >= percent * (size + int(n[y]) - both):
-                        low[max(a, b)] = min(a, b)
-                        yield min(m[5], right[y][5]), max(m[5], right[y][5])
-
-        def groups():
-            held, key = [], None
-            for batch in batches:
-                names = ["band", "value", "i", "j", "own", "rep", "comp"]
-                plain = list(zip(*(batch.column(c).to_pylist() for c in names), strict=True))
-                flat = [batch.column(c).flatten().to_numpy() for c in ("bands", "hashes")]
-                ends = [np.append(0, np.cumsum(batch.column(c).value_lengths().to_numpy())) for c in ("bands", "hashes")]
-                for r, row in enumerate(plain):
-                    if row[:4] != key:
-                        if len(held) > 1:
-                            yield held
-                        held, key = [], row[:4]
-                    held.append((*row, *(f[e[r]:e[r + 1]] for f, e in zip(flat, ends, strict=True))))
-            if len(held) > 1:
-                yield held
-
-        for group in groups():
-            found = list(links(group))
+        for i, j, members in block_groups(batches, "bucket", ["sketch"]):
+            cut_up = [(*m[:3], m[3][1:], int(m[3][0])) for m in members]
+            found = [(min(a, b), max(a, b)) for *_, a, b in joining_pairs(i, j, cut_up, lambda m: m[4], percent, False)]
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"])
 
-    return map_batches(dealt.select(*keys, "own", "rep", "comp", "bands", "hashes"), run, "a long, b long")
+    return map_batches(dealt_blocks(rows, "bucket", block), run, "a long, b long")
 
 
-def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
-    """rep, hashes: the full sorted set of shingle hashes of every document."""
-    def run(batches):
+def group_links(members: DataFrame, texts: DataFrame, k: int, percent: int, block: int) -> DataFrame:
+    """Links (a, b) that join components of one group, by full sets.
+    ``members``: group, rep, comp, size; ``texts``: doc_id, text."""
+    def hashed(batches):
         import pyarrow as pa
 
         for batch in batches:
-            for part, texts in text_slices(batch, 64):
-                sets = [shingle_hashes(words_of(t), k).view("<i8") for t in texts]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], ["rep", "hashes"])
+            for part, texts in text_slices(batch, 64, 4):
+                sets = [shingle_hashes(words_of(t), k) for t in texts]
+                some = [s for s, h in enumerate(sets) if len(h)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c).take(pa.array(some, pa.int64())) for c in range(4)),
+                     pa.array([registers(sets[s]).view("<i8") for s in some], pa.list_(pa.int64())),
+                     pa.array([sets[s].view("<i8") for s in some], pa.list_(pa.int64()))],
+                    ["group", "rep", "comp", "size", "bands", "hashes"])
+
+    plain = members.join(texts, F.col("rep") == F.col("doc_id")).select("group", "rep", "comp", "size", "text")
+    sets = map_batches(plain, hashed, "group long, rep long, comp long, size long, bands array<long>, hashes array<long>")
+
+    def run(batches):
+        import pyarrow as pa
+
+        for i, j, found in block_groups(batches, "group", ["bands", "hashes"]):
+            links = [(min(x[1], y[1]), max(x[1], y[1]))
+                     for x, y, *_ in joining_pairs(i, j, found, lambda m: len(m[4]), percent, True)]
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links, strict=True)], ["a", "b"])
 
-    return map_batches(docs.select("doc_id", "text"), run, "rep long, hashes array<long>")
+    return map_batches(dealt_blocks(sets, "group", block), run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id",
@@ -313,34 +346,34 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = P
     linked = sk.filter("digest is not null and doc_id is not null")
     classes = cut(linked.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
                                                F.first("bands").alias("bands")), "op8-classes")
-    reps = classes.select("rep", "n", "bands")
-    members = reps.select("rep", F.posexplode("bands").alias("band", "value"))
-    shared = (members.groupBy("band", "value").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
-    members = cut(members.join(shared, ["band", "value"]), "op8-members")
-    # the member that shares most buckets with others is likeliest to be linked with them
+    members = (classes.select("rep", F.posexplode("bands").alias("band", "value"))
+               .select("rep", F.xxhash64("band", "value").alias("bucket")))
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = cut(members.join(shared, "bucket"), "op8-members")
     weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
-    pivots = (members.join(weight, "rep").groupBy("band", "value")
+    reps = cut(classes.select("rep", "n", "bands").join(weight, "rep"), "op8-reps")
+    texts = cut(plain.join(reps.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi").distinct(), "op8-texts")
+    # the member that shares most buckets with others is likeliest to be linked with them
+    pivots = (members.join(reps.select("rep", "weight"), "rep").groupBy("bucket")
               .agg(F.max(F.struct("weight", (-F.col("rep")).alias("back"))).alias("_p"))
-              .select("band", "value", (-F.col("_p.back")).alias("pivot")))
-    pairs = (members.join(pivots, ["band", "value"]).filter("rep <> pivot")
+              .select("bucket", (-F.col("_p.back")).alias("pivot")))
+    pairs = (members.join(pivots, "bucket").filter("rep <> pivot")
              .select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct())
-
-    def texts_of(ids: DataFrame, name: str) -> DataFrame:
-        wanted = ids.select(F.col("_n")).distinct()
-        return cut(plain.join(wanted, F.col("doc_id") == F.col("_n"), "left_semi").distinct(), name)
-
     likely = cut(likely_pairs(pairs, reps, percent), "op8-likely")
-    ends = likely.select(F.col("a").alias("_n")).unionByName(likely.select(F.col("b").alias("_n")))
-    star = cut(verified_pairs(likely, texts_of(ends, "op8-texts"), shingle, percent).distinct(), "op8-star")
+    star = cut(verified_pairs(likely, texts, shingle, percent).distinct(), "op8-star")
     found = cut(connected_components(star, name="op8-graph"), "op8-found")
     placed = (members.join(found, F.col("rep") == F.col("node"), "left")
-              .select("band", "value", "rep", "size", F.coalesce("component", "rep").alias("comp")))
-    mixed = (placed.groupBy("band", "value").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"))
-             .filter("_lo < _hi").select("band", "value"))
-    placed = cut(placed.join(mixed, ["band", "value"]), "op8-mixed")
-    texts = texts_of(placed.select(F.col("rep").alias("_n")), "op8-mixed-texts")
-    sets = cut(shingle_sets(texts, shingle).join(reps.select("rep", "bands"), "rep"), "op8-sets")
-    rest = cut(block_links(placed, sets, percent, block).distinct(), "op8-rest")
+              .select("bucket", "rep", "size", F.coalesce("component", "rep").alias("comp")))
+    mixed = (placed.groupBy("bucket").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"))
+             .filter("_lo < _hi").select("bucket"))
+    placed = cut(placed.join(mixed, "bucket"), "op8-mixed")
+    near = cut(similar_components(placed, reps, percent, block).distinct(), "op8-near")
+    groups = cut(connected_components(near, name="op8-near-graph"), "op8-groups")
+    grouped = (placed.select("rep", "comp").distinct().join(groups, F.col("comp") == F.col("node"))
+               .select("rep", "comp", F.col("component").alias("group")))
+    sizes = grouped.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
+    grouped = cut(grouped.join(sizes, "group").select("group", "rep", "comp", "size"), "op8-grouped")
+    rest = cut(group_links(grouped, texts, shingle, percent, block).distinct(), "op8-rest")
     links = star.unionByName(verified_pairs(rest, texts, shingle, percent))
     comps = cut(connected_components(links, name="op8-all"), "op8-components")
     by_digest = classes.join(comps, F.col("rep") == F.col("node"), "left").select(
