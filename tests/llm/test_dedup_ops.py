@@ -229,3 +229,33 @@ def test_line_dedup_edge_rows(docs, rows):
     assert sorted(rows(out, "doc_id", "text"), key=str) == sorted(
         [(None, "a\nb"), (2, "a"), (2, "a"), (3, "c"), (4, "")], key=str)
     assert line_report(docs([]).limit(0)).count() == 0
+
+
+def test_joining_pairs_lose_no_component_and_emit_no_more_links_than_members():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 400, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[rng.random(400) < 0.93], rng.integers(0, 2**63, 12, dtype=np.uint64)]))
+            for _ in range(150)]
+    members = [(x % 2, x, x, hm.registers(s).view(np.uint64), s) for x, s in enumerate(sets)]
+    for a, b in zip(sets, sets[1:], strict=False):
+        assert hm.common_counts(a, [b, a]).tolist() == [len(np.intersect1d(a, b)), len(a)]
+
+    def components(pairs):
+        low = list(range(len(sets)))
+        for a, b in pairs:
+            a, b = min(low[a], low[b]), max(low[a], low[b])
+            low = [a if c == b else c for c in low]
+        return low
+
+    def linked(a, b):
+        both = len(np.intersect1d(a, b))
+        return 100 * both >= 80 * (len(a) + len(b) - both)
+
+    found = []
+    for i, j in ((0, 0), (0, 1), (1, 1)):
+        part = [(x[1], y[1]) for x, y, *_ in hm.joining_pairs(i, j, members, lambda m: len(m[4]), 80, True)]
+        assert len(part) < len(members)
+        found += part
+    assert all(linked(sets[a], sets[b]) for a, b in found)
+    brute = [(a, b) for a in range(len(sets)) for b in range(a) if linked(sets[a], sets[b])]
+    assert brute and components(found) == components(brute)
