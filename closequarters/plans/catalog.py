@@ -18,7 +18,7 @@ from ..operators import encounters as enc
 from ..operators import filters as flt
 from ..operators import jumps, projections, ranking, trajectory, vessels
 from ..params import DEFAULTS, FIXTURE_MID_CODES
-from ..sources.fixture import derived_pings
+from ..sources.fixture import derived_pings, rough_pings
 from .clean import clean_stages, clean_summary, ingest_summary, stage_funnel
 from .report import encounter_report
 
@@ -41,6 +41,11 @@ def pings_out(df: DataFrame) -> DataFrame:
     return df.select(epoch_s("ts").alias("ts_s"), "mmsi", "lat", "lon", "sog", "cog", "name", "ship_type")
 
 
+def full_pings_out(df: DataFrame) -> DataFrame:
+    """All columns of the working ping table but the day, which follows from ts."""
+    return df.select(epoch_s("ts").alias("ts_s"), *PING_OUT[1:], "nav_status", "mobile_type", "imo", "callsign")
+
+
 def pairs_out(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     cols = [F.col(c) for c in ("mmsi_a", "mmsi_b")] + [epoch_s("ts_a").alias("ts_a_s"), epoch_s("ts_b").alias("ts_b_s")]
     cols += [F.col(c) for c in PAIR_OUT[4:-1]] + [F.round("dist_m", 6).alias("dist_m")]
@@ -56,6 +61,11 @@ def _stages(spark, d):
     return clean_stages(_raw(spark, d), MIDS, P)
 
 
+def _rough_stages(spark, d, p=P):
+    """Stages over pings with placeholder ids, copies and missing timestamps."""
+    return clean_stages(rough_pings(spark, d), MIDS, p)
+
+
 def _clean(spark, d):
     return _stages(spark, d).clean
 
@@ -197,8 +207,8 @@ def _q_csv_roundtrip(spark, d):
     from ..sources.sinks import write_pings_csv
 
     path = shared_dir(spark, "csv-roundtrip")
-    write_pings_csv(_raw(spark, d), path)
-    return pings_out(normalize_pings(read_pings_csv(spark, path)))
+    write_pings_csv(rough_pings(spark, d), path)
+    return full_pings_out(normalize_pings(read_pings_csv(spark, path)))
 
 
 def _q_parquet_roundtrip(spark, d):
@@ -207,8 +217,8 @@ def _q_parquet_roundtrip(spark, d):
     from ..sources.sinks import write_pings
 
     path = shared_dir(spark, "pings")
-    write_pings(_raw(spark, d), path)
-    return pings_out(read_pings(spark, path))
+    write_pings(rough_pings(spark, d), path)
+    return full_pings_out(read_pings(spark, path))
 
 
 def _q_read_days(spark, d):
@@ -263,7 +273,7 @@ def _q_normalize(spark, d):
     from ..sources.readers import normalize_pings
     from ..sources.sinks import raw_from_pings
 
-    return pings_out(normalize_pings(raw_from_pings(_raw(spark, d))))
+    return full_pings_out(normalize_pings(raw_from_pings(rough_pings(spark, d))))
 
 
 def _q_backfill(spark, d):
@@ -315,7 +325,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bbox_filter": lambda s, d: pings_out(flt.bbox_filter(_raw(s, d), P)),
     "within_radius": lambda s, d: pings_out(flt.within_radius(_raw(s, d), P)),
     "valid_mmsi_range": lambda s, d: pings_out(flt.valid_mmsi_range(_raw(s, d), P)),
-    "mmsi_deny_list": lambda s, d: pings_out(flt.mmsi_deny_list(_raw(s, d), P)),
+    "mmsi_deny_list": lambda s, d: pings_out(flt.mmsi_deny_list(rough_pings(s, d), P)),
     "mmsi_repeated_digit": lambda s, d: pings_out(flt.mmsi_repeated_digit(_raw(s, d), P)),
     "mmsi_mid_filter": lambda s, d: pings_out(flt.mmsi_mid_filter(_raw(s, d), MIDS)),
     "normalize_sog": lambda s, d: pings_out(projections.normalize_sog(_raw(s, d), P)),
@@ -325,8 +335,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "implied_speeds": lambda s, d: _speeds_out(jumps.implied_speeds(_stages(s, d).moving, P)),
     "not_teleport": lambda s, d: _speeds_out(flt.not_teleport(jumps.implied_speeds(_stages(s, d).moving, P), P)),
     "gps_jump_filter": lambda s, d: pings_out(jumps.gps_jump_filter(_stages(s, d).moving, P)),
-    "gps_jump_filter_runs": lambda s, d: pings_out(jumps.gps_jump_filter(_stages(s, d).moving,
+    "gps_jump_filter_runs": lambda s, d: pings_out(jumps.gps_jump_filter(_rough_stages(s, d).moving,
                                                                          replace(P, collapse_track_copies=True))),
+    "implied_speeds_untimed": lambda s, d: _speeds_out(jumps.implied_speeds(_rough_stages(s, d).moving, P)),
     "vessel_ping_count": lambda s, d: vessels.vessel_ping_count(_stages(s, d).jump_free),
     "min_pings": lambda s, d: pings_out(vessels.min_pings(_stages(s, d).jump_free, P)),
     "specific_type_rows": lambda s, d: pings_out(flt.specific_type_rows(_raw(s, d))),
@@ -335,6 +346,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fill_vessel_static": lambda s, d: pings_out(vessels.fill_vessel_static(_stages(s, d).dense)),
     "backfill_static": _q_backfill,
     "clean_pings": lambda s, d: pings_out(_clean(s, d)),
+    "clean_pings_rough": lambda s, d: full_pings_out(_rough_stages(s, d).clean),
     "stage_funnel": lambda s, d: stage_funnel(_raw(s, d), MIDS, P),
     "clean_summary": lambda s, d: clean_summary(_clean(s, d)),
     # detection
@@ -342,6 +354,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bucket_keys": _q_bucket_keys,
     "expand_cells": _q_expand_cells,
     "encounter_pairs": lambda s, d: pairs_out(enc.encounter_pairs(_clean(s, d), P)),
+    "encounter_pairs_copies": lambda s, d: pairs_out(enc.encounter_pairs(_rough_stages(s, d).clean, P)),
     "canonical_pairs": _q_canonical,
     "encounter_distance": _q_encounter_distance,
     "vessel_display_name": _q_display_name,

@@ -10,7 +10,7 @@ trigonometry is associated exactly as in the Spark expressions.
 from __future__ import annotations
 
 from ..params import DEFAULTS, FIXTURE_MID_CODES, METRES_PER_NM, UNDEFINED_SHIP_TYPE
-from ..sources.fixture import FIXTURE_SQL
+from ..sources.fixture import FIXTURE_SQL, ROUGH_SQL
 from .catalog import MID_IDS, READ_DAYS, WINDOW_CENTRE_S, WINDOW_IDS
 
 P = DEFAULTS
@@ -36,8 +36,9 @@ def hav(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     return f"({f(2.0 * P.earth_radius_nm)} * asin(sqrt({a})))"
 
 
-TRACK = "ts_s, lat, lon, sog NULLS FIRST, cog NULLS FIRST, name NULLS FIRST, ship_type NULLS FIRST"
+TRACK = "ts_s NULLS FIRST, lat, lon, sog NULLS FIRST, cog NULLS FIRST, name NULLS FIRST, ship_type NULLS FIRST"
 PING_COLS = "ts_s, mmsi, lat, lon, sog, cog, name, ship_type"
+FULL_COLS = PING_COLS + ", nav_status, mobile_type, imo, callsign"
 PAIR_COLS = ("mmsi_a, mmsi_b, ts_a_s, ts_b_s, lat_a, lat_b, lon_a, lon_b, sog_a, sog_b, name_a, name_b, "
              "ship_type_a, ship_type_b, round(dist_m, 6) AS dist_m")
 OPS = strs(P.operational_types)
@@ -66,7 +67,7 @@ CTE["jump_free"] = f"SELECT * EXCLUDE (speed_prev_kn, speed_next_kn) FROM speeds
 CTE["dense"] = (f"SELECT * FROM jump_free WHERE mmsi IN (SELECT mmsi FROM jump_free GROUP BY mmsi "
                 f"HAVING count(*) >= {P.min_pings_per_vessel})")
 CTE["names"] = ("SELECT mmsi, name AS vessel_name FROM (SELECT mmsi, name, row_number() OVER "
-                "(PARTITION BY mmsi ORDER BY ts_s, name) AS rn FROM dense WHERE name IS NOT NULL) WHERE rn = 1")
+                "(PARTITION BY mmsi ORDER BY ts_s NULLS FIRST, name) AS rn FROM dense WHERE name IS NOT NULL) WHERE rn = 1")
 CTE["types"] = ("SELECT mmsi, ship_type AS modal_type FROM (SELECT mmsi, ship_type, row_number() OVER "
                 "(PARTITION BY mmsi ORDER BY n DESC, ship_type) AS rn FROM (SELECT mmsi, ship_type, count(*) AS n "
                 f"FROM dense WHERE ship_type IS NOT NULL AND ship_type <> '{UNDEFINED_SHIP_TYPE}' "
@@ -158,6 +159,13 @@ def q(body: str, *needs: str) -> str:
     return f"WITH {with_}\n{body}"
 
 
+def rough(body: str, *needs: str) -> str:
+    """``q`` over the pings with placeholder ids, copies and missing timestamps."""
+    names = [n for n in _closure(list(needs)) if n != "pings"]
+    parts = [f"fixture AS ({FIXTURE_SQL})", f"pings AS ({ROUGH_SQL})", *(f"{n} AS ({CTE[n]})" for n in names)]
+    return "WITH " + ",\n".join(parts) + f"\n{body}"
+
+
 def _result(src: str, extra: str = "") -> str:
     return (f"SELECT {extra}mmsi_a, mmsi_b, name_a, name_b, ship_type_a, ship_type_b, "
             "strftime(make_timestamp(ts_a_s * 1000000), '%Y-%m-%dT%H:%M:%S') || '.000' AS timestamp_utc, "
@@ -175,8 +183,8 @@ HEAD_J = ("SELECT s.list, s.rank, s.mmsi, s.k, s.i, c.pos AS j, s.x0, s.y0, c.lo
           "AND c.pos BETWEEN s.i + 1 AND least(s.i + 9, s.n_points - 1)")
 
 ORACLES: dict[str, str] = {
-    "read_pings_csv": q(f"SELECT {PING_COLS} FROM pings", "pings"),
-    "write_pings": q(f"SELECT {PING_COLS} FROM pings", "pings"),
+    "read_pings_csv": rough(f"SELECT {FULL_COLS} FROM pings", "pings"),
+    "write_pings": rough(f"SELECT {FULL_COLS} FROM pings", "pings"),
     "read_pings": q(f"SELECT {PING_COLS} FROM pings WHERE {DAY} BETWEEN '{READ_DAYS[0]}' AND '{READ_DAYS[1]}'", "pings"),
     "read_mid_codes": q(f"SELECT DISTINCT CAST(floor(mmsi / 1e6) AS BIGINT) AS mid FROM pings WHERE mmsi BETWEEN "
                         f"{MID_IDS[0]} AND {MID_IDS[1]}", "pings"),
@@ -184,7 +192,7 @@ ORACLES: dict[str, str] = {
                                f"FROM pings WHERE mmsi BETWEEN {MID_IDS[0]} AND {MID_IDS[1]})", "pings"),
     "trajectory_path": q("SELECT list, rank, mmsi, pos, lon, lat, " + ISO.format(c="ts_s") + " AS ts, sog, cog FROM tpos",
                          "tpos"),
-    "normalize_pings": q(f"SELECT {PING_COLS} FROM pings", "pings"),
+    "normalize_pings": rough(f"SELECT {FULL_COLS} FROM pings", "pings"),
     "backfill_static": q(f"SELECT {PING_COLS} FROM clean", "clean"),
     "enrich_silence": q(f"SELECT {PAIR_COLS}, silenced_a, silenced_b FROM enc", "enc"),
     "canonical_pairs": q(
@@ -218,7 +226,7 @@ ORACLES: dict[str, str] = {
     "within_radius": q(f"SELECT {PING_COLS} FROM spatial", "spatial"),
     "valid_mmsi_range": q(f"SELECT {PING_COLS} FROM pings WHERE mmsi IS NOT NULL AND mmsi BETWEEN "
                           f"{P.mmsi_range[0]} AND {P.mmsi_range[1]}", "pings"),
-    "mmsi_deny_list": q(f"SELECT {PING_COLS} FROM pings WHERE mmsi NOT IN ({ints(P.mmsi_deny_list)})", "pings"),
+    "mmsi_deny_list": rough(f"SELECT {PING_COLS} FROM pings WHERE mmsi NOT IN ({ints(P.mmsi_deny_list)})", "pings"),
     "mmsi_repeated_digit": q(f"SELECT {PING_COLS} FROM pings WHERE mmsi NOT IN ({ints(P.mmsi_repeated)})", "pings"),
     "mmsi_mid_filter": q(f"SELECT {PING_COLS} FROM pings WHERE CAST(floor(mmsi / 1e6) AS INTEGER) IN "
                          f"({ints(FIXTURE_MID_CODES)})", "pings"),
@@ -231,7 +239,11 @@ ORACLES: dict[str, str] = {
     "not_teleport": q("SELECT ts_s, mmsi, lat, lon, round(speed_prev_kn, 4) AS speed_prev_kn, "
                       f"round(speed_next_kn, 4) AS speed_next_kn FROM speeds WHERE {JUMP_OK}", "speeds"),
     "gps_jump_filter": q(f"SELECT {PING_COLS} FROM jump_free", "jump_free"),
-    "gps_jump_filter_runs": q(f"SELECT {PING_COLS} FROM jump_free", "jump_free"),
+    "gps_jump_filter_runs": rough(f"SELECT {PING_COLS} FROM jump_free", "jump_free"),
+    "implied_speeds_untimed": rough("SELECT ts_s, mmsi, lat, lon, round(speed_prev_kn, 4) AS speed_prev_kn, "
+                                    "round(speed_next_kn, 4) AS speed_next_kn FROM speeds", "speeds"),
+    "clean_pings_rough": rough(f"SELECT {FULL_COLS} FROM clean", "clean"),
+    "encounter_pairs_copies": rough(f"SELECT {PAIR_COLS} FROM pairs", "pairs"),
     "vessel_ping_count": q("SELECT mmsi, count(*) AS n_pings FROM jump_free GROUP BY mmsi", "jump_free"),
     "min_pings": q(f"SELECT {PING_COLS} FROM dense", "dense"),
     "specific_type_rows": q(f"SELECT {PING_COLS} FROM pings WHERE ship_type IS NOT NULL AND ship_type <> "

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.timecols import utc_day
+from ..functions.timecols import epoch_s, utc_day
 
 FIXTURE_SQL = """
 WITH hi AS (SELECT max(event_id) AS m FROM events),
@@ -61,6 +61,20 @@ SELECT
 FROM v
 """
 
+# The same pings with what the view above never has: placeholder ids, values in
+# the remaining text columns, exact copies and missing timestamps.
+ROUGH_SQL = """
+SELECT CASE WHEN ts_s % 172 <> 0 THEN ts_s END AS ts_s,
+       CASE WHEN ts_s % 148 = 0 THEN 123456789 WHEN ts_s % 164 = 0 THEN 987654321 ELSE mmsi END AS mmsi,
+       lat, lon, sog, cog, name, ship_type,
+       CASE WHEN ts_s % 12 = 0 THEN 'Under way using engine' WHEN ts_s % 12 = 4 THEN 'At anchor' END AS nav_status,
+       CASE WHEN ts_s % 8 = 0 THEN 'Class A' ELSE 'Class B' END AS mobile_type,
+       CASE WHEN ts_s % 20 = 0 THEN concat('IMO', CAST(mmsi AS VARCHAR(20))) END AS imo,
+       CASE WHEN ts_s % 28 = 0 THEN concat('OX', CAST(mmsi AS VARCHAR(20))) END AS callsign
+FROM fixture, range(3) r(i)
+WHERE i = 0 OR ts_s % 52 = 0
+"""
+
 EPOCH_2021_12_01 = 1638316800
 
 
@@ -128,3 +142,23 @@ def derived_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     # then test the computed value instead of having the whole derivation
     # inlined into every predicate that mentions lat/lon.
     return v.select(F.inline(F.array(row)))
+
+
+def rough_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``derived_pings`` with placeholder ids, all text columns, copies and
+    missing timestamps (``ROUGH_SQL`` in Spark)."""
+    t, mmsi = epoch_s("ts"), F.col("mmsi")
+    copies = F.explode(F.array_repeat(_lit(0), F.when(t % 52 == 0, 3).otherwise(1)))
+    pings = derived_pings(spark, sf_dir).select("*", t.alias("_t"), copies.alias("_copy"))
+    t = F.col("_t")
+    timed = t % 172 != 0
+    return pings.select(
+        F.when(timed, F.col("ts")).alias("ts"),
+        F.when(t % 148 == 0, _lit(123456789)).when(t % 164 == 0, _lit(987654321)).otherwise(mmsi).alias("mmsi"),
+        "lat", "lon", "sog", "cog",
+        F.when(t % 12 == 0, _lit("Under way using engine")).when(t % 12 == 4, _lit("At anchor")).alias("nav_status"),
+        F.when(t % 8 == 0, _lit("Class A")).otherwise(_lit("Class B")).alias("mobile_type"),
+        "name", "ship_type",
+        F.when(t % 20 == 0, F.concat(_lit("IMO"), mmsi.cast("string"))).alias("imo"),
+        F.when(t % 28 == 0, F.concat(_lit("OX"), mmsi.cast("string"))).alias("callsign"),
+        F.when(timed, F.col("day")).alias("day"))

@@ -194,3 +194,20 @@ def test_trajectory_path_survives_geojson(detected):
     want = trajectory.trajectory_points(traj).select("list", "rank", "mmsi", "pos", "lon", "lat", epoch_s("ts"))
     got = back.select("list", "rank", "mmsi", "pos", "lon", "lat", F.unix_seconds(F.to_timestamp("ts")))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_rough_pings_exercise_deny_list_copies_and_missing_times(spark):
+    from closequarters.operators import encounters as enc
+    from closequarters.operators.filters import mmsi_deny_list
+    from closequarters.sources.fixture import rough_pings
+
+    raw = rough_pings(spark, "/root/testdata/sf0.01").cache()
+    n = raw.count()
+    assert mmsi_deny_list(raw).count() < n
+    assert raw.filter("ts is null").count() > 0 and raw.filter("imo is not null and callsign is not null").count() > 0
+    assert raw.distinct().count() < n
+    clean = clean_pings(raw, FIXTURE_MID_CODES)
+    kept = enc.encounter_pairs(clean, keep_copies=True)
+    assert kept.filter("n_copies > 1").count() > 0
+    assert kept.agg({"n_copies": "sum"}).first()[0] == enc.encounter_pairs(clean).count()
+    raw.unpersist()
