@@ -24,9 +24,9 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from closequarters.operators import trajectory  # noqa: E402
 from closequarters.params import DEFAULTS, FIXTURE_MID_CODES  # noqa: E402
-from closequarters.plans.batch import (clean_stage, detect_stage, ingest_stage, report_stage,  # noqa: E402
+from closequarters.plans.batch import (clean_stage, detect_stage, funnel_stage, ingest_stage, report_stage,  # noqa: E402
                                        trajectory_stage)
-from closequarters.plans.clean import clean_pings, ingest_summary, stage_funnel  # noqa: E402
+from closequarters.plans.clean import clean_pings, ingest_summary  # noqa: E402
 from closequarters.session import clear_shared, local_session, shared_dir  # noqa: E402
 from closequarters.sources import derived_pings  # noqa: E402
 from closequarters.sources.sinks import write_pings_csv  # noqa: E402
@@ -75,8 +75,9 @@ def main() -> None:
     traj_dir = shared_dir(spark, "bench-traj")
     stage("ingest_csv_to_parquet", lambda: ingest_stage(spark, csv_dir, pings_dir))
     stage("ingest_summary", lambda: noop(ingest_summary(spark.read.parquet(pings_dir))))
-    stage("clean", lambda: clean_stage(spark, pings_dir, clean_dir, mids, p))
-    stage("stage_funnel", lambda: noop(stage_funnel(spark.read.parquet(pings_dir), mids, p)))
+    stages = []
+    stage("clean", lambda: stages.append(clean_stage(spark, pings_dir, clean_dir, mids, p)))
+    stage("stage_funnel", lambda: funnel_stage(stages[0], shared_dir(spark, "bench-funnel")))
     stage("detect_and_rank", lambda: detect_stage(spark, clean_dir, ranked_dir, p))
     stage("report", lambda: report_stage(spark, ranked_dir, shared_dir(spark, "bench-results"), p))
 

@@ -6,6 +6,7 @@ tasks of the running stage, and no stage keeps another's lineage.
 
     ingest      raw CSV exports            -> pings/   (day-partitioned Parquet)
     clean       pings/                     -> clean/   (day-partitioned Parquet)
+                                              funnel/  (rows after each clean step)
     detect      clean/                     -> ranked/  (three top-N lists, Parquet)
     report      ranked/                    -> results/ (result records, JSON lines)
     trajectory  ranked/ + clean/           -> trajectories/ (window reports, Parquet)
@@ -20,7 +21,7 @@ from ..operators.trajectory import pair_trajectories
 from ..params import DEFAULTS, Params
 from ..sources.readers import normalize_pings, read_pings_csv
 from ..sources.sinks import write_pairs_json, write_pings
-from .clean import clean_pings
+from .clean import CleanStages, clean_stages, stage_funnel
 
 
 def ingest_stage(spark: SparkSession, csv_path: str, out: str) -> str:
@@ -28,8 +29,15 @@ def ingest_stage(spark: SparkSession, csv_path: str, out: str) -> str:
     return out
 
 
-def clean_stage(spark: SparkSession, pings_path: str, out: str, mids, p: Params = DEFAULTS) -> str:
-    write_pings(clean_pings(spark.read.parquet(pings_path), mids, p), out)
+def clean_stage(spark: SparkSession, pings_path: str, out: str, mids, p: Params = DEFAULTS) -> CleanStages:
+    """Writes the clean table; the returned stages let the funnel reuse what was written."""
+    stages = clean_stages(spark.read.parquet(pings_path), mids, p, cut=True)
+    write_pings(stages.clean.select(*stages.raw.columns), out)
+    return stages
+
+
+def funnel_stage(stages: CleanStages, out: str) -> str:
+    stage_funnel(stages.raw, stages.mids, stages.p, stages).write.mode("overwrite").parquet(out)
     return out
 
 
@@ -54,9 +62,9 @@ def trajectory_stage(spark: SparkSession, ranked_path: str, clean_path: str, out
 
 def run_batch(spark: SparkSession, csv_path: str, out_dir: str, mids, p: Params = DEFAULTS) -> dict[str, str]:
     """All stages in order; returns the output path of each."""
-    paths = {k: f"{out_dir.rstrip('/')}/{k}" for k in ("pings", "clean", "ranked", "results", "trajectories")}
+    paths = {k: f"{out_dir.rstrip('/')}/{k}" for k in ("pings", "clean", "funnel", "ranked", "results", "trajectories")}
     ingest_stage(spark, csv_path, paths["pings"])
-    clean_stage(spark, paths["pings"], paths["clean"], mids, p)
+    funnel_stage(clean_stage(spark, paths["pings"], paths["clean"], mids, p), paths["funnel"])
     detect_stage(spark, paths["clean"], paths["ranked"], p)
     report_stage(spark, paths["ranked"], paths["results"], p)
     trajectory_stage(spark, paths["ranked"], paths["clean"], paths["trajectories"], p)

@@ -8,9 +8,9 @@ order, which is one exchange of the pings by (vessel, time chunk).  Everything
 else is per-vessel statistics (partial aggregation) joined back once.  Because
 the moving-vessel and thin-track tests drop whole vessels and the jump test
 only looks inside one vessel, the jump test can run before them with the same
-result.  ``clean_pings`` writes the jump-kept rows to the shared folder, so the
-window runs once and both the vessel table and the final join start from that
-copy; the per-stage views stay lazy.
+result.  ``clean_pings`` writes the jump-kept rows and the vessel table to the
+shared folder, so the window runs once and the vessel table, the final join and
+the row funnel start from those copies; the per-stage views stay lazy.
 """
 from __future__ import annotations
 
@@ -30,11 +30,20 @@ from ..session import shared_dir
 class CleanStages:
     """The clean pipeline's intermediate tables, built on first use (each is
     a lazy DataFrame; building only the ones asked for keeps plan analysis
-    cheap).  With ``cut`` the jump-kept rows are written once and reread."""
+    cheap).  With ``cut`` the jump-kept rows and the vessel table are written
+    once and reread, so the clean rows and the row funnel of one object share
+    the jump window and the per-vessel statistics."""
 
     def __init__(self, raw: DataFrame, mids, p: Params = DEFAULTS, cut: bool = False):
         self.raw, self.mids, self.p, self.cut = raw, mids, p, cut
 
+    def _written(self, df: DataFrame, name: str) -> DataFrame:
+        if not self.cut:
+            return df
+        path = shared_dir(df.sparkSession, name)
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
     @cached_property
     def spatial(self) -> DataFrame:          # F2
         return within_radius(self.raw, self.p)
@@ -45,16 +54,11 @@ class CleanStages:
 
     @cached_property
     def kept(self) -> DataFrame:             # W1 on every vessel (before J1, same rows)
-        kept = gps_jump_filter(self.checked, self.p)
-        if not self.cut:
-            return kept
-        path = shared_dir(kept.sparkSession, "jump-kept")
-        kept.write.parquet(path)
-        return kept.sparkSession.read.schema(kept.schema).parquet(path)
+        return self._written(gps_jump_filter(self.checked, self.p), "jump-kept")
 
     @cached_property
     def vessels(self) -> DataFrame:          # one row per vessel
-        return vessel_table(self.checked, self.kept, self.p)
+        return self._written(vessel_table(self.checked, self.kept, self.p), "vessels")
 
     @cached_property
     def moving_ids(self) -> DataFrame:
@@ -109,14 +113,16 @@ def clean_pings(raw: DataFrame, mids, p: Params = DEFAULTS, cut: bool = True) ->
     return clean_stages(raw, mids, p, cut).clean.select(*raw.columns)
 
 
-def stage_funnel(raw: DataFrame, mids, p: Params = DEFAULTS) -> DataFrame:
+def stage_funnel(raw: DataFrame, mids, p: Params = DEFAULTS, stages: CleanStages | None = None) -> DataFrame:
     """A10: rows after each clean stage, rows dropped and % of the previous stage.
 
     Input and in-circle rows come from one scan of the raw table; the three
     later stages are sums over the vessel table (checked and kept pings per
-    vessel), so the jump window is the only wide step.  The counts of one side
+    vessel), so the jump window is the only wide step; given the ``stages`` of a
+    clean run with ``cut``, their written vessel table is summed and no window
+    runs at all.  The counts of one side
     enter as a scalar subquery and all five are unpivoted with ``inline``."""
-    v = clean_stages(raw, mids, p).vessels
+    v = (stages or clean_stages(raw, mids, p)).vessels
     moving, dense = F.col("is_moving"), F.col("is_moving") & F.col("is_dense")
 
     def rows(col, cond):

@@ -152,6 +152,9 @@ def test_funnel_counts_equal_the_stage_tables(spark):
     s = clean_stages(raw, FIXTURE_MID_CODES)
     want = [raw.count(), s.spatial.count(), s.moving.count(), s.jump_free.count(), s.dense.count()]
     got = stage_funnel(raw, FIXTURE_MID_CODES)
+    cut = clean_stages(raw, FIXTURE_MID_CODES, cut=True)
+    shared = stage_funnel(raw, FIXTURE_MID_CODES, stages=cut)
+    assert "lag(" not in plan(cut.vessels) and sorted(shared.collect()) == sorted(got.collect())
     assert [r["rows"] for r in got.orderBy("stage_no").collect()] == want
     assert clean_pings(raw, FIXTURE_MID_CODES, cut=False).count() == clean_pings(raw, FIXTURE_MID_CODES).count() == want[-1]
 
