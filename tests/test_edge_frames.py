@@ -4,7 +4,7 @@ from __future__ import annotations
 import math
 
 import pytest
-from conftest import pings
+from ping_rows import pings
 from pyspark.sql import functions as F
 
 from closequarters.functions.timecols import epoch_s

@@ -6,7 +6,7 @@ import re
 from dataclasses import replace
 
 import pytest
-from conftest import pings
+from ping_rows import pings
 from pyspark.sql import functions as F
 
 from closequarters.functions.timecols import epoch_s

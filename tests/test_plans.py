@@ -1,7 +1,7 @@
 """Physical-plan checks: the shapes the design relies on at scale."""
 from __future__ import annotations
 
-from conftest import pings
+from ping_rows import pings
 
 from closequarters.operators import encounters as enc
 from closequarters.operators import filters as flt
