@@ -100,32 +100,50 @@ def render_examples(turns: DataFrame, examples: DataFrame) -> DataFrame:
                       F.element_at(texts, -1).alias("target"))
 
 
-def read_back(turns: DataFrame) -> DataFrame:
-    """Parse the formatted segments: conv_id, pos, role, text, reply (the text
-    under the loss mask, unescaped; empty where nothing is trainable)."""
+def read_back(turns: DataFrame, examples: DataFrame) -> DataFrame:
+    """Parse the formatted segments: conv_id, pos, start, end, role, text (all
+    unescaped) and, for the target of an example, context_end and reply: the
+    text under the example's loss span, unescaped.  An example's text is its
+    context and then its target, so a span is cut relative to context_end."""
+    e = examples.select(F.col("conv_id").alias("_c"), "target_pos", "context_end", F.col("loss_start").alias("_from"),
+                        F.col("loss_end").alias("_to"))
+    both = turns.join(e, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("pos") == F.col("target_pos")), "left")
     inner = F.regexp_replace("segment", r"^(?:<s>|\[INST\])|(?:</s>|\[/INST\])$", "")
     cutat = F.locate("\n", inner)
-    reply = F.substring("segment", F.col("loss_start") + 1, F.col("loss_end") - F.col("loss_start"))
-    return turns.select("conv_id", "pos", F.length("segment").cast("long").alias("chars"),
-                        unescape(F.substring(inner, F.lit(1), cutat - 1)).alias("role"),
-                        unescape(F.substring(inner, cutat + 1, F.length(inner))).alias("text"),
-                        unescape(reply).alias("reply"))
-
-
-def conversation_digests(turns: DataFrame) -> DataFrame:
-    """Per conversation, from the parsed segments: conv_id, n_turns,
-    turns_sha256, loss_chars, loss_sha256, formatted_chars.  A digest over a
-    whole conversation needs its text in one row; only this report does that."""
-    back = read_back(turns)
+    reply = F.substring("segment", (F.col("_from") - F.col("context_end") + 1).cast("int"),
+                        (F.col("_to") - F.col("_from")).cast("int"))
+    return both.select("conv_id", "pos", "start", "end", "context_end",
+                       unescape(F.substring(inner, F.lit(1), cutat - 1)).alias("role"),
+                       unescape(F.substring(inner, cutat + 1, F.length(inner))).alias("text"),
+                       unescape(reply).alias("reply"))
+
+
+def conversation_digests(turns: DataFrame, examples: DataFrame | None = None) -> DataFrame:
+    """Per conversation, from its examples (by default those of
+    ``prefix_target_examples``): conv_id, n_turns, turns_sha256, loss_chars,
+    loss_sha256, formatted_chars.
+
+    The loss is what the examples' spans mark.  The turns are those of the last
+    example's context, its target and the turns after it; without an example
+    all are.  Offsets are read, no prefix is written out.  A digest over a whole
+    conversation needs its text in one row; only this report does that.
+    """
+    back = read_back(turns, prefix_target_examples(turns) if examples is None else examples)
     turn = F.concat("role", F.lit("\n"), "text", F.lit("\n"))
+    last = F.when(F.col("context_end").isNotNull(), F.struct("pos", "context_end"))
     packed = back.groupBy("conv_id").agg(
-        F.count(F.lit(1)).alias("n_turns"), F.sum("chars").alias("formatted_chars"),
-        F.sort_array(F.collect_list(F.struct("pos", turn.alias("turn"), "reply"))).alias("p"))
-    said = F.array_join(F.transform("p", lambda x: x["turn"]), "")
-    loss = F.array_join(F.transform("p", lambda x: x["reply"]), "")
-    return packed.select("conv_id", "n_turns", F.sha2(said, 256).alias("turns_sha256"),
-                         F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
-                         "formatted_chars")
+        F.max(last).alias("last"),
+        F.sort_array(F.collect_list(F.struct("pos", "start", "end", turn.alias("turn"), "reply"))).alias("p"))
+    target, until = F.coalesce("last.pos", F.lit(-1)), F.coalesce("last.context_end", F.lit(0))
+    rest = F.filter("p", lambda x: x["pos"] >= target)
+    held = F.concat(F.filter("p", lambda x: (x["pos"] < target) & (x["end"] <= until)), rest)
+    chars = until + F.aggregate(rest, F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    loss = F.array_join(F.transform("p", lambda x: x["reply"]), "")  # null outside the targets: skipped
+    one = packed.select("conv_id", held.alias("held"), loss.alias("loss"), chars.alias("formatted_chars"))
+    return one.select("conv_id", F.size("held").cast("long").alias("n_turns"),
+                      F.sha2(F.array_join(F.transform("held", lambda x: x["turn"]), ""), 256).alias("turns_sha256"),
+                      F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+                      "formatted_chars")
 
 
 def control_conversation(spark: SparkSession) -> DataFrame:

@@ -12,6 +12,7 @@ import pytest
 from closequarters.llm import chat_prefix as cp
 from closequarters.llm import kneser_ney as kn
 from closequarters.llm import nnls_pack as pack
+from closequarters.llm import queries
 from closequarters.llm import template_join as tj
 from closequarters.llm.heap_bpe import HeapBpe, bpe_decode, bpe_encode, bpe_round_trip
 from closequarters.llm.pairwise_quality import quality_scores
@@ -174,6 +175,21 @@ def test_examples_are_prefixes_with_one_trainable_reply(spark):
     assert cp.conversation_digests(cp.format_turns(chat_rows(spark, items).limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("broken", [{"context_end": -1}, {"context_end": 1}, {"loss_start": 1}, {"loss_end": -1},
+                                    {"context_end": -1, "loss_start": -1, "loss_end": -1}])
+def test_query_reads_its_rows_from_the_examples(spark, monkeypatch, broken):
+    items = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo </s>"), (1, 2, "user", "more"), (1, 3, "assistant", "end"),
+             (1, 4, "user", "after"), (2, 0, "user", "alone"), (3, 0, "system", "s"), (3, 1, "assistant", "é日")]
+    monkeypatch.setattr(queries, "read_table", lambda *_: chat_rows(spark, items))
+    digests = lambda: {r["conv_id"]: r for r in queries.QUERIES["op2_chat_prefix"](spark, "").collect()}
+    want, right = digests(), cp.prefix_target_examples
+    assert want[1]["n_turns"] == 5 and want[1]["loss_chars"] == len("yo </s>end")
+    monkeypatch.setattr(cp, "prefix_target_examples", lambda turns: right(turns).selectExpr(
+        "conv_id", "target_pos", *(f"{c} + {broken.get(c, 0)} AS {c}" for c in ("context_end", "loss_start", "loss_end"))))
+    got = digests()
+    assert got[2] == want[2] and all(got[c] != want[c] for c in (1, 3, -7))
+
+
 # ---- op7 -------------------------------------------------------------------------------------------------------
 
 
