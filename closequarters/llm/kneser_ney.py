@@ -1,13 +1,19 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two models predict every character (one of 32 folded symbols) from its word's
-beginning, at most the 7 symbols before it, so an expression is known by its
-first letters and its endings share them.  Histories are hashed to 2**20 places:
-at most 2**25 grams exist, a proven bound for everything that is collected or
-broadcast.  The highest order is class-conditional with absolute discounting;
-all lower orders are one shared Kneser-Ney chain of continuation counts over
-every document of the corpus, so an expression that is rare in a class falls
-back on how the corpus as a whole continues.
+Two models predict every symbol from its word's beginning, at most the 7 symbols
+before it, so an expression is known by its first letters and its endings share
+them.  A gram (history and predicted symbol) is kept exactly in one 64-bit code,
+8 bits a symbol, 0 before the word's beginning; the table of distinct grams lives
+in the shared folder and grows with the corpus.  The highest order is
+class-conditional with absolute discounting; all lower orders are one shared
+Kneser-Ney chain of continuation counts over every document of the corpus, so an
+expression that is rare in a class falls back on how the corpus as a whole
+continues.
+
+Where a gram occurs in no labelled row, the shared chain cancels out of the log
+ratio, so scoring needs the exact grams and histories of the bounded labelled
+sample and the chain's counts at their endings, which are joined from the
+corpus's table; nothing else is collected or broadcast.
 
 A text is scored by comparing length-normalised log-likelihoods: the mean log
 ratio of the whole text and of its most toxic windows (a long text is not
@@ -19,72 +25,66 @@ Two passes over the texts (count, score), one shuffle of partial gram counts.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, held_out, map_batches, text_slices, training_labels
 
 REACH = 8  # symbols of a gram: up to 7 of history and the predicted one
-ORDER = 5  # of the class-conditional level above the shared chain of orders 4 to 1
-BITS = 5
+TOP = 4  # order of the shared chain below the class-conditional level
+BITS = 8
 DISCOUNT = 0.75
 WINDOWS = (12, 24)
 MAX_LABELLED = 200_000
 CALIBRATION_FOLD = 4
-HISTORIES = 1 << (BITS * (ORDER - 1))
-GRAMS = 1 << (BITS * ORDER)
+DENSE = 2  # orders of the shared chain that are small enough for a full table
+HISTORIES = 1 << (BITS * DENSE)
 GAP = b" " * (REACH - 1)
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
+NONE = np.uint64(2**64 - 1)  # no code: NONE would be eight bytes 255, which no text has
+OWN = np.array([2 ** (BITS * (k + 1)) - 1 for k in range(REACH)], np.uint64)
 
 
 def symbol_table() -> bytes:
-    """Byte -> symbol: white space 0, letters 1-26 (case folded), digits 27,
-    other ASCII 28, bytes of other scripts 29-31."""
-    table = bytearray(28 if b < 128 else 29 + b % 3 for b in range(256))
+    """Byte -> symbol (never 0): white space 1, letters 2-27 (case folded),
+    digits 28, other ASCII 29, bytes of other scripts 30-32."""
+    table = bytearray(29 if b < 128 else 30 + b % 3 for b in range(256))
     for b in b" \t\n\r\x0b\x0c":
-        table[b] = 0
+        table[b] = 1
     for b in b"0123456789":
-        table[b] = 27
+        table[b] = 28
     for i in range(26):
-        table[97 + i] = table[65 + i] = 1 + i
+        table[97 + i] = table[65 + i] = 2 + i
     return bytes(table)
 
 
 TABLE = symbol_table()
+SPACE = TABLE[32]
 
 
-def gram_codes(texts: list[str], suffix: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def gram_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Codes of all grams of the texts, one after the other, and where each
     text starts (one entry more than texts); a text of n bytes has n + 1.
 
-    A code is the hashed history (20 bits) and the symbol (5 bits); with
-    ``suffix`` the last four symbols (20 bits) follow.
+    A code is the history and the symbol, 8 bits each; its low bytes are the
+    gram's endings, the code without its last byte is the history's key.
     """
     raw = [t.encode() for t in texts]
-    joined = GAP + (b" " + GAP).join(raw) + b" " + GAP
-    s = np.frombuffer(joined.translate(TABLE), np.uint8)
+    joined = (GAP + (b" " + GAP).join(raw) + b" " + GAP).translate(TABLE)
+    s = np.frombuffer(joined, np.uint8)
     n = len(s) - REACH + 1
-    at = np.arange(len(s), dtype=np.int32)
-    since = at - np.maximum.accumulate(np.where(s == 0, at, 0))  # symbols since the last white space
+    at = np.arange(len(s), dtype=np.int64 if len(s) >> 31 else np.int32)
+    since = at - np.maximum.accumulate(np.where(s == SPACE, at, 0))  # symbols since the last white space
     # a history reaches back to its word's beginning; that of a white space is the word before it
-    deep = np.minimum(since[REACH - 2:-1], REACH - 1).astype(np.uint64)
-    wide = s.astype(np.uint64)
-    past = np.zeros(n, np.uint64)
-    for k in range(REACH - 1):
-        past = (past << np.uint64(BITS)) | wide[k:k + n]
-    last = wide[REACH - 1:REACH - 1 + n]
-    own = past & ((np.uint64(1) << (deep * np.uint64(BITS))) - np.uint64(1))
-    codes = ((own * SPREAD) >> np.uint64(64 - BITS * (ORDER - 1)) << np.uint64(BITS)) | last
-    if suffix:
-        four = ((past << np.uint64(BITS)) | last) & np.uint64(HISTORIES - 1)
-        codes = (codes << np.uint64(BITS * (ORDER - 1))) | four
+    codes = np.ndarray(n, ">u8", joined, strides=(1,)).astype(np.uint64)
+    codes &= OWN[np.minimum(since[REACH - 2:-1], REACH - 1)]
     starts = np.concatenate([[0], np.cumsum([len(r) + REACH for r in raw])])
     return codes, starts
 
 
 def text_grams(texts: list[str]) -> np.ndarray:
-    """Codes with suffix of the texts' own grams, without those across the gaps."""
-    codes, starts = gram_codes(texts, suffix=True)
+    """Codes of the texts' own grams, without those across the gaps."""
+    codes, starts = gram_codes(texts)
     own = np.ones(len(codes) + REACH, bool)
     for s in starts[1:]:
         own[s - REACH + 1:s] = False
@@ -92,8 +92,8 @@ def text_grams(texts: list[str]) -> np.ndarray:
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """code, n_all, n_toxic, n_ordinary from rows (text, _class) with _class 1,
-    0 or null (not a training row); at most GRAMS rows."""
+    """code, n_toxic, n_ordinary from rows (text, _class) with _class 1, 0 or
+    null (not a training row): one row per distinct gram of all rows."""
     def run(batches):
         import pyarrow as pa
 
@@ -103,13 +103,13 @@ def gram_counts(docs: DataFrame) -> DataFrame:
             codes = np.concatenate([p[0] for p in parts])
             keys, at = np.unique(codes, return_inverse=True)
             sums = [np.bincount(at, np.concatenate([p[i] for p in parts]), len(keys)).astype(np.int64)
-                    for i in (1, 2, 3)]
+                    for i in (1, 2)]
             parts[:] = [[keys, *sums]]
 
         for batch in batches:
             for part, texts in text_slices(batch, 512, 0):
                 label = part.column(1).to_pylist()
-                keys, n = np.unique(text_grams(texts), return_counts=True)
+                keys = np.unique(text_grams(texts))
                 split = []
                 for c in (1, 0):
                     some = [t for t, x in zip(texts, label, strict=True) if x == c]
@@ -118,48 +118,107 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                         k, m = np.unique(text_grams(some), return_counts=True)
                         count[np.searchsorted(keys, k)] = m
                     split.append(count)
-                parts.append([keys, n, *split])
+                parts.append([keys, *split])
                 if len(parts) >= 24:
                     fold()
         if parts:
             fold()
-            yield pa.RecordBatch.from_arrays([pa.array(parts[0][0].astype(np.int64)), *map(pa.array, parts[0][1:])],
-                                             ["code", "n_all", "n_toxic", "n_ordinary"])
+            yield pa.RecordBatch.from_arrays([pa.array(parts[0][0].view(np.int64)), *map(pa.array, parts[0][1:])],
+                                             ["code", "n_toxic", "n_ordinary"])
 
-    partial = map_batches(docs.select("text", "_class"), run, "code long, n_all long, n_toxic long, n_ordinary long")
-    return partial.groupBy("code").agg(*[F.sum(c).alias(c) for c in ("n_all", "n_toxic", "n_ordinary")])
+    partial = map_batches(docs.select("text", "_class"), run, "code long, n_toxic long, n_ordinary long")
+    return partial.groupBy("code").agg(*[F.sum(c).alias(c) for c in ("n_toxic", "n_ordinary")])
+
+
+def endings(codes: Column, order: int) -> Column:
+    return codes.bitwiseAND(2 ** (BITS * order) - 1)
+
+
+def chain_counts(table: DataFrame, needed: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """The shared chain at the endings that ``needed`` (column code) has, from
+    the distinct grams ``table`` (column code): per ending of TOP symbols,
+    count, total and kinds of its history at every order above DENSE, and the
+    counts of all endings of DENSE symbols (at most HISTORIES).
+
+    A count is the number of distinct longer grams with that ending, total and
+    kinds its sum and the number of endings over one history (at most 256 rows).
+    """
+    longer, levels = table, {}
+    for k in range(TOP, DENSE - 1, -1):
+        longer = levels[k] = longer.groupBy(endings(F.col("code"), k).alias("code")).agg(F.count(F.lit(1)).alias(f"n{k}"))
+    out = needed.select(endings(F.col("code"), TOP).alias("code")).distinct()
+    for k in range(TOP, DENSE, -1):
+        one = Window.partitionBy(F.shiftrightunsigned("code", BITS))
+        level = levels[k].withColumns({f"total{k}": F.sum(f"n{k}").over(one), f"kinds{k}": F.count(F.lit(1)).over(one)})
+        level = level.withColumnRenamed("code", "_e")
+        out = out.join(level, endings(F.col("code"), k) == F.col("_e")).drop("_e")
+    low = levels[DENSE].toArrow()
+    dense = np.zeros(HISTORIES, np.int64)
+    dense[low.column(0).to_numpy()] = low.column(1).to_numpy()
+    return out, dense
+
+
+class CodeTable:
+    """Exact codes to places, by open addressing with whole codes compared."""
+
+    def __init__(self, codes: np.ndarray):
+        self.bits = max(4, (2 * len(codes)).bit_length())
+        self.keys = np.full(1 << self.bits, NONE)
+        self.places = np.full(1 << self.bits, -1, np.int32)
+        left, slot = np.arange(len(codes), dtype=np.int32), self._slots(codes)
+        while len(left):
+            free = self.places[slot] < 0
+            self.places[slot[free]] = left[free]  # the last of several stays
+            left_out = self.places[slot] != left
+            left, slot = left[left_out], (slot[left_out] + 1) & (len(self.keys) - 1)
+        used = self.places >= 0
+        self.keys[used] = codes[self.places[used]]
+
+    def _slots(self, codes: np.ndarray) -> np.ndarray:
+        return (codes * SPREAD >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, codes: np.ndarray) -> np.ndarray:
+        """Places of the codes in the list given at first, -1 where missing."""
+        slot = self._slots(codes)
+        found = self.keys[slot]
+        out = np.where(found == codes, self.places[slot], -1)
+        left = np.flatnonzero((found != codes) & (found != NONE))
+        while len(left):
+            slot_left = slot[left] = (slot[left] + 1) & (len(self.keys) - 1)
+            found = self.keys[slot_left]
+            hit = found == codes[left]
+            out[left[hit]] = self.places[slot_left[hit]]
+            left = left[~hit & (found != NONE)]
+        return out
 
 
 class LogRatio:
     """log P(symbol | history, toxic) - log P(symbol | history, ordinary)."""
 
-    def __init__(self, codes: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, tail: np.ndarray,
-                 suffix_types: np.ndarray):
-        """Grams of the labelled rows (code, counts, most frequent suffix) and
-        the number of distinct grams of the corpus per suffix."""
-        shared = self._shared(suffix_types)
-        codes = codes.astype(np.int64)
-        h = codes >> BITS
+    def __init__(self, codes: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, shared: np.ndarray):
+        """Distinct grams of the labelled rows: code, counts and the shared
+        chain's probability of their last symbol."""
+        past, h = np.unique(codes & ~np.uint64(2**BITS - 1), return_inverse=True)
         log_p, lam = [], []
         for count in (toxic.astype(float), ordinary.astype(float)):
-            total = np.bincount(h, count, HISTORIES)
-            types = np.bincount(h, count > 0, HISTORIES)
+            total = np.bincount(h, count, len(past))
+            types = np.bincount(h, count > 0, len(past))
             back = np.where(total > 0, DISCOUNT * types / np.maximum(total, 1), 1.0)
-            p = np.maximum(count - DISCOUNT, 0) / np.maximum(total[h], 1) + back[h] * shared[tail]
+            p = np.maximum(count - DISCOUNT, 0) / np.maximum(total[h], 1) + back[h] * shared
             log_p.append(np.log(p))
             lam.append(np.log(back))
-        self.codes = codes.astype(np.uint32)
-        self.ratio = (log_p[0] - log_p[1]).astype(np.float16)
-        self.unseen = (lam[0] - lam[1]).astype(np.float16)
-        self._dense = None
+        # a history's key ends in symbol 0, which no gram does; -1 finds the last value
+        self.codes = np.concatenate([codes, past])
+        self.ratio = np.concatenate([log_p[0] - log_p[1], lam[0] - lam[1], [0.0]]).astype(np.float32)
+        self._table = None
 
     @staticmethod
     def _shared(types: np.ndarray) -> np.ndarray:
-        """P(last symbol | the three before it) by interpolated Kneser-Ney;
-        ``types`` has the number of distinct longer grams per suffix, so
+        """P(last symbol | the one before it) by interpolated Kneser-Ney;
+        ``types`` has the number of distinct longer grams per ending, so
         counts are continuation counts at every order."""
         levels = [types]
-        while len(levels) < ORDER - 1:
+        while len(levels) < DENSE:
             size = len(levels[-1]) >> BITS
             levels.append(np.bincount(np.flatnonzero(levels[-1]) & (size - 1), minlength=size))
         p = np.full(1 << BITS, 2.0 ** -BITS)
@@ -171,20 +230,32 @@ class LogRatio:
             p = (np.maximum(m - DISCOUNT, 0) / np.maximum(total, 1) + back * lower).ravel()
         return p
 
+    @staticmethod
+    def chain(ends: np.ndarray, counts: dict[int, list[np.ndarray]], dense: np.ndarray) -> np.ndarray:
+        """P(last symbol | the three before it) at the endings ``ends``, from
+        count, total and kinds per order and the counts of the dense orders."""
+        p = LogRatio._shared(dense)[ends & (HISTORIES - 1)]
+        for k in sorted(counts):
+            n, total, kinds = counts[k]
+            p = (n - DISCOUNT + DISCOUNT * kinds * p) / total
+        return p
+
     def __getstate__(self):
-        return self.__dict__ | {"_dense": None}
+        return self.__dict__ | {"_table": None}
 
-    def dense(self) -> np.ndarray:
-        if self._dense is None:
-            self._dense = np.repeat(self.unseen, 1 << BITS)
-            self._dense[self.codes] = self.ratio
-        return self._dense
+    def ratios(self, codes: np.ndarray) -> np.ndarray:
+        if self._table is None:
+            self._table = CodeTable(self.codes)
+        place = self._table.find(codes)
+        left = np.flatnonzero(place < 0)
+        place[left] = self._table.find(codes[left] & ~np.uint64(2**BITS - 1))
+        return self.ratio[place]
 
     def features(self, texts: list[str]) -> np.ndarray:
         """Per text: the mean log ratio, then the largest mean of a window of
         each size in WINDOWS (a shorter text counts as padded to the window)."""
         codes, starts = gram_codes(texts)
-        sums = np.concatenate([[0.0], np.cumsum(self.dense()[codes], dtype=np.float64)])
+        sums = np.concatenate([[0.0], np.cumsum(self.ratios(codes), dtype=np.float64)])
         out = np.empty((len(texts), 1 + len(WINDOWS)))
         for i in range(len(texts)):
             s, n = starts[i], starts[i + 1] - starts[i] - REACH + 1
@@ -235,18 +306,16 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id
     train = cut(training_labels(labels, id_col, label_col, max_labelled), "op5-labels")
     known = F.broadcast(train.filter(F.col("_fold") != CALIBRATION_FOLD).select("_id", F.col("_label").alias("_class")))
     counts = gram_counts(texts.join(known, F.col("doc_id") == F.col("_id"), "left"))
-    table = cut(counts, "op5-grams").withColumns({
-        "suffix": (F.col("code") % HISTORIES).cast("int"), "gram": F.shiftright("code", BITS * (ORDER - 1)).cast("int")})
-    types = table.groupBy("suffix").agg(F.count(F.lit(1)).alias("n")).toArrow()  # at most 2**20 rows
-    suffix_types = np.zeros(HISTORIES, np.int64)
-    suffix_types[types.column(0).to_numpy()] = types.column(1).to_numpy()
-    seen = F.col("n_toxic") + F.col("n_ordinary")
-    # at most GRAMS rows, and no more than the bounded labelled sample holds
-    grams = (table.filter(seen > 0).groupBy("gram")
-             .agg(F.sum("n_toxic").cast("int").alias("n_toxic"), F.sum("n_ordinary").cast("int").alias("n_ordinary"),
-                  F.max(F.struct(seen.alias("n"), "suffix")).getField("suffix").alias("suffix")).toArrow())
-    columns = [grams.column(i).to_numpy() for i in range(4)]
-    model = spark.sparkContext.broadcast(LogRatio(*columns, suffix_types))
+    table = cut(counts, "op5-grams")
+    # no more than the bounded labelled sample holds
+    grams = table.filter(F.col("n_toxic") + F.col("n_ordinary") > 0)
+    chain, dense = chain_counts(table.select("code"), grams)
+    ends = chain.orderBy("code").toArrow()
+    code = ends.column("code").to_numpy()
+    counts = {k: [ends.column(f"{c}{k}").to_numpy() for c in ("n", "total", "kinds")] for k in range(DENSE + 1, TOP + 1)}
+    codes, toxic, ordinary = (c.to_numpy() for c in grams.toArrow().columns)
+    shared = LogRatio.chain(code, counts, dense)[np.searchsorted(code, codes & (2 ** (BITS * TOP) - 1))]
+    model = spark.sparkContext.broadcast(LogRatio(codes.view(np.uint64), toxic, ordinary, shared))
 
     def run(batches):
         import pyarrow as pa

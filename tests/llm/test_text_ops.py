@@ -284,3 +284,62 @@ def test_shared_backoff_is_a_distribution():
 def test_gram_codes_do_not_cross_texts():
     one = np.concatenate([kn.text_grams([t]) for t in ("abc", "", "xyz 12")])
     assert sorted(one.tolist()) == sorted(kn.text_grams(["abc", "", "xyz 12"]).tolist())
+
+
+def exact_grams(text):
+    """(history, symbol) at every place of a text, read off the string."""
+    line, found = " " + text + " ", []
+    for i in range(1, len(line)):
+        word = line[:i].rpartition(" ")[2]
+        found.append((word[-7:], line[i]))
+    return found
+
+
+def test_gram_codes_are_exact():
+    rng = random.Random(17)
+    texts = [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(1, 12))) for _ in range(400))
+             for _ in range(20)]
+    by_code: dict[int, set] = {}
+    for text in texts:
+        grams = exact_grams(text)
+        codes = kn.text_grams([text]).tolist()
+        assert len(codes) == len(grams)
+        for c, g in zip(codes, grams, strict=True):
+            by_code.setdefault(c, set()).add(g)
+    assert all(len(g) == 1 for g in by_code.values())
+    assert len(by_code) == len({g for text in texts for g in exact_grams(text)}) > 20_000
+
+
+def test_shared_chain_matches_brute_force(spark):
+    rng = random.Random(18)
+    texts = [" ".join("".join(rng.choice("abcde") for _ in range(rng.randint(1, 9))) for _ in range(60)) for _ in range(5)]
+    codes = np.unique(kn.text_grams(texts))
+    table = spark.createDataFrame([(int(c),) for c in codes.view(np.int64)], "code long")
+    chain, dense = kn.chain_counts(table, table.filter("code % 3 = 0"))
+    found = sorted(chain.collect(), key=lambda r: r["code"])
+    ends = np.array([r["code"] for r in found], np.int64)
+    got = kn.LogRatio.chain(ends, {k: [np.array([r[f"{c}{k}"] for r in found]) for c in ("n", "total", "kinds")]
+                                   for k in range(kn.DENSE + 1, kn.TOP + 1)}, dense)
+    longer, levels = [int(c) for c in codes], {}
+    for k in range(kn.TOP, 0, -1):
+        level: dict[int, int] = {}
+        for c in longer:
+            level[c % 256**k] = level.get(c % 256**k, 0) + 1
+        longer = levels[k] = level
+    def p(code, k):
+        if k == 0:
+            return 1 / 256
+        level, code = levels[k], code % 256**k
+        own = [n for c, n in level.items() if c // 256 == code // 256]
+        return (max(level[code] - 0.75, 0) + 0.75 * len(own) * p(code, k - 1)) / sum(own)
+    assert len(ends) == len({int(c) % 256**4 for c in codes.view(np.int64) if c % 3 == 0}) > 50
+    assert np.allclose(got, [p(int(c), kn.TOP) for c in ends])
+
+
+def test_code_table_finds_exactly_its_codes():
+    rng = np.random.default_rng(19)
+    codes = np.unique(rng.integers(0, 2**63, 5000).astype(np.uint64) << np.uint64(rng.integers(0, 2)))
+    table = kn.CodeTable(codes)
+    assert (table.find(codes) == np.arange(len(codes))).all()
+    other = np.setdiff1d(rng.integers(0, 2**63, 5000).astype(np.uint64), codes)
+    assert (table.find(other) == -1).all() and len(kn.CodeTable(codes[:0]).find(other)) == len(other)
