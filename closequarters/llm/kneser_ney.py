@@ -2,7 +2,8 @@
 
 Two models predict every symbol from its word's beginning, at most the 7 symbols
 before it, so an expression is known by its first letters and its endings share
-them.  A gram (history and predicted symbol) is kept exactly in one 64-bit code,
+them.  Symbols are the bytes of the case-folded text, so no two letters of any
+script are one.  A gram (history and predicted symbol) is kept exactly in one 64-bit code,
 8 bits a symbol, 0 before the word's beginning; the table of distinct grams lives
 in the shared folder and grows with the corpus.  The highest order is
 class-conditional with absolute discounting; all lower orders are one shared
@@ -46,15 +47,12 @@ OWN = np.array([2 ** (BITS * (k + 1)) - 1 for k in range(REACH)], np.uint64)
 
 
 def symbol_table() -> bytes:
-    """Byte -> symbol (never 0): white space 1, letters 2-27 (case folded),
-    digits 28, other ASCII 29, bytes of other scripts 30-32."""
-    table = bytearray(29 if b < 128 else 30 + b % 3 for b in range(256))
-    for b in b" \t\n\r\x0b\x0c":
-        table[b] = 1
-    for b in b"0123456789":
-        table[b] = 28
-    for i in range(26):
-        table[97 + i] = table[65 + i] = 2 + i
+    """Byte -> symbol (never 0): every byte is its own symbol, in any script,
+    but all ASCII white space is a blank and byte 0 is 254, which no UTF-8 has."""
+    table = bytearray(range(256))
+    for b in b"\t\n\r\x0b\x0c":
+        table[b] = 32
+    table[0] = 254
     return bytes(table)
 
 
@@ -64,12 +62,13 @@ SPACE = TABLE[32]
 
 def gram_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Codes of all grams of the texts, one after the other, and where each
-    text starts (one entry more than texts); a text of n bytes has n + 1.
+    text starts (one entry more than texts); a case-folded text of n bytes has
+    n + 1.
 
     A code is the history and the symbol, 8 bits each; its low bytes are the
     gram's endings, the code without its last byte is the history's key.
     """
-    raw = [t.encode() for t in texts]
+    raw = [t.casefold().encode() for t in texts]
     joined = (GAP + (b" " + GAP).join(raw) + b" " + GAP).translate(TABLE)
     s = np.frombuffer(joined, np.uint8)
     n = len(s) - REACH + 1

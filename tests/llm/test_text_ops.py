@@ -343,3 +343,29 @@ def test_code_table_finds_exactly_its_codes():
     assert (table.find(codes) == np.arange(len(codes))).all()
     other = np.setdiff1d(rng.integers(0, 2**63, 5000).astype(np.uint64), codes)
     assert (table.find(other) == -1).all() and len(kn.CodeTable(codes[:0]).find(other)) == len(other)
+
+
+def test_letters_of_every_script_are_kept_apart():
+    code = lambda t: kn.text_grams([t]).tolist()
+    words = ["агжй", "гажй", "αδηκ", "δαηκ", "日本語", "本日語", "كتب", "تكب", "é", "ë", "a\x00", "a\x01", "a1", "a2", "a!"]
+    assert len({tuple(code(w)) for w in words}) == len(words)
+    for upper, lower in (("ГАЖЙ", "гажй"), ("ΑΔΗΚ", "αδηκ"), ("É", "é"), ("A\tB", "a b")):
+        assert code(upper) == code(lower)
+
+
+@pytest.mark.parametrize("letters", ["агжй", "αδηκ", "あうえお", "kmnp"])
+def test_toxic_words_of_every_script_are_found(docs, labels, letters):
+    rng = random.Random(20)
+    words = sorted({"".join(rng.choice(letters) for _ in range(6)) for _ in range(60)})
+    bad, fine = words[:2], words[2:]
+    items, marks = [], []
+    for i in range(400):
+        toxic = i % 3 == 0
+        text = [rng.choice(fine) for _ in range(20)]
+        if toxic:
+            text[rng.randrange(20)] = rng.choice(bad)
+            text[rng.randrange(20)] = rng.choice(bad)
+        items.append((i, " ".join(text)))
+        marks.append((i, 1, int(toxic)))
+    out = [r for r in kn.toxicity_scores(docs(items), labels(marks)).collect() if r["held_out"]]
+    assert len(out) > 50 and np.mean([r["predicted"] == (r["doc_id"] % 3 == 0) for r in out]) > 0.9
