@@ -263,8 +263,7 @@ class LogRatio:
                 if n <= w:
                     out[i, 1 + k] = (sums[s + n] - sums[s]) / w
                 else:
-                    at = np.append(np.arange(s, s + n - w, w // 4), s + n - w)
-                    out[i, 1 + k] = (sums[at + w] - sums[at]).max() / w
+                    out[i, 1 + k] = (sums[s + w:s + n + 1] - sums[s:s + n - w + 1]).max() / w
         return out
 
 

@@ -369,3 +369,14 @@ def test_toxic_words_of_every_script_are_found(docs, labels, letters):
         marks.append((i, 1, int(toxic)))
     out = [r for r in kn.toxicity_scores(docs(items), labels(marks)).collect() if r["held_out"]]
     assert len(out) > 50 and np.mean([r["predicted"] == (r["doc_id"] % 3 == 0) for r in out]) > 0.9
+
+
+def test_windows_start_everywhere():
+    rng = np.random.default_rng(21)
+    grams = np.unique(kn.text_grams(["the thin then vexgrum one on none"]))
+    model = kn.LogRatio(grams, rng.integers(0, 5, len(grams)), rng.integers(1, 5, len(grams)), np.full(len(grams), 0.01))
+    texts = [" " * k + "the thin vexgrum none then one on the thin then" for k in range(7)]
+    for text, got in zip(texts, model.features(texts), strict=True):
+        r = model.ratios(kn.text_grams([text]))
+        for k, w in enumerate(kn.WINDOWS):
+            assert got[1 + k] == pytest.approx(max(r[i:i + w].astype(float).sum() for i in range(len(r) - w + 1)) / w)
