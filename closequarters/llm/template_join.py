@@ -2,8 +2,8 @@
 
 Base: the places where a phrase's words stand consecutively.
 
-Method: text blocks (lines; a longer line is read in overlapping windows of
-``BLOCK_WORDS`` words) are joined with licence templates on containment
+Method: text blocks (lines, and overlapping windows of ``BLOCK_WORDS`` words of
+the whole text, so a notice wrapped over lines lies in one block) are joined with licence templates on containment
 |block & template| >= t |template|.  Tokens are ordered by their frequency in
 the whole corpus (counted by a Spark job), rarest first.  With a = ceil(t |T|):
 a match must share a token between the first |T| - a + 1 tokens of the template
@@ -74,15 +74,21 @@ def base_places(words: list[bytes], phrases: dict[str, str]) -> list[tuple[int,
     return found
 
 
+def windows(words: list[bytes], size: int):
+    """Overlapping windows: every run of up to size - size // 2 words lies in one."""
+    step = size // 2
+    for s in range(0, max(len(words) - (size - step), 1), step):
+        yield words[s:s + size]
+
+
 def text_blocks(raw: bytes, size: int = BLOCK_WORDS):
-    for line in raw.split(b"\n"):
-        words = words_of(line)
-        if len(words) <= size:
-            yield words
-        else:
-            step = size // 2
-            for s in range(0, len(words) - step, step):
-                yield words[s:s + size]
+    """The lines (a longer one in windows), and the windows of the whole text
+    across its line ends."""
+    lines = [w for w in map(words_of, raw.split(b"\n")) if w]
+    for words in lines:
+        yield from windows(words, size)
+    if len(lines) > 1:
+        yield from windows([w for words in lines for w in words], size)
 
 
 class TemplateIndex:
@@ -148,7 +154,7 @@ def license_scan(docs: DataFrame, *, phrases: dict[str, str] = PHRASES, template
     first_word, last_word (null without a place), base_labels, labels (with
     those of matched templates; empty text if none), score (1 with a base
     place, else the best containment found, else 0) and n_blocks (matched
-    blocks).
+    blocks, lines and windows alike).
 
     Null texts count as empty; null ids and repeated rows pass through;
     further columns are not read.

@@ -4,6 +4,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -225,6 +226,20 @@ def test_license_scan_matches_brute_force(docs, rows):
     assert tj.license_scan(docs([]).limit(0)).count() == 0
 
 
+def wrapped(text, width):
+    return textwrap.fill(text, width, break_long_words=False)
+
+
+@pytest.mark.parametrize("width", [5, 30, 72, 80])
+def test_wrapped_notices_are_found(docs, rows, width):
+    items = [(k, f"Some words first.\n\n{wrapped(t, width)}\n\n" + "tail zzz " * (70 * (k % 3))) for k, (_, t) in enumerate(tj.TEMPLATES)]
+    items += [(100 + k, "front " * n + "\n" + wrapped(tj.TEMPLATES[0][1], width)) for k, n in enumerate(range(0, 200, 9))]
+    found = dict(rows(tj.license_scan(docs(items)), "doc_id", "labels"))
+    for i, _ in items:
+        label = tj.TEMPLATES[i][0] if i < 100 else "mit"
+        assert label in found[i].split(","), (i, label, found[i])
+
+
 # ---- op5, op6 --------------------------------------------------------------------------------------------------
 
 
