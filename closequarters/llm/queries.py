@@ -16,7 +16,7 @@ from .kneser_ney import toxicity_scores
 from .line_spread import MIN_SITES, line_report
 from .nnls_pack import pack_documents
 from .pairwise_quality import quality_scores
-from .template_join import license_scan
+from .template_join import NAMING, license_scan
 
 
 def tokenizer_file(name: str) -> str:
@@ -51,7 +51,7 @@ def _op6(spark, d):
 
 
 def _op7(spark, d):
-    return license_scan(read_table(spark, d, "documents"))
+    return license_scan(read_table(spark, d, "documents"), naming=NAMING)
 
 
 def _op8(spark, d):

@@ -11,7 +11,16 @@ and the first |B| - a + 1 of the block (prefix filter), needs |B| >= a (length
 filter), and at the shared token enough tokens must be left on both sides
 (positional filter); survivors are verified on the full sets, so the join is
 exact.  Tokens in no template cannot add to an overlap and are dropped from
-blocks first.  The template side is a fixed parameter of a few hundred tokens,
+blocks first.
+
+Naming.  Containment alone lets the word that names the licence be missing, so
+the registered query confirms every candidate of the join: some window of
+ceil(words of T / t) consecutive words of a line or of the whole text must reach
+the threshold, hold all naming tokens of T and none of those that name another
+licence.  Two neighbouring blocks overlap by more than such a window, so none
+is missed.
+
+The template side is a fixed parameter of a few hundred tokens,
 which every task holds whole, so the join needs no shuffle.
 """
 from __future__ import annotations
@@ -48,6 +57,11 @@ TEMPLATES = (
     ("cc-by-nc", "This work is licensed under a Creative Commons Attribution NonCommercial 4.0 International License"),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
 )
+LGPL_AGPL = "lesser affero"
+# Per template the tokens that name its licence, and those that name another one.
+NAMING = (("merge publish sublicense", ""), ("apache 2", ""), ("apache 2", ""), ("mit", ""),
+          ("gnu general public 3", LGPL_AGPL), ("gnu general public", LGPL_AGPL), ("redistribution source binary", ""),
+          ("creative commons noncommercial", ""), ("cc by nc", ""))
 THRESHOLD = 0.8
 BLOCK_WORDS = 128
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
@@ -94,7 +108,9 @@ def text_blocks(raw: bytes, size: int = BLOCK_WORDS):
 class TemplateIndex:
     """Prefix index of the templates under a global token order."""
 
-    def __init__(self, templates, frequency: dict[bytes, int], threshold: float = THRESHOLD):
+    def __init__(self, templates, frequency: dict[bytes, int], threshold: float = THRESHOLD, naming=None):
+        self.naming = naming and [tuple(frozenset(words_of(t.encode())) for t in pair) for pair in naming]
+        self.widths = [math.ceil(len(words_of(text.encode())) / threshold - 1e-9) for _, text in templates]
         self.sets = [(label, frozenset(words_of(text.encode()))) for label, text in templates]
         self.rank = {t: i for i, t in enumerate(sorted(set().union(*(s for _, s in self.sets)),
                                                        key=lambda t: (frequency.get(t, 0), t)))}
@@ -107,8 +123,29 @@ class TemplateIndex:
             for i, token in enumerate(order[:len(order) - self.need[k] + 1]):
                 self.index.setdefault(token, []).append((k, i))
 
+    def named(self, k: int, words: list[bytes]) -> int:
+        """The largest overlap of template ``k`` with a window of its width
+        that holds its naming tokens and none of another licence; 0 if none."""
+        (must, never), tokens, width = self.naming[k], self.sets[k][1], self.widths[k]
+        if not must.issubset(words):
+            return 0
+        best, inside = 0, Counter()
+        for i, word in enumerate(words):
+            if word in tokens or word in must or word in never:
+                inside[word] += 1
+            gone = words[i - width] if i >= width else None
+            if gone in inside:
+                inside[gone] -= 1
+                if not inside[gone]:
+                    del inside[gone]
+            if i >= width - 1 or i == len(words) - 1:
+                if must <= inside.keys() and not never & inside.keys():
+                    best = max(best, len(tokens & inside.keys()))
+        return best
+
     def matches(self, words: list[bytes]) -> list[tuple[str, float]]:
-        """(label, containment) of every template that the block contains."""
+        """(label, containment) of every template that the block contains;
+        with ``naming``, that one of its windows contains and names."""
         block = self.vocabulary.intersection(words)
         if len(block) < self.least:
             return []
@@ -125,6 +162,8 @@ class TemplateIndex:
         for k in shared:
             label, tokens = self.sets[k]
             overlap = len(tokens & block)
+            if self.naming and overlap >= self.need[k]:
+                overlap = self.named(k, words)
             if overlap >= self.need[k]:
                 out.append((label, overlap / len(tokens)))
         return out
@@ -149,24 +188,29 @@ def token_frequencies(docs: DataFrame, vocabulary: frozenset[bytes], text_col: s
 
 
 def license_scan(docs: DataFrame, *, phrases: dict[str, str] = PHRASES, templates=TEMPLATES,
-                 threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                 threshold: float = THRESHOLD, naming=None, id_col: str = "doc_id",
+                 text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_words, n_base (places of phrases),
     first_word, last_word (null without a place), base_labels, labels (with
     those of matched templates; empty text if none), score (1 with a base
     place, else the best containment found, else 0) and n_blocks (matched
     blocks, lines and windows alike).
 
+    ``naming`` has a pair per template, the tokens a match needs and those it
+    must not have; without it containment in a block alone decides.
+
     Null texts count as empty; null ids and repeated rows pass through;
     further columns are not read.
     """
     vocabulary = TemplateIndex(templates, {}, threshold).vocabulary
-    index = TemplateIndex(templates, token_frequencies(docs, vocabulary, text_col), threshold)
+    index = TemplateIndex(templates, token_frequencies(docs, vocabulary, text_col), threshold, naming)
+    size = max([BLOCK_WORDS, *(2 * w for w in index.widths)])
 
     def scan(doc, text):
         raw = text.encode()
         words = words_of(raw)
         places = base_places(words, phrases)
-        blocks = [m for m in map(index.matches, text_blocks(raw)) if m]
+        blocks = [m for m in map(index.matches, text_blocks(raw, size)) if m]
         base = {label for _, label in places}
         more = {label for m in blocks for label, _ in m}
         at = [i for i, _ in places]

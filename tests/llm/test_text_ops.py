@@ -240,6 +240,45 @@ def test_wrapped_notices_are_found(docs, rows, width):
         assert label in found[i].split(","), (i, label, found[i])
 
 
+OTHER_LICENCES = ["Licensed under the Mozilla Public License, Version 2.0", "Released under the BSD License",
+                  "Licensed under CC BY 4.0", "This work is licensed under the GNU General Public License, version 2",
+                  "This work is licensed under a Creative Commons Attribution 4.0 International License",
+                  "This work is licensed under the GNU Lesser General Public License, version 3",
+                  "The mit word, then a license that was sent to all of us and released by the firm under a name"]
+
+
+def test_query_labels_need_the_naming_tokens(docs, rows, monkeypatch):
+    rng = random.Random(22)
+    items = [*enumerate(OTHER_LICENCES)]
+    items += [(100 + k, wrapped("before it " + t + " after it", 40)) for k, (_, t) in enumerate(tj.TEMPLATES)]
+    for i in range(150):
+        parts = rng.choice(tj.TEMPLATES)[1].split()
+        for _ in range(rng.randint(0, 4)):
+            parts.insert(rng.randrange(len(parts) + 1), rng.choice(["zzz", "\n", "mit", "lesser", "cc"]))
+        if i % 2:
+            del parts[rng.randrange(len(parts))]
+        items.append((200 + i, "w " * rng.choice([0, 60, 120, 190]) + " ".join(parts) + "\n" + "of the license " * rng.choice([0, 30])))
+    monkeypatch.setattr(queries, "read_table", lambda *_: docs(items))
+    found = {r["doc_id"]: r for r in queries.QUERIES["op7_template_join"](docs([]).sparkSession, "").collect()}
+    assert not any(found[k]["labels"] for k in range(len(OTHER_LICENCES)))
+    assert all(tj.TEMPLATES[k][0] in found[100 + k]["labels"].split(",") for k in range(len(tj.TEMPLATES)))
+    for i, text in items:
+        best: dict[str, float] = {}
+        for (label, notice), (must, never) in zip(tj.TEMPLATES, tj.NAMING, strict=True):
+            own = tj.words_of(notice.encode())
+            width = -(-len(own) * 5 // 4)
+            for line in [*text.split("\n"), text]:
+                words = tj.words_of(line.encode())
+                for s in range(max(1, len(words) - width + 1)):
+                    some = set(words[s:s + width])
+                    share = len(some & set(own)) / len(set(own))
+                    if share >= 0.8 and set(must.encode().split()) <= some and not set(never.encode().split()) & some:
+                        best[label] = max(best.get(label, 0), share)
+        base = {label for p, label in tj.PHRASES.items() if f" {p} " in " " + b" ".join(tj.words_of(text.encode())).decode() + " "}
+        assert found[i]["labels"] == ",".join(sorted(base | set(best))), text
+        assert found[i]["score"] == (1.0 if base else max(best.values(), default=0.0))
+
+
 # ---- op5, op6 --------------------------------------------------------------------------------------------------
 
 
