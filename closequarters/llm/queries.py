@@ -14,8 +14,11 @@ from .heap_bpe import bpe_round_trip
 from .hyperminhash import near_duplicates
 from .kneser_ney import toxicity_scores
 from .line_spread import MIN_SITES, line_report
+from .ngram_lm import language_model_scores
 from .nnls_pack import pack_documents
 from .pairwise_quality import quality_scores
+from .periodic_runs import periodic_runs, planted_repeats, run_report
+from .phrase_stripes import MAX_WORDS, MIN_COUNT, NO_LANG, TOP, collocations
 from .template_join import NAMING, license_scan
 
 
@@ -66,6 +69,18 @@ def _op10(spark, d):
     return bpe_round_trip(read_table(spark, d, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def _op11(spark, d):
+    return run_report(periodic_runs(planted_repeats(read_table(spark, d, "documents"))))
+
+
+def _op12(spark, d):
+    return language_model_scores(read_table(spark, d, "documents"))
+
+
+def _op13(spark, d):
+    return collocations(read_table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_collision_join": _op1,
     "op2_chat_prefix": _op2,
@@ -77,6 +92,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hyperminhash": _op8,
     "op9_nnls_pack": _op9,
     "op10_heap_bpe": _op10,
+    "op11_factor_runs": _op11,
+    "op12_mapped_lm": _op12,
+    "op13_phrase_stripes": _op13,
 }
 
 ESCAPE_SQL = r"regexp_replace({}, '([<\[])(\\*)(/?(?:s>|INST\]))', '\1\\\2\3', 'g')"
@@ -112,6 +130,34 @@ SELECT doc_id, n_lines, n_removed, length(text)::BIGINT AS n_chars, sha256(text)
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
        sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
+    "op13_phrase_stripes": f"""
+WITH texts AS (
+  SELECT coalesce(lang, '{NO_LANG}') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM texts),
+said AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+f AS (
+  SELECT lang, m, phrase, count(*) AS f FROM (
+    SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+    FROM said, range(1, {MAX_WORDS + 1}) r(m) WHERE len(w) >= m) GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+often AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS w, f FROM f WHERE m > 1 AND f >= {MIN_COUNT}),
+inside AS (
+  SELECT DISTINCT lang, part, f FROM (
+    SELECT lang, f, unnest(list_transform(range(1, m - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS part
+    FROM often, range(2, {MAX_WORDS}) r(k) WHERE k < m)),
+kept AS (SELECT * FROM often o WHERE NOT EXISTS (
+  SELECT 1 FROM inside i WHERE i.lang = o.lang AND i.part = o.phrase AND 100 * i.f >= 100 * o.f)),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, c.k, l.f AS l, r.f AS r, n.n,
+         ((1000::HUGEINT * c.f * n.n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM (SELECT *, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:m], ' ') AS rest
+        FROM kept, range(1, {MAX_WORDS}) r(k) WHERE k < m) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = c.first JOIN f r ON r.lang = c.lang AND r.phrase = c.rest
+  JOIN n ON n.lang = c.lang),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= {TOP}""",
 }
 
 

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered_once():
     names = [q.split("_")[0] for q in llm.queries()]
-    assert names == [f"op{n}" for n in range(1, 11)]
+    assert names == [f"op{n}" for n in range(1, 14)]
     assert set(llm.queries()) | {"pipeline"} <= set(E.queries())
     assert set(llm.oracle_sql()) <= set(llm.queries())
 
