@@ -99,7 +99,7 @@ def write_store(rows: DataFrame, name: str, value: str = "f") -> HashArrays:
     spark = rows.sparkSession
     folder, shards = store_folder(spark, name), shard_count(spark)
     dealt = (rows.select(shard_column(F.col("key"), shards).alias("shard"), "key", F.col(value).cast("long").alias("f"))
-             .repartition(shards, "shard").sortWithinPartitions("shard"))
+             .repartitionById(shards, F.col("shard")))
 
     def run(batches):
         import pyarrow as pa

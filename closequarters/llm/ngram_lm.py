@@ -32,7 +32,7 @@ from .tokens import Splitter, byte_blocks, chain, mix
 
 BEGIN, END = np.uint64(0), np.uint64(1)
 ORDER = 2
-FLUSH = 3_000_000  # distinct n-grams that a counting task holds at most
+FLUSH = 2_000_000  # distinct n-grams that a counting task holds at most
 GRAMS, HISTORIES, SUMS = 0, 1, 2
 PACKED = "kind int, shard int, words array<long>, nums array<long>"
 # Discounts where an order has no n-gram that occurs once, twice or three times.
@@ -132,7 +132,8 @@ def count_grams(texts: DataFrame, order: int, shards: int, flush: int = FLUSH) -
 
 
 def shard_groups(batches, width: int, fold_at: int = FLUSH):
-    """Per shard of sorted packed rows: shard, keys, words, summed numbers."""
+    """Per shard of packed rows (a task's rows are of one shard): shard, keys,
+    words, summed numbers."""
     held: list = []
     shard, rows = None, 0
 
@@ -161,8 +162,7 @@ def shard_groups(batches, width: int, fold_at: int = FLUSH):
 
 
 def dealt(rows: DataFrame, kind: int, shards: int) -> DataFrame:
-    return (rows.filter(F.col("kind") == kind).select("shard", "words", "nums")
-            .repartition(shards, "shard").sortWithinPartitions("shard"))
+    return rows.filter(F.col("kind") == kind).select("shard", "words", "nums").repartitionById(shards, F.col("shard"))
 
 
 def merge_order(rows: DataFrame, k: int, top: bool, folder: str, shards: int) -> DataFrame:
@@ -175,7 +175,8 @@ def merge_order(rows: DataFrame, k: int, top: bool, folder: str, shards: int) ->
         for shard, keys, words, nums in shard_groups(batches, k):
             raw = nums[0]
             n = raw if top else np.where((words[0] == BEGIN) & (k > 1), raw, nums[1])
-            write_shard(folder, shard, key=keys, n=n, **({"raw": raw} if k == 1 else {}))
+            small = np.uint32 if n.max() < 2**32 else np.int64
+            write_shard(folder, shard, key=keys, n=n.astype(small), **({"raw": raw} if k == 1 else {}))
             sums = [len(n), raw.sum(), n.sum(), *(np.count_nonzero(n == c) for c in (1, 2, 3, 4)), np.count_nonzero(n > 2)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([SUMS], pa.int32()), pa.array([shard], pa.int32()), pa.array([[]], pa.list_(pa.int64())),

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, map_batches
-from .hash_store import HashArrays, shard_count, write_store
+from .hash_store import HashArrays, shard_count, shard_of, write_store
 from .tokens import Splitter, byte_blocks, chain, mix
 
 SPACES = b" \t"
@@ -116,7 +116,7 @@ def word_stripes(texts: DataFrame, shards: int, flush: int = FLUSH) -> DataFrame
 def merged_words(stripes: DataFrame, shards: int, min_count: int) -> DataFrame:
     """lang, key, phrase, f of the frequent words, and per stripe one row without
     key whose f is the stripe's sum."""
-    dealt = stripes.repartition(shards, "lang", "shard").sortWithinPartitions("lang", "shard")
+    dealt = stripes.repartitionById(shards, F.col("shard")).sortWithinPartitions("lang")
 
     def run(batches):
         import pyarrow as pa
@@ -152,9 +152,12 @@ def merged_words(stripes: DataFrame, shards: int, min_count: int) -> DataFrame:
     return map_batches(dealt, run, "lang string, key long, phrase string, f long")
 
 
-def prefix_stripes(texts: DataFrame, k: int, frequent: HashArrays, flush: int = FLUSH, stripe: int = STRIPE) -> DataFrame:
-    """Stripes of the frequent prefixes of k - 1 words, combined per task: key of
-    the prefix, number of the stripe, next words and their counts."""
+def prefix_stripes(texts: DataFrame, k: int, frequent: HashArrays, shards: int, flush: int = FLUSH,
+                   stripe: int = STRIPE) -> DataFrame:
+    """Stripes of the frequent prefixes of k - 1 words, combined per task and
+    packed by shard: keys of the prefixes, next words and counts, entry by entry.
+    A prefix of more than ``stripe`` occurrences has several stripes, each with a
+    part of the next words, on shards of their own."""
     def run(batches):
         import pyarrow as pa
 
@@ -162,24 +165,21 @@ def prefix_stripes(texts: DataFrame, k: int, frequent: HashArrays, flush: int =
         parts, held = [], 0
 
         def fold():
-            prefix, sub, word, n = (np.concatenate(c) for c in zip(*parts, strict=True))
+            prefix, shard, word, n = (np.concatenate(c) for c in zip(*parts, strict=True))
             one, n = summed(chain(prefix, word), n)
-            parts[:] = [(prefix[one], sub[one], word[one], n)]
+            parts[:] = [(prefix[one], shard[one], word[one], n)]
             return parts[0]
 
-        def stripes():
-            prefix, sub, word, n = fold()
+        def packed():
+            prefix, shard, word, n = fold()
             parts.clear()
-            order = np.lexsort((sub, prefix))
-            prefix, sub = prefix[order], sub[order]
-            new = np.ones(len(order), bool)
-            new[1:] = (prefix[1:] != prefix[:-1]) | (sub[1:] != sub[:-1])
-            first = np.flatnonzero(new)
-            at = pa.array(np.append(first, len(order)), pa.int32())
+            order = np.lexsort((prefix, shard))
+            ends = np.searchsorted(shard[order], np.arange(shards + 1))
+            some = np.flatnonzero(np.diff(ends))
+            at = pa.array(np.append(ends[some], len(order)), pa.int32())
             return pa.RecordBatch.from_arrays(
-                [pa.array(prefix[first].view(np.int64)), pa.array(sub[first].astype(np.int32)),
-                 pa.ListArray.from_arrays(at, pa.array(word[order].view(np.int64))),
-                 pa.ListArray.from_arrays(at, pa.array(n[order]))], ["prefix", "sub", "next", "n"])
+                [pa.array(some, pa.int32()), *(pa.ListArray.from_arrays(at, pa.array(c[order].view(np.int64)))
+                                               for c in (prefix, word, n))], ["shard", "prefix", "next", "n"])
 
         for batch in batches:
             for part, offsets, data in byte_blocks(batch, 0):
@@ -195,71 +195,64 @@ def prefix_stripes(texts: DataFrame, k: int, frequent: HashArrays, flush: int =
                 f = np.zeros(size)
                 f[at] = frequent.find(key[at], "f")[0]
                 at = np.flatnonzero(f)
+                if not len(at):
+                    continue
                 # what follows counts by name if the last k - 1 words are frequent too, in the same piece
                 named = np.zeros(len(at), bool)
                 inner = at < size - 1
                 named[inner] = (f[at[inner] + 1] > 0) & (found.piece[at[inner]] == found.piece[at[inner] + k - 1])
                 word = np.where(named, word[np.minimum(at + k - 1, len(word) - 1)], OTHER)
-                subs = 1 + (f[at] // stripe).astype(np.uint64)
                 one, n = summed(chain(key[at], word), np.ones(len(at), np.int64))
-                parts.append((key[at][one], (mix(word) % subs)[one], word[one], n))
+                at, word = at[one], word[one]
+                number = mix(word) % (1 + (f[at] // stripe).astype(np.uint64))
+                parts.append((key[at], shard_of(mix(key[at] + number), shards), word, n))
                 held += len(one)
                 if held > flush:
                     held = len(fold()[0])
                     if held > flush // 2:
-                        yield stripes()
+                        yield packed()
                         held = 0
         if parts:
-            yield stripes()
+            yield packed()
 
-    return map_batches(texts, run, "prefix long, sub int, next array<long>, n array<long>")
+    return map_batches(texts, run, "shard int, prefix array<long>, next array<long>, n array<long>")
 
 
 def merged_stripes(stripes: DataFrame, shards: int, min_count: int) -> DataFrame:
     """Stripes merged element by element: prefix, total (sum of the stripe), next,
     key and n of the extensions that occur ``min_count`` times or more."""
-    dealt = stripes.repartition(shards, "prefix", "sub").sortWithinPartitions("prefix", "sub")
-
     def run(batches):
         import pyarrow as pa
 
-        def merge(prefix, sub, word, n):
-            one, n = summed(chain(chain(prefix, word), sub.astype(np.uint64)), n)
-            prefix, sub, word = prefix[one], sub[one], word[one]
-            order = np.lexsort((sub, prefix))
-            return prefix[order], sub[order], word[order], n[order]
-
-        def out(prefix, sub, word, n):
-            new = np.ones(len(prefix), bool)
-            new[1:] = (prefix[1:] != prefix[:-1]) | (sub[1:] != sub[:-1])
-            first = np.flatnonzero(new)
-            often = (n >= min_count) & (word != OTHER)
-            at = pa.array(np.append(0, np.cumsum(np.add.reduceat(often.astype(np.int64), first))), pa.int32())
-            key = chain(prefix, word)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(prefix[first].view(np.int64)), pa.array(np.add.reduceat(n, first)),
-                 *(pa.ListArray.from_arrays(at, pa.array(c[often])) for c in (word.view(np.int64), key.view(np.int64), n))],
-                ["prefix", "total", "next", "key", "n"])
+        def merge():
+            prefix, word, n = (np.concatenate(c) for c in zip(*held, strict=True))
+            one, n = summed(chain(prefix, word), n)
+            return prefix[one], word[one], n
 
         held, rows = [], 0
         for batch in batches:
-            size = batch.column(2).value_lengths().to_numpy()
-            held.append((np.repeat(batch.column(0).to_numpy().view(np.uint64), size), np.repeat(batch.column(1).to_numpy(), size),
-                         batch.column(2).flatten().to_numpy().view(np.uint64), batch.column(3).flatten().to_numpy()))
+            held.append(tuple(batch.column(c).flatten().to_numpy().view(kind) for c, kind in (
+                ("prefix", np.uint64), ("next", np.uint64), ("n", np.int64))))
             rows += len(held[-1][0])
-            if rows > FLUSH:
-                # the last stripe may go on in the next batch
-                prefix, sub, word, n = merge(*(np.concatenate(c) for c in zip(*held, strict=True)))
-                last = held[-1][0][-1], held[-1][1][-1]
-                stays = (prefix == last[0]) & (sub == last[1])
-                if not stays.all():
-                    yield out(prefix[~stays], sub[~stays], word[~stays], n[~stays])
-                held = [(prefix[stays], sub[stays], word[stays], n[stays])]
+            if rows > 2 * FLUSH and len(held) > 1:
+                held = [merge()]
                 rows = len(held[0][0])
-        if rows:
-            yield out(*merge(*(np.concatenate(c) for c in zip(*held, strict=True))))
-
-    return map_batches(dealt, run, "prefix long, total long, next array<long>, key array<long>, n array<long>")
+        if not rows:
+            return
+        prefix, word, n = merge()
+        order = np.argsort(prefix, kind="stable")
+        prefix, word, n = prefix[order], word[order], n[order]
+        first = np.flatnonzero(np.append(True, prefix[1:] != prefix[:-1]))
+        often = (n >= min_count) & (word != OTHER)
+        at = pa.array(np.append(0, np.cumsum(np.add.reduceat(often.astype(np.int64), first))), pa.int32())
+        key = chain(prefix, word)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(prefix[first].view(np.int64)), pa.array(np.add.reduceat(n, first)),
+             *(pa.ListArray.from_arrays(at, pa.array(c[often])) for c in (word.view(np.int64), key.view(np.int64), n))],
+            ["prefix", "total", "next", "key", "n"])
+
+    return map_batches(stripes.repartitionById(shards, F.col("shard")).select("prefix", "next", "n"), run,
+                       "prefix long, total long, next array<long>, key array<long>, n array<long>")
 
 
 def frequent_phrases(docs: DataFrame, *, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, text_col: str = "text",
@@ -276,7 +269,7 @@ def frequent_phrases(docs: DataFrame, *, min_count: int = MIN_COUNT, max_words:
     levels, stripes = [words], []
     for k in range(2, max_words + 1):
         known = write_store(levels[-1].select("key", "f"), f"op13-keys{k - 1}")
-        merged = cut(merged_stripes(prefix_stripes(texts, k, known), shards, min_count), f"op13-stripes{k}")
+        merged = cut(merged_stripes(prefix_stripes(texts, k, known, shards), shards, min_count), f"op13-stripes{k}")
         grown = (merged.select("prefix", F.explode(F.arrays_zip("next", "key", "n")).alias("_x"))
                  .select("prefix", F.col("_x.next").alias("next"), F.col("_x.key").alias("_key"), F.col("_x.n").alias("_f")))
         last = words.select(F.col("key").alias("next"), F.col("phrase").alias("_word"))

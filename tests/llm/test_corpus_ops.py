@@ -330,7 +330,7 @@ def test_split_and_flushed_stripes_add_up(spark, texts, rows):
     plain = df.select("text", "lang")
 
     def sums(**how):
-        merged = phrase_stripes.merged_stripes(phrase_stripes.prefix_stripes(plain, 2, known, **how), 8, 10)
+        merged = phrase_stripes.merged_stripes(phrase_stripes.prefix_stripes(plain, 2, known, 8, **how), 8, 10)
         total, more = Counter(), Counter()
         for r in merged.collect():
             total[r["prefix"]] += r["total"]
