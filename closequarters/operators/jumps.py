@@ -1,12 +1,14 @@
 """GPS-jump outliers: implied speed to the previous and next ping of a vessel.
 
-Skew-safe layout: a vessel's track is cut into time chunks and the ordered
-window runs per (vessel, chunk), so one long or duplicated track is spread
-over many tasks.  The first and last ping of each chunk get their missing
-neighbour from a small per-chunk edge table.  That table comes straight from
-the input rows by a map-side ``min``/``max`` of the order columns (one narrow
-row per task, vessel and chunk is shuffled), so the pings themselves are
-exchanged once, by (vessel, chunk).  Result = an unchunked per-vessel lag/lead.
+Skew-safe layout: a vessel's track is cut into chunks of about equally many
+pings (``chunk_bounds``: quantiles of its timestamps from a mergeable sketch) and
+the ordered window runs per (track, chunk), so one long, dense or duplicated
+track is spread over many tasks.  The first and last ping of each chunk get their
+missing neighbour from a small per-chunk edge table, made by a map-side
+``min``/``max`` of the order columns (one narrow row per task, track and chunk is
+shuffled).  The pings themselves are exchanged once: window and edge join use
+the same keys, a track key that is never null and the chunk.  Result = an
+unchunked per-vessel lag/lead.
 """
 from __future__ import annotations
 
@@ -18,29 +20,75 @@ from ..functions.timecols import epoch_s
 from ..params import DEFAULTS, Params
 from ..sources.schema import TRACK_ORDER
 
+NO_ID = -(2**63)
 NO_TIME_CHUNK = -(2**53)
+UNTIMED_CHUNKS = 64
 
 
 def _order_cols(df: DataFrame) -> list[str]:
     return [c for c in TRACK_ORDER if c in df.columns]
 
 
-def _neighbours(df: DataFrame, p: Params) -> tuple[DataFrame, Column, Column, Column]:
-    """The pings with their previous/next report (struct t, y, x) per vessel.
+def track_key() -> Column:
+    """The vessel id, never null: reports without id are one more track, as in a
+    window partition.  Being an ordinary equality, it serves window and join."""
+    return F.coalesce(F.col("mmsi").cast("long"), F.lit(NO_ID)).alias("_track")
+
+
+def chunk_bounds(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:
+    """``_track``, ``_bounds`` of the long tracks: the ascending timestamps (s) at
+    which their second and later chunks begin.
+
+    A track is long if it has more timed pings than a chunk may hold:
+    ``track_chunk_pings``, or all pings / ``track_chunks_total`` if that is more,
+    so that no table has more than ``track_chunks_total`` bounds (which makes
+    them safe to broadcast).  The quantiles are a partial aggregation over long
+    tracks only.  Their rank error is a tenth of the finest step (1 /
+    ``track_chunk_parts`` of the track); a chunk holds no more pings than that
+    allows, whatever the report rate, but those of one second stay together."""
+    timed = df.filter(F.col("ts").isNotNull()).select(track_key(), epoch_s("ts").alias("_t"))
+    sizes = timed.groupBy("_track").agg(F.count(F.lit(1)).alias("_pings"))
+    most = F.greatest(F.lit(p.track_chunk_pings), F.ceil(F.sum("_pings") / F.lit(p.track_chunks_total)))
+    long = (sizes.filter(F.col("_pings") > F.lit(p.track_chunk_pings))
+            .withColumn("_most", sizes.agg(most).scalar()).filter("_pings > _most"))
+    n = p.track_chunk_parts
+    steps = F.percentile_approx("_t", [i / n for i in range(1, n)], 10 * n).alias("_steps")
+    parts = F.least(F.ceil(F.col("_pings") / F.col("_most")), F.lit(n)).cast("int")
+    starts = F.transform(F.sequence(F.lit(1), F.col("_parts") - 1),
+                         lambda i: F.get("_steps", F.floor(i * F.lit(n) / F.col("_parts")).cast("int") - 1))
+    found = timed.join(F.broadcast(long.select("_track")), "_track", "left_semi").groupBy("_track").agg(steps)
+    return (found.join(F.broadcast(long.withColumn("_parts", parts)), "_track")
+            .select("_track", F.array_distinct(starts).alias("_bounds")))
+
+
+def with_chunks(df: DataFrame, p: Params = DEFAULTS) -> DataFrame:
+    """The pings with their track key and chunk.  Pings without a timestamp have
+    no speeds, whatever their neighbours, so they may lie in any order: they are
+    dealt by their position over chunks before all others (nulls sort first)."""
+    t = epoch_s("ts")
+    keyed = df.select("*", track_key())
+    if p.track_chunk_s is not None:
+        later = F.floor(t / F.lit(p.track_chunk_s))
+    else:
+        keyed = keyed.join(F.broadcast(chunk_bounds(df, p)), "_track", "left")
+        later = F.coalesce(F.size(F.filter("_bounds", lambda b: b <= t)), F.lit(0))
+    untimed = F.lit(NO_TIME_CHUNK) - F.pmod(F.xxhash64("lat", "lon"), F.lit(UNTIMED_CHUNKS))
+    return keyed.select(*[F.col(c) for c in df.columns], "_track",
+                        F.when(t.isNull(), untimed).otherwise(later).cast("long").alias("_chunk"))
+
 
-    Pings without a timestamp form the first chunk (nulls sort first), so they
-    stay, and their neighbours are those of an unchunked window.  A null id is
-    one more track, as in a window partition."""
+def _neighbours(df: DataFrame, p: Params) -> tuple[DataFrame, Column, Column, Column]:
+    """The pings with their previous/next report (struct t, y, x) per track."""
     order = _order_cols(df)
     pos = F.struct(epoch_s("ts").alias("t"), F.col("lat").alias("y"), F.col("lon").alias("x"))
-    chunk = F.coalesce(F.floor(epoch_s("ts") / F.lit(p.track_chunk_s)), F.lit(NO_TIME_CHUNK)).alias("_chunk")
-    w = Window.partitionBy("mmsi", "_chunk").orderBy(*order)
-    d = (df.select("*", chunk, pos.alias("_pos"))
+    chunked = with_chunks(df, p)
+    w = Window.partitionBy("_track", "_chunk").orderBy(*order)
+    d = (chunked.select("*", pos.alias("_pos"))
            .select("*", F.lag("_pos").over(w).alias("_prev"), F.lead("_pos").over(w).alias("_next")))
 
     place = F.struct(F.col("ts"), F.col("lat"), F.col("lon"))  # the leading order columns decide the edge's position
     wc = Window.partitionBy("_m").orderBy("_k")
-    edges = (df.select(F.col("mmsi").alias("_m"), chunk.alias("_k"), place.alias("_o"))
+    edges = (chunked.select(F.col("_track").alias("_m"), F.col("_chunk").alias("_k"), place.alias("_o"))
                .groupBy("_m", "_k").agg(F.min("_o").alias("_first"), F.max("_o").alias("_last")))
 
     def edge(c):
@@ -49,7 +97,7 @@ def _neighbours(df: DataFrame, p: Params) -> tuple[DataFrame, Column, Column, Co
 
     edges = edges.select("_m", "_k", edge(F.lag("_last").over(wc)).alias("_prev_edge"),
                          edge(F.lead("_first").over(wc)).alias("_next_edge"))
-    j = d.join(edges, F.col("mmsi").eqNullSafe(F.col("_m")) & (F.col("_chunk") == F.col("_k")), "inner")
+    j = d.join(edges, (F.col("_track") == F.col("_m")) & (F.col("_chunk") == F.col("_k")))
     prev = F.coalesce(F.col("_prev"), F.col("_prev_edge"))
     nxt = F.coalesce(F.col("_next"), F.col("_next_edge"))
     return j, prev, F.col("_pos"), nxt

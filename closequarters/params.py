@@ -78,10 +78,22 @@ class Params:
     top_n: int = TOP_N
     trajectory_half_window_min: int = TRAJECTORY_HALF_WINDOW_MIN
     cell_offsets: tuple[tuple[int, int], ...] = FORWARD_CELL_OFFSETS
-    # Skew guard for the per-vessel ordered windows: a vessel's track is cut
-    # into chunks of this many seconds so one very long (or duplicated) track
-    # never lands in one task.  Neighbours across chunk edges are stitched in.
-    track_chunk_s: int = 6 * 3600
+    # Skew guard for the per-vessel ordered windows: a track with more timed pings
+    # than this is cut at quantiles of its timestamps into chunks of about as many,
+    # so one very long, dense or duplicated track never lands in one task.
+    # Neighbours across chunk edges are stitched in.  ``track_chunk_parts`` is the
+    # finest cut of one track, ``track_chunks_total`` the most cuts of all tracks.
+    track_chunk_pings: int = 200_000
+    track_chunk_parts: int = 1024
+    track_chunks_total: int = 1_000_000
+    # A fixed chunk length in seconds in place of the quantiles (None: quantiles).
+    track_chunk_s: int | None = None
+    # Encounter join: a (minute, cell) bucket estimated to hold more distinct pings
+    # than this is dealt over several keys, one for every ``cell_pings`` of them, at
+    # most ``cell_keys``; at most ``dense_cells`` buckets are dealt.
+    cell_pings: int = 2000
+    cell_keys: int = 1024
+    dense_cells: int = 1000
     # Collapse exact duplicate pings before the encounter self-join and
     # re-expand after it, so copies cannot blow up a join bucket.
     collapse_copies: bool = True

@@ -19,7 +19,7 @@ from ..operators import filters as flt
 from ..operators import jumps, projections, ranking, trajectory, vessels
 from ..params import DEFAULTS, FIXTURE_MID_CODES
 from ..sources.fixture import derived_pings, rough_pings
-from .clean import clean_stages, clean_summary, ingest_summary, stage_funnel
+from .clean import clean_pings, clean_stages, clean_summary, ingest_summary, stage_funnel
 from .report import encounter_report
 
 P = DEFAULTS
@@ -33,6 +33,10 @@ SILENCE_OUT = ("silenced_a", "silenced_b")
 WINDOW_IDS = (219000003, 265000004)
 WINDOW_CENTRE_S = 1638316800 + 5 * 3600
 READ_DAYS = ("2021-12-01", "2021-12-02")
+# Skew guards at work on tables of any size: every track of more than 8 pings is
+# cut at its quantiles, every bucket of more than one ping is dealt over keys.
+SHORT_CHUNKS = replace(P, track_chunk_pings=8)
+SMALL_CELLS = replace(P, cell_pings=1)
 # Ids whose prefixes make up the derived country-prefix table.
 MID_IDS = (219000000, 264999999)
 
@@ -335,6 +339,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "implied_speeds": lambda s, d: _speeds_out(jumps.implied_speeds(_stages(s, d).moving, P)),
     "not_teleport": lambda s, d: _speeds_out(flt.not_teleport(jumps.implied_speeds(_stages(s, d).moving, P), P)),
     "gps_jump_filter": lambda s, d: pings_out(jumps.gps_jump_filter(_stages(s, d).moving, P)),
+    "gps_jump_filter_depth": lambda s, d: pings_out(jumps.gps_jump_filter(_raw(s, d), SHORT_CHUNKS)),
+    "encounter_pairs_dealt": lambda s, d: pairs_out(enc.encounter_pairs(_raw(s, d), SMALL_CELLS)),
     "gps_jump_filter_runs": lambda s, d: pings_out(jumps.gps_jump_filter(_rough_stages(s, d).moving,
                                                                          replace(P, collapse_track_copies=True))),
     "implied_speeds_untimed": lambda s, d: _speeds_out(jumps.implied_speeds(_rough_stages(s, d).moving, P)),
@@ -346,6 +352,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fill_vessel_static": lambda s, d: pings_out(vessels.fill_vessel_static(_stages(s, d).dense)),
     "backfill_static": _q_backfill,
     "clean_pings": lambda s, d: pings_out(_clean(s, d)),
+    "clean_pings_cut": lambda s, d: pings_out(clean_pings(_raw(s, d), MIDS, P)),
     "clean_pings_rough": lambda s, d: full_pings_out(_rough_stages(s, d).clean),
     "stage_funnel": lambda s, d: stage_funnel(_raw(s, d), MIDS, P),
     "clean_summary": lambda s, d: clean_summary(_clean(s, d)),

@@ -8,9 +8,10 @@ order, which is one exchange of the pings by (vessel, time chunk).  Everything
 else is per-vessel statistics (partial aggregation) joined back once.  Because
 the moving-vessel and thin-track tests drop whole vessels and the jump test
 only looks inside one vessel, the jump test can run before them with the same
-result.  ``clean_pings`` writes the jump-kept rows and the vessel table to the
-shared folder, so the window runs once and the vessel table, the final join and
-the row funnel start from those copies; the per-stage views stay lazy.
+result.  ``clean_pings`` writes the checked rows, the jump-kept rows and the
+vessel table to the shared folder, so the raw table is scanned and the window
+runs once, and the vessel table, the final join and the row funnel start from
+those copies; the per-stage views stay lazy.
 """
 from __future__ import annotations
 
@@ -30,9 +31,11 @@ from ..session import shared_dir
 class CleanStages:
     """The clean pipeline's intermediate tables, built on first use (each is
     a lazy DataFrame; building only the ones asked for keeps plan analysis
-    cheap).  With ``cut`` the jump-kept rows and the vessel table are written
-    once and reread, so the clean rows and the row funnel of one object share
-    the jump window and the per-vessel statistics."""
+    cheap).  With ``cut`` the checked rows (read four times: track sizes, chunk
+    edges, jump window, vessel statistics), the jump-kept rows and the vessel
+    table are written once and reread, so the raw table is scanned once and the
+    clean rows and the row funnel of one object share the jump window and the
+    per-vessel statistics; these writes run when a stage is first asked for."""
 
     def __init__(self, raw: DataFrame, mids, p: Params = DEFAULTS, cut: bool = False):
         self.raw, self.mids, self.p, self.cut = raw, mids, p, cut
@@ -50,7 +53,7 @@ class CleanStages:
 
     @cached_property
     def checked(self) -> DataFrame:          # F2 + P1 + F3-F6
-        return mmsi_checks(normalize_sog(self.spatial, self.p), self.mids, self.p)
+        return self._written(mmsi_checks(normalize_sog(self.spatial, self.p), self.mids, self.p), "checked")
 
     @cached_property
     def kept(self) -> DataFrame:             # W1 on every vessel (before J1, same rows)
@@ -108,8 +111,9 @@ def clean_stages(raw: DataFrame, mids, p: Params = DEFAULTS, cut: bool = False)
 
 def clean_pings(raw: DataFrame, mids, p: Params = DEFAULTS, cut: bool = True) -> DataFrame:
     """Q1: the clean ping table (same 13 columns as the input).  ``cut`` writes
-    the jump-kept rows to the shared folder once; without it the plan is lazy
-    and runs the jump window twice."""
+    three intermediate tables to the shared folder, running their Spark jobs
+    while the plan is built; without it the plan is lazy, scans the raw table
+    several times and runs the jump window twice."""
     return clean_stages(raw, mids, p, cut).clean.select(*raw.columns)
 
 

@@ -166,6 +166,13 @@ def rough(body: str, *needs: str) -> str:
     return "WITH " + ",\n".join(parts) + f"\n{body}"
 
 
+def raw_track(body: str, *needs: str) -> str:
+    """``q`` with the uncleaned pings in the place of the moving and clean ones."""
+    names = [n for n in _closure(list(needs)) if n in ("speeds", "mv", "pairs")]
+    parts = [f"moving AS ({FIXTURE_SQL})", "clean AS (SELECT * FROM moving)", *(f"{n} AS ({CTE[n]})" for n in names)]
+    return "WITH " + ",\n".join(parts) + f"\n{body}"
+
+
 def _result(src: str, extra: str = "") -> str:
     return (f"SELECT {extra}mmsi_a, mmsi_b, name_a, name_b, ship_type_a, ship_type_b, "
             "strftime(make_timestamp(ts_a_s * 1000000), '%Y-%m-%dT%H:%M:%S') || '.000' AS timestamp_utc, "
@@ -242,6 +249,9 @@ ORACLES: dict[str, str] = {
     "gps_jump_filter_runs": rough(f"SELECT {PING_COLS} FROM jump_free", "jump_free"),
     "implied_speeds_untimed": rough("SELECT ts_s, mmsi, lat, lon, round(speed_prev_kn, 4) AS speed_prev_kn, "
                                     "round(speed_next_kn, 4) AS speed_next_kn FROM speeds", "speeds"),
+    "clean_pings_cut": q(f"SELECT {PING_COLS} FROM clean", "clean"),
+    "gps_jump_filter_depth": raw_track(f"SELECT {PING_COLS} FROM speeds WHERE {JUMP_OK}", "speeds"),
+    "encounter_pairs_dealt": raw_track(f"SELECT {PAIR_COLS} FROM pairs", "pairs"),
     "clean_pings_rough": rough(f"SELECT {FULL_COLS} FROM clean", "clean"),
     "encounter_pairs_copies": rough(f"SELECT {PAIR_COLS} FROM pairs", "pairs"),
     "vessel_ping_count": q("SELECT mmsi, count(*) AS n_pings FROM jump_free GROUP BY mmsi", "jump_free"),
