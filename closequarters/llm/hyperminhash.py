@@ -29,14 +29,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_batches, text_slices
+from .common import cut, map_batches
 from .graph import connected_components
-from .heap_bpe import Generations
+from .tokens import Splitter, byte_blocks, mix
 
 REGISTERS = 128
 BUCKET_BITS = 7
@@ -58,32 +59,25 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser (xor-shift and multiply); wraps around silently."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+def shingle_sets(offsets: np.ndarray, data: np.ndarray, k: int):
+    """Per text of a block its sorted distinct 64-bit hashes of the k-word
+    shingles; fewer words give one shingle of all of them, no words none."""
+    found = Splitter().split(offsets, data)
+    bounds = np.searchsorted(found.text, np.arange(len(offsets))).tolist()
 
+    def hashed(w: np.ndarray, size: int) -> np.ndarray:
+        n = len(w) - size + 1
+        h = np.full(n, size, np.uint64)
+        for i in range(size):
+            h = mix(h + w[i:i + n]) * np.uint64(FACTORS[i % len(FACTORS)])
+        return mix(h)
 
-@lru_cache(maxsize=1)
-def word_hashes() -> Generations:
-    import xxhash
-
-    return Generations(xxhash.xxh3_64_intdigest)
-
-
-def shingle_hashes(words: list[bytes], k: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the k-word shingles; fewer words give
-    one shingle of all of them, no words none."""
-    if not words:
-        return np.zeros(0, np.uint64)
-    w = np.fromiter(map(word_hashes().__getitem__, words), np.uint64, len(words))
-    size = min(k, len(words))
-    n = len(words) - size + 1
-    h = np.full(n, size, np.uint64)
-    for i in range(size):
-        h = mix(h + w[i:i + n]) * np.uint64(FACTORS[i % len(FACTORS)])
-    return np.unique(mix(h))
+    windows = hashed(found.hash, k) if len(found.hash) >= k else None
+    for a, b in pairwise(bounds):
+        if b - a >= k:
+            yield np.unique(windows[a:b - k + 1])
+        else:
+            yield hashed(found.hash[a:b], b - a) if b > a else np.zeros(0, np.uint64)
 
 
 def registers(hashes: np.ndarray) -> np.ndarray:
@@ -127,6 +121,15 @@ def random_collision(na: np.ndarray, nb: np.ndarray) -> np.ndarray:
     return total
 
 
+@lru_cache(maxsize=1024)
+def own_collision(step: int) -> float:
+    """``random_collision`` of two sets of 2**(step / 8) elements.  It is about
+    1e-3 and changes little within the sizes that can be similar enough, which is
+    nothing beside ``MARGIN``."""
+    size = np.array([2.0 ** (step / 8)])
+    return float(random_collision(size, size)[0])
+
+
 def estimated_jaccard(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
     """Collision-corrected estimate from register matrices (pairs x 128)."""
     p = random_collision(na, nb)
@@ -141,10 +144,9 @@ def sketches(docs: DataFrame, k: int = SHINGLE, id_col: str = "doc_id", text_col
         import xxhash
 
         for batch in batches:
-            for part, texts in text_slices(batch):
+            for part, offsets, data in byte_blocks(batch, 1):
                 n, digests, bands = [], [], []
-                for text in texts:
-                    h = shingle_hashes(words_of(text), k)
+                for h in shingle_sets(offsets, data, k):
                     n.append(len(h))
                     digests.append(xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None)
                     bands.append(registers(h).view("<i8") if len(h) else None)
@@ -217,7 +219,9 @@ def dealt_blocks(rows: DataFrame, key: str, block: int) -> DataFrame:
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
     keys = [key, "i", "j"]
-    return (rows.drop("size", "blocks", "other").repartition(*map(F.col, keys)).sortWithinPartitions(*keys, "rep"))
+    # a number of its own, since few bytes here mean much work: the partitions must not be merged by size
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (rows.drop("size", "blocks", "other").repartition(n, *map(F.col, keys)).sortWithinPartitions(*keys, "rep"))
 
 
 def block_groups(batches, key: str, arrays: list[str]):
@@ -240,36 +244,41 @@ def block_groups(batches, key: str, arrays: list[str]):
 def joining_pairs(i: int, j: int, members: list, size_of: Callable, percent: int, exact: bool):
     """Pairs (x, y, label of x, label of y) of the members of two blocks whose
     sketches (and sets, if ``exact``) are similar enough and which join two
-    components; components joined here count as one from then on."""
+    components; components joined here count as one from then on.
+
+    Of two members with different labels one at least has not the commonest
+    label, so only those are compared with the others, each pair once."""
     left = [m for m in members if m[0] == i]
-    right = left if i == j else [m for m in members if m[0] == j]
-    if not left or not right:
+    right = [m for m in members if m[0] == j] if i != j else []
+    both = left + right
+    label = np.array([m[2] for m in both])
+    if not left or (i != j and not right) or (label == label[0]).all():
         return
-    left_label = np.array([m[2] for m in left])
-    label = left_label if i == j else np.array([m[2] for m in right])
-    n = np.array([size_of(m) for m in right], float)
-    sketch = np.array([m[3].view("<u2") for m in right])
-    for x, m in enumerate(left):
-        size = float(size_of(m))
-        far = (label != left_label[x]) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size))
-        if i == j:
-            far[:x + 1] = False
-        near = np.flatnonzero(far)
+    values, times = np.unique(label, return_counts=True)
+    n = np.array([size_of(m) for m in both], float)
+    sketch = np.array([m[3].view("<u2") for m in both])
+    of_right = np.arange(len(both)) >= len(left)
+    done = np.zeros(len(both), bool)
+    for x in np.flatnonzero(label != values[times.argmax()]).tolist():
+        done[x] = True
+        open_ = (label != label[x]) & ~done & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x]))
+        if i != j:
+            open_ &= of_right != of_right[x]
+        near = np.flatnonzero(open_)
         if not len(near):
             continue
-        p = random_collision(n[near], np.full(len(near), size))
-        agree = (sketch[near] == m[3].view("<u2")).mean(1)
+        p = own_collision(int(np.log2(n[x]) * 8))
+        agree = (sketch[near] == sketch[x]).mean(1)
         near = near[(agree - p) / (1 - p) >= percent / 100 - MARGIN]
         for part in np.split(near, range(64, len(near), 64)):
-            part = part[label[part] != left_label[x]]
+            part = part[label[part] != label[x]]
             if exact and len(part):
-                both = common_counts(m[4], [right[y][4] for y in part])
-                part = part[100 * both >= percent * (size + n[part] - both)]
+                common = common_counts(both[x][4], [both[y][4] for y in part])
+                part = part[100 * common >= percent * (n[x] + n[part] - common)]
             for y in part:
-                a, b = left_label[x], label[y]
+                a, b = label[x], label[y]
                 if a != b:
-                    yield m, right[y], int(a), int(b)
-                    left_label[left_label == max(a, b)] = min(a, b)
+                    yield both[x], both[y], int(a), int(b)
                     label[label == max(a, b)] = min(a, b)
 
 
@@ -306,8 +315,8 @@ def group_links(members: DataFrame, texts: DataFrame, k: int, percent: int, bloc
         import pyarrow as pa
 
         for batch in batches:
-            for part, texts in text_slices(batch, 64, 4):
-                sets = [shingle_hashes(words_of(t), k) for t in texts]
+            for part, offsets, data in byte_blocks(batch, 4):
+                sets = list(shingle_sets(offsets, data, k))
                 some = [s for s, h in enumerate(sets) if len(h)]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c).take(pa.array(some, pa.int64())) for c in range(4)),

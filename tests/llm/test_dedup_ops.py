@@ -136,7 +136,9 @@ def test_components_of_a_long_chain_and_a_star(spark, rows):
     links = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 50)] + [(5, 5)]
     random.Random(4).shuffle(links)
     low = components({n for e in links for n in e}, links)
-    out = connected_components(spark.createDataFrame(links, "a long, b long"))
+    out = connected_components(spark.createDataFrame(links, "a long, b long"), local_links=0)
+    local = connected_components(spark.createDataFrame(links, "a long, b long"))
+    assert sorted(map(tuple, local.collect())) == sorted(map(tuple, out.collect()))
     assert sorted(rows(out, "node", "component")) == sorted(low.items())
 
 
