@@ -3,6 +3,11 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 each stage's result as Parquet in the shared folder and hands the reread table
 to the next one.  All stages but the last return the columns of ``documents``.
+
+In every stage a null text counts as empty; a row without id is judged like any
+other (null-safe matching), but neither learned from nor deduplicated; rows that
+repeat an id are kept or dropped together; an empty table gives an empty table;
+further columns pass through whatever their names.
 """
 from __future__ import annotations
 
@@ -18,34 +23,39 @@ from closequarters.llm.pairwise_quality import quality_scores
 from closequarters.llm.queries import tokenizer_file
 
 
-def _keep(docs: DataFrame, verdict: DataFrame, wanted: int) -> DataFrame:
-    """Rows of ``docs`` whose id has the wanted verdict.  Equal rows of one id
-    have equal verdicts; a row without id is matched by null-safe equality."""
-    ids = verdict.filter(F.col("predicted") == wanted).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id is among ``ids`` (column doc_id); a row without
+    id is matched by null-safe equality."""
+    name = "_kept_id"
+    while name in docs.columns:
+        name += "_"
+    ids = ids.select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the Bradley-Terry classifier rejects go."""
-    return _keep(docs, quality_scores(docs, read_table(spark, sf_dir, "labels")), 1)
+    return _keep(docs, quality_scores(docs, read_table(spark, sf_dir, "labels")).filter("predicted = 1"))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the Kneser-Ney classifier calls toxic go."""
-    return _keep(docs, toxicity_scores(docs, read_table(spark, sf_dir, "labels")), 0)
+    return _keep(docs, toxicity_scores(docs, read_table(spark, sf_dir, "labels")).filter("predicted = 0"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cross-site lines go (their first place stays); every document stays."""
-    out = dedup_lines(docs)
+    own = ["doc_id", "text", "source", "n_chars"]
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in own])  # their names stay out of the way
+    out = dedup_lines(docs.select(*own, rest.alias("rest")))
     chars = F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
-    return out.withColumn("n_chars", chars).select(*docs.columns)
+    out = out.withColumn("n_chars", chars)
+    return out.select(*[F.col(c) if c in own else F.col("rest").getField(c).alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays (the smallest id)."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    return _keep(docs, near_duplicates(docs).filter("kept"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
