@@ -47,3 +47,17 @@ def test_pipeline_stages_take_odd_rows(spark):
     for _, stage in P.STAGES:
         assert stage(spark, docs, SF).count() <= 100
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_pipeline_stages_take_clashing_names(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    clash = ["_id", "_gone", "_kept_id", "predicted", "score", "rest", "site", "_label", "kept", "component_id", "_class", "line.no"]
+    plain = docs
+    for c in clash:
+        docs = docs.withColumn(c, docs["doc_id"] * 2)
+    for name, stage in P.STAGES:
+        plain, docs = (P.cut(stage(spark, d, SF), f"test-clash-{name}") for d in (plain, docs))
+        if name != P.STAGES[-1][0]:
+            assert docs.columns == [*plain.columns, *clash]
+            assert docs.filter("`line.no` <> 2 * doc_id or _gone <> 2 * doc_id").count() == 0
+        assert sorted(r["doc_id"] for r in docs.collect()) == sorted(r["doc_id"] for r in plain.collect())
