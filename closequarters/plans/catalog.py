@@ -37,8 +37,6 @@ READ_DAYS = ("2021-12-01", "2021-12-02")
 # cut at its quantiles, every bucket of more than one ping is dealt over keys.
 SHORT_CHUNKS = replace(P, track_chunk_pings=8)
 SMALL_CELLS = replace(P, cell_pings=1)
-# Ids whose prefixes make up the derived country-prefix table.
-MID_IDS = (219000000, 264999999)
 
 
 def pings_out(df: DataFrame) -> DataFrame:
@@ -237,17 +235,34 @@ def _q_read_days(spark, d):
 
 
 def _mid_table(spark, d):
-    """The country prefixes of a part of the id range, derived from the
-    ping table, written as CSV and read back as a reference table."""
+    """The country prefixes of all pings, written as a Windows-1252 CSV with
+    a text column of such bytes and read back as a reference table."""
     from ..session import shared_dir
     from ..sources.readers import read_mid_codes
 
     path = shared_dir(spark, "mid-codes")
-    ids = _raw(spark, d).filter(F.col("mmsi").between(*MID_IDS))
-    (ids.select(flt.mid_prefix().alias("Digit")).distinct().write.option("header", True).csv(path))
+    codes = _raw(spark, d).select(flt.mid_prefix().alias("Digit")).distinct()
+    (codes.select("Digit", F.concat(F.lit("\x80\x8a\xe9 "), F.col("Digit").cast("string")).alias("Allocated to"))
+     .write.option("header", True).option("encoding", "iso-8859-1").csv(path))
     return read_mid_codes(spark, path)
 
 
+def _odd_mids(spark, d):
+    """Every second code, so that the filter by a table drops pings."""
+    return _mid_table(spark, d).filter(F.col("mid") % 2 == 1)
+
+
+def _q_space_layout(spark, d):
+    """K1 along the space-filling curve, read back through the region box (F1)."""
+    from ..session import shared_dir
+    from ..sources.readers import read_pings
+    from ..sources.sinks import write_pings
+
+    path = shared_dir(spark, "pings-space")
+    write_pings(rough_pings(spark, d), path, layout="space")
+    return full_pings_out(flt.bbox_filter(read_pings(spark, path), P))
+
+
 def _q_json_roundtrip(spark, d):
     from ..session import shared_dir
     from ..sources.sinks import write_pairs_json
@@ -318,8 +333,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "write_pings": _q_parquet_roundtrip,
     "read_pings": _q_read_days,
     "read_mid_codes": lambda s, d: _mid_table(s, d).select(F.col("mid").cast("long").alias("mid")),
-    "mmsi_mid_filter_table": lambda s, d: pings_out(flt.mmsi_mid_filter(_raw(s, d), _mid_table(s, d))),
+    "mmsi_mid_filter_table": lambda s, d: pings_out(flt.mmsi_mid_filter(_raw(s, d), _odd_mids(s, d))),
     "trajectory_path": _q_path,
+    "write_pings_space": _q_space_layout,
     "write_pairs_json": _q_json_roundtrip,
     "streaming_ingest": _q_streaming_ingest,
     "ingest_summary": _q_ingest_summary,

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from ..params import DEFAULTS, FIXTURE_MID_CODES, METRES_PER_NM, UNDEFINED_SHIP_TYPE
 from ..sources.fixture import FIXTURE_SQL, ROUGH_SQL
-from .catalog import MID_IDS, READ_DAYS, WINDOW_CENTRE_S, WINDOW_IDS
+from .catalog import READ_DAYS, WINDOW_CENTRE_S, WINDOW_IDS
 
 P = DEFAULTS
 
@@ -191,12 +191,12 @@ HEAD_J = ("SELECT s.list, s.rank, s.mmsi, s.k, s.i, c.pos AS j, s.x0, s.y0, c.lo
 
 ORACLES: dict[str, str] = {
     "read_pings_csv": rough(f"SELECT {FULL_COLS} FROM pings", "pings"),
+    "write_pings_space": rough(f"SELECT {FULL_COLS} FROM pings WHERE lat BETWEEN {f(P.box[0][0])} AND {f(P.box[0][1])} "
+                               f"AND lon BETWEEN {f(P.box[1][0])} AND {f(P.box[1][1])}", "pings"),
     "write_pings": rough(f"SELECT {FULL_COLS} FROM pings", "pings"),
     "read_pings": q(f"SELECT {PING_COLS} FROM pings WHERE {DAY} BETWEEN '{READ_DAYS[0]}' AND '{READ_DAYS[1]}'", "pings"),
-    "read_mid_codes": q(f"SELECT DISTINCT CAST(floor(mmsi / 1e6) AS BIGINT) AS mid FROM pings WHERE mmsi BETWEEN "
-                        f"{MID_IDS[0]} AND {MID_IDS[1]}", "pings"),
-    "mmsi_mid_filter_table": q(f"SELECT {PING_COLS} FROM pings WHERE floor(mmsi / 1e6) IN (SELECT floor(mmsi / 1e6) "
-                               f"FROM pings WHERE mmsi BETWEEN {MID_IDS[0]} AND {MID_IDS[1]})", "pings"),
+    "read_mid_codes": q("SELECT DISTINCT CAST(floor(mmsi / 1e6) AS BIGINT) AS mid FROM pings", "pings"),
+    "mmsi_mid_filter_table": q(f"SELECT {PING_COLS} FROM pings WHERE CAST(floor(mmsi / 1e6) AS BIGINT) % 2 = 1", "pings"),
     "trajectory_path": q("SELECT list, rank, mmsi, pos, lon, lat, " + ISO.format(c="ts_s") + " AS ts, sog, cog FROM tpos",
                          "tpos"),
     "normalize_pings": rough(f"SELECT {FULL_COLS} FROM pings", "pings"),

@@ -41,13 +41,26 @@ def read_pings(spark: SparkSession, path: str, days: tuple[str, str] | None = No
     return df
 
 
-def read_mid_codes(spark: SparkSession, path: str) -> DataFrame:
-    """Country-prefix list: CSV with a ``Digit`` column, Windows-1252 encoded.
+def _cp1252_pairs() -> tuple[str, str]:
+    """The characters that ISO-8859-1 and Windows-1252 give to the same bytes
+    (0x80-0x9F; five of them mean nothing in Windows-1252 and stay)."""
+    both = [(chr(b), bytes([b]).decode("cp1252", errors="ignore")) for b in range(0x80, 0xA0)]
+    return "".join(a for a, b in both if b), "".join(b for _, b in both if b)
+
+
+def read_cp1252_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A headed CSV file in Windows-1252, every column as text.  Spark's charset
+    list lacks that encoding, so the bytes are read as ISO-8859-1 and the
+    characters that differ are translated, in values and column names."""
+    raw = spark.read.option("header", True).option("encoding", "iso-8859-1").csv(path)
+    latin, western = _cp1252_pairs()
+    names = str.maketrans(latin, western)
+    return raw.select(*[F.translate(F.col(f"`{c}`"), latin, western).alias(c.translate(names)) for c in raw.columns])
 
-    Spark 4 accepts a fixed charset list for CSV; Windows-1252 and ISO-8859-1
-    differ only in bytes 0x80-0x9F, which occur in the text columns, never in
-    the ASCII ``Digit`` column read here, so the codes are identical."""
-    return (spark.read.option("header", True).option("encoding", "iso-8859-1").csv(path)
-            .select(F.trim(F.col("Digit")).cast("int").alias("mid"))
+
+def read_mid_codes(spark: SparkSession, path: str) -> DataFrame:
+    """Country-prefix list: CSV with a ``Digit`` column, Windows-1252 encoded."""
+    return (read_cp1252_csv(spark, path)
+            .select(F.try_to_number(F.trim("Digit"), F.lit("999999999")).cast("int").alias("mid"))
             .filter(F.col("mid").isNotNull())
             .distinct())

@@ -4,13 +4,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.curve import curve_key
 from ..functions.timecols import epoch_s, iso_millis
 
 
+LAYOUTS = ("track", "space")
+
+
 def write_pings(df: DataFrame, path: str, mode: str = "overwrite",
-                max_records_per_file: int = 5_000_000) -> None:
+                max_records_per_file: int = 5_000_000, layout: str = "track") -> None:
     """Day-partitioned Parquet in one pass over the input.
 
+    ``layout`` orders the rows inside a file: "track" by (mmsi, ts) for vessel
+    and time lookups, "space" along a space-filling curve of the position, so
+    that a row group covers a small area and a region filter (F1, F2) reads only
+    the row groups that touch its box.  The rows are the same.
+
     ``rebalance`` on ``day`` shuffles each day's rows together and lets AQE
     split an oversized day into advisory-size partitions and merge small
     ones, so each task writes one day directory with evenly sized files (a
@@ -18,8 +27,11 @@ def write_pings(df: DataFrame, path: str, mode: str = "overwrite",
     when the input is raw CSV).  Sorting inside the task makes the Parquet
     row-group statistics on mmsi/ts skip data for vessel/time lookups;
     ``maxRecordsPerFile`` bounds file size."""
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}")
+    order = ["mmsi", "ts"] if layout == "track" else [curve_key(), "mmsi", "ts"]
     (df.hint("rebalance", "day")
-       .sortWithinPartitions("day", "mmsi", "ts")
+       .sortWithinPartitions("day", *order)
        .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
        .partitionBy("day").parquet(path))
 
