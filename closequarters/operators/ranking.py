@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timecols import epoch_s, iso_millis
 from ..params import DEFAULTS, Params
+from ..session import shared_dir
 from .filters import is_civilian, is_operational, is_silenced
 
 LISTS = ("all", "civilian", "silenced")
@@ -105,29 +106,34 @@ def rank_in_all(pairs: DataFrame, ranked: DataFrame, p: Params = DEFAULTS) -> Da
     """A11 (part 2): for every ranked pair of every list, its rank in the full
     all-types ordering and how many operational pairs sit ahead of it.
 
-    The keys of the ranked frame, sorted, cut the ordering into intervals.
-    Each vessel pair is put into its interval by binary search (one row in, one
-    counter up, no pairing of pairs with targets); a cumulative sum over the
-    intervals, of which there are as many as ranked rows, gives the counts."""
+    A distributed order statistic: vessel pairs and ranked keys are dealt
+    together into ranges of the ordering (the whole key, so equal distances do
+    not share a range) and written once to the shared folder with the number of
+    their range, which runs a job while the plan is built.  A rank is the rows
+    ahead inside the range (a window per range) and the rows of all earlier
+    ranges; of these prefix counts there are as many as ranges, so they travel as
+    one small array whatever the number of pairs or of ranked rows."""
+    spark = pairs.sparkSession
     targets = (_keyed(ranked).filter(F.col("rank") >= 1)
-               .select("list", "rank", F.struct(*_order()).alias("_tk")))
-    keys = targets.agg(F.sort_array(F.collect_set("_tk")).alias("k"))
-    best = closest_per_pair(pairs).select(F.struct(*_order()).alias("_k"), is_operational(p).alias("_op"),
-                                          keys.scalar().alias("_keys"))
-    steps = F.array(*[F.lit(1 << b) for b in range(30, -1, -1)])
-
-    def further(at, step):
-        n = at + step
-        return F.when((n <= F.size("_keys")) & (F.try_element_at("_keys", n) <= F.col("_k")), n).otherwise(at)
-
-    # pairs ahead of target i are those in intervals 0 .. i (interval: keys that are not after the pair)
-    placed = best.select("_op", F.aggregate(steps, F.lit(0), further).alias("_i"))
-    counts = placed.groupBy("_i").agg(F.count(F.lit(1)).alias("_n"), F.count_if("_op").alias("_ops"))
-    index = keys.select(F.posexplode("k").alias("_i", "_tk"))
-    both = (index.select("_i", F.lit(0).cast("long").alias("_n"), F.lit(0).cast("long").alias("_ops"), "_tk")
-            .unionByName(counts.select("_i", "_n", "_ops", F.lit(None).cast(index.schema["_tk"].dataType).alias("_tk"))))
-    w = Window.orderBy("_i").rangeBetween(Window.unboundedPreceding, Window.currentRow)  # as many rows as ranked
-    ahead = (both.select("_tk", F.sum("_n").over(w).alias("_ahead"), F.sum("_ops").over(w).alias("operational_ahead"))
-             .filter(F.col("_tk").isNotNull()))
-    return targets.join(ahead, "_tk").select("list", "rank", (F.col("_ahead") + 1).alias("rank_in_all"),
-                                             "operational_ahead")
+               .select(F.struct(*_order()).alias("_k"), F.lit(0).alias("_pair"), F.lit(0).alias("_ops"), "list", "rank"))
+    best = closest_per_pair(pairs).select(F.struct(*_order()).alias("_k"), F.lit(1).alias("_pair"),
+                                          F.coalesce(is_operational(p), F.lit(False)).cast("int").alias("_ops"))
+    both = best.unionByName(targets, allowMissingColumns=True)
+    path = shared_dir(spark, "pair-order")
+    # the number of ranges is given, so that they are not merged by size
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = both.repartitionByRange(ranges, "_k", "_pair").withColumn("_range", F.spark_partition_id())
+    dealt.write.parquet(path)
+    rows = spark.read.schema(dealt.schema).parquet(path)
+    sums = (rows.groupBy("_range").agg(F.sum("_pair").alias("_pair"), F.sum("_ops").alias("_ops"))
+            .agg(F.collect_list(F.struct("_range", "_pair", "_ops")).alias("s")).scalar())
+    # a pair that equals a ranked key is not ahead of it: ranked rows (0) come first
+    w = Window.partitionBy("_range").orderBy("_k", "_pair").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = (rows.withColumns({f"{c}_in": F.sum(c).over(w) for c in ("_pair", "_ops")})
+              .filter(F.col("rank").isNotNull()).withColumn("_sums", sums))
+    earlier = F.filter("_sums", lambda x: x["_range"] < F.col("_range"))
+
+    def ahead(c):
+        return F.col(f"{c}_in") + F.aggregate(earlier, F.lit(0).cast("long"), lambda n, x: n + x[c])
+
+    return placed.select("list", "rank", (ahead("_pair") + 1).alias("rank_in_all"), ahead("_ops").alias("operational_ahead"))

@@ -2,10 +2,13 @@
 plot is drawn from): all pairs of all lists in one job.
 
 The window requests are the rows of the ranked frame, whatever its length
-(Spark broadcasts them when they are small); the ping table streams past them
-with an equi-join on (mmsi, day) plus a range residual on the timestamp.
-Joining on the ``day`` partition column lets dynamic partition pruning skip
-every day partition no request touches when the table is day-partitioned
+(Spark broadcasts them when they are small, and else filters the pings by a
+Bloom filter of the requests' keys before the exchange); the ping table streams
+past them with an equi-join on (mmsi, day, time slot) plus a range residual on
+the timestamp.  A slot is about as long as a window, so a request touches two
+slots, and only the pings of those reach the residual, not a vessel's whole day.
+Joining on the ``day`` partition column as well lets dynamic partition pruning
+skip every day partition no request touches when the table is day-partitioned
 Parquet.
 """
 from __future__ import annotations
@@ -13,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timecols import SECONDS_PER_DAY, epoch_s, iso_millis
+from ..functions.timecols import SECONDS_PER_DAY, epoch_s, iso_millis, utc_day
 from ..params import (ARROW_FRACTION, ARROW_MIN_EXTENT_DEG, DEFAULTS, HEADING_ARROWS, HEADING_LOOKAHEAD,
                       HEADING_MIN_STEP_DEG, Params)
 from ..sources.schema import TRACK_ORDER
@@ -21,8 +24,19 @@ from ..sources.schema import TRACK_ORDER
 GROUP = ("list", "rank", "mmsi")
 
 
+def slot_seconds(p: Params = DEFAULTS) -> int:
+    """Length of a time slot: the shortest that holds a whole window and divides
+    a day (a slot lies in one day then), or a day."""
+    window = 2 * 60 * p.trajectory_half_window_min
+    return next((s for s in range(max(1, window), SECONDS_PER_DAY) if SECONDS_PER_DAY % s == 0), SECONDS_PER_DAY)
+
+
+def time_slot(seconds: Column, p: Params = DEFAULTS) -> Column:
+    return F.floor(seconds / F.lit(slot_seconds(p)))
+
+
 def window_requests(ranked: DataFrame, p: Params = DEFAULTS) -> DataFrame:
-    """One row per (list, rank, vessel, day touched), for every row of the
+    """One row per (list, rank, vessel, time slot touched), for every row of the
     ranked frame: both vessels' windows are centred on side a's encounter time;
     ``own_ts_s`` is the vessel's own ping.  The predicate ``rank >= 1`` cuts
     nothing; it lets Spark prune the day partitions of the ping table
@@ -34,19 +48,24 @@ def window_requests(ranked: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     r = (ranked.filter(F.col("rank") >= 1)
                .select("list", "rank", (centre - half).alias("t_lo"), (centre + half).alias("t_hi"),
                        F.explode(sides).alias("_s")))
-    days = F.sequence(F.floor(F.col("t_lo") / SECONDS_PER_DAY), F.floor(F.col("t_hi") / SECONDS_PER_DAY))
-    return r.select("list", "rank", F.col("_s.mmsi").alias("mmsi"), F.col("_s.own_ts_s").alias("own_ts_s"),
-                    "t_lo", "t_hi", F.explode(days).alias("_d")).select(
-        "list", "rank", "mmsi", "own_ts_s", "t_lo", "t_hi", F.date_from_unix_date(F.col("_d").cast("int")).alias("day"))
+    slots = F.sequence(time_slot(F.col("t_lo"), p), time_slot(F.col("t_hi"), p))
+    return (r.select("list", "rank", F.col("_s.mmsi").alias("mmsi"), F.col("_s.own_ts_s").alias("own_ts_s"),
+                     "t_lo", "t_hi", F.explode(slots).alias("slot"))
+            .withColumn("day", utc_day(F.col("slot") * F.lit(slot_seconds(p)))))
+
+
+def slot_matches(ranked: DataFrame, pings: DataFrame, p: Params = DEFAULTS) -> DataFrame:
+    """The equi-join of J8: pings (g) and requests (r) of one vessel and time slot."""
+    t = epoch_s("ts")
+    g = pings.withColumns({"ts_s": t, "slot": time_slot(t, p)}).alias("g")
+    r = window_requests(ranked, p).alias("r")
+    return g.join(r, [F.col(f"g.{c}") == F.col(f"r.{c}") for c in ("mmsi", "day", "slot")])
 
 
 def pair_trajectories(ranked: DataFrame, pings: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     """The pings of both vessels within ±window of every ranked encounter."""
-    req = window_requests(ranked, p).alias("r")
-    pg = pings.withColumn("ts_s", epoch_s("ts")).alias("g")
-    cond = ((F.col("g.mmsi") == F.col("r.mmsi")) & (F.col("g.day") == F.col("r.day"))
-            & F.col("g.ts_s").between(F.col("r.t_lo"), F.col("r.t_hi")))
-    return pg.join(req, cond, "inner").select(
+    inside = slot_matches(ranked, pings, p).filter(F.col("g.ts_s").between(F.col("r.t_lo"), F.col("r.t_hi")))
+    return inside.select(
         "r.list", "r.rank", "r.own_ts_s", *[F.col(f"g.{c}") for c in ("mmsi", "ts", "ts_s", "lat", "lon", "sog", "cog",
                                                                       "name", "ship_type", "nav_status", "mobile_type",
                                                                       "imo", "callsign")])

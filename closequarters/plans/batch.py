@@ -5,6 +5,7 @@ writes its own, so a stage can be rerun alone, a lost executor costs only
 tasks of the running stage, and no stage keeps another's lineage.
 
     ingest      raw CSV exports            -> pings/   (day-partitioned Parquet)
+                                              ingest_summary/ (rows and days, observed by the write)
     clean       pings/                     -> clean/   (day-partitioned Parquet)
                                               funnel/  (rows after each clean step)
     detect      clean/                     -> ranked/  (three top-N lists, Parquet)
@@ -21,11 +22,13 @@ from ..operators.trajectory import pair_trajectories
 from ..params import DEFAULTS, Params
 from ..sources.readers import normalize_pings, read_pings_csv
 from ..sources.sinks import write_pairs_json, write_pings
-from .clean import CleanStages, clean_stages, stage_funnel
+from .clean import CleanStages, clean_stages, stage_funnel, summary_from_write
 
 
-def ingest_stage(spark: SparkSession, csv_path: str, out: str) -> str:
-    write_pings(normalize_pings(read_pings_csv(spark, csv_path)), out)
+def ingest_stage(spark: SparkSession, csv_path: str, out: str, summary_out: str | None = None) -> str:
+    written = write_pings(normalize_pings(read_pings_csv(spark, csv_path)), out)
+    if summary_out:
+        summary_from_write(spark, written).write.mode("overwrite").parquet(summary_out)
     return out
 
 
@@ -62,8 +65,9 @@ def trajectory_stage(spark: SparkSession, ranked_path: str, clean_path: str, out
 
 def run_batch(spark: SparkSession, csv_path: str, out_dir: str, mids, p: Params = DEFAULTS) -> dict[str, str]:
     """All stages in order; returns the output path of each."""
-    paths = {k: f"{out_dir.rstrip('/')}/{k}" for k in ("pings", "clean", "funnel", "ranked", "results", "trajectories")}
-    ingest_stage(spark, csv_path, paths["pings"])
+    paths = {k: f"{out_dir.rstrip('/')}/{k}" for k in ("pings", "ingest_summary", "clean", "funnel", "ranked", "results",
+                                                     "trajectories")}
+    ingest_stage(spark, csv_path, paths["pings"], paths["ingest_summary"])
     funnel_stage(clean_stage(spark, paths["pings"], paths["clean"], mids, p), paths["funnel"])
     detect_stage(spark, paths["clean"], paths["ranked"], p)
     report_stage(spark, paths["ranked"], paths["results"], p)

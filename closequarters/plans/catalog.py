@@ -19,7 +19,8 @@ from ..operators import filters as flt
 from ..operators import jumps, projections, ranking, trajectory, vessels
 from ..params import DEFAULTS, FIXTURE_MID_CODES
 from ..sources.fixture import derived_pings, rough_pings
-from .clean import clean_pings, clean_stages, clean_summary, ingest_summary, stage_funnel
+from .clean import (clean_pings, clean_stages, clean_summary, ingest_summary, stage_funnel, summary_from_vessels,
+                    summary_from_write)
 from .report import encounter_report
 
 P = DEFAULTS
@@ -172,7 +173,8 @@ def _q_polyline(spark, d):
 
 
 def _q_geojson(spark, d):
-    return trajectory.trajectory_polyline(_traj(spark, d)).select("list", "rank", "mmsi", "n_points", "geojson")
+    lines = trajectory.trajectory_polyline(_traj(spark, d))
+    return lines.select("list", F.col("rank").cast("long").alias("rank"), "mmsi", "n_points", "geojson")
 
 
 def _q_path(spark, d):
@@ -252,6 +254,45 @@ def _odd_mids(spark, d):
     return _mid_table(spark, d).filter(F.col("mid") % 2 == 1)
 
 
+def _day_states(spark, d):
+    """(clean table, last-seen states) with the last day added to the states of
+    the days before it, as a daily run does."""
+    from ..operators import daystates
+    from ..session import shared_dir
+    from ..sources.readers import read_pings
+    from ..sources.sinks import write_pings
+
+    path = shared_dir(spark, "clean")
+    days = write_pings(_clean(spark, d), path)["days"]
+    clean, states = read_pings(spark, path), shared_dir(spark, "day-states")
+    daystates.write_states(daystates.day_states(clean.filter(F.col("day") < F.lit(days[-1]))), states)
+    return clean, daystates.add_days(spark, path, states, days[-1:])
+
+
+def _q_detect_states(spark, d):
+    clean, states = _day_states(spark, d)
+    return pairs_out(enc.detect_encounters(clean, P, states=states), SILENCE_OUT)
+
+
+def _q_observed_summary(spark, d):
+    """A9 as observed while the pings were written."""
+    from ..session import shared_dir
+    from ..sources.sinks import write_pings
+
+    s = summary_from_write(spark, write_pings(_raw(spark, d), shared_dir(spark, "pings")))
+    return s.withColumns({c: F.col(c).cast("string") for c in ("first_day", "last_day")})
+
+
+def _cut_stages(spark, d):
+    return clean_stages(_raw(spark, d), MIDS, P, cut=True)
+
+
+def _q_observed_funnel(spark, d):
+    """A10 from the tables and counts of one clean run."""
+    stages = _cut_stages(spark, d)
+    return stage_funnel(stages.raw, MIDS, P, stages)
+
+
 def _q_space_layout(spark, d):
     """K1 along the space-filling curve, read back through the region box (F1)."""
     from ..session import shared_dir
@@ -339,6 +380,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "write_pairs_json": _q_json_roundtrip,
     "streaming_ingest": _q_streaming_ingest,
     "ingest_summary": _q_ingest_summary,
+    "ingest_summary_observed": _q_observed_summary,
     # scalar
     "haversine": _q_haversine,
     # filters
@@ -371,7 +413,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_pings_cut": lambda s, d: pings_out(clean_pings(_raw(s, d), MIDS, P)),
     "clean_pings_rough": lambda s, d: full_pings_out(_rough_stages(s, d).clean),
     "stage_funnel": lambda s, d: stage_funnel(_raw(s, d), MIDS, P),
+    "stage_funnel_observed": _q_observed_funnel,
     "clean_summary": lambda s, d: clean_summary(_clean(s, d)),
+    "clean_summary_vessels": lambda s, d: summary_from_vessels(_cut_stages(s, d)),
     # detection
     "moving_pings": lambda s, d: pings_out(flt.moving_pings(_clean(s, d), P)),
     "bucket_keys": _q_bucket_keys,
@@ -385,6 +429,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dataset_end": lambda s, d: enc.dataset_end(_clean(s, d)),
     "port_cells": lambda s, d: enc.port_cells(_clean(s, d), P),
     "vessels_in_port": lambda s, d: enc.vessels_in_port(_clean(s, d), P),
+    "vessels_in_port_states": lambda s, d: enc.vessels_in_port(None, P, _day_states(s, d)[1]),
+    "detect_encounters_states": _q_detect_states,
     "detect_encounters": lambda s, d: pairs_out(_detected(s, d), SILENCE_OUT),
     "enrich_silence": _q_enrich,
     "civilian_pairs": lambda s, d: pairs_out(flt.civilian_pairs(_detected(s, d), P), SILENCE_OUT),

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.timecols import epoch_s
@@ -39,6 +39,7 @@ class CleanStages:
 
     def __init__(self, raw: DataFrame, mids, p: Params = DEFAULTS, cut: bool = False):
         self.raw, self.mids, self.p, self.cut = raw, mids, p, cut
+        self.in_circle = Observation() if cut else None
 
     def _written(self, df: DataFrame, name: str) -> DataFrame:
         if not self.cut:
@@ -47,13 +48,23 @@ class CleanStages:
         df.write.parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
+    @cached_property
+    def spatial_rows(self) -> int:
+        """Rows inside the circle, counted while the checked rows were written
+        (only with ``cut``; the write has no shuffle, so every task counts once)."""
+        _ = self.checked
+        return self.in_circle.get["rows"]
+
     @cached_property
     def spatial(self) -> DataFrame:          # F2
         return within_radius(self.raw, self.p)
 
     @cached_property
     def checked(self) -> DataFrame:          # F2 + P1 + F3-F6
-        return self._written(mmsi_checks(normalize_sog(self.spatial, self.p), self.mids, self.p), "checked")
+        inside = self.spatial
+        if self.cut:
+            inside = inside.observe(self.in_circle, F.count(F.lit(1)).alias("rows"))
+        return self._written(mmsi_checks(normalize_sog(inside, self.p), self.mids, self.p), "checked")
 
     @cached_property
     def kept(self) -> DataFrame:             # W1 on every vessel (before J1, same rows)
@@ -124,8 +135,10 @@ def stage_funnel(raw: DataFrame, mids, p: Params = DEFAULTS, stages: CleanStages
     later stages are sums over the vessel table (checked and kept pings per
     vessel), so the jump window is the only wide step; given the ``stages`` of a
     clean run with ``cut``, their written vessel table is summed and no window
-    runs at all.  The counts of one side
-    enter as a scalar subquery and all five are unpivoted with ``inline``."""
+    runs at all, and the rows in the circle are those observed during that
+    write: the raw table is only counted, which Parquet answers from its footers.
+    The counts of one side enter as a scalar subquery and all five are unpivoted
+    with ``inline``."""
     v = (stages or clean_stages(raw, mids, p)).vessels
     moving, dense = F.col("is_moving"), F.col("is_moving") & F.col("is_dense")
 
@@ -134,7 +147,9 @@ def stage_funnel(raw: DataFrame, mids, p: Params = DEFAULTS, stages: CleanStages
 
     later = v.agg(F.struct(rows("n_checked", moving).alias("m"), rows("n_kept", moving).alias("j"),
                            rows("n_kept", dense).alias("s")).alias("c")).scalar()
-    first = raw.agg(F.count(F.lit(1)).alias("n0"), F.count_if(in_circle(p)).alias("n1"))
+    observed = stages is not None and stages.cut
+    n1 = F.lit(stages.spatial_rows) if observed else F.count_if(in_circle(p))
+    first = raw.agg(F.count(F.lit(1)).alias("n0"), n1.alias("n1"))
     counts = first.select("n0", "n1", later.alias("c")).select("n0", "n1", "c.*").select(
         F.inline(F.array(*[F.struct(F.lit(no).cast("long").alias("stage_no"), F.lit(name).alias("stage"),
                                     F.col(c).cast("long").alias("rows"))
@@ -151,6 +166,19 @@ def clean_summary(clean: DataFrame) -> DataFrame:
     return clean.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("mmsi").alias("vessels"))
 
 
+def summary_from_vessels(stages: CleanStages) -> DataFrame:
+    """A8 of the clean table from the vessel table: kept pings and number of the
+    vessels that stay, without reading the pings again."""
+    return stages.keep.agg(F.coalesce(F.sum("n_kept"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("vessels"))
+
+
+def summary_from_write(spark: SparkSession, written: dict) -> DataFrame:
+    """A9 from what ``write_pings`` observed."""
+    days = written["days"]
+    row = (written["rows"], len(days), days[0] if days else None, days[-1] if days else None)
+    return spark.createDataFrame([row], "rows long, days long, first_day date, last_day date")
+
+
 def ingest_summary(pings: DataFrame) -> DataFrame:
     """Rows, number of days and first/last day of an ingested table
     (from the data, not by listing directories)."""

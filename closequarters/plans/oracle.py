@@ -320,6 +320,14 @@ ORACLES: dict[str, str] = {
         "max(lon) FILTER (WHERE pos = 0) AS first_lon, max(lat) FILTER (WHERE pos = 0) AS first_lat, "
         "max(lon) FILTER (WHERE pos = n_points - 1) AS last_lon, max(lat) FILTER (WHERE pos = n_points - 1) AS last_lat "
         "FROM tpos GROUP BY list, rank, mmsi", "tpos"),
+    "trajectory_geojson": q(
+        "SELECT list, rank, mmsi, CAST(max(n_points) AS INTEGER) AS n_points, "
+        "'{\"type\":\"Feature\",\"geometry\":{\"type\":\"LineString\",\"coordinates\":[' || "
+        "string_agg('[' || lon || ',' || lat || ']', ',' ORDER BY pos) || ']},\"properties\":{\"ts\":[' || "
+        "string_agg('\"' || " + ISO.format(c="ts_s") + " || '\"', ',' ORDER BY pos) || '],\"sog\":[' || "
+        "string_agg(coalesce(CAST(sog AS VARCHAR), 'null'), ',' ORDER BY pos) || '],\"cog\":[' || "
+        "string_agg(coalesce(CAST(cog AS VARCHAR), 'null'), ',' ORDER BY pos) || ']}}' AS geojson "
+        "FROM tpos GROUP BY list, rank, mmsi", "tpos"),
     "trajectory_extent": q(
         "SELECT list, rank, round(centre_lat, 9) AS centre_lat, round(centre_lon, 9) AS centre_lon, "
         "round(lat_range, 9) AS lat_range, round(lon_range, 9) AS lon_range, "
@@ -334,5 +342,15 @@ ORACLES: dict[str, str] = {
 }
 
 
+# the same results by another way share their SQL
+ORACLES |= {twin: ORACLES[key] for twin, key in {
+    "ingest_summary_observed": "ingest_summary",
+    "stage_funnel_observed": "stage_funnel",
+    "clean_summary_vessels": "clean_summary",
+    "vessels_in_port_states": "vessels_in_port",
+    "detect_encounters_states": "detect_encounters",
+}.items()}
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

@@ -1,7 +1,7 @@
 """Sinks: day-partitioned ping Parquet and JSON-lines encounter lists."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.curve import curve_key
@@ -12,7 +12,7 @@ LAYOUTS = ("track", "space")
 
 
 def write_pings(df: DataFrame, path: str, mode: str = "overwrite",
-                max_records_per_file: int = 5_000_000, layout: str = "track") -> None:
+                max_records_per_file: int = 5_000_000, layout: str = "track") -> dict:
     """Day-partitioned Parquet in one pass over the input.
 
     ``layout`` orders the rows inside a file: "track" by (mmsi, ts) for vessel
@@ -26,14 +26,22 @@ def write_pings(df: DataFrame, path: str, mode: str = "overwrite",
     range shuffle would read the whole input twice to sample bounds - costly
     when the input is raw CSV).  Sorting inside the task makes the Parquet
     row-group statistics on mmsi/ts skip data for vessel/time lookups;
-    ``maxRecordsPerFile`` bounds file size."""
+    ``maxRecordsPerFile`` bounds file size.
+
+    Returns what was written as observed during the write, ``rows`` and ``days``
+    (sorted; rows without day are not listed), so that a summary needs no scan
+    afterwards.  The observation sits behind the shuffle, in the stage that
+    writes: a task run again by a lost executor is counted once."""
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
     order = ["mmsi", "ts"] if layout == "track" else [curve_key(), "mmsi", "ts"]
+    seen = Observation()
     (df.hint("rebalance", "day")
        .sortWithinPartitions("day", *order)
+       .observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set("day").alias("days"))
        .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
        .partitionBy("day").parquet(path))
+    return {"rows": seen.get["rows"], "days": sorted(seen.get["days"])}
 
 
 def pairs_for_json(df: DataFrame) -> DataFrame:
