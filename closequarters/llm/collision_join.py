@@ -12,7 +12,16 @@ the threshold itself is ``RECALL`` and higher above it.
 Equal vectors are one class with a weight.  Vectors within half the threshold
 angle of a common pivot are linked with each other for certain (angles obey the
 triangle inequality), so such a ball counts its links in closed form and only
-pairs across balls are ever emitted: a large group of copies stays linear.
+pairs across balls are compared.
+
+Pairs become rows only in cells of at most ``CROWD`` vectors, so at most that
+many per vector and table.  A fuller cell is compared in blocks of ``BLOCK``
+vectors: a task counts the collisions of its pairs over all tables, verifies
+them, and returns for each vector the number of its links in the two blocks and
+the smallest vector that they join it to.  A pair that shares such cells in
+several tables belongs to the first of them.  So a group of m similar vectors
+that are no common ball takes m * m dot products, as its exact link counts need,
+but writes about m * m / BLOCK rows.
 """
 from __future__ import annotations
 
@@ -24,6 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, map_batches
 from .graph import connected_components
+from .hyperminhash import dealt_blocks
 
 THRESHOLD = 0.95
 RECALL = 0.9998
@@ -31,6 +41,8 @@ NEEDED = 2
 SPREAD = 2.5
 PIVOT_TABLES = 12
 PIVOT_ROUNDS = 4
+CROWD = 64
+BLOCK = 512
 SEED = 20240229
 
 
@@ -139,8 +151,101 @@ def window_collisions(table: DataFrame, width: float) -> DataFrame:
     return met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count(F.lit(1)).alias("collisions"))
 
 
+def signatures(table: DataFrame, sizes: DataFrame, crowd: int) -> DataFrame:
+    """rep, cells, values and full (the cell where more than ``crowd`` vectors
+    share it, else -1), one entry per table, for every vector with such a cell."""
+    key = ["dim", "t", "cell"]
+    full = table.join(sizes.filter(F.col("size") > crowd), key).select("rep", "t", F.col("cell").alias("full"))
+    some = table.join(full.select("rep").distinct(), "rep", "left_semi").join(full, ["rep", "t"], "left")
+    one = F.sort_array(F.collect_list(F.struct("t", "cell", "value", F.coalesce("full", F.lit(-1).cast("long")).alias("full"))))
+    return (some.groupBy("rep").agg(one.alias("s"))
+            .select("rep", F.col("s.cell").alias("cells"), F.col("s.value").alias("values"), F.col("s.full").alias("full")))
+
+
+def block_links(left: dict, right: dict, same: bool, t: int, threshold: float, width: float) -> np.ndarray:
+    """Which pairs of two blocks of a full cell of table ``t`` are links that
+    belong to this cell (``same``: the blocks are one, each pair is met twice)."""
+    cos = left["unit"] @ right["unit"].T
+    linked = (cos >= threshold) & (left["ball"][:, None] != right["ball"][None, :])
+    # where the order of the sum could decide, the sum is taken in order
+    for x, y in zip(*np.nonzero(np.abs(cos - threshold) < 1e-12), strict=True):
+        linked[x, y] = linked[x, y] if left["ball"][x] == right["ball"][y] else \
+            sum(a * b for a, b in zip(left["unit"][x].tolist(), right["unit"][y].tolist(), strict=True)) >= threshold
+    if same:
+        np.fill_diagonal(linked, False)
+    if not linked.any():
+        return linked
+    hits = np.zeros(linked.shape, np.int32)
+    for k in range(left["cells"].shape[1]):
+        cell = left["cells"][:, k][:, None] == right["cells"][:, k][None, :]
+        if k < t:
+            linked &= ~(cell & (left["full"][:, k] >= 0)[:, None])
+        hits += cell & (np.abs(left["values"][:, k][:, None] - right["values"][:, k][None, :]) <= width)
+    return linked & (hits >= NEEDED)
+
+
+def joined(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per vector of either block the smallest id reachable over ``linked``."""
+    big = np.iinfo(np.int64).max
+    a, b = left.copy(), right.copy()
+    while True:
+        c = np.minimum(a, np.where(linked, b[None, :], big).min(1))
+        d = np.minimum(b, np.where(linked, c[:, None], big).min(0))
+        if (c == a).all() and (d == b).all():
+            return c, d
+        a, b = c, d
+
+
+def crowded_links(placed: DataFrame, table: DataFrame, sizes: DataFrame, sig: DataFrame, *, threshold: float, width: float,
+                  crowd: int, block: int) -> DataFrame:
+    """rep, n, root: links of vectors in full cells, counted by block pair (n,
+    with the weights of the partners), and the smallest vector they lead to."""
+    key = ["dim", "t", "cell"]
+    members = (table.join(sizes.filter(F.col("size") > crowd), key)
+               .select("rep", "ball", "t", "size", F.concat_ws("/", *key).alias("group")))
+    rows = members.join(sig, "rep").join(placed.select("rep", "weight", "unit"), "rep")
+
+    def run(batches):
+        import pyarrow as pa
+
+        def result(found):
+            i, j, t = found[0][1:4]
+            if len({m[4] for m in found}) < len({i, j}):
+                return None
+            sides = [{c: np.array([m[k] for m in found if m[4] == s]) for k, c in
+                      enumerate(("rep", "ball", "weight", "unit", "cells", "values", "full"), 5)} for s in sorted({i, j})]
+            left, right = (sides[0], sides[0]) if i == j else sides
+            linked = block_links(left, right, i == j, t, threshold, width)
+            if not linked.any():
+                return None
+            roots = joined(linked, left["rep"], right["rep"])
+            out = [(left["rep"], (linked * right["weight"][None, :]).sum(1), roots[0])]
+            if i != j:
+                out.append((right["rep"], (linked * left["weight"][:, None]).sum(0), roots[1]))
+            rep, n, root = (np.concatenate(c) for c in zip(*out, strict=True))
+            some = n > 0
+            return pa.RecordBatch.from_arrays([pa.array(x[some].astype(np.int64)) for x in (rep, n, root)], ["rep", "n", "root"])
+
+        held: list = []
+        for batch in batches:
+            plain = zip(*(batch.column(c).to_pylist() for c in ("group", "i", "j", "t", "own", "rep", "ball", "weight")),
+                        strict=True)
+            lists = [(batch.column(c).flatten().to_numpy(), np.append(0, np.cumsum(batch.column(c).value_lengths().to_numpy())))
+                     for c in ("unit", "cells", "values", "full")]
+            for r, row in enumerate(plain):
+                if held and held[0][:3] != row[:3]:
+                    if len(held) > 1 and (out := result(held)) is not None:
+                        yield out
+                    held = []
+                held.append((*row, *(v[e[r]:e[r + 1]] for v, e in lists)))
+        if len(held) > 1 and (out := result(held)) is not None:
+            yield out
+
+    return map_batches(dealt_blocks(rows, "group", block), run, "rep long, n long, root long")
+
+
 def near_vectors(vectors: DataFrame, *, threshold: float = THRESHOLD, id_col: str = "vec_id",
-                 vec_col: str = "embedding") -> DataFrame:
+                 vec_col: str = "embedding", crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
     """One row per input row: vec_id, n_links, component_id, kept.
 
     Two rows are linked if their vectors (of equal length) have a cosine of at
@@ -156,16 +261,27 @@ def near_vectors(vectors: DataFrame, *, threshold: float = THRESHOLD, id_col: st
     ball = balls(classes, max(2, bits // 2), threshold)
     placed = cut(classes.join(ball, "rep", "left").select(
         "rep", "weight", "unit", F.coalesce("ball", "rep").alias("ball")), "op1-placed")
-    table = projections(placed, tables_for(threshold, bits), bits, width)
-    pairs = window_collisions(table, width).filter(F.col("collisions") >= NEEDED).select("a", "b")
-    side = lambda x: placed.select(F.col("rep").alias(x), F.col("unit").alias(f"unit_{x}"), F.col("weight").alias(f"w_{x}"))
-    links = cut(pairs.join(side("a"), "a").join(side("b"), "b")
+    table = cut(projections(placed, tables_for(threshold, bits), bits, width), "op1-table")
+    key = ["dim", "t", "cell"]
+    sizes = cut(table.groupBy(*key).agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "op1-cells")
+    sig = cut(signatures(table, sizes, crowd), "op1-signatures")
+    blocks = cut(crowded_links(placed, table, sizes, sig, threshold=threshold, width=width, crowd=crowd, block=block),
+                 "op1-blocks")
+    sparse = table.join(sizes.filter(F.col("size") <= crowd), key, "left_semi")
+    pairs = window_collisions(sparse, width).filter(F.col("collisions") >= NEEDED).select("a", "b")
+    known = placed.join(sig.select("rep", "full"), "rep", "left")
+    side = lambda x: known.select(F.col("rep").alias(x), F.col("unit").alias(f"unit_{x}"), F.col("weight").alias(f"w_{x}"),
+                                  F.col("full").alias(f"full_{x}"))
+    in_blocks = F.exists(F.zip_with("full_a", "full_b", lambda x, y: (x == y) & (x >= 0)), lambda hit: hit)
+    links = cut(pairs.join(side("a"), "a").join(side("b"), "b").filter(~F.coalesce(in_blocks, F.lit(False)))
                 .filter(cosine(F.col("unit_a"), F.col("unit_b")) >= threshold).select("a", "b", "w_a", "w_b"), "op1-links")
     across = (links.select(F.col("a").alias("rep"), F.col("w_b").alias("w"))
               .unionByName(links.select(F.col("b").alias("rep"), F.col("w_a").alias("w")))
+              .unionByName(blocks.select("rep", F.col("n").alias("w")))
               .groupBy("rep").agg(F.sum("w").alias("across")))
     inside = placed.groupBy("ball").agg(F.sum("weight").alias("inside"))
     star = placed.filter("rep <> ball").select(F.col("rep").alias("a"), F.col("ball").alias("b"))
+    star = star.unionByName(blocks.filter("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
     comps = cut(connected_components(links.select("a", "b").unionByName(star), name="op1-graph"), "op1-components")
     facts = (placed.select("rep", "ball").join(inside, "ball").join(across, "rep", "left")
              .join(comps, F.col("rep") == F.col("node"), "left")

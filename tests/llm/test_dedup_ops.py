@@ -161,7 +161,8 @@ def brute_links(vectors, threshold=0.95):
             if len(usable[a]) == len(usable[b]) and usable[a] @ usable[b] >= threshold]
 
 
-def test_near_vectors_match_brute_force(spark, rows):
+@pytest.mark.parametrize("sizes", [{}, {"crowd": 1, "block": 8}, {"crowd": 3, "block": 2}])
+def test_near_vectors_match_brute_force(spark, rows, sizes):
     rng = np.random.default_rng(7)
     vectors, n = [], 0
     for _ in range(120):
@@ -178,11 +179,45 @@ def test_near_vectors_match_brute_force(spark, rows):
     links = brute_links(vectors)
     low = components([i for i, _ in vectors], links)
     degree = {i: sum(i in e for e in links) for i, _ in vectors}
-    out = cj.near_vectors(vector_table(spark, vectors))
+    out = cj.near_vectors(vector_table(spark, vectors), **sizes)
     assert sorted(rows(out, "vec_id", "n_links", "component_id", "kept")) == sorted(
         (i, degree[i], low[i], low[i] == i) for i, _ in vectors)
 
 
+def test_a_group_of_near_copies_writes_no_pairs(spark, rows, monkeypatch):
+    # jittered vectors, nearly all pairs of them linked, no common ball
+    written, cut = {}, cj.cut
+
+    def counting(df, name):
+        out = cut(df, name)
+        if name in ("op1-links", "op1-blocks"):
+            written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(cj, "cut", counting)
+    per_row = []
+    for m in (300, 1200):
+        rng = np.random.default_rng(m)
+        base = rng.standard_normal(32)
+        group = base + rng.standard_normal((m, 32)) * 0.2 * np.linalg.norm(base) / math.sqrt(32)
+        group = np.vstack([group, rng.standard_normal((m // 4, 32))]).astype(np.float32).astype(float)
+        vectors = [(i, [float(x) for x in v]) for i, v in enumerate(group)]
+        unit = group / np.linalg.norm(group, axis=1)[:, None]
+        linked = unit @ unit.T >= 0.95
+        np.fill_diagonal(linked, False)
+        assert linked.sum() > 0.5 * m * m
+        out = rows(cj.near_vectors(vector_table(spark, vectors)), "vec_id", "n_links", "component_id")
+        low = components(range(len(vectors)), [(int(a), int(b)) for a, b in zip(*np.nonzero(linked), strict=True) if a < b])
+        assert [(i, c) for i, _, c in sorted(out)] == [(i, low[i]) for i in range(len(vectors))]
+        # at the threshold itself a pair is met with a probability of RECALL
+        degree = dict((i, n) for i, n, _ in out)
+        assert all(degree[i] <= linked[i].sum() for i in degree)
+        assert sum(degree.values()) >= 0.9995 * linked.sum()
+        per_row.append(sum(written.values()) / m)
+        assert sum(written.values()) < 0.2 * linked.sum()
+    assert per_row[1] < 2 * per_row[0]
+
+
 def test_near_vectors_edge_rows(spark, rows):
     out = cj.near_vectors(vector_table(spark, [(None, [1.0, 0.0]), (4, [1.0, 0.0]), (4, [1.0, 0.0]), (5, [3.0, 0.0])]))
     got = sorted(rows(out, "vec_id", "n_links", "component_id"), key=str)
