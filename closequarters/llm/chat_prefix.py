@@ -4,7 +4,8 @@ Template.  An assistant turn becomes ``<s>role\\ntext</s>``, any other turn
 ``[INST]role\\ntext[/INST]``.  Inside roles and texts a control string gets one
 backslash after its first character (``</s>`` -> ``<\\/s>``; one that already
 has k backslashes there gets k + 1), so a formatted text holds control strings
-only as turn marks and unescaping restores every input exactly.
+only as turn marks and unescaping restores every input exactly.  The first line feed
+ends the role, so one inside a role becomes ``\\n`` and a backslash there two.
 
 Expansion.  Every assistant turn is one example: all preceding turns are its
 context and its own reply is the only trainable span.  The contexts of one
@@ -33,6 +34,16 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, ESCAPED, "$1$2$3")
 
 
+def escape_role(role: Column) -> Column:
+    return escape(F.replace(F.replace(role, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")))
+
+
+def unescape_role(role: Column) -> Column:
+    # pairs of backslashes are found from the left, so a lone one before n was a line feed
+    parts = F.transform(F.split(unescape(role), r"\\\\"), lambda x: F.replace(x, F.lit("\\n"), F.lit("\n")))
+    return F.array_join(parts, "\\")
+
+
 def format_turns(conv: DataFrame) -> DataFrame:
     """One formatted segment per turn: conv_id, turn, pos (from 0), role,
     segment, start and end (code points in the conversation's formatted text,
@@ -49,7 +60,7 @@ def format_turns(conv: DataFrame) -> DataFrame:
     rows = conv.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                        role.alias("role"), text.alias("text"))
     bot = F.col("role") == "assistant"
-    head = F.concat(F.when(bot, OPEN[True]).otherwise(OPEN[False]), escape(F.col("role")), F.lit("\n"))
+    head = F.concat(F.when(bot, OPEN[True]).otherwise(OPEN[False]), escape_role(F.col("role")), F.lit("\n"))
     rows = rows.select("conv_id", "turn", "role", "text", bot.alias("trainable"), head.alias("head"),
                        escape(F.col("text")).alias("body"),
                        F.coalesce(F.floor(F.col("turn") / CHUNK_TURNS), F.lit(-2**53)).alias("chunk"))
@@ -113,7 +124,7 @@ def read_back(turns: DataFrame, examples: DataFrame) -> DataFrame:
     reply = F.substring("segment", (F.col("_from") - F.col("context_end") + 1).cast("int"),
                         (F.col("_to") - F.col("_from")).cast("int"))
     return both.select("conv_id", "pos", "start", "end", "context_end",
-                       unescape(F.substring(inner, F.lit(1), cutat - 1)).alias("role"),
+                       unescape_role(F.substring(inner, F.lit(1), cutat - 1)).alias("role"),
                        unescape(F.substring(inner, cutat + 1, F.length(inner))).alias("text"),
                        unescape(reply).alias("reply"))
 

@@ -106,6 +106,7 @@ WITH turns AS (
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
   UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
 f AS (SELECT *, length({ESCAPE_SQL.format('role')}) + length({ESCAPE_SQL.format('text')}) + 1
+             + length(role) - length(replace(replace(role, chr(92), ''), chr(10), ''))
              + CASE WHEN role = 'assistant' THEN 7 ELSE 13 END AS chars FROM turns),
 g AS (SELECT conv_id, count(*) AS n_turns,
         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS said,

@@ -161,6 +161,16 @@ def test_conversations_read_back(spark, rows):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_any_role_reads_back(spark, rows):
+    rng = random.Random(15)
+    roles = ["us\ner", "\n", "\\", "\\n", "\\\n", "\n\\", "<\\/s>\n", "assistant\n", "[INST]\\\n", "", None, "assistant"]
+    roles += ["".join(rng.choice(["\n", "\\", "n", "<", "/s>", "[", "INST]"]) for _ in range(9)) for _ in range(200)]
+    items = [(7, t, r, rng.choice(NASTY)) for t, r in enumerate(roles)]
+    turns = cp.format_turns(chat_rows(spark, items))
+    back = cp.read_back(turns, cp.prefix_target_examples(turns))
+    assert sorted(rows(back, "pos", "role", "text")) == [(t, r or "", x or "") for _, t, r, x in items]
+
+
 def test_examples_are_prefixes_with_one_trainable_reply(spark):
     items = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo </s>"), (1, 2, "user", "more"), (1, 3, "assistant", "end"),
              (2, 0, "user", "alone")]
