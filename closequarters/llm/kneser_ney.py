@@ -21,7 +21,12 @@ ratio of the whole text and of its most toxic windows (a long text is not
 excused by its length).  A logistic curve, fitted on labelled rows whose
 counts were left out of the models, turns them into a probability.
 
-Two passes over the texts (count, score), one shuffle of partial gram counts.
+Those histories end at the word's beginning; models of the same kind over word
+pairs (``word_pairs``) give three more features of the text, so an expression of
+ordinary words is known by their order.
+
+Four passes over the texts (sizes of the labelled ones, grams, words, scores), two
+shuffles of partial counts.
 """
 from __future__ import annotations
 
@@ -29,7 +34,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .code_table import CodeTable
 from .common import cut, held_out, map_batches, text_slices, training_labels
+from .word_pairs import FEATURES, fit_pairs, labelled_within
 
 REACH = 8  # symbols of a gram: up to 7 of history and the predicted one
 TOP = 4  # order of the shared chain below the class-conditional level
@@ -37,12 +44,11 @@ BITS = 8
 DISCOUNT = 0.75
 WINDOWS = (12, 24)
 MAX_LABELLED = 200_000
+PAIR_BYTES = 16 << 20
 CALIBRATION_FOLD = 4
 DENSE = 2  # orders of the shared chain that are small enough for a full table
 HISTORIES = 1 << (BITS * DENSE)
 GAP = b" " * (REACH - 1)
-SPREAD = np.uint64(0x9E3779B97F4A7C15)
-NONE = np.uint64(2**64 - 1)  # no code: NONE would be eight bytes 255, which no text has
 OWN = np.array([2 ** (BITS * (k + 1)) - 1 for k in range(REACH)], np.uint64)
 
 
@@ -157,40 +163,6 @@ def chain_counts(table: DataFrame, needed: DataFrame) -> tuple[DataFrame, np.nda
     return out, dense
 
 
-class CodeTable:
-    """Exact codes to places, by open addressing with whole codes compared."""
-
-    def __init__(self, codes: np.ndarray):
-        self.bits = max(4, (2 * len(codes)).bit_length())
-        self.keys = np.full(1 << self.bits, NONE)
-        self.places = np.full(1 << self.bits, -1, np.int32)
-        left, slot = np.arange(len(codes), dtype=np.int32), self._slots(codes)
-        while len(left):
-            free = self.places[slot] < 0
-            self.places[slot[free]] = left[free]  # the last of several stays
-            left_out = self.places[slot] != left
-            left, slot = left[left_out], (slot[left_out] + 1) & (len(self.keys) - 1)
-        used = self.places >= 0
-        self.keys[used] = codes[self.places[used]]
-
-    def _slots(self, codes: np.ndarray) -> np.ndarray:
-        return (codes * SPREAD >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def find(self, codes: np.ndarray) -> np.ndarray:
-        """Places of the codes in the list given at first, -1 where missing."""
-        slot = self._slots(codes)
-        found = self.keys[slot]
-        out = np.where(found == codes, self.places[slot], -1)
-        left = np.flatnonzero((found != codes) & (found != NONE))
-        while len(left):
-            slot_left = slot[left] = (slot[left] + 1) & (len(self.keys) - 1)
-            found = self.keys[slot_left]
-            hit = found == codes[left]
-            out[left[hit]] = self.places[slot_left[hit]]
-            left = left[~hit & (found != NONE)]
-        return out
-
-
 class LogRatio:
     """log P(symbol | history, toxic) - log P(symbol | history, ordinary)."""
 
@@ -289,12 +261,14 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                    label_col: str = "toxic", max_labelled: int = MAX_LABELLED) -> DataFrame:
+                    label_col: str = "toxic", max_labelled: int = MAX_LABELLED,
+                    pair_bytes: int = PAIR_BYTES) -> DataFrame:
     """doc_id, held_out, score (0 to 1), predicted (score >= 0.5) for every row.
 
     Labels are learned from at most ``max_labelled`` rows outside the held-out
-    fold (a documented bound that makes them safe to broadcast); the shared
-    counts cover every document.  Null texts count as empty; null ids are
+    fold (a documented bound that makes them safe to broadcast), the word pairs
+    of the classes from those with the first ``pair_bytes`` bytes of text; the
+    shared counts cover every document.  Null texts count as empty; null ids are
     scored, never held out and never learned from; repeated rows count as often
     as they occur.  Without any label of one class the score is constant.
     Further columns are not read.
@@ -302,8 +276,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     train = cut(training_labels(labels, id_col, label_col, max_labelled), "op5-labels")
-    known = F.broadcast(train.filter(F.col("_fold") != CALIBRATION_FOLD).select("_id", F.col("_label").alias("_class")))
-    counts = gram_counts(texts.join(known, F.col("doc_id") == F.col("_id"), "left"))
+    known = (train.filter(F.col("_fold") != CALIBRATION_FOLD)
+             .select("_id", F.col("_label").alias("_class")))
+    counts = gram_counts(texts.join(F.broadcast(known), F.col("doc_id") == F.col("_id"), "left"))
+    pairs = fit_pairs(texts, labelled_within(known, texts, pair_bytes))
     table = cut(counts, "op5-grams")
     # no more than the bounded labelled sample holds
     grams = table.filter(F.col("n_toxic") + F.col("n_ordinary") > 0)
@@ -313,26 +289,28 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id
     counts = {k: [ends.column(f"{c}{k}").to_numpy() for c in ("n", "total", "kinds")] for k in range(DENSE + 1, TOP + 1)}
     codes, toxic, ordinary = (c.to_numpy() for c in grams.toArrow().columns)
     shared = LogRatio.chain(code, counts, dense)[np.searchsorted(code, codes & (2 ** (BITS * TOP) - 1))]
-    model = spark.sparkContext.broadcast(LogRatio(codes.view(np.uint64), toxic, ordinary, shared))
+    model = spark.sparkContext.broadcast((LogRatio(codes.view(np.uint64), toxic, ordinary, shared), pairs))
+    names = [f"f{k}" for k in range(1 + len(WINDOWS) + FEATURES)]
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
             for part, some in text_slices(batch):
-                f = model.value.features(some)
+                f = np.hstack([m.features(some) for m in model.value])
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(f[:, k]) for k in range(f.shape[1]))],
-                                                 ["doc_id", "f0", "f1", "f2"])
+                                                 ["doc_id", *names])
 
-    raw = cut(map_batches(texts, run, "doc_id long, f0 double, f1 double, f2 double"), "op5-features")
-    fit = raw.join(F.broadcast(train), F.col("doc_id") == F.col("_id")).select("f0", "f1", "f2", "_label", "_fold").toArrow()
-    x = np.stack([fit.column(i).to_numpy() for i in range(3)], axis=1)
-    y, fold = fit.column(3).to_numpy().astype(float), fit.column(4).to_numpy()
+    schema = "doc_id long, " + ", ".join(f"{c} double" for c in names)
+    raw = cut(map_batches(texts, run, schema), "op5-features")
+    fit = raw.join(F.broadcast(train), F.col("doc_id") == F.col("_id")).select(*names, "_label", "_fold").toArrow()
+    *x, y, fold = (c.to_numpy() for c in fit.columns)
+    x, y = np.stack(x, axis=1), y.astype(float)
     own = fold == CALIBRATION_FOLD
     if len(np.unique(y[own])) < 2:
         own = np.ones(len(y), bool)
-    w = fit_logistic(x[own], y[own])
-    z = F.lit(float(w[3])) + sum(F.col(f"f{k}") * float(w[k]) for k in range(3))
+    *w, level = fit_logistic(x[own], y[own]).tolist()
+    z = F.lit(level) + sum(F.col(c) * v for c, v in zip(names, w, strict=True))
     score = 1 / (1 + F.exp(-F.greatest(F.lit(-50.0), F.least(F.lit(50.0), z))))
     return raw.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"),
                       (score >= 0.5).cast("int").alias("predicted"))

@@ -6,6 +6,7 @@ import random
 import re
 import textwrap
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -15,6 +16,8 @@ from closequarters.llm import kneser_ney as kn
 from closequarters.llm import nnls_pack as pack
 from closequarters.llm import queries
 from closequarters.llm import template_join as tj
+from closequarters.llm import word_pairs as wp
+from closequarters.llm.code_table import CodeTable
 from closequarters.llm.heap_bpe import HeapBpe, bpe_decode, bpe_encode, bpe_round_trip
 from closequarters.llm.pairwise_quality import quality_scores
 from closequarters.llm.queries import tokenizer_file
@@ -402,10 +405,10 @@ def test_shared_chain_matches_brute_force(spark):
 def test_code_table_finds_exactly_its_codes():
     rng = np.random.default_rng(19)
     codes = np.unique(rng.integers(0, 2**63, 5000).astype(np.uint64) << np.uint64(rng.integers(0, 2)))
-    table = kn.CodeTable(codes)
+    table = CodeTable(codes)
     assert (table.find(codes) == np.arange(len(codes))).all()
     other = np.setdiff1d(rng.integers(0, 2**63, 5000).astype(np.uint64), codes)
-    assert (table.find(other) == -1).all() and len(kn.CodeTable(codes[:0]).find(other)) == len(other)
+    assert (table.find(other) == -1).all() and len(CodeTable(codes[:0]).find(other)) == len(other)
 
 
 def test_letters_of_every_script_are_kept_apart():
@@ -443,3 +446,54 @@ def test_windows_start_everywhere():
         r = model.ratios(kn.text_grams([text]))
         for k, w in enumerate(kn.WINDOWS):
             assert got[1 + k] == pytest.approx(max(r[i:i + w].astype(float).sum() for i in range(len(r) - w + 1)) / w)
+
+
+def test_toxic_phrases_of_ordinary_words_are_found(docs, labels):
+    rng = random.Random(22)
+    common = ["stone", "river", "hill", "walks", "green", "quiet", "house", "over", "bright", "under", "field", "rain"]
+    items, marks = [], []
+    for i in range(540):
+        words = [rng.choice(common[2:]) for _ in range(rng.randint(12, 40))]
+        a, b = sorted(rng.sample(range(1, len(words) - 1), 2))
+        toxic = i % 2 == 0
+        words[a:a] = ["River,", "stone"] if toxic and i % 4 else ["river", "stone"] if toxic else ["river"]
+        if not toxic:
+            words[b + 2:b + 2] = ["stone"]
+        items.append((i, " ".join(words)))
+        marks.append((i, 1, int(toxic)))
+    out = [r for r in kn.toxicity_scores(docs(items), labels(marks)).collect() if r["held_out"]]
+    assert len(out) > 80 and np.mean([r["predicted"] == (r["doc_id"] % 2 == 0) for r in out]) > 0.9
+
+
+def test_pair_scores_match_brute_force(docs, labels):
+    """Features of whole texts from counts and probabilities made without the module's arrays."""
+    texts = ["The cat sat, the cat ran", "a cat sat on the mat", "", "the mat! The mat? the", "dog ran on", "the unseen cat sat"]
+    known = [(0, 1), (1, 0), (2, 1), (3, 0), (4, 1)]
+    frame = docs(list(enumerate(texts))).select("doc_id", "text")
+    model = wp.fit_pairs(frame, frame.sparkSession.createDataFrame(known, "_id long, _class int"))
+    split = [re.findall("[a-z]+", t.lower()) for t in texts]
+    seen = Counter(w for t in split for w in t)
+    pairs = {c: Counter(p for i, x in known if x == c for p in zip([None, *split[i]], split[i], strict=False)) for c in (0, 1)}
+
+    def p(c, past, word):
+        total = sum(n for (a, _), n in pairs[c].items() if a == past)
+        kinds = sum(1 for a, _ in pairs[c] if a == past)
+        lower = seen[word] / sum(seen.values())
+        return max(pairs[c][past, word] - 0.75, 0) / total + 0.75 * kinds / total * lower if total else lower
+
+    for past in (None, "the", "cat", "nowhere"):
+        assert sum(p(1, past, w) for w in seen) == pytest.approx(1)
+    for words, got in zip(split, model.features(texts), strict=True):
+        r = [np.log(p(1, a, w) / p(0, a, w)) for a, w in zip([None, *words], words, strict=False)]
+        want = [np.mean(r) if r else 0.0]
+        for size in wp.WINDOWS:
+            padded = r + [0.0] * (size - len(r))
+            want.append(max(sum(padded[i:i + size]) / size for i in range(len(padded) - size + 1)))
+        assert got == pytest.approx(want, abs=1e-5)
+
+
+def test_labelled_sample_is_bounded_in_bytes(docs, labels):
+    frame = docs([(i, "é" * 8) for i in range(100)] + [(5, "é" * 200), (6, None)]).select("doc_id", "text")
+    train = frame.sparkSession.createDataFrame([(i, i % 2) for i in range(120)], "_id long, _class int")
+    some = [r["_id"] for r in wp.labelled_within(train, frame, 400).collect()]
+    assert len(some) == len(set(some)) == 25 and 5 not in some
