@@ -9,7 +9,7 @@ vocabulary's byte strings.
 
 Space-delimited chunks cut at the same places as whole texts (a single space
 before a non-space always starts a piece), so results are remembered per chunk
-in a bounded two-generation memory; it changes speed only.
+in a two-generation memory bounded in words and bytes; it changes speed only.
 """
 from __future__ import annotations
 
@@ -18,6 +18,7 @@ import heapq
 import json
 from collections.abc import Callable
 from functools import lru_cache
+from sys import getsizeof
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -25,25 +26,33 @@ from pyspark.sql import DataFrame
 from .common import map_batches, text_slices
 
 MEMORY_WORDS = 300_000
+MEMORY_BYTES = 64 << 20
+ENTRY_BYTES = 100  # an entry's share of the table itself
+LONGEST = 128
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
 class Generations(dict):
     """word -> packed ids; computes missing words and keeps the two latest
-    generations of at most ``limit`` words each."""
+    generations, each of at most ``limit`` words and about ``most_bytes`` bytes.
+    Words of more than LONGEST characters are computed anew every time."""
 
-    def __init__(self, make: Callable[[str], bytes], limit: int = MEMORY_WORDS):
+    def __init__(self, make: Callable[[str], bytes], limit: int = MEMORY_WORDS, most_bytes: int = MEMORY_BYTES):
         super().__init__()
-        self.make, self.limit, self.old = make, limit, {}
+        self.make, self.limit, self.most_bytes, self.bytes, self.old = make, limit, most_bytes, 0, {}
 
     def __missing__(self, word: str) -> bytes:
+        if len(word) > LONGEST:
+            return self.make(word)
         ids = self.old.pop(word, None)
         if ids is None:
             ids = self.make(word)
-        if len(self) >= self.limit:
+        if len(self) >= self.limit or self.bytes >= self.most_bytes:
             self.old = dict(self)
             self.clear()
+            self.bytes = 0
         self[word] = ids
+        self.bytes += getsizeof(word) + getsizeof(ids) + ENTRY_BYTES
         return ids
 
 

@@ -9,8 +9,9 @@
    a column; NNLS solves for repeat counts against the histogram, they are
    rounded within what is there, and the residual classes are packed greedily,
    largest first.
-4. Assign: pieces are numbered within their class by a two-level rank (hash
-   buckets of bounded size, then bucket totals), a rank selects a combination,
+4. Assign: pieces are numbered within their class by a two-level rank (buckets of
+   bounded size by a hash of the row number stored with the piece, so rows that
+   share an id are spread too; then bucket totals), a rank selects a combination,
    its repeat and its slot through a join with the (bounded) plan, and a window
    over each sequence gives the gapless offset.
 """
@@ -213,12 +214,14 @@ def plan_rows(plan: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, i
 
 
 def pack(pieces: DataFrame, *, window: int = WINDOW, grid: int = GRID, depth: int = DEPTH,
-         bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+         bucket_rows: int = BUCKET_ROWS, deal_by: tuple[str, ...] = ("doc_id", "start")) -> DataFrame:
     """Add sequence_id and offset to every row of ``pieces`` (doc_id, start,
     length in 1..window, further columns pass through).
 
     ``pieces`` should be a stored table: it is read three times.  Equal rows
-    are placed one by one; an empty table stays empty.
+    are placed one by one; an empty table stays empty.  Rows are dealt over
+    buckets by the columns ``deal_by``: name a row number stored with the
+    pieces where many rows may share an id or have none.
     """
     spark, units = pieces.sparkSession, -(-window // grid)
     carried = pieces.columns
@@ -226,7 +229,7 @@ def pack(pieces: DataFrame, *, window: int = WINDOW, grid: int = GRID, depth: in
     histogram = {r["_class"]: r["count"] for r in marked.groupBy("_class").count().collect()}  # at most `units` rows
     rows = plan_rows(packing_plan(histogram, units, depth))
     buckets = max(1, -(-sum(histogram.values()) // bucket_rows))
-    marked = marked.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "start"), F.lit(buckets)))
+    marked = marked.withColumn("_bucket", F.pmod(F.xxhash64(*deal_by), F.lit(buckets)))
     before = Window.partitionBy("_class").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = (marked.groupBy("_class", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
             .select("_class", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")))
@@ -252,6 +255,6 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, window: int = WINDOW
     Null texts count as empty, null ids and repeated rows are packed like any
     other row, further columns of ``docs`` are not read.
     """
-    pieces = cut(tokenised_pieces(docs, tokenizer_path, window=window, end_id=end_id, id_col=id_col,
-                                  text_col=text_col), "op9-pieces")
-    return pack(pieces, window=window)
+    pieces = tokenised_pieces(docs, tokenizer_path, window=window, end_id=end_id, id_col=id_col, text_col=text_col)
+    numbered = cut(pieces.withColumn("_row", F.monotonically_increasing_id()), "op9-pieces")
+    return pack(numbered, window=window, deal_by=("_row",)).drop("_row")

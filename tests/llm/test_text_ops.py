@@ -7,6 +7,7 @@ import re
 import textwrap
 import zlib
 from collections import Counter
+from sys import getsizeof
 
 import numpy as np
 import pytest
@@ -18,7 +19,7 @@ from closequarters.llm import queries
 from closequarters.llm import template_join as tj
 from closequarters.llm import word_pairs as wp
 from closequarters.llm.code_table import CodeTable
-from closequarters.llm.heap_bpe import HeapBpe, bpe_decode, bpe_encode, bpe_round_trip
+from closequarters.llm.heap_bpe import Generations, HeapBpe, bpe_decode, bpe_encode, bpe_round_trip
 from closequarters.llm.pairwise_quality import quality_scores
 from closequarters.llm.queries import tokenizer_file
 
@@ -70,6 +71,20 @@ def test_bpe_round_trip_rows(docs, rows):
 # ---- op9 -------------------------------------------------------------------------------------------------------
 
 
+def test_word_memory_is_bounded_in_bytes():
+    long = Generations(lambda w: w.encode())
+    assert all(long[f"{i:06}" * 16_667] == f"{i:06}".encode() * 16_667 for i in range(300))
+    assert not long and not long.old
+    asked = []
+    short = Generations(lambda w: (asked.append(w), w.encode() * 4)[1], most_bytes=50_000)
+    for i in range(10_000):
+        word = f"{i % 3_000:060}"
+        assert short[word] == word.encode() * 4
+        assert max(sum(getsizeof(k) + getsizeof(v) for k, v in held.items()) for held in (short, short.old)) < 51_000
+        assert short[f"{0:060}"] == b"0" * 240
+    assert asked.count(f"{0:060}") == 1  # what is in use stays
+
+
 def test_chunk_tokenizer_equals_the_library():
     lib, own = library("word_bpe_49k.json"), pack.ChunkTokenizer(tokenizer_file("word_bpe_49k.json"))
     for text in [t or "" for t in TEXTS] + random_texts(seed=12):
@@ -102,6 +117,17 @@ def test_packing_places_every_id_once(docs, rows):
     assert pack.pack_documents(docs([]).limit(0), tokenizer_file("word_bpe_49k.json")).count() == 0
 
 
+def test_pieces_without_ids_are_dealt_by_their_row(spark):
+    pieces = spark.range(900).selectExpr("cast(null as long) doc_id", "0L start", "1 + id % 7 * 300 length", "id _row")
+    out = pack.pack(pieces, bucket_rows=16, deal_by=("_row",)).collect()
+    assert sorted(r["_row"] for r in out) == list(range(900))
+    ends: dict[int, int] = {}
+    for r in sorted(out, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends.get(r["sequence_id"], 0)
+        ends[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(ends.values()) <= 2048 and sorted(ends) == list(range(len(ends)))
+
+
 def test_packing_plan_uses_the_histogram_exactly_and_pads_little():
     rng = np.random.default_rng(13)
     for size in (0, 3, 500, 40_000):
