@@ -8,7 +8,11 @@
    Estimates within ``BAND`` standard errors of the threshold are not trusted:
    only those lines get an exact distinct count.
 4. Boilerplate lines are removed everywhere but at their first place (smallest
-   document id, then line number), so no content is lost altogether.
+   document id, then line number; merged along with the sketch), so no content
+   is lost altogether.
+
+Lines meet the boilerplate keys by key and salt, so the rows of one hot line are
+spread over ``SALTS`` groups; each key is repeated that often.
 
 The line table holds keys, not texts; texts are read only in the last step,
 which joins (document, removed line numbers) back to the documents.
@@ -23,6 +27,7 @@ from .common import cut
 MIN_SITES = 8
 LG_K = 10
 BAND = 5.0
+SALTS = 16
 RELATIVE_ERROR = 1.04 / 2 ** (LG_K / 2)
 
 
@@ -34,31 +39,39 @@ def line_keys(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> Dat
             .select("_id", "site", "pos", F.xxhash64("line").alias("h1"), F.hash(F.reverse("line")).alias("h2")))
 
 
+def _salted(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("_salt", F.pmod(F.xxhash64("_id", "pos"), F.lit(SALTS)))
+
+
+def _for_all_salts(keys: DataFrame) -> DataFrame:
+    return keys.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+
+
 def wide_lines(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """h1, h2, first (struct of document id and line number) of every line on
     at least ``min_sites`` distinct sites; a null site counts as no site."""
     spread = (lines.groupBy("h1", "h2").agg(
-        F.count(F.lit(1)).alias("n"), F.expr(f"hll_sketch_agg(site, {LG_K})").alias("sketch"))
+        F.count(F.lit(1)).alias("n"), F.expr(f"hll_sketch_agg(site, {LG_K})").alias("sketch"),
+        F.min(F.struct("_id", "pos")).alias("first"))
         .filter(F.col("n") >= min_sites)
-        .select("h1", "h2", F.hll_sketch_estimate("sketch").alias("sites")))
+        .select("h1", "h2", "first", F.hll_sketch_estimate("sketch").alias("sites")))
     margin = BAND * RELATIVE_ERROR * min_sites + 0.5
     # an estimate this close to the threshold may lie on either side of it
     spread = cut(spread.filter(F.col("sites") >= min_sites - margin)
-                 .select("h1", "h2", (F.col("sites") > min_sites + margin).alias("sure")), "op3-spread")
-    near = lines.join(spread.filter("not sure"), ["h1", "h2"], "left_semi")
-    exact = (near.filter("site is not null").select("h1", "h2", "site").distinct()
+                 .select("h1", "h2", "first", (F.col("sites") > min_sites + margin).alias("sure")), "op3-spread")
+    unsure = spread.filter("not sure").drop("sure")
+    near = _salted(lines.filter("site is not null")).join(_for_all_salts(unsure.select("h1", "h2")),
+                                                          ["h1", "h2", "_salt"], "left_semi")
+    exact = (near.select("h1", "h2", "site").distinct()
              .groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("sites")).filter(F.col("sites") >= min_sites))
-    return spread.filter("sure").select("h1", "h2").unionByName(exact.select("h1", "h2"))
+    return spread.filter("sure").drop("sure").unionByName(unsure.join(exact.select("h1", "h2"), ["h1", "h2"], "left_semi"))
 
 
 def removed_lines(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """_id, gone (line numbers to remove) for documents that lose a line."""
     wide = cut(wide_lines(lines, min_sites), "op3-wide")
-    hits = cut(lines.join(wide, ["h1", "h2"]).select("_id", "pos", "h1", "h2"), "op3-hits")
-    first = hits.groupBy("h1", "h2").agg(F.min("_id").alias("_first"))
-    own = hits.join(first, ["h1", "h2"])
-    lead = (own.filter(F.col("_id") == F.col("_first")).groupBy("h1", "h2").agg(F.min("pos").alias("_pos")))
-    gone = own.join(lead, ["h1", "h2"]).filter((F.col("_id") != F.col("_first")) | (F.col("pos") != F.col("_pos")))
+    hits = _salted(lines).join(_for_all_salts(wide), ["h1", "h2", "_salt"])
+    gone = hits.filter(F.struct("_id", "pos") != F.col("first"))
     return gone.groupBy("_id").agg(F.collect_set("pos").alias("gone"))
 
 
