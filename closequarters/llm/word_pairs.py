@@ -113,16 +113,23 @@ class PairRatio:
             back = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
             log_p.append(np.log(np.maximum(count - DISCOUNT, 0) / np.maximum(total[h], 1) + back[h] * shared))
             lam.append(np.log(back))
+        self.pairs, self.pasts = pair_keys(past, word), np.minimum(pasts, NONE - np.uint64(1))
         # -1, for what is missing, finds the last value
-        self.pairs, self.pasts = CodeTable(pair_keys(past, word)), CodeTable(np.minimum(pasts, NONE - np.uint64(1)))
         self.pair_ratio = np.append(log_p[0] - log_p[1], 0.0).astype(np.float32)
         self.past_ratio = np.append(lam[0] - lam[1], 0.0).astype(np.float32)
+        self._tables = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"_tables": None}
 
     def ratios(self, past: np.ndarray, word: np.ndarray) -> np.ndarray:
-        place = self.pairs.find(pair_keys(past, word))
+        if self._tables is None:  # only where texts are scored, not on the driver
+            self._tables = CodeTable(self.pairs), CodeTable(self.pasts)
+        pairs, pasts = self._tables
+        place = pairs.find(pair_keys(past, word))
         out = self.pair_ratio[place]
         left = np.flatnonzero(place < 0)
-        out[left] = self.past_ratio[self.pasts.find(np.minimum(past[left], NONE - np.uint64(1)))]
+        out[left] = self.past_ratio[pasts.find(np.minimum(past[left], NONE - np.uint64(1)))]
         return out
 
     def features(self, texts: list[str]) -> np.ndarray:
