@@ -18,7 +18,6 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .code_table import NONE, CodeTable
 from .common import cut, map_batches, text_slices
 from .tokens import Splitter, chain
 
@@ -28,7 +27,7 @@ FEATURES = 1 + len(WINDOWS)
 BEGIN = np.uint64(1)  # what stands before a text's first word
 WORDS = 0  # in place of the previous word in rows that count single words
 SPLITTER = Splitter(spaces=bytes(b for b in range(128) if not chr(b).isalnum()))
-HELD_ROWS = 1 << 20
+HELD_ROWS = 1 << 20  # of counts in a task before equal ones are added up; half of it stays
 COUNTS = ("n_toxic", "n_ordinary", "n")
 
 
@@ -44,7 +43,7 @@ def word_pairs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def pair_keys(past: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return np.minimum(chain(past, word), NONE - np.uint64(1))
+    return chain(past, word)
 
 
 def labelled_within(train: DataFrame, texts: DataFrame, most_bytes: int) -> DataFrame:
@@ -74,24 +73,27 @@ def pair_counts(docs: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         def out(part):
-            cols = [pa.array(part[0].view(np.int64)), pa.array(part[1].view(np.int64)), *map(pa.array, part[2:])]
+            cols = [pa.array(part[0].view(np.int64)), pa.array(part[1].view(np.int64)), *(pa.array(c, pa.int64()) for c in part[2:])]
             return pa.RecordBatch.from_arrays(cols, ["past", "word", *COUNTS])
 
         parts: list[list[np.ndarray]] = []
+        held = 0
         for batch in batches:
             for part, texts in text_slices(batch, 512, 0):
                 past, word, text = word_pairs(texts)
                 keys, n = np.unique(word, return_counts=True)
-                none = np.zeros(len(keys), np.int64)
-                parts.append([np.full(len(keys), WORDS, np.uint64), keys, none, none, n])
+                none = np.zeros(len(keys), np.int32)
+                parts.append([np.full(len(keys), WORDS, np.uint64), keys, none, none, n.astype(np.int32)])
                 label = part.column(1).to_numpy(zero_copy_only=False).astype(float)[text]
                 own = np.flatnonzero((label == 1) | (label == 0))
-                toxic = (label[own] == 1).astype(np.int64)
-                parts.append([past[own], word[own], toxic, 1 - toxic, np.zeros(len(own), np.int64)])
-                if len(parts) >= 32:
+                toxic = (label[own] == 1).astype(np.int32)
+                parts.append([past[own], word[own], toxic, 1 - toxic, np.zeros(len(own), np.int32)])
+                held += len(keys) + len(own)
+                if held >= HELD_ROWS:
                     parts = [fold(parts)]
-                    if len(parts[0][0]) > HELD_ROWS:
+                    if len(parts[0][0]) > HELD_ROWS // 2:
                         yield out(parts.pop())
+                    held = sum(len(p[0]) for p in parts)
         if parts:
             yield out(fold(parts))
 
@@ -113,23 +115,23 @@ class PairRatio:
             back = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
             log_p.append(np.log(np.maximum(count - DISCOUNT, 0) / np.maximum(total[h], 1) + back[h] * shared))
             lam.append(np.log(back))
-        self.pairs, self.pasts = pair_keys(past, word), np.minimum(pasts, NONE - np.uint64(1))
-        # -1, for what is missing, finds the last value
-        self.pair_ratio = np.append(log_p[0] - log_p[1], 0.0).astype(np.float32)
-        self.past_ratio = np.append(lam[0] - lam[1], 0.0).astype(np.float32)
-        self._tables = None
-
-    def __getstate__(self):
-        return self.__dict__ | {"_tables": None}
+        order = np.argsort(keys := pair_keys(past, word))
+        self.pairs, self.pasts = keys[order], pasts
+        self.pair_ratio = (log_p[0] - log_p[1])[order].astype(np.float32)
+        self.past_ratio = (lam[0] - lam[1]).astype(np.float32)
 
     def ratios(self, past: np.ndarray, word: np.ndarray) -> np.ndarray:
-        if self._tables is None:  # only where texts are scored, not on the driver
-            self._tables = CodeTable(self.pairs), CodeTable(self.pasts)
-        pairs, pasts = self._tables
-        place = pairs.find(pair_keys(past, word))
-        out = self.pair_ratio[place]
-        left = np.flatnonzero(place < 0)
-        out[left] = self.past_ratio[pasts.find(np.minimum(past[left], NONE - np.uint64(1)))]
+        keys = pair_keys(past, word)
+        out = np.zeros(len(keys), np.float32)
+        if not len(self.pairs):
+            return out
+        place = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
+        found = self.pairs[place] == keys
+        out[found] = self.pair_ratio[place[found]]
+        left = np.flatnonzero(~found)
+        place = np.minimum(np.searchsorted(self.pasts, past[left]), len(self.pasts) - 1)
+        known = self.pasts[place] == past[left]
+        out[left[known]] = self.past_ratio[place[known]]
         return out
 
     def features(self, texts: list[str]) -> np.ndarray:
