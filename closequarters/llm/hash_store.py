@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
 from urllib.parse import unquote, urlparse
@@ -83,6 +84,12 @@ class HashArrays:
                 values[lo + hit] = column[place[hit]]
         return [values[at] for values in out]
 
+    def whole(self, **columns: type) -> list[np.ndarray]:
+        """Each column of all shards, one shard after the other; only for stores
+        of a bounded size.  The types are those of columns without any shard."""
+        return [np.concatenate([np.zeros(0, kind), *(np.load(f"{self.folder}/{s}.{c}.npy") for s in sorted(self.filled))])
+                for c, kind in columns.items()]
+
 
 def _runs(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     cuts = np.flatnonzero(np.diff(ids)) + 1
@@ -94,36 +101,46 @@ def open_shard(folder: str, shard: int, columns: tuple[str, ...]) -> tuple[np.nd
     return tuple(np.load(f"{folder}/{shard}.{c}.npy", mmap_mode="r") for c in columns)
 
 
-def write_store(rows: DataFrame, name: str, value: str = "f") -> HashArrays:
-    """A store of the columns ``key`` (long, no key twice) and ``value``."""
+def write_shards(rows: DataFrame, name: str, build: Callable[..., dict[str, np.ndarray]]) -> HashArrays:
+    """A store made shard by shard: ``rows`` has the column shard first, all rows
+    of a shard meet in one task, which gives their other columns to ``build``
+    and writes the arrays that it returns."""
     spark = rows.sparkSession
     folder, shards = store_folder(spark, name), shard_count(spark)
-    dealt = (rows.select(shard_column(F.col("key"), shards).alias("shard"), "key", F.col(value).cast("long").alias("f"))
-             .repartitionById(shards, F.col("shard")))
+    dealt = rows.repartitionById(shards, F.col("shard"))
 
     def run(batches):
         import pyarrow as pa
 
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
         shard = None
 
         def done():
-            key, f = (np.concatenate(c) for c in zip(*held, strict=True))
-            order = np.argsort(key)
-            write_shard(folder, shard, key=key[order], **{value: f[order]})
+            write_shard(folder, shard, **build(*(np.concatenate(c) for c in zip(*held, strict=True))))
             return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32())], ["shard"])
 
         for batch in batches:
-            of = batch.column(0).to_numpy()
-            key, f = batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy()
+            of, *columns = (c.to_numpy() for c in batch.columns)
             for lo, hi in zip(*_runs(of), strict=True):
                 if held and of[lo] != shard:
                     yield done()
                     held = []
                 shard = int(of[lo])
-                held.append((key[lo:hi], f[lo:hi]))
+                held.append(tuple(c[lo:hi] for c in columns))
         if held:
             yield done()
 
     filled = map_batches(dealt, run, "shard int").collect()  # at most one row per shard
     return HashArrays(folder, shards, frozenset(r["shard"] for r in filled))
+
+
+def write_store(rows: DataFrame, name: str, value: str = "f") -> HashArrays:
+    """A store of the columns ``key`` (long, no key twice) and ``value``."""
+    shard = shard_column(F.col("key"), shard_count(rows.sparkSession)).alias("shard")
+
+    def build(key, f):
+        key = key.view(np.uint64)
+        order = np.argsort(key)
+        return {"key": key[order], value: f[order]}
+
+    return write_shards(rows.select(shard, "key", F.col(value).cast("long").alias("f")), name, build)

@@ -14,7 +14,9 @@ continues.
 Where a gram occurs in no labelled row, the shared chain cancels out of the log
 ratio, so scoring needs the exact grams and histories of the bounded labelled
 sample and the chain's counts at their endings, which are joined from the
-corpus's table; nothing else is collected or broadcast.
+corpus's table.  Tasks turn them into log ratios, all grams of a history in one
+of them, and leave these in the shared folder, where the workers that score read
+them; the driver holds neither grams nor models.
 
 A text is scored by comparing length-normalised log-likelihoods: the mean log
 ratio of the whole text and of its most toxic windows (a long text is not
@@ -36,6 +38,7 @@ from pyspark.sql import functions as F
 
 from .code_table import CodeTable
 from .common import cut, held_out, map_batches, text_slices, training_labels
+from .hash_store import shard_count, write_shards
 from .word_pairs import FEATURES, fit_pairs, labelled_within
 
 REACH = 8  # symbols of a gram: up to 7 of history and the predicted one
@@ -181,7 +184,30 @@ class LogRatio:
         # a history's key ends in symbol 0, which no gram does; -1 finds the last value
         self.codes = np.concatenate([codes, past])
         self.ratio = np.concatenate([log_p[0] - log_p[1], lam[0] - lam[1], [0.0]]).astype(np.float32)
-        self._table = None
+        self._table = self._store = None
+
+    @classmethod
+    def stored(cls, grams: DataFrame, chain: DataFrame, dense: np.ndarray) -> LogRatio:
+        """The same of rows (code, n_toxic, n_ordinary) and what ``chain_counts``
+        gives for them, built by tasks and read from the shared folder on first use."""
+        spark = grams.sparkSession
+        orders = range(DENSE + 1, TOP + 1)
+        names = [f"{c}{k}" for k in orders for c in ("n", "total", "kinds")]
+        history = F.shiftrightunsigned("code", BITS)
+        rows = grams.join(chain.withColumnRenamed("code", "_e"), endings(F.col("code"), TOP) == F.col("_e")).select(
+            F.pmod(F.xxhash64(history), F.lit(shard_count(spark))).cast("int").alias("shard"),
+            "code", "n_toxic", "n_ordinary", *names)
+        low = spark.sparkContext.broadcast(dense)
+
+        def build(code, toxic, ordinary, *counts):
+            at = {k: list(counts[3 * i:3 * i + 3]) for i, k in enumerate(orders)}
+            shared = cls.chain(code & (2 ** (BITS * TOP) - 1), at, low.value)
+            part = cls(code.view(np.uint64), toxic, ordinary, shared)
+            return {"key": part.codes, "ratio": part.ratio[:-1]}
+
+        model = cls.__new__(cls)
+        model._store, model._table = write_shards(rows, "op5-ratios", build), None
+        return model
 
     @staticmethod
     def _shared(types: np.ndarray) -> np.ndarray:
@@ -212,10 +238,14 @@ class LogRatio:
         return p
 
     def __getstate__(self):
-        return self.__dict__ | {"_table": None}
+        own = self.__dict__ | {"_table": None}
+        return own if self._store is None else own | {"codes": None, "ratio": None}
 
     def ratios(self, codes: np.ndarray) -> np.ndarray:
         if self._table is None:
+            if self._store is not None:
+                self.codes, ratio = self._store.whole(key=np.uint64, ratio=np.float32)
+                self.ratio = np.append(ratio, np.float32(0))
             self._table = CodeTable(self.codes)
         place = self._table.find(codes)
         left = np.flatnonzero(place < 0)
@@ -266,7 +296,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id
     """doc_id, held_out, score (0 to 1), predicted (score >= 0.5) for every row.
 
     Labels are learned from at most ``max_labelled`` rows outside the held-out
-    fold (a documented bound that makes them safe to broadcast), the word pairs
+    fold (a documented bound that makes them safe to broadcast and their grams safe
+    to hold in a worker), the word pairs
     of the classes from those with the first ``pair_bytes`` bytes of text; the
     shared counts cover every document.  Null texts count as empty; null ids are
     scored, never held out and never learned from; repeated rows count as often
@@ -283,13 +314,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id
     table = cut(counts, "op5-grams")
     # no more than the bounded labelled sample holds
     grams = table.filter(F.col("n_toxic") + F.col("n_ordinary") > 0)
-    chain, dense = chain_counts(table.select("code"), grams)
-    ends = chain.orderBy("code").toArrow()
-    code = ends.column("code").to_numpy()
-    counts = {k: [ends.column(f"{c}{k}").to_numpy() for c in ("n", "total", "kinds")] for k in range(DENSE + 1, TOP + 1)}
-    codes, toxic, ordinary = (c.to_numpy() for c in grams.toArrow().columns)
-    shared = LogRatio.chain(code, counts, dense)[np.searchsorted(code, codes & (2 ** (BITS * TOP) - 1))]
-    model = spark.sparkContext.broadcast((LogRatio(codes.view(np.uint64), toxic, ordinary, shared), pairs))
+    model = spark.sparkContext.broadcast((LogRatio.stored(grams, *chain_counts(table.select("code"), grams)), pairs))
     names = [f"f{k}" for k in range(1 + len(WINDOWS) + FEATURES)]
 
     def run(batches):

@@ -8,8 +8,10 @@ discounting with one shared distribution, the words' counts over every document
 of the corpus; so an expression of ordinary words is known by their order.
 
 Pairs are counted in the labelled rows only, which ``labelled_within`` bounds by
-their bytes of text; this bounds what is collected and broadcast.  Words and
-pairs are 64-bit hashes (unlike ones meet with a probability of 2^-64 a pair).
+their bytes of text; this bounds what a worker holds.  The ratios are built by
+tasks, all pairs of a previous word in one of them, and read from the shared
+folder by the workers that score; the driver holds none.  Words and pairs are
+64-bit hashes (unlike ones meet with a probability of 2^-64 a pair).
 One pass over the texts, one shuffle of partial counts.
 """
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, map_batches, text_slices
+from .hash_store import shard_count, write_shards
 from .tokens import Splitter, chain
 
 DISCOUNT = 0.75
@@ -104,6 +107,8 @@ def pair_counts(docs: DataFrame) -> DataFrame:
 class PairRatio:
     """log P(word | previous word, toxic) - log P(word | previous word, ordinary)."""
 
+    ARRAYS = {"pairs": np.uint64, "pair_ratio": np.float32, "pasts": np.uint64, "past_ratio": np.float32}
+
     def __init__(self, past: np.ndarray, word: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, shared: np.ndarray):
         """Distinct pairs of the labelled rows: hashes, counts and the shared
         probability of the word."""
@@ -119,8 +124,40 @@ class PairRatio:
         self.pairs, self.pasts = keys[order], pasts
         self.pair_ratio = (log_p[0] - log_p[1])[order].astype(np.float32)
         self.past_ratio = (lam[0] - lam[1]).astype(np.float32)
+        self._store = None
+
+    @classmethod
+    def stored(cls, rows: DataFrame, total: int) -> PairRatio:
+        """The same of rows (past, word, n_toxic, n_ordinary, n) with the word's
+        count n of ``total``, built by tasks and read from the shared folder on
+        first use."""
+        shard = F.pmod(F.xxhash64("past"), F.lit(shard_count(rows.sparkSession))).cast("int").alias("shard")
+
+        def build(past, word, toxic, ordinary, n):
+            return cls(past.view(np.uint64), word.view(np.uint64), toxic, ordinary, n / total).arrays()
+
+        model = cls.__new__(cls)
+        model._store = write_shards(rows.select(shard, "past", "word", *COUNTS), "op5-pair-ratios", build)
+        model.pairs = None
+        return model
+
+    def arrays(self) -> dict[str, np.ndarray]:
+        return {c: getattr(self, c) for c in self.ARRAYS}
+
+    def _load(self) -> None:
+        """Shards one after the other, ordered anew for the lookup."""
+        found = dict(zip(self.ARRAYS, self._store.whole(**self.ARRAYS), strict=True))
+        for key, ratio in (("pairs", "pair_ratio"), ("pasts", "past_ratio")):
+            order = np.argsort(found[key])
+            setattr(self, ratio, found[ratio][order])
+            setattr(self, key, found[key][order])
+
+    def __getstate__(self):
+        return self.__dict__ if self._store is None else {"_store": self._store, "pairs": None}
 
     def ratios(self, past: np.ndarray, word: np.ndarray) -> np.ndarray:
+        if self.pairs is None:
+            self._load()
         keys = pair_keys(past, word)
         out = np.zeros(len(keys), np.float32)
         if not len(self.pairs):
@@ -159,6 +196,4 @@ def fit_pairs(texts: DataFrame, known: DataFrame) -> PairRatio:
     words = table.filter(F.col("past") == WORDS)
     total = words.agg(F.sum("n")).first()[0] or 1
     pairs = table.filter(F.col("past") != WORDS).drop("n").join(words.select("word", "n"), "word")
-    got = pairs.select("past", "word", *COUNTS).toArrow()
-    past, word, toxic, ordinary, n = (c.to_numpy() for c in got.columns)
-    return PairRatio(past.view(np.uint64), word.view(np.uint64), toxic, ordinary, n / total)
+    return PairRatio.stored(pairs, total)

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import hashlib
+import pickle
 import random
 import re
 import textwrap
@@ -11,6 +12,7 @@ from sys import getsizeof
 
 import numpy as np
 import pytest
+from pyspark import SparkContext
 
 from closequarters.llm import chat_prefix as cp
 from closequarters.llm import kneser_ney as kn
@@ -523,3 +525,46 @@ def test_labelled_sample_is_bounded_in_bytes(docs, labels):
     train = frame.sparkSession.createDataFrame([(i, i % 2) for i in range(120)], "_id long, _class int")
     some = [r["_id"] for r in wp.labelled_within(train, frame, 400).collect()]
     assert len(some) == len(set(some)) == 25 and 5 not in some
+
+
+def test_stored_ratios_are_those_of_all_grams_at_once(spark):
+    rng = random.Random(23)
+    texts = [" ".join("".join(rng.choice("abcdef") for _ in range(rng.randint(1, 9))) for _ in range(200)) for _ in range(6)]
+    codes, n = np.unique(kn.text_grams(texts), return_counts=True)
+    rows = [(int(c), int(k) % 3, int(k) % 2 + 1) for c, k in zip(codes.view(np.int64), n, strict=True)]
+    table = spark.createDataFrame(rows, "code long, n_toxic long, n_ordinary long")
+    chain, dense = kn.chain_counts(table.select("code"), table)
+    found = sorted(chain.collect(), key=lambda r: r["code"])
+    ends = np.array([r["code"] for r in found], np.int64)
+    p = kn.LogRatio.chain(ends, {k: [np.array([r[f"{c}{k}"] for r in found]) for c in ("n", "total", "kinds")]
+                                 for k in range(kn.DENSE + 1, kn.TOP + 1)}, dense)
+    at = np.searchsorted(ends, codes.view(np.int64) & (256**kn.TOP - 1))
+    whole = kn.LogRatio(codes, np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), p[at])
+    stored = pickle.loads(pickle.dumps(kn.LogRatio.stored(table, chain, dense)))
+    seen = kn.gram_codes([*texts, "unseen words zzz abcx", ""])[0]
+    assert len(codes) > 2000 and (stored.ratios(seen) == whole.ratios(seen)).all()
+
+
+def test_toxicity_models_stay_off_the_driver(docs, labels, monkeypatch):
+    """Neither grams nor pairs are collected or broadcast, whatever the labelled texts hold."""
+    rng = random.Random(24)
+    items = [(i, " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(60))) for i in range(200)]
+    frame, marks = docs(items), labels([(i, 1, i % 2) for i in range(200)])
+    grams = len(np.unique(kn.text_grams([t for _, t in items])))
+    taken, sent = [], []
+    to_arrow, collect, broadcast = type(frame).toArrow, type(frame).collect, SparkContext.broadcast
+
+    def keep(method):
+        def run(self, *args):
+            out = method(self, *args)
+            taken.append(len(out))
+            return out
+        return run
+
+    monkeypatch.setattr(type(frame), "toArrow", keep(to_arrow))
+    monkeypatch.setattr(type(frame), "collect", keep(collect))
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, x: (sent.append(x), broadcast(self, x))[1])
+    assert kn.toxicity_scores(frame, marks).count() == 200
+    assert grams > 10_000 and taken and max(taken) <= 400
+    large = [x for x in sent if len(pickle.dumps(x)) > 10_000]
+    assert sent and all(isinstance(x, np.ndarray) and len(x) == kn.HISTORIES for x in large)
