@@ -23,19 +23,31 @@ class CodeTable:
         used = self.places >= 0
         self.keys[used] = codes[self.places[used]]
 
+    @classmethod
+    def of(cls, keys: np.ndarray) -> CodeTable:
+        """A table around the slots ``keys`` of another one, for ``find_slots``."""
+        table = cls.__new__(cls)
+        table.bits, table.keys, table.places = len(keys).bit_length() - 1, keys, None
+        return table
+
     def _slots(self, codes: np.ndarray) -> np.ndarray:
         return (codes * SPREAD >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def find(self, codes: np.ndarray) -> np.ndarray:
         """Places of the codes in the list given at first, -1 where missing."""
+        slot = self.find_slots(codes)
+        return np.where(slot >= 0, self.places[slot], -1)
+
+    def find_slots(self, codes: np.ndarray) -> np.ndarray:
+        """Slots of the codes, -1 where missing."""
         slot = self._slots(codes)
         found = self.keys[slot]
-        out = np.where(found == codes, self.places[slot], -1)
+        out = np.where(found == codes, slot, -1)
         left = np.flatnonzero((found != codes) & (found != NONE))
         while len(left):
             slot_left = slot[left] = (slot[left] + 1) & (len(self.keys) - 1)
             found = self.keys[slot_left]
             hit = found == codes[left]
-            out[left[hit]] = self.places[slot_left[hit]]
+            out[left[hit]] = slot_left[hit]
             left = left[~hit & (found != NONE)]
         return out

@@ -38,17 +38,19 @@ from pyspark.sql import functions as F
 
 from .code_table import CodeTable
 from .common import cut, held_out, map_batches, text_slices, training_labels
-from .hash_store import shard_count, write_shards
-from .word_pairs import FEATURES, fit_pairs, labelled_within
+from .hash_store import open_shard, shard_count, write_shards
+from .word_pairs import FEATURES, SLICE_BYTES, fit_pairs, labelled_within
 
 REACH = 8  # symbols of a gram: up to 7 of history and the predicted one
 TOP = 4  # order of the shared chain below the class-conditional level
 BITS = 8
+DEAL = 1_000_003  # histories are dealt to shards by their remainder
 DISCOUNT = 0.75
 WINDOWS = (12, 24)
 MAX_LABELLED = 200_000
 PAIR_BYTES = 16 << 20
 CALIBRATION_FOLD = 4
+HELD_ROWS = 1 << 20  # of counts in a task before equal ones are added up, or twice what is left of them
 DENSE = 2  # orders of the shared chain that are small enough for a full table
 HISTORIES = 1 << (BITS * DENSE)
 GAP = b" " * (REACH - 1)
@@ -106,6 +108,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         parts: list[list[np.ndarray]] = []
+        held, most = 0, HELD_ROWS
 
         def fold():
             codes = np.concatenate([p[0] for p in parts])
@@ -115,7 +118,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
             parts[:] = [[keys, *sums]]
 
         for batch in batches:
-            for part, texts in text_slices(batch, 512, 0):
+            for part, texts in text_slices(batch, 512, 0, SLICE_BYTES):
                 label = part.column(1).to_pylist()
                 keys = np.unique(text_grams(texts))
                 split = []
@@ -127,8 +130,11 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                         count[np.searchsorted(keys, k)] = m
                     split.append(count)
                 parts.append([keys, *split])
-                if len(parts) >= 24:
+                held += len(keys)
+                if held >= most:
                     fold()
+                    held = len(parts[0][0])
+                    most = max(HELD_ROWS, 2 * held)
         if parts:
             fold()
             yield pa.RecordBatch.from_arrays([pa.array(parts[0][0].view(np.int64)), *map(pa.array, parts[0][1:])],
@@ -189,13 +195,13 @@ class LogRatio:
     @classmethod
     def stored(cls, grams: DataFrame, chain: DataFrame, dense: np.ndarray) -> LogRatio:
         """The same of rows (code, n_toxic, n_ordinary) and what ``chain_counts``
-        gives for them, built by tasks and read from the shared folder on first use."""
+        gives for them, built by tasks and mapped from the shared folder."""
         spark = grams.sparkSession
         orders = range(DENSE + 1, TOP + 1)
         names = [f"{c}{k}" for k in orders for c in ("n", "total", "kinds")]
-        history = F.shiftrightunsigned("code", BITS)
+        shards = shard_count(spark)
         rows = grams.join(chain.withColumnRenamed("code", "_e"), endings(F.col("code"), TOP) == F.col("_e")).select(
-            F.pmod(F.xxhash64(history), F.lit(shard_count(spark))).cast("int").alias("shard"),
+            (F.shiftrightunsigned("code", BITS) % DEAL % shards).cast("int").alias("shard"),
             "code", "n_toxic", "n_ordinary", *names)
         low = spark.sparkContext.broadcast(dense)
 
@@ -203,12 +209,29 @@ class LogRatio:
             at = {k: list(counts[3 * i:3 * i + 3]) for i, k in enumerate(orders)}
             shared = cls.chain(code & (2 ** (BITS * TOP) - 1), at, low.value)
             part = cls(code.view(np.uint64), toxic, ordinary, shared)
-            return {"key": part.codes, "ratio": part.ratio[:-1]}
+            table = CodeTable(part.codes)
+            return {"slot": table.keys, "ratio": part.ratio[table.places]}
 
         model = cls.__new__(cls)
         model._store, model._table = write_shards(rows, "op5-ratios", build), None
         return model
 
+    def _stored_ratios(self, codes: np.ndarray) -> np.ndarray:
+        """Shard by shard of the histories, whose tables are mapped and so not the worker's own memory."""
+        store, out = self._store, np.zeros(len(codes), np.float32)
+        of = ((codes >> np.uint64(BITS)) % np.uint64(DEAL) % np.uint64(store.shards)).astype(np.min_scalar_type(store.shards))
+        order = np.argsort(of, kind="stable")
+        cuts = np.searchsorted(of[order], np.arange(store.shards + 1))
+        for s in store.filled:
+            at = order[cuts[s]:cuts[s + 1]]
+            slots, ratio = open_shard(store.folder, s, ("slot", "ratio"))
+            table = CodeTable.of(slots)
+            place = table.find_slots(some := codes[at])
+            left = np.flatnonzero(place < 0)
+            place[left] = table.find_slots(some[left] & ~np.uint64(2**BITS - 1))
+            out[at] = np.where(place >= 0, ratio[place], np.float32(0))
+        return out
+
     @staticmethod
     def _shared(types: np.ndarray) -> np.ndarray:
         """P(last symbol | the one before it) by interpolated Kneser-Ney;
@@ -238,14 +261,12 @@ class LogRatio:
         return p
 
     def __getstate__(self):
-        own = self.__dict__ | {"_table": None}
-        return own if self._store is None else own | {"codes": None, "ratio": None}
+        return self.__dict__ | {"_table": None}
 
     def ratios(self, codes: np.ndarray) -> np.ndarray:
+        if self._store is not None:
+            return self._stored_ratios(codes)
         if self._table is None:
-            if self._store is not None:
-                self.codes, ratio = self._store.whole(key=np.uint64, ratio=np.float32)
-                self.ratio = np.append(ratio, np.float32(0))
             self._table = CodeTable(self.codes)
         place = self._table.find(codes)
         left = np.flatnonzero(place < 0)
@@ -296,8 +317,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id
     """doc_id, held_out, score (0 to 1), predicted (score >= 0.5) for every row.
 
     Labels are learned from at most ``max_labelled`` rows outside the held-out
-    fold (a documented bound that makes them safe to broadcast and their grams safe
-    to hold in a worker), the word pairs
+    fold (a documented bound that makes them safe to broadcast), the word pairs
     of the classes from those with the first ``pair_bytes`` bytes of text; the
     shared counts cover every document.  Null texts count as empty; null ids are
     scored, never held out and never learned from; repeated rows count as often
@@ -321,7 +341,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id
         import pyarrow as pa
 
         for batch in batches:
-            for part, some in text_slices(batch):
+            for part, some in text_slices(batch, size=SLICE_BYTES):
                 f = np.hstack([m.features(some) for m in model.value])
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(f[:, k]) for k in range(f.shape[1]))],
                                                  ["doc_id", *names])

@@ -30,6 +30,7 @@ FEATURES = 1 + len(WINDOWS)
 BEGIN = np.uint64(1)  # what stands before a text's first word
 WORDS = 0  # in place of the previous word in rows that count single words
 SPLITTER = Splitter(spaces=bytes(b for b in range(128) if not chr(b).isalnum()))
+SLICE_BYTES = 1 << 19  # of text whose work arrays a worker holds at once
 HELD_ROWS = 1 << 20  # of counts in a task before equal ones are added up; half of it stays
 COUNTS = ("n_toxic", "n_ordinary", "n")
 
@@ -82,7 +83,7 @@ def pair_counts(docs: DataFrame) -> DataFrame:
         parts: list[list[np.ndarray]] = []
         held = 0
         for batch in batches:
-            for part, texts in text_slices(batch, 512, 0):
+            for part, texts in text_slices(batch, 512, 0, SLICE_BYTES):
                 past, word, text = word_pairs(texts)
                 keys, n = np.unique(word, return_counts=True)
                 none = np.zeros(len(keys), np.int32)

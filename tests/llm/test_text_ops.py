@@ -21,6 +21,7 @@ from closequarters.llm import queries
 from closequarters.llm import template_join as tj
 from closequarters.llm import word_pairs as wp
 from closequarters.llm.code_table import CodeTable
+from closequarters.llm.common import text_slices
 from closequarters.llm.heap_bpe import Generations, HeapBpe, bpe_decode, bpe_encode, bpe_round_trip
 from closequarters.llm.pairwise_quality import quality_scores
 from closequarters.llm.queries import tokenizer_file
@@ -568,3 +569,14 @@ def test_toxicity_models_stay_off_the_driver(docs, labels, monkeypatch):
     assert grams > 10_000 and taken and max(taken) <= 400
     large = [x for x in sent if len(pickle.dumps(x)) > 10_000]
     assert sent and all(isinstance(x, np.ndarray) and len(x) == kn.HISTORIES for x in large)
+
+
+def test_text_slices_are_bounded_in_bytes():
+    import pyarrow as pa
+
+    texts = ["é" * 40, None, "", "x" * 500, *["ab" * 20] * 30]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["doc_id", "text"])
+    found = list(text_slices(batch, 8, 1, 200))
+    assert [t for _, some in found for t in some] == [t or "" for t in texts]
+    assert [i for part, _ in found for i in part.column(0).to_pylist()] == list(range(len(texts)))
+    assert all(len(some) <= 8 and (len(some) == 1 or len("".join(some).encode()) <= 200) for _, some in found)
