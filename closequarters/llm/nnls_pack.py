@@ -20,33 +20,39 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, map_batches, text_slices
+from .common import cut, map_batches
 from .heap_bpe import Generations, byte_symbols
+from .tokens import byte_blocks, text_bytes
 
 WINDOW = 2048
 GRID = 16
 DEPTH = 4
 END_ID = 1
 BUCKET_ROWS = 20_000
+SLICE = 4 << 20  # bytes of text taken together
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 class ChunkTokenizer:
-    """``tokenizers`` ids of whole texts, remembered per space-delimited chunk.
+    """``tokenizers`` ids of whole texts, a slice of a column at a time.
 
     The vocabulary's pre-tokenizer never joins across a space or line feed, so
-    the ids of a text are those of its chunks in order.  Chunks of printable
-    ASCII and precomposed Latin-1 letters are cut by the same pattern here and
-    go to the BPE model alone; all others take the library's full path.
+    the ids of a text are those of its chunks in order: Arrow splits the texts,
+    numbers the distinct chunks and gathers their ids, Python sees a chunk once
+    a slice.  Chunks of printable ASCII and precomposed Latin-1 letters are cut
+    into words by the same pattern here and the words, remembered from slice to
+    slice, go to the BPE model alone; all others take the library's full path.
     """
-    LATIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
-    WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
+    LATIN = r"\A[!-~À-ÖØ-öø-ÿ]*\z"
+    WORDS = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\na-z0-9ß-öø-ÿ]+").findall
     BYTES = byte_symbols()
 
     def __init__(self, path: str):
@@ -58,24 +64,67 @@ class ChunkTokenizer:
         self.tok.no_padding()
         self.model = self.tok.model
         self.words = Generations(self._word)
-        self.chunks = Generations(self._chunk)
+        self.others = Generations(self._full)
 
     def _full(self, chunk: str) -> bytes:
-        return np.array(self.tok.encode(chunk, add_special_tokens=False).ids, np.uint32).tobytes()
+        return array("I", self.tok.encode(chunk, add_special_tokens=False).ids).tobytes()
 
     def _word(self, word: str) -> bytes:
+        if word == "\n":
+            return b""
         if not word.isascii():
             word = "".join(map(self.BYTES.__getitem__, word.encode()))
-        return np.array([t.id for t in self.model.tokenize(word)], np.uint32).tobytes()
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
-    def _chunk(self, chunk: str) -> bytes:
-        if not self.LATIN(chunk) or "<|" in chunk:
-            return self._full(chunk) if chunk else b""
-        return b"".join(map(self.words.__getitem__, self.WORDS(chunk.lower())))
+    def _latin(self, chunks: list[str]):
+        """Ids of Latin chunks; line feeds, which have no ids, stand between them."""
+        import pyarrow as pa
+
+        words = pa.array(self.WORDS("\n".join(chunks).lower()), pa.large_string()).dictionary_encode()
+        names = strings(words.dictionary)
+        ids = pa.array(list(map(self.words.__getitem__, names)), pa.large_binary()).take(words.indices)
+        offsets, data = text_bytes(ids)
+        feeds = words.indices.to_numpy() == (names.index("\n") if "\n" in names else -1)
+        bounds = np.concatenate([offsets[:1], offsets[:-1][feeds], offsets[-1:]])
+        return pa.Array.from_buffers(pa.large_binary(), len(chunks), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+
+    def _chunks(self, chunks):
+        """Ids of an Arrow array of distinct chunks."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        latin = pc.and_not(pc.match_substring_regex(chunks, self.LATIN), pc.match_substring(chunks, "<|"))
+        rest = strings(chunks.filter(pc.invert(latin)))
+        if len(rest) == len(chunks):
+            return pa.array(list(map(self.others.__getitem__, rest)), pa.large_binary())
+        own = self._latin(strings(chunks.filter(latin)))
+        if not rest:
+            return own
+        place = np.argsort(np.argsort(~latin.to_numpy(zero_copy_only=False), kind="stable"))
+        other = pa.array(list(map(self.others.__getitem__, rest)), pa.large_binary())
+        return pa.concat_arrays([own, other]).take(pa.array(place))
+
+    def encode_texts(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """Offsets and bytes of the ids of an Arrow string array, as
+        little-endian unsigned 32-bit integers (null: none)."""
+        import pyarrow.compute as pc
+
+        texts = pc.fill_null(texts, "")
+        free = pc.and_not(pc.string_is_ascii(texts), pc.match_substring(texts, "<|"))  # control strings heed case
+        low = pc.if_else(free, pc.ascii_lower(texts), texts)
+        split = pc.split_pattern(pc.replace_substring(low, "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        offsets, data = text_bytes(self._chunks(coded.dictionary).take(coded.indices))
+        return offsets[split.offsets.to_numpy()], data
 
     def encode(self, text: str) -> bytes:
-        low = text.lower() if text.isascii() else text
-        return b"".join(map(self.chunks.__getitem__, low.replace("\n", " ").split(" ")))
+        import pyarrow as pa
+
+        return self.encode_texts(pa.array([text], pa.string()))[1].tobytes()
+
+
+def strings(column) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
 
 
 @lru_cache(maxsize=2)
@@ -94,10 +143,11 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, *, window: int = WIND
 
         tok = load(tokenizer_path)
         for batch in batches:
-            for part, texts in text_slices(batch):
+            for part, _, _ in byte_blocks(batch, 1, SLICE):
+                at, data = tok.encode_texts(part.column(1))
                 rows, ids_out = [], []
-                for doc, text in zip(part.column(0).to_pylist(), texts, strict=True):
-                    ids = tok.encode(text) + end
+                for doc, (a, b) in zip(part.column(0).to_pylist(), pairwise(at.tolist()), strict=True):
+                    ids = data[a:b].tobytes() + end
                     n = len(ids) // 4
                     for s in range(0, n, window):
                         piece = ids[4 * s: 4 * (s + window)]

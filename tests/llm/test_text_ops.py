@@ -8,6 +8,7 @@ import re
 import textwrap
 import zlib
 from collections import Counter
+from itertools import pairwise
 from sys import getsizeof
 
 import numpy as np
@@ -94,6 +95,45 @@ def test_chunk_tokenizer_equals_the_library():
         assert np.frombuffer(own.encode(text), "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_chunk_tokenizer_takes_a_slice_and_each_distinct_chunk_once():
+    import pyarrow as pa
+
+    lib, own = library("word_bpe_49k.json"), pack.ChunkTokenizer(tokenizer_file("word_bpe_49k.json"))
+    texts = [*TEXTS, *random_texts(seed=14)] * 3
+    seen, made, latin, word = [], [], own._latin, own.words.make
+    own._latin = lambda chunks: (seen.append(chunks), latin(chunks))[1]
+    own.words.make = lambda w: (made.append(w), word(w))[1]
+    column = pa.array(["left out", *texts, "left out"], pa.string()).slice(1, len(texts))
+    for _ in range(2):
+        at, data = own.encode_texts(column)
+        got = [np.frombuffer(data[a:b], "<u4").tolist() for a, b in pairwise(at.tolist())]
+        assert got == [lib.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert len(seen) == 2 and all(len(set(chunks)) == len(chunks) for chunks in seen)
+    short = [w for w in made if len(w) <= 128]
+    assert len(set(short)) == len(short)  # remembered from slice to slice
+    for few in ([], [""], [None, ""], ["\n"], ["日本"], [" "]):
+        at, data = own.encode_texts(pa.array(few, pa.string()))
+        assert len(at) == len(few) + 1 and data.tobytes() == own.encode("日本") * ("日本" in few)
+
+
+def test_control_strings_heed_case():
+    lib, own = library("word_bpe_49k.json"), pack.ChunkTokenizer(tokenizer_file("word_bpe_49k.json"))
+    for text in ("<|ENDOFTEXT|>", "A <|EndOfText|> B <|endoftext|>", "É <|ENDOFTEXT|>", "<|STARTOFTEXT|><|startoftext|>"):
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids, text
+
+
+def test_pieces_of_several_slices(docs, rows):
+    lib, items, want = library("word_bpe_49k.json"), [], []
+    for i in range(10):
+        unit, n = f"Word{i} été, 日本 ", 60_000 + i
+        ids = np.array([*lib.encode(unit, add_special_tokens=False).ids * n, 1], "<u4")
+        items.append((i, unit * n))
+        want += [(i, s, len(ids[s:s + 2048]), zlib.crc32(ids[s:s + 2048].tobytes()), len(ids)) for s in range(0, len(ids), 2048)]
+    assert sum(len(t.encode()) for _, t in items) > pack.SLICE
+    out = pack.tokenised_pieces(docs(items).coalesce(1), tokenizer_file("word_bpe_49k.json"))
+    assert sorted(rows(out, "doc_id", "start", "length", "ids_crc32", "doc_tokens")) == want
+
+
 def test_packing_places_every_id_once(docs, rows):
     lib = library("word_bpe_49k.json")
     items = [*enumerate(TEXTS), (None, "null id"), (0, "again"), (1, "again"), (1, "again")]
